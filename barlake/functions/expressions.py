@@ -44,6 +44,20 @@ def day_index(date_c: str, anchor: str) -> Column:
     return F.expr(f"timestampdiff(DAY, `{anchor}`, `{date_c}`)")
 
 
+def trunc_minute_ntz(ts: str) -> Column:
+    """Truncate a TIMESTAMP_NTZ to the minute without leaving NTZ.
+
+    ``date_trunc`` returns a zoned TIMESTAMP, which would tie wall-clock bar
+    times to the session time zone.
+    """
+    return F.expr(f"timestampadd(MICROSECOND, -CAST(extract(SECOND FROM `{ts}`) * 1000000 AS BIGINT), `{ts}`)")
+
+
+def hours_between(start: str, end: str) -> Column:
+    """Elapsed hours between two timestamp columns, to the microsecond."""
+    return F.expr(f"timestampdiff(MICROSECOND, `{start}`, `{end}`)") / F.lit(3600000000.0)
+
+
 # --- trading-day clock -------------------------------------------------------
 # Fixed values of the market session: opens 09:30, closes 16:00; Monday
 # before 09:00 belongs to the previous Friday (the hour-only test means

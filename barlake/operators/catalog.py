@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barlake.functions.expressions import hours_between
+
 DEFAULT_PAGE = 100  # fixed value: symbols per page
 
 
@@ -62,6 +64,4 @@ def coverage(bars: DataFrame, ts: str = "ts", key: str = "symbol") -> DataFrame:
         F.count_distinct(F.to_date(ts)).alias("unique_dates"),
         F.min(ts).alias("earliest"),
         F.max(ts).alias("latest"),
-        ((F.unix_timestamp(F.max(ts).cast("timestamp")) - F.unix_timestamp(F.min(ts).cast("timestamp")))
-         / F.lit(3600.0)).alias("time_range_hours"),
-    )
+    ).withColumn("time_range_hours", hours_between("earliest", "latest"))

@@ -16,9 +16,9 @@ def R(expr: str) -> str:
     x = f"({expr})"
     k = f"(8 - floor(log10(abs({x}))))"
     return (f"(CASE WHEN {x} IS NULL OR isnan({x}) OR isinf({x}) THEN {x} "
-            f"WHEN abs({x}) < 1000 THEN round({x}, 6) + 0.0 "
-            f"WHEN {k} >= 0 THEN round({x} * power(10.0, {k})) / power(10.0, {k}) + 0.0 "
-            f"ELSE round({x} / power(10.0, -{k})) * power(10.0, -{k}) + 0.0 END)")
+            f"WHEN abs({x}) < 1000 THEN round({x} + 1.234567e-10, 6) + 0.0 "
+            f"WHEN {k} >= 0 THEN round({x} * power(10.0, {k}) + 1.234567e-4) / power(10.0, {k}) + 0.0 "
+            f"ELSE round({x} / power(10.0, -{k}) + 1.234567e-4) * power(10.0, -{k}) + 0.0 END)")
 
 
 BARS_DAILY = """bars_daily AS (
@@ -86,3 +86,248 @@ res AS (SELECT symbol, avg(power(close - (icpt + slope * xi), 2)) AS mse
 SELECT symbol, n, anchor, {R('slope')} AS slope, {R('icpt')} AS intercept, {R('mse')} AS mse,
        {R('CASE WHEN n < 2 THEN NULL WHEN flat THEN 1.0 ELSE 1 - mse / var_y END')} AS r2
 FROM fit JOIN res USING (symbol)"""
+
+BARS_MINUTE = """bars_minute AS (
+  SELECT symbol, bar_ts AS ts,
+         first(value ORDER BY ts, event_id) AS open, max(value) AS high,
+         min(value) AS low, last(value ORDER BY ts, event_id) AS close,
+         CAST(count(*) AS DOUBLE) AS volume
+  FROM (SELECT 'U' || user_id AS symbol, date_trunc('minute', ts) AS bar_ts, ts, event_id, value
+        FROM events)
+  GROUP BY symbol, bar_ts)"""
+
+TICKS = """ticks AS (
+  SELECT 'U' || user_id AS symbol, ts, event_id AS seq, value AS price,
+         CAST(json_extract_string(props, '$.k') AS DOUBLE) AS size
+  FROM events)"""
+
+ARRIVALS = f"""{TICKS},
+arrivals AS (
+  SELECT symbol, CAST(ts AS DATE) AS date, seq, price AS open, price AS high,
+         price AS low, price AS close, size AS volume
+  FROM ticks)"""
+
+
+def trading_day_sql(t: str) -> str:
+    return (f"(CASE WHEN isodow({t}) = 6 THEN CAST({t} AS DATE) - 1 "
+            f"WHEN isodow({t}) = 7 THEN CAST({t} AS DATE) - 2 "
+            f"WHEN isodow({t}) = 1 AND hour({t}) < 9 THEN CAST({t} AS DATE) - 3 "
+            f"WHEN hour({t}) < 9 OR (hour({t}) = 9 AND minute({t}) < 30) THEN CAST({t} AS DATE) - 1 "
+            f"ELSE CAST({t} AS DATE) END)")
+
+
+def _fits(bars_cte: str, src: str) -> str:
+    """CTEs x (bars with day index), co (per-symbol moments) and fit (three fitted values)."""
+    return f"""WITH {bars_cte},
+x AS (SELECT symbol, date, close AS y,
+             CAST(date - min(date) OVER (PARTITION BY symbol) AS DOUBLE) AS xi FROM {src}),
+s1 AS (SELECT symbol, count(*) AS n, avg(xi) AS mx, avg(y) AS my, count(DISTINCT xi) AS nx,
+              max(xi) AS xmax, max(y) = min(y) AS flat FROM x GROUP BY symbol),
+s2 AS (SELECT symbol, avg(power(xi - mx, 2)) AS m2, avg(power(xi - mx, 3)) AS m3,
+              avg(power(xi - mx, 4)) AS m4, avg((xi - mx) * (y - my)) AS c1,
+              avg(power(xi - mx, 2) * (y - my)) AS c2, avg(power(y - my, 2)) AS vy
+       FROM x JOIN s1 USING (symbol) GROUP BY symbol),
+co AS (SELECT *, CASE WHEN m2 > 0 THEN c1 / m2 ELSE 0 END AS lb,
+              m2 * (m4 - m2 * m2) - m3 * m3 AS det FROM s1 JOIN s2 USING (symbol)),
+pairs AS (SELECT a.symbol, a.date, b.y AS yj, a.n,
+                 row_number() OVER (PARTITION BY a.symbol, a.date
+                                    ORDER BY abs(b.xi - a.xi), b.xi) AS k
+          FROM (x JOIN co USING (symbol)) a JOIN x b ON a.symbol = b.symbol),
+rf AS (SELECT symbol, date,
+              sum(yj * (power((n - k + 1.0) / n, n) - power((n - k + 0.0) / n, n))) AS rf_fit
+       FROM pairs GROUP BY symbol, date),
+fit AS (SELECT x.symbol, x.date, x.xi, x.y, co.n, co.vy, co.flat,
+               co.my + co.lb * (x.xi - co.mx) AS linear_fit,
+               {_poly_at('x.xi')} AS poly_fit, rf.rf_fit
+        FROM x JOIN co USING (symbol) JOIN rf ON rf.symbol = x.symbol AND rf.date = x.date)"""
+
+
+def _poly_at(xi: str) -> str:
+    u = f"({xi} - co.mx)"
+    return (f"(CASE WHEN co.nx >= 3 THEN co.my "
+            f"+ (co.c1 * (co.m4 - co.m2 * co.m2) - co.c2 * co.m3) / co.det * {u} "
+            f"+ (co.m2 * co.c2 - co.m3 * co.c1) / co.det * ({u} * {u} - co.m2) "
+            f"WHEN co.nx = 2 THEN (co.my - co.lb * co.mx) "
+            f"+ co.lb * co.xmax / (1 + co.xmax * co.xmax) * ({xi} / co.xmax + {xi} * {xi}) "
+            f"ELSE co.my END)")
+
+
+ORACLES["quadratic_trend"] = _fits(BARS_LONG, "bars_long") + f"""
+SELECT symbol, date, CAST(xi AS BIGINT) AS day_index, {R('y')} AS close,
+       {R('linear_fit')} AS linear_fit, {R('poly_fit')} AS poly_fit FROM fit"""
+
+ORACLES["bagged_tree_trend"] = _fits(BARS_DAILY, "bars_daily") + f"""
+SELECT symbol, date, {R('y')} AS close, {R('rf_fit')} AS rf_fit FROM fit"""
+
+ORACLES["bagged_tree_trend_long"] = _fits(BARS_LONG, "bars_long") + f"""
+SELECT symbol, date, {R('y')} AS close, {R('rf_fit')} AS rf_fit FROM fit"""
+
+
+def _r2(mse: str) -> str:
+    return f"CASE WHEN n < 2 THEN NULL WHEN flat THEN 1.0 ELSE 1 - {mse} / vy END"
+
+
+ORACLES["model_metrics"] = _fits(BARS_DAILY, "bars_daily") + f""",
+m AS (SELECT symbol, any_value(n) AS n, any_value(vy) AS vy, any_value(flat) AS flat,
+             avg(power(y - linear_fit, 2)) AS linear_mse, avg(power(y - poly_fit, 2)) AS poly_mse,
+             avg(power(y - rf_fit, 2)) AS rf_mse FROM fit GROUP BY symbol)
+SELECT symbol, {R('linear_mse')} AS linear_mse, {R('poly_mse')} AS poly_mse,
+       {R('rf_mse')} AS rf_mse, {R(_r2('linear_mse'))} AS linear_r2,
+       {R(_r2('poly_mse'))} AS poly_r2, {R(_r2('rf_mse'))} AS rf_r2 FROM m"""
+
+
+def _forecast(bars_cte: str, src: str) -> str:
+    return f"""WITH {bars_cte},
+x AS (SELECT symbol, date, close AS y,
+             CAST(date - min(date) OVER (PARTITION BY symbol) AS DOUBLE) AS xi,
+             max(date) OVER (PARTITION BY symbol) AS last_date FROM {src}),
+s1 AS (SELECT symbol, count(*) AS n, avg(xi) AS mx, avg(y) AS my, count(DISTINCT xi) AS nx,
+              max(xi) AS xmax, any_value(last_date) AS last_date FROM x GROUP BY symbol),
+s2 AS (SELECT symbol, avg(power(xi - mx, 2)) AS m2, avg(power(xi - mx, 3)) AS m3,
+              avg(power(xi - mx, 4)) AS m4, avg((xi - mx) * (y - my)) AS c1,
+              avg(power(xi - mx, 2) * (y - my)) AS c2
+       FROM x JOIN s1 USING (symbol) GROUP BY symbol),
+co AS (SELECT *, CASE WHEN m2 > 0 THEN c1 / m2 ELSE 0 END AS lb,
+              m2 * (m4 - m2 * m2) - m3 * m3 AS det FROM s1 JOIN s2 USING (symbol)),
+rk AS (SELECT x.symbol, x.y, co.n,
+              row_number() OVER (PARTITION BY x.symbol ORDER BY x.xi DESC) AS k
+       FROM x JOIN co USING (symbol)),
+rf AS (SELECT symbol, sum(y * (power((n - k + 1.0) / n, n) - power((n - k + 0.0) / n, n))) AS rf_future
+       FROM rk GROUP BY symbol),
+hz AS (SELECT co.*, rf.rf_future, h, co.xmax + h AS hx,
+              CAST(co.last_date + CAST(h AS INTEGER) AS DATE) AS date
+       FROM co JOIN rf USING (symbol), range(1, 31) t(h)),
+fc AS (SELECT symbol, 'linear' AS model, date, hx, my + lb * (hx - mx) AS prediction FROM hz
+       UNION ALL
+       SELECT symbol, 'polynomial', date, hx, {_poly_at('hx').replace('co.', '')} FROM hz
+       UNION ALL
+       SELECT symbol, 'random_forest', date, hx, rf_future FROM hz)"""
+
+
+ORACLES["forecasts"] = _forecast(BARS_DAILY, "bars_daily") + f"""
+SELECT symbol, model, date, CAST(hx AS BIGINT) AS day_index, {R('prediction')} AS prediction FROM fc"""
+
+ORACLES["forecasts_long"] = _forecast(BARS_LONG, "bars_long") + f"""
+SELECT symbol, model, date, CAST(hx AS BIGINT) AS day_index, {R('prediction')} AS prediction FROM fc"""
+
+ORACLES["forecast_horizon"] = _forecast(BARS_DAILY, "bars_daily") + """
+SELECT symbol, CAST(h AS INTEGER) AS h, date, CAST(hx AS BIGINT) AS day_index FROM hz"""
+
+ORACLES["prediction_series"] = _forecast(BARS_DAILY, "bars_daily") + f"""
+SELECT symbol, 'history' AS series, date, {R('close')} AS price FROM bars_daily
+UNION ALL
+SELECT symbol, model, date, {R('prediction')} FROM fc"""
+
+_IND = f"""WITH {BARS_DAILY},
+ind AS (SELECT symbol, date, lag(close) OVER w AS prev_close,
+               CASE WHEN count(close) OVER w3 = 3 THEN avg(close) OVER w3 END AS moving_average,
+               (close / nullif(lag(close) OVER w, 0) - 1) * 100 AS daily_change,
+               CASE WHEN count(close) OVER w3 = 3 THEN stddev_samp(close) OVER w3 END AS volatility
+        FROM bars_daily
+        WINDOW w AS (PARTITION BY symbol ORDER BY date),
+               w3 AS (PARTITION BY symbol ORDER BY date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))"""
+
+ORACLES["moving_average"] = _IND + f"\nSELECT symbol, date, {R('moving_average')} AS moving_average FROM ind"
+ORACLES["daily_change"] = _IND + (f"\nSELECT symbol, date, {R('prev_close')} AS prev_close, "
+                                  f"{R('daily_change')} AS daily_change FROM ind")
+ORACLES["volatility"] = _IND + f"\nSELECT symbol, date, {R('volatility')} AS volatility FROM ind"
+
+ORACLES["day_index"] = f"""WITH {BARS_DAILY}
+SELECT symbol, date, CAST(date - min(date) OVER (PARTITION BY symbol) AS BIGINT) AS day_index
+FROM bars_daily"""
+
+ORACLES["symbols_sorted"] = f"""WITH {BARS_DAILY}
+SELECT DISTINCT symbol FROM bars_daily WHERE symbol IS NOT NULL ORDER BY symbol"""
+
+ORACLES["symbols_first_n"] = f"""WITH {BARS_DAILY}
+SELECT DISTINCT symbol FROM bars_daily WHERE symbol IS NOT NULL ORDER BY symbol LIMIT 100"""
+
+ORACLES["symbols_page"] = f"""WITH {BARS_LONG}
+SELECT symbol, (SELECT count(DISTINCT symbol) FROM bars_long) AS total_count,
+       20 AS page_offset, 100 AS page_limit
+FROM (SELECT DISTINCT symbol FROM bars_long WHERE symbol IS NOT NULL ORDER BY symbol
+      LIMIT 100 OFFSET 20)"""
+
+ORACLES["symbol_search"] = f"""WITH {BARS_DAILY}
+SELECT DISTINCT symbol FROM bars_daily WHERE lower(symbol) LIKE '%' || lower(trim(' u1 ')) || '%'"""
+
+ORACLES["coverage"] = f"""WITH {BARS_MINUTE}
+SELECT symbol, count(*) AS count, count(DISTINCT ts) AS unique_times,
+       count(DISTINCT CAST(ts AS DATE)) AS unique_dates, min(ts) AS earliest, max(ts) AS latest,
+       {R("date_diff('microsecond', min(ts), max(ts)) / 3600000000.0")} AS time_range_hours
+FROM bars_minute GROUP BY symbol"""
+
+ORACLES["bars_for_symbol"] = f"""WITH {BARS_DAILY}
+SELECT symbol, date, {R('open')} AS open, {R('high')} AS high, {R('low')} AS low,
+       {R('close')} AS close, {R('volume')} AS volume
+FROM bars_daily WHERE symbol = 'U7'"""
+
+_KEEP_LAST = f"""WITH {ARRIVALS},
+kept AS (SELECT * FROM arrivals
+         QUALIFY row_number() OVER (PARTITION BY symbol, date ORDER BY seq DESC) = 1)"""
+_ARR_COLS = (f"symbol, date, seq, {R('open')} AS open, {R('high')} AS high, {R('low')} AS low, "
+             f"{R('close')} AS close, {R('volume')} AS volume")
+
+ORACLES["dedup_keep_last"] = _KEEP_LAST + f"\nSELECT {_ARR_COLS} FROM kept"
+ORACLES["retain_last_n"] = _KEEP_LAST + f"""
+SELECT {_ARR_COLS} FROM kept
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY seq DESC) <= 5000"""
+ORACLES["retain_last_n_cap10"] = _KEEP_LAST + f"""
+SELECT {_ARR_COLS} FROM kept
+QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY seq DESC) <= 10"""
+
+ORACLES["trading_day"] = f"""WITH {TICKS}
+SELECT symbol, seq, ts, {trading_day_sql('ts')} AS trading_day FROM ticks"""
+
+ORACLES["trailing_month"] = f"""WITH {BARS_LONG}
+SELECT symbol, date, {R('open')} AS open, {R('high')} AS high, {R('low')} AS low,
+       {R('close')} AS close, {R('volume')} AS volume
+FROM bars_long
+QUALIFY date > max(date) OVER (PARTITION BY symbol) - INTERVAL 1 MONTH"""
+
+_ASOF = f"(SELECT {trading_day_sql('max(ts)')} FROM bars_minute)"
+_MIN_COLS = (f"symbol, ts, {R('open')} AS open, {R('high')} AS high, {R('low')} AS low, "
+             f"{R('close')} AS close, {R('volume')} AS volume")
+
+ORACLES["session_bars"] = f"""WITH {BARS_MINUTE}
+SELECT {_MIN_COLS} FROM bars_minute WHERE CAST(ts AS DATE) = {_ASOF}"""
+
+_VIEW = f"""WITH {BARS_MINUTE},
+flag AS (SELECT *, CAST(ts AS DATE) = {_ASOF} AS in_s,
+                max(CASE WHEN CAST(ts AS DATE) = {_ASOF} THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY symbol) AS has_s
+         FROM bars_minute),
+view AS (SELECT symbol, ts, open, high, low, close, volume,
+                row_number() OVER (PARTITION BY symbol ORDER BY ts) - 1 AS pos, true AS in_session
+         FROM flag WHERE has_s = 1 AND in_s
+         UNION ALL
+         SELECT * FROM (SELECT symbol, ts, open, high, low, close, volume,
+                row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) - 1 AS pos,
+                false AS in_session
+                FROM flag WHERE has_s = 0) WHERE pos < 100)"""
+
+ORACLES["session_or_recent"] = _VIEW + f"""
+SELECT {_MIN_COLS}, pos, in_session FROM view"""
+
+ORACLES["candles"] = _VIEW + f"""
+SELECT symbol,
+       list(strftime(ts, '%Y-%m-%d %H:%M:%S') ORDER BY pos) AS x,
+       list_transform(list(open ORDER BY pos), lambda v: {R('v')}) AS open,
+       list_transform(list(high ORDER BY pos), lambda v: {R('v')}) AS high,
+       list_transform(list(low ORDER BY pos), lambda v: {R('v')}) AS low,
+       list_transform(list(close ORDER BY pos), lambda v: {R('v')}) AS close,
+       list_transform(list(volume ORDER BY pos), lambda v: {R('v')}) AS volume,
+       'candlestick' AS type, symbol AS name
+FROM view GROUP BY symbol"""
+
+ORACLES["quote_board"] = f"""WITH {BARS_MINUTE},
+r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS rn FROM bars_minute),
+q AS (SELECT a.symbol, a.ts AS as_of, a.close AS price, coalesce(b.close, a.close) AS prev_close,
+             a.open, a.low AS day_low, a.high AS day_high, a.volume
+      FROM r a LEFT JOIN r b ON a.symbol = b.symbol AND b.rn = 2 WHERE a.rn = 1)
+SELECT symbol, as_of, {R('price')} AS price, {R('prev_close')} AS prev_close,
+       {R('price - prev_close')} AS change,
+       {R('(price / nullif(prev_close, 0) - 1) * 100')} AS change_pct,
+       {R('open')} AS open, {R('day_low')} AS day_low, {R('day_high')} AS day_high,
+       {R('volume')} AS volume, price - prev_close >= 0 AS is_up
+FROM q"""

@@ -14,9 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barlake.operators import models
+from barlake.functions.expressions import trading_day
+from barlake.operators import catalog, dedup, intraday, models
+from barlake.operators.indicators import rolling_indicators, with_day_index
 from barlake.plans import datasets
 from barlake.sources import fixtures as fx
+from barlake.sources import readers as sources
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -35,25 +38,34 @@ def compare_round(c: Column) -> Column:
 
     Two engines summing in different orders agree to ~1e-15 relative, so a
     fixed 6-decimal rounding of values like a 4e8 MSE would compare noise.
-    Powers of ten are applied with exact positive exponents only, so both
-    engines compute identical doubles.
+    The rounding boundary is shifted by a tiny fixed offset (far above float
+    noise, far below the rounding step) so exact rational results such as
+    60.8121875 never sit on a tie.  Powers of ten use exact positive
+    exponents only, so both engines compute identical doubles.
     """
     a = F.abs(c)
     k = F.lit(8) - F.floor(F.log10(a))
-    up = F.round(c * F.pow(F.lit(10.0), k), 0) / F.pow(F.lit(10.0), k)
-    down = F.round(c / F.pow(F.lit(10.0), -k), 0) * F.pow(F.lit(10.0), -k)
+    up = F.round(c * F.pow(F.lit(10.0), k) + F.lit(TIE_SHIFT_SCALED), 0) / F.pow(F.lit(10.0), k)
+    down = F.round(c / F.pow(F.lit(10.0), -k) + F.lit(TIE_SHIFT_SCALED), 0) * F.pow(F.lit(10.0), -k)
     return (F.when(c.isNull() | F.isnan(c) | (a == float("inf")), c)
-            .when(a < 1000, F.round(c, 6))
+            .when(a < 1000, F.round(c + F.lit(TIE_SHIFT), 6))
             .when(k >= 0, up)
             .otherwise(down))
 
 
+# Fixed values of the comparison rounding (must equal oracles.R).
+TIE_SHIFT = 1.234567e-10
+TIE_SHIFT_SCALED = 1.234567e-4
+
+
 def finalize(df: DataFrame) -> DataFrame:
-    """Round every DOUBLE column (comparison contract with the oracle)."""
+    """Round every DOUBLE column and array (comparison contract with the oracle)."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             cols.append(compare_round(F.col(f.name)).alias(f.name))
+        elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.DoubleType):
+            cols.append(F.transform(F.col(f.name), compare_round).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -90,3 +102,196 @@ def q_linear_trend(spark, sf_dir):
     """M1: per-symbol slope, intercept, MSE and R^2."""
     return models.linear_fit(fx.bars_daily(spark, sf_dir)).select(
         "symbol", "n", "anchor", "slope", "intercept", "mse", "r2")
+
+
+@register("quadratic_trend")
+def q_quadratic_trend(spark, sf_dir):
+    """M2: in-sample quadratic fit of every bar (long history, x up to ~2,500)."""
+    bars = fx.bars_long(spark, sf_dir)
+    return models.in_sample(bars, models.fit_coefficients(bars)).select(
+        "symbol", "date", F.col("day_index").cast("long").alias("day_index"),
+        F.col("y").alias("close"), "linear_fit", "poly_fit")
+
+
+@register("bagged_tree_trend")
+def q_bagged_tree_trend(spark, sf_dir):
+    """M3: expected bagged-tree fitted value of every bar."""
+    bars = fx.bars_daily(spark, sf_dir)
+    return models.in_sample(bars, models.fit_coefficients(bars)).select(
+        "symbol", "date", F.col("y").alias("close"), "rf_fit")
+
+
+@register("bagged_tree_trend_long")
+def q_bagged_tree_trend_long(spark, sf_dir):
+    """M3 on multi-year series: the +-50 row window crosses year blocks."""
+    bars = fx.bars_long(spark, sf_dir)
+    return models.in_sample(bars, models.fit_coefficients(bars)).select(
+        "symbol", "date", F.col("y").alias("close"), "rf_fit")
+
+
+@register("forecast_horizon")
+def q_forecast_horizon(spark, sf_dir):
+    """M4: the 30 calendar days after each symbol's last bar."""
+    hz = models.forecast_horizon(models.fit_coefficients(fx.bars_daily(spark, sf_dir)))
+    return hz.select("symbol", "h", "date", F.col("day_index").cast("long").alias("day_index"))
+
+
+@register("forecasts")
+def q_forecasts(spark, sf_dir):
+    """M5: 30-day forecasts of all three models for every symbol."""
+    return models.forecasts(fx.bars_daily(spark, sf_dir)).withColumn(
+        "day_index", F.col("day_index").cast("long"))
+
+
+@register("forecasts_long")
+def q_forecasts_long(spark, sf_dir):
+    """M5 on the long history (20,000 symbols at sf0.1)."""
+    return models.forecasts(fx.bars_long(spark, sf_dir)).withColumn(
+        "day_index", F.col("day_index").cast("long"))
+
+
+@register("model_metrics")
+def q_model_metrics(spark, sf_dir):
+    """MSE and R^2 of the three models per symbol."""
+    return models.model_metrics(fx.bars_daily(spark, sf_dir))
+
+
+@register("prediction_series")
+def q_prediction_series(spark, sf_dir):
+    """History closes plus the three forecast lines."""
+    return datasets.prediction_series(fx.bars_daily(spark, sf_dir))
+
+
+# --- indicators --------------------------------------------------------------
+def _indicators(spark, sf_dir):
+    return rolling_indicators(fx.bars_daily(spark, sf_dir).select("symbol", "date", "close"))
+
+
+@register("moving_average")
+def q_moving_average(spark, sf_dir):
+    """3-bar moving average of close."""
+    return _indicators(spark, sf_dir).select("symbol", "date", "moving_average")
+
+
+@register("daily_change")
+def q_daily_change(spark, sf_dir):
+    """Percent change of close against the previous bar."""
+    return _indicators(spark, sf_dir).select("symbol", "date", "prev_close", "daily_change")
+
+
+@register("volatility")
+def q_volatility(spark, sf_dir):
+    """3-bar sample standard deviation of close."""
+    return _indicators(spark, sf_dir).select("symbol", "date", "volatility")
+
+
+@register("day_index")
+def q_day_index(spark, sf_dir):
+    """A3: whole days since each symbol's first bar."""
+    return with_day_index(fx.bars_daily(spark, sf_dir).select("symbol", "date")).withColumn(
+        "day_index", F.col("day_index").cast("long"))
+
+
+# --- catalog -----------------------------------------------------------------
+@register("symbols_sorted")
+def q_symbols_sorted(spark, sf_dir):
+    """Distinct symbols in order."""
+    return catalog.symbols_sorted(fx.bars_daily(spark, sf_dir))
+
+
+@register("symbols_first_n")
+def q_symbols_first_n(spark, sf_dir):
+    """U4: first page of 100 symbols."""
+    return catalog.symbols_first_n(fx.bars_daily(spark, sf_dir), 100)
+
+
+@register("symbols_page")
+def q_symbols_page(spark, sf_dir):
+    """U5 + U6: page (offset 20, limit 100) of the long-history catalog with its size."""
+    return catalog.symbols_page(fx.bars_long(spark, sf_dir), offset=20, limit=100)
+
+
+@register("symbol_search")
+def q_symbol_search(spark, sf_dir):
+    """case-insensitive substring search (query ' u1 ')."""
+    return catalog.symbol_search(fx.bars_daily(spark, sf_dir), " u1 ")
+
+
+@register("coverage")
+def q_coverage(spark, sf_dir):
+    """A1 + A2: per-symbol coverage of the one-minute bars."""
+    return catalog.coverage(fx.bars_minute(spark, sf_dir), ts="ts")
+
+
+@register("bars_for_symbol")
+def q_bars_for_symbol(spark, sf_dir):
+    """all bars of one symbol; the equality reaches the Parquet scan."""
+    return sources.bars_for_symbol(fx.bars_daily(spark, sf_dir), "U7")
+
+
+# --- dedup / retention -------------------------------------------------------
+@register("dedup_keep_last")
+def q_dedup_keep_last(spark, sf_dir):
+    """Last arrival per (symbol, date) wins."""
+    return dedup.keep_last(fx.arrivals(spark, sf_dir), ["symbol", "date"], "seq")
+
+
+@register("retain_last_n")
+def q_retain_last_n(spark, sf_dir):
+    """U7 + U8 with the live cap of 5,000 bars per symbol."""
+    return dedup.live_state(fx.arrivals(spark, sf_dir))
+
+
+@register("retain_last_n_cap10")
+def q_retain_last_n_cap10(spark, sf_dir):
+    """U7 + U8 with a cap of 10 so eviction by arrival order is exercised."""
+    return dedup.live_state(fx.arrivals(spark, sf_dir), cap=10)
+
+
+# --- intraday ----------------------------------------------------------------
+@register("trading_day")
+def q_trading_day(spark, sf_dir):
+    """trading day of every tick."""
+    t = fx.ticks(spark, sf_dir)
+    return t.select("symbol", "seq", "ts", trading_day(F.col("ts")).alias("trading_day"))
+
+
+@register("trailing_month")
+def q_trailing_month(spark, sf_dir):
+    """the last month of each symbol's long daily history."""
+    return intraday.trailing_period(fx.bars_long(spark, sf_dir), "date", months=1)
+
+
+@register("session_bars")
+def q_session_bars(spark, sf_dir):
+    """one-minute bars of the trading day of the latest bar."""
+    bars = fx.bars_minute(spark, sf_dir)
+    return intraday.session_bars(bars, intraday.as_of_latest(bars))
+
+
+@register("session_or_recent")
+def q_session_or_recent(spark, sf_dir):
+    """Session bars, or the latest 100 bars for symbols without any."""
+    bars = fx.bars_minute(spark, sf_dir)
+    return intraday.session_or_recent(bars, intraday.as_of_latest(bars))
+
+
+@register("candles")
+def q_candles(spark, sf_dir):
+    """Columnar candle trace per symbol over the live view."""
+    bars = fx.bars_minute(spark, sf_dir)
+    return intraday.candles(intraday.session_or_recent(bars, intraday.as_of_latest(bars)))
+
+
+@register("quote_board")
+def q_quote_board(spark, sf_dir):
+    """Latest quote per symbol from the one-minute bars."""
+    return intraday.quote_board(fx.bars_minute(spark, sf_dir)).drop(
+        "price_text", "change_text", "range_text", "volume_text")
+
+
+@register("quote_text")
+def q_quote_text(spark, sf_dir):
+    """Display strings of the quote (checked by row count only)."""
+    return intraday.quote_board(fx.bars_minute(spark, sf_dir)).select(
+        "symbol", "price_text", "change_text", "range_text", "volume_text")

@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from barlake.functions.expressions import trunc_minute_ntz
+
 FAULT_MODULUS = 50
 FAULT_NOT_JSON, FAULT_NO_OPEN, FAULT_NO_SYMBOL, FAULT_TEXT_VOLUME, FAULT_NAN_CLOSE, \
     FAULT_NO_DATE, FAULT_BAD_DATE = range(7)
@@ -59,7 +61,7 @@ def bars_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bars_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-minute bars from ``events`` with the bar time in ``ts``."""
     ev = table(spark, sf_dir, "events").select(
-        _user_symbol().alias("symbol"), F.date_trunc("minute", "ts").alias("bar_ts"),
+        _user_symbol().alias("symbol"), trunc_minute_ntz("ts").alias("bar_ts"),
         "ts", "event_id", F.col("value").alias("price"), F.lit(1).alias("vol"))
     return (_first_last_bar(ev, ["symbol", "bar_ts"], F.struct("ts", "event_id"))
             .withColumnRenamed("bar_ts", "ts"))
