@@ -331,3 +331,91 @@ SELECT symbol, as_of, {R('price')} AS price, {R('prev_close')} AS prev_close,
        {R('open')} AS open, {R('day_low')} AS day_low, {R('day_high')} AS day_high,
        {R('volume')} AS volume, price - prev_close >= 0 AS is_up
 FROM q"""
+
+# Fault codes by seq % 50 (see sources.fixtures): 0 not JSON, 1 Open missing,
+# 2 Symbol missing, 3 Volume as text, 4 Close NaN, 5 Date missing, 6 bad Date.
+_ENV = f"""WITH {TICKS},
+env AS (SELECT *, seq % 50 AS f FROM ticks),
+parsed AS (
+  SELECT seq, symbol AS symbol_key, ts AS msg_ts, f, f <> 0 AS is_json,
+         CASE WHEN f IN (0, 2) THEN NULL ELSE symbol END AS Symbol,
+         CASE WHEN f IN (0, 5) THEN NULL WHEN f = 6 THEN 'not-a-date'
+              ELSE strftime(ts, '%Y-%m-%d %H:%M:%S') END AS Date,
+         CASE WHEN f IN (0, 1) THEN NULL ELSE price END AS Open,
+         CASE WHEN f = 0 THEN NULL ELSE price END AS High,
+         CASE WHEN f = 0 THEN NULL ELSE price END AS Low,
+         CASE WHEN f = 0 THEN NULL WHEN f = 4 THEN CAST('NaN' AS DOUBLE) ELSE price END AS Close,
+         CASE WHEN f IN (0, 3) THEN NULL ELSE size END AS Volume
+  FROM env)"""
+
+ORACLES["envelope_decode"] = _ENV + f"""
+SELECT symbol_key, seq, is_json, Symbol, Date, {R('Open')} AS Open, {R('High')} AS High,
+       {R('Low')} AS Low, {R('Close')} AS Close, {R('Volume')} AS Volume FROM parsed"""
+
+_BAR_OUT = (f"{R('Open')} AS open, {R('High')} AS high, {R('Low')} AS low, "
+            f"{R('Close')} AS close, {R('Volume')} AS volume")
+
+ORACLES["valid_bars"] = _ENV + f"""
+SELECT Symbol AS symbol, date_trunc('second', msg_ts) AS ts, seq, {_BAR_OUT}
+FROM parsed WHERE f >= 7"""
+
+ORACLES["rejects"] = _ENV + """
+SELECT seq, symbol_key,
+       CASE f WHEN 0 THEN 'not_json' WHEN 1 THEN 'missing_open' WHEN 2 THEN 'missing_symbol'
+              WHEN 3 THEN 'missing_volume' WHEN 4 THEN 'nan_close' WHEN 5 THEN 'missing_date'
+              WHEN 6 THEN 'bad_date' END AS reason
+FROM parsed WHERE f < 7"""
+
+ORACLES["event_time_default"] = _ENV + f"""
+SELECT Symbol AS symbol,
+       CASE WHEN f = 5 THEN msg_ts ELSE date_trunc('second', msg_ts) END AS ts, seq, {_BAR_OUT}
+FROM parsed WHERE f >= 7 OR f = 5"""
+
+ORACLES["intraday_zero_fill"] = _ENV + f"""
+SELECT Symbol AS symbol, seq, Date AS date_text,
+       {R("coalesce(CASE WHEN isnan(Open) THEN 0 ELSE Open END, 0)")} AS open,
+       {R("coalesce(CASE WHEN isnan(High) THEN 0 ELSE High END, 0)")} AS high,
+       {R("coalesce(CASE WHEN isnan(Low) THEN 0 ELSE Low END, 0)")} AS low,
+       {R("coalesce(CASE WHEN isnan(Close) THEN 0 ELSE Close END, 0)")} AS close,
+       {R("coalesce(CASE WHEN isnan(Volume) THEN 0 ELSE Volume END, 0)")} AS volume
+FROM parsed WHERE Symbol IS NOT NULL"""
+
+
+def _cnt(cond: str) -> str:
+    return f"count(*) FILTER (WHERE {cond})"
+
+
+ORACLES["ingest_metrics"] = _ENV + f"""
+SELECT count(*) AS messages, {_cnt('f >= 7')} AS valid, {_cnt('f < 7')} AS rejected,
+       {_cnt('f = 0')} AS not_json, {_cnt('f = 2')} AS missing_symbol,
+       {_cnt('f = 5')} AS missing_date, {_cnt('f = 6')} AS bad_date,
+       {_cnt('f = 1')} AS missing_open, {_cnt('false')} AS missing_high,
+       {_cnt('false')} AS missing_low, {_cnt('false')} AS missing_close,
+       {_cnt('f = 3')} AS missing_volume, {_cnt('false')} AS nan_open,
+       {_cnt('false')} AS nan_high, {_cnt('false')} AS nan_low, {_cnt('f = 4')} AS nan_close,
+       {_cnt('false')} AS nan_volume
+FROM parsed"""
+
+_DAILY_OUT = (f"symbol, date, {R('open')} AS open, {R('high')} AS high, {R('low')} AS low, "
+              f"{R('close')} AS close, {R('volume')} AS volume")
+
+ORACLES["envelope_encode"] = f"""WITH {BARS_MINUTE}
+SELECT symbol, ts, {R('open')} AS open, {R('high')} AS high, {R('low')} AS low,
+       {R('close')} AS close, {R('volume')} AS volume FROM bars_minute"""
+
+# CSV faults by (user id + day of month) % 50: 0 no symbol, 1 Open missing,
+# 2 Close text, 3 Volume missing -> all four dropped by the cleansing.
+ORACLES["scan_bars_csv"] = f"""WITH {BARS_DAILY}
+SELECT {_DAILY_OUT} FROM bars_daily
+WHERE (CAST(substr(symbol, 2) AS BIGINT) + day(date)) % 50 NOT IN (0, 1, 2, 3)"""
+
+ORACLES["csv_roundtrip"] = f"""WITH {BARS_DAILY}
+SELECT {_DAILY_OUT} FROM bars_daily"""
+
+ORACLES["union_symbol_files"] = ORACLES["scan_bars_csv"]
+
+ORACLES["symbol_universe"] = f"""WITH {BARS_DAILY}
+SELECT DISTINCT symbol FROM bars_daily WHERE day(date) % 5 = 0 OR day(date) % 7 <> 0"""
+
+ORACLES["screener_symbols"] = f"""WITH {BARS_DAILY}
+SELECT DISTINCT symbol FROM bars_daily"""

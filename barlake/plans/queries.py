@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake.functions.expressions import trading_day
-from barlake.operators import catalog, dedup, intraday, models
+from barlake.operators import catalog, cleanse, dedup, intraday, models
 from barlake.operators.indicators import rolling_indicators, with_day_index
 from barlake.plans import datasets
 from barlake.sources import fixtures as fx
+from barlake.session import scratch_path
 from barlake.sources import readers as sources
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -295,3 +296,102 @@ def q_quote_text(spark, sf_dir):
     """Display strings of the quote (checked by row count only)."""
     return intraday.quote_board(fx.bars_minute(spark, sf_dir)).select(
         "symbol", "price_text", "change_text", "range_text", "volume_text")
+
+
+# --- envelopes, cleansing, rejects --------------------------------------------
+@register("envelope_decode")
+def q_envelope_decode(spark, sf_dir):
+    """F1 + F2: every message decoded and parsed with the fixed schema."""
+    p = cleanse.parse_payload(cleanse.decode_envelope(fx.envelopes(spark, sf_dir)))
+    return p.drop("json_data", "msg_ts")
+
+
+@register("valid_bars")
+def q_valid_bars(spark, sf_dir):
+    """complete messages as typed bars (NULL and NaN fields rejected)."""
+    return cleanse.valid_bars(fx.envelopes(spark, sf_dir))
+
+
+@register("rejects")
+def q_rejects(spark, sf_dir):
+    """ST5: rejected messages with the first failed check."""
+    return cleanse.rejects(fx.envelopes(spark, sf_dir)).drop("json_data")
+
+
+@register("event_time_default")
+def q_event_time_default(spark, sf_dir):
+    """real-time path, a missing Date takes the message time."""
+    return cleanse.event_time_default(fx.envelopes(spark, sf_dir))
+
+
+@register("intraday_zero_fill")
+def q_intraday_zero_fill(spark, sf_dir):
+    """missing/NaN numerics of parsed messages become 0."""
+    p = cleanse.parse_payload(cleanse.decode_envelope(fx.envelopes(spark, sf_dir)))
+    return cleanse.zero_fill(p)
+
+
+@register("ingest_metrics")
+def q_ingest_metrics(spark, sf_dir):
+    """Message counters."""
+    return cleanse.ingest_metrics(fx.envelopes(spark, sf_dir))
+
+
+@register("envelope_encode")
+def q_envelope_encode(spark, sf_dir):
+    """One-minute bars encoded as keyed JSON messages, then decoded again."""
+    bars = fx.bars_minute(spark, sf_dir)
+    env = cleanse.encode_envelope(bars).select(
+        "key", "value", F.lit(0).alias("partition"), F.lit(0).cast("long").alias("offset"),
+        F.lit(None).cast("timestamp_ntz").alias("timestamp"))
+    return cleanse.valid_bars(env).drop("seq")
+
+
+# --- files ---------------------------------------------------------------------
+@register("scan_bars_csv")
+def q_scan_bars_csv(spark, sf_dir):
+    """S1 + F4: landed bar CSV with bad rows, cleansed."""
+    path = scratch_path(spark, "bar_csv")
+    sources.write_bar_csv(fx.bar_csv_rows(spark, sf_dir), path)
+    return cleanse.clean_csv_bars(sources.read_bar_csv(spark, path))
+
+
+@register("csv_roundtrip")
+def q_csv_roundtrip(spark, sf_dir):
+    """S9 then S1: bars written as CSV with header and read back."""
+    path = scratch_path(spark, "csv_roundtrip")
+    b = fx.bars_daily(spark, sf_dir)
+    rows = b.select(F.date_format("date", "yyyy-MM-dd").alias("Date"), F.col("symbol").alias("Symbol"),
+                    *[F.col(c).cast("string").alias(c.capitalize())
+                      for c in ("open", "high", "low", "close", "volume")])
+    sources.write_bar_csv(rows, path)
+    return cleanse.clean_csv_bars(sources.read_bar_csv(spark, path))
+
+
+@register("union_symbol_files")
+def q_union_symbol_files(spark, sf_dir):
+    """F8 + U1: one directory per symbol, read in one scan, symbol from the path."""
+    path = scratch_path(spark, "symbol_files")
+    sources.write_symbol_files(fx.bar_csv_rows(spark, sf_dir).where(F.col("Symbol").isNotNull()), path)
+    return cleanse.clean_csv_bars(sources.read_symbol_dirs(spark, path))
+
+
+@register("symbol_universe")
+def q_symbol_universe(spark, sf_dir):
+    """Symbol list CSV with padding, blanks and repeats; distinct clean symbols."""
+    path = scratch_path(spark, "symbol_list")
+    b = fx.bars_daily(spark, sf_dir)
+    day = F.dayofmonth("date")
+    listed = (F.when(day % 5 == 0, F.concat(F.lit("  "), F.col("symbol"), F.lit(" ")))
+              .when(day % 7 == 0, F.lit(" "))
+              .otherwise(F.col("symbol")))
+    sources.write_symbol_list(b.select(listed.alias("symbol")), path)
+    return sources.read_symbol_list(spark, path)
+
+
+@register("screener_symbols")
+def q_screener_symbols(spark, sf_dir):
+    """S3: symbols landed as screener pages of ~25 rows, extracted again."""
+    path = scratch_path(spark, "screener")
+    sources.write_screener_pages(catalog.distinct_symbols(fx.bars_daily(spark, sf_dir)), path)
+    return sources.read_screener(spark, path)

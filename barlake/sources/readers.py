@@ -76,6 +76,29 @@ def tag_symbol_from_path(df: DataFrame) -> DataFrame:
     return df.withColumn("symbol", F.coalesce(F.col("symbol"), name))
 
 
+def write_symbol_files(rows: DataFrame, path: str) -> None:
+    """Land bar CSV rows as one directory per symbol (``Symbol=<s>/part-*.csv``).
+
+    No shuffle on the symbol: every task writes the symbols it holds, so a
+    hot symbol is written by many tasks in parallel.
+    """
+    (rows.select(*CSV_COLUMNS).write.mode("overwrite")
+     .partitionBy("Symbol").option("header", True).csv(path))
+
+
+def read_symbol_dirs(spark: SparkSession, path: str) -> DataFrame:
+    """F8 + U1: every per-symbol directory in one scan; the symbol comes from the path.
+
+    Unreadable files are skipped (a failing symbol does not stop the rest).
+    """
+    data_cols = [c for c in CSV_COLUMNS if c != "Symbol"]
+    schema = BAR_CSV_SCHEMA.__class__([f for f in BAR_CSV_SCHEMA.fields if f.name in data_cols]
+                                     + [f for f in BAR_CSV_SCHEMA.fields if f.name == "Symbol"])
+    return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+            .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
+            .csv(path))
+
+
 def read_symbol_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Union of per-symbol bar files in one scan; unreadable files skipped."""
     return (spark.read.schema(BAR_CSV_SCHEMA)
