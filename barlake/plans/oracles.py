@@ -419,3 +419,21 @@ SELECT DISTINCT symbol FROM bars_daily WHERE day(date) % 5 = 0 OR day(date) % 7
 
 ORACLES["screener_symbols"] = f"""WITH {BARS_DAILY}
 SELECT DISTINCT symbol FROM bars_daily"""
+
+# Streams: the batch twin's SQL.
+ORACLES["stream_ingest"] = ORACLES["valid_bars"]
+ORACLES["stream_idempotent"] = ORACLES["valid_bars"]
+ORACLES["stream_resume"] = ORACLES["valid_bars"]
+ORACLES["stream_rejects"] = ORACLES["rejects"]
+ORACLES["stream_latest_state"] = ORACLES["retain_last_n_cap10"]
+
+ORACLES["snapshot_then_delta"] = _ENV + f""",
+valid AS (SELECT Symbol AS symbol,
+                 CASE WHEN f = 5 THEN msg_ts ELSE date_trunc('second', msg_ts) END AS ts,
+                 seq, Open, High, Low, Close, Volume, seq // 2000 AS chunk
+          FROM parsed WHERE f >= 7 OR f = 5),
+cyc AS (SELECT * FROM valid WHERE chunk = 0
+        UNION ALL
+        SELECT * FROM valid WHERE chunk > 0
+        QUALIFY row_number() OVER (PARTITION BY chunk, symbol ORDER BY ts DESC, seq DESC) = 1)
+SELECT symbol, ts, seq, {_BAR_OUT}, CAST(chunk AS INTEGER) AS cycle FROM cyc"""

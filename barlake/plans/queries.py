@@ -21,6 +21,7 @@ from barlake.plans import datasets
 from barlake.sources import fixtures as fx
 from barlake.session import scratch_path
 from barlake.sources import readers as sources
+from barlake.streaming import ingest, state
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -395,3 +396,75 @@ def q_screener_symbols(spark, sf_dir):
     path = scratch_path(spark, "screener")
     sources.write_screener_pages(catalog.distinct_symbols(fx.bars_daily(spark, sf_dir)), path)
     return sources.read_screener(spark, path)
+
+
+# --- streaming -----------------------------------------------------------------
+STREAM_ROWS_PER_FILE = 2000  # rows per landed stream file (one file per micro-batch when ordered)
+
+
+def _ingest_run(spark, sf_dir, files_per_trigger: int = 4):
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("stream_src", "stream_sink", "stream_ckpt"))
+    ingest.land_envelopes(fx.envelopes(spark, sf_dir), src, STREAM_ROWS_PER_FILE)
+    q = ingest.start_ingest(ingest.file_stream(spark, src, files_per_trigger), sink, ckpt)
+    ingest.run_to_end(q)
+    return src, sink
+
+
+@register("stream_ingest")
+def q_stream_ingest(spark, sf_dir):
+    """ST1: envelopes streamed through decode/parse/validate into the bar table."""
+    _, sink = _ingest_run(spark, sf_dir)
+    return ingest.read_sink(spark, sink, "bars").drop("batch_id")
+
+
+@register("stream_rejects")
+def q_stream_rejects(spark, sf_dir):
+    """ST5 on the stream: the reject table written next to the bars."""
+    _, sink = _ingest_run(spark, sf_dir)
+    return ingest.read_sink(spark, sink, "rejects").drop("batch_id", "json_data")
+
+
+@register("stream_idempotent")
+def q_stream_idempotent(spark, sf_dir):
+    """ST2: the whole stream replayed from scratch into the same sink -- no duplicates."""
+    src, sink = _ingest_run(spark, sf_dir)
+    replay = ingest.start_ingest(ingest.file_stream(spark, src, 4), sink,
+                                 scratch_path(spark, "stream_ckpt_replay"))
+    ingest.run_to_end(replay)
+    return ingest.read_sink(spark, sink, "bars").drop("batch_id")
+
+
+@register("stream_resume")
+def q_stream_resume(spark, sf_dir):
+    """Stop after half the input, land the rest, restart from the checkpoint."""
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("resume_src", "resume_sink", "resume_ckpt"))
+    env = fx.envelopes(spark, sf_dir)
+    hi = env.agg(F.max("offset")).first()[0]
+    last = int(hi) // STREAM_ROWS_PER_FILE
+    half = last // 2
+    ingest.land_ordered_chunks(env, src, STREAM_ROWS_PER_FILE, "offset", 0, half)
+    ingest.run_to_end(ingest.start_ingest(ingest.file_stream(spark, src, 1), sink, ckpt))
+    ingest.land_ordered_chunks(env, src, STREAM_ROWS_PER_FILE, "offset", half + 1, last)
+    ingest.run_to_end(ingest.start_ingest(ingest.file_stream(spark, src, 1), sink, ckpt))
+    return ingest.read_sink(spark, sink, "bars").drop("batch_id")
+
+
+@register("snapshot_then_delta")
+def q_snapshot_then_delta(spark, sf_dir):
+    """ST4: first cycle publishes every bar, later cycles each symbol's last bar."""
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("snap_src", "snap_sink", "snap_ckpt"))
+    ingest.land_ordered_chunks(fx.envelopes(spark, sf_dir), src, STREAM_ROWS_PER_FILE, "offset")
+    ingest.run_to_end(ingest.start_snapshot_delta(ingest.file_stream(spark, src, 1), sink, ckpt))
+    return ingest.read_sink(spark, sink, "cycles").drop("batch_id")
+
+
+@register("stream_latest_state")
+def q_stream_latest_state(spark, sf_dir):
+    """ST3: keyed live state (keep-last, cap 10 dates per symbol) vs. its batch twin."""
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("state_src", "state_sink", "state_ckpt"))
+    arr = fx.arrivals(spark, sf_dir)
+    ingest.land_ordered_chunks(arr, src, STREAM_ROWS_PER_FILE, "seq")
+    state.use_rocksdb(spark)
+    stream = (spark.readStream.schema(arr.schema).option("maxFilesPerTrigger", 1).parquet(src))
+    ingest.run_to_end(state.start_live_state(stream, sink, ckpt, cap=10))
+    return state.live_view(ingest.read_sink(spark, sink, "log"))
