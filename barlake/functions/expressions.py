@@ -97,12 +97,16 @@ def magnitude_text(v: str | Column) -> Column:
 
 
 def signed_change_text(change: str | Column, pct: str | Column) -> Column:
-    """``+d.dd (+d.dd%)`` with the plus sign for values >= 0."""
+    """``+d.dd (+d.dd%)`` with the plus sign for values >= 0.
+
+    An undefined percentage (previous close 0) shows as ``NaN`` like the
+    page does.
+    """
     c, p = col_(change), col_(pct)
     sign_c = F.when(c >= 0, F.lit("+")).otherwise(F.lit(""))
     sign_p = F.when(p >= 0, F.lit("+")).otherwise(F.lit(""))
-    return F.concat(sign_c, F.format_string("%.2f", c), F.lit(" ("),
-                    sign_p, F.format_string("%.2f", p), F.lit("%)"))
+    pct_txt = F.when(p.isNull(), F.lit("NaN")).otherwise(F.format_string("%.2f", p))
+    return F.concat(sign_c, F.format_string("%.2f", c), F.lit(" ("), sign_p, pct_txt, F.lit("%)"))
 
 
 def dollar_text(v: str | Column) -> Column:

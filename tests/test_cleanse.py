@@ -1,0 +1,42 @@
+"""Envelope decoding, reject reasons and CSV cleansing."""
+from pyspark.sql import functions as F
+
+from barlake.operators import cleanse
+
+
+def _env(spark, values):
+    rows = [(b"A", v.encode(), 0, i, None) for i, v in enumerate(values)]
+    return spark.createDataFrame(
+        rows, "key binary, value binary, partition int, offset long, timestamp timestamp_ntz")
+
+
+def test_reject_reasons(spark):
+    good = '{"Symbol":"A","Date":"2024-01-02 10:00:00","Open":1,"High":2,"Low":0.5,"Close":1.5,"Volume":10}'
+    values = [good, "nope", good.replace('"Open":1,', ""), good.replace('"Close":1.5', '"Close":"NaN"'),
+              good.replace('"Volume":10', '"Volume":"10"'), good.replace("2024-01-02 10:00:00", "x")]
+    got = {r.seq: r.reason for r in cleanse.rejects(_env(spark, values)).collect()}
+    assert got == {1: "not_json", 2: "missing_open", 3: "nan_close", 4: "missing_volume", 5: "bad_date"}
+    assert [r.seq for r in cleanse.valid_bars(_env(spark, values)).collect()] == [0]
+
+
+def test_csv_cleansing(spark):
+    raw = spark.createDataFrame(
+        [("2024-01-02", "A", "1", "2", "0.5", "1.5", "10"),
+         ("2024-01-03", None, "1", "2", "0.5", "1.5", "10"),
+         ("2024-01-04", " B ", "1", "2", "0.5", "n/a", "10"),
+         ("2025-03-10 00:00:00-04:00", "C", "1", "2", "0.5", "1.5", "10")],
+        "Date string, Symbol string, Open string, High string, Low string, Close string, Volume string")
+    got = {(r.symbol, str(r.date)) for r in cleanse.clean_csv_bars(raw).collect()}
+    assert got == {("A", "2024-01-02"), ("C", "2025-03-10")}
+
+
+def test_encode_decode_roundtrip(spark):
+    import datetime as dt
+    bars = spark.createDataFrame(
+        [("A", dt.datetime(2024, 1, 2, 10, 0), 1.1, 2.2, 0.3, 1.7, 12.0)],
+        "symbol string, ts timestamp_ntz, open double, high double, low double, close double, volume double")
+    env = cleanse.encode_envelope(bars).select("key", "value", F.lit(0).alias("partition"),
+                                                F.lit(7).cast("long").alias("offset"),
+                                                F.lit(None).cast("timestamp_ntz").alias("timestamp"))
+    r = cleanse.valid_bars(env).collect()[0]
+    assert (r.symbol, r.open, r.close, r.volume) == ("A", 1.1, 1.7, 12.0)
