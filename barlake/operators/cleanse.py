@@ -19,7 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barlake.schema import NUMERIC_FIELDS, PAYLOAD_SCHEMA
+from barlake.schema import (CORRUPT_COLUMN, NUMERIC_FIELDS, PAYLOAD_SCHEMA,
+                            PAYLOAD_SCHEMA_CHECKED)
 
 # Fixed reject reasons, checked in this order.
 REASONS = ["not_json", "missing_symbol", "missing_date", "bad_date",
@@ -39,14 +40,27 @@ def decode_envelope(env: DataFrame) -> DataFrame:
 def parse_payload(decoded: DataFrame) -> DataFrame:
     """parse the JSON payload with the fixed schema and flatten it.
 
-    Adds ``is_json`` (the value is a JSON object at all) and keeps the raw
-    text for the reject table; column pruning drops it where unused.
+    Adds ``is_json``: false when the text did not parse as a JSON object at
+    all (the parser flags it as corrupt and no field could be read).  Keeps
+    the raw text for the reject table; column pruning drops it where unused.
+
+    The parsed struct is emitted through ``inline(array(...))``: generator
+    output is never substituted into later predicates, so the validity
+    filter cannot be pushed below the parse and every message is parsed
+    exactly once (a plain projection would be inlined into each branch of
+    the reject-reason ``CASE``, parsing the text a dozen times).
     """
-    data = F.from_json("json_data", PAYLOAD_SCHEMA, {"mode": "PERMISSIVE"})
-    return decoded.select(
-        "symbol_key", "seq", "msg_ts", "json_data",
-        F.json_object_keys("json_data").isNotNull().alias("is_json"),
-        data.alias("d")).select("symbol_key", "seq", "msg_ts", "json_data", "is_json", "d.*")
+    data = F.from_json("json_data", PAYLOAD_SCHEMA_CHECKED,
+                       {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN})
+    fields = [f.name for f in PAYLOAD_SCHEMA.fields]
+    no_field = F.lit(True)
+    for f in fields:
+        no_field = no_field & F.col(f).isNull()
+    return (decoded.select("symbol_key", "seq", "msg_ts", "json_data",
+                           F.inline(F.array(F.struct(data.alias("d")))))
+            .select("symbol_key", "seq", "msg_ts", "json_data", "d.*")
+            .withColumn("is_json", ~(F.col(CORRUPT_COLUMN).isNotNull() & no_field))
+            .drop(CORRUPT_COLUMN))
 
 
 def parse_bar_time(text: str | Column) -> Column:

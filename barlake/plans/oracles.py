@@ -437,3 +437,30 @@ cyc AS (SELECT * FROM valid WHERE chunk = 0
         SELECT * FROM valid WHERE chunk > 0
         QUALIFY row_number() OVER (PARTITION BY chunk, symbol ORDER BY ts DESC, seq DESC) = 1)
 SELECT symbol, ts, seq, {_BAR_OUT}, CAST(chunk AS INTEGER) AS cycle FROM cyc"""
+
+ORACLES["symbol_count"] = f"""WITH {BARS_LONG}
+SELECT count(DISTINCT symbol) AS total_count FROM bars_long"""
+
+
+def _fmt2(x: str) -> str:
+    return f"printf('%.2f', {x})"
+
+
+ORACLES["quote_text"] = f"""WITH {BARS_MINUTE},
+r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS rn FROM bars_minute),
+q AS (SELECT a.symbol, a.close AS price, coalesce(b.close, a.close) AS prev_close,
+             a.low AS day_low, a.high AS day_high, a.volume
+      FROM r a LEFT JOIN r b ON a.symbol = b.symbol AND b.rn = 2 WHERE a.rn = 1),
+c AS (SELECT *, price - prev_close AS change,
+             (price / nullif(prev_close, 0) - 1) * 100 AS pct FROM q)
+SELECT symbol,
+       '$' || {_fmt2('price')} AS price_text,
+       CASE WHEN change >= 0 THEN '+' ELSE '' END || {_fmt2('change')} || ' ('
+         || CASE WHEN pct >= 0 THEN '+' ELSE '' END || coalesce({_fmt2('pct')}, 'NaN') || '%)'
+         AS change_text,
+       '$' || {_fmt2('day_low')} || ' - $' || {_fmt2('day_high')} AS range_text,
+       CASE WHEN volume >= 1e9 THEN {_fmt2('volume / 1e9')} || 'B'
+            WHEN volume >= 1e6 THEN {_fmt2('volume / 1e6')} || 'M'
+            WHEN volume >= 1e3 THEN {_fmt2('volume / 1e3')} || 'K'
+            ELSE {_fmt2('volume')} END AS volume_text
+FROM c"""

@@ -399,12 +399,14 @@ def q_screener_symbols(spark, sf_dir):
 
 
 # --- streaming -----------------------------------------------------------------
-STREAM_ROWS_PER_FILE = 2000  # rows per landed stream file (one file per micro-batch when ordered)
+STREAM_ROWS_PER_FILE = 2000  # ordered chunks: one file (and micro-batch) per chunk
+INGEST_ROWS_PER_FILE = 10000  # unordered ingest input files
+INGEST_FILES_PER_TRIGGER = 4
 
 
-def _ingest_run(spark, sf_dir, files_per_trigger: int = 4):
+def _ingest_run(spark, sf_dir, files_per_trigger: int = INGEST_FILES_PER_TRIGGER):
     src, sink, ckpt = (scratch_path(spark, n) for n in ("stream_src", "stream_sink", "stream_ckpt"))
-    ingest.land_envelopes(fx.envelopes(spark, sf_dir), src, STREAM_ROWS_PER_FILE)
+    ingest.land_envelopes(fx.envelopes(spark, sf_dir), src, INGEST_ROWS_PER_FILE)
     q = ingest.start_ingest(ingest.file_stream(spark, src, files_per_trigger), sink, ckpt)
     ingest.run_to_end(q)
     return src, sink
@@ -428,7 +430,7 @@ def q_stream_rejects(spark, sf_dir):
 def q_stream_idempotent(spark, sf_dir):
     """ST2: the whole stream replayed from scratch into the same sink -- no duplicates."""
     src, sink = _ingest_run(spark, sf_dir)
-    replay = ingest.start_ingest(ingest.file_stream(spark, src, 4), sink,
+    replay = ingest.start_ingest(ingest.file_stream(spark, src, INGEST_FILES_PER_TRIGGER), sink,
                                  scratch_path(spark, "stream_ckpt_replay"))
     ingest.run_to_end(replay)
     return ingest.read_sink(spark, sink, "bars").drop("batch_id")
@@ -468,3 +470,9 @@ def q_stream_latest_state(spark, sf_dir):
     stream = (spark.readStream.schema(arr.schema).option("maxFilesPerTrigger", 1).parquet(src))
     ingest.run_to_end(state.start_live_state(stream, sink, ckpt, cap=10))
     return state.live_view(ingest.read_sink(spark, sink, "log"))
+
+
+@register("symbol_count")
+def q_symbol_count(spark, sf_dir):
+    """Number of distinct symbols in the long-history catalog."""
+    return catalog.symbol_count(fx.bars_long(spark, sf_dir))

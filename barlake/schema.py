@@ -20,6 +20,12 @@ PAYLOAD_SCHEMA = T.StructType([
     T.StructField("Volume", T.DoubleType(), True),
 ])
 
+# The same with the parser's corrupt-record column (raw text of a message
+# that did not parse cleanly).
+CORRUPT_COLUMN = "_corrupt"
+PAYLOAD_SCHEMA_CHECKED = T.StructType(PAYLOAD_SCHEMA.fields + [
+    T.StructField(CORRUPT_COLUMN, T.StringType(), True)])
+
 # Bar CSV as landed: Date first, everything read as text and cast later.
 CSV_COLUMNS = ["Date", "Symbol", "Open", "High", "Low", "Close", "Volume"]
 BAR_CSV_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in CSV_COLUMNS])

@@ -60,16 +60,14 @@ def write_kafka(messages: DataFrame, servers: str, topic: str) -> None:
      .option("kafka.bootstrap.servers", servers).option("topic", topic).save())
 
 
-def land_envelopes(envelopes: DataFrame, path: str, rows_per_file: int) -> int:
-    """Write envelopes as stream input files, each a contiguous offset range.
+def land_envelopes(envelopes: DataFrame, path: str, rows_per_file: int) -> None:
+    """Write envelopes as stream input files of at most ``rows_per_file`` rows.
 
-    One parallel write; ``repartitionByRange`` keeps offsets contiguous per
-    file.  Returns the number of files requested.
+    One parallel pass (``maxRecordsPerFile`` splits each task's output); the
+    ingest pipeline does not depend on file order.
     """
-    n = envelopes.count()
-    files = max(1, -(-n // rows_per_file))
-    envelopes.repartitionByRange(files, "offset").write.mode("overwrite").parquet(path)
-    return files
+    (envelopes.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file)
+     .parquet(path))
 
 
 def land_ordered_chunks(df: DataFrame, path: str, rows_per_file: int, order: str = "offset",
@@ -89,28 +87,35 @@ def land_ordered_chunks(df: DataFrame, path: str, rows_per_file: int, order: str
     return last_chunk
 
 
-def idempotent_writer(sink: str, transform: Callable[[DataFrame, int], dict[str, DataFrame]]):
+def idempotent_writer(sink: str, prepare: Callable[[DataFrame, int], DataFrame],
+                      outputs: Callable[[DataFrame, int], dict[str, DataFrame]]):
     """foreachBatch function writing each output to ``sink/<name>/batch_id=N``.
 
-    With several outputs the micro-batch is persisted while they are
-    written, so the source is read once per batch.
+    ``prepare`` turns the raw micro-batch into the frame all outputs derive
+    from; with several outputs it is persisted while they are written, so
+    the batch is read and parsed once.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        outputs = transform(batch, batch_id)
-        if len(outputs) > 1:
-            batch.persist()
+        base = prepare(batch, batch_id)
+        outs = outputs(base, batch_id)
+        if len(outs) > 1:
+            base.persist()
         try:
-            for name, out in outputs.items():
+            for name, out in outs.items():
                 out.write.mode("overwrite").parquet(f"{sink}/{name}/batch_id={batch_id}")
         finally:
-            if len(outputs) > 1:
-                batch.unpersist()
+            if len(outs) > 1:
+                base.unpersist()
     return write
 
 
-def ingest_outputs(batch: DataFrame, batch_id: int) -> dict[str, DataFrame]:
+def classify_batch(batch: DataFrame, batch_id: int) -> DataFrame:
+    """Decode, parse and classify one micro-batch of envelopes."""
+    return cleanse.classify(cleanse.parse_payload(cleanse.decode_envelope(batch)))
+
+
+def ingest_outputs(classified: DataFrame, batch_id: int) -> dict[str, DataFrame]:
     """ST1 + ST5: valid bars and rejected messages of one micro-batch."""
-    classified = cleanse.classify(cleanse.parse_payload(cleanse.decode_envelope(batch)))
     return {"bars": cleanse.to_bars(classified),
             "rejects": classified.where(F.col("reason").isNotNull())
             .select("seq", "symbol_key", "reason", "json_data")}
@@ -119,7 +124,7 @@ def ingest_outputs(batch: DataFrame, batch_id: int) -> dict[str, DataFrame]:
 def start_ingest(source: DataFrame, sink: str, checkpoint: str,
                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """ST1: append pipeline source -> decode -> parse -> validate -> sink."""
-    w = (source.writeStream.foreachBatch(idempotent_writer(sink, ingest_outputs))
+    w = (source.writeStream.foreachBatch(idempotent_writer(sink, classify_batch, ingest_outputs))
          .option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)
@@ -143,11 +148,15 @@ def run_to_end(query: StreamingQuery, timeout_s: int = 600) -> None:
         raise RuntimeError(str(query.exception()))
 
 
-def snapshot_delta_outputs(batch: DataFrame, batch_id: int) -> dict[str, DataFrame]:
+def classify_realtime(batch: DataFrame, batch_id: int) -> DataFrame:
+    """Real-time path: a missing Date is allowed (it defaults to the message time)."""
+    return cleanse.classify(cleanse.parse_payload(cleanse.decode_envelope(batch)),
+                            date_required=False)
+
+
+def snapshot_delta_outputs(classified: DataFrame, batch_id: int) -> dict[str, DataFrame]:
     """ST4: the first micro-batch publishes every bar, later ones each symbol's last bar."""
-    bars = cleanse.to_bars(cleanse.classify(
-        cleanse.parse_payload(cleanse.decode_envelope(batch)), date_required=False),
-        default_time=True)
+    bars = cleanse.to_bars(classified, default_time=True)
     if batch_id == 0:
         out = bars
     else:
@@ -158,5 +167,6 @@ def snapshot_delta_outputs(batch: DataFrame, batch_id: int) -> dict[str, DataFra
 
 
 def start_snapshot_delta(source: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
-    return (source.writeStream.foreachBatch(idempotent_writer(sink, snapshot_delta_outputs))
+    writer = idempotent_writer(sink, classify_realtime, snapshot_delta_outputs)
+    return (source.writeStream.foreachBatch(writer)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
