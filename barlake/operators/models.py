@@ -172,7 +172,9 @@ def in_sample(bars: DataFrame, coefs: DataFrame, block: str = "year") -> DataFra
     positions; the window runs over (symbol, time block) with halo rows so a
     long or hot symbol is spread over many tasks.
     """
-    rows = _xy(bars).join(coefs, "symbol")
+    # Only n is needed inside the window; the wide coefficient row is joined
+    # after it, so the window shuffle carries four narrow columns.
+    rows = _xy(bars).join(coefs.select("symbol", "n"), "symbol")
     k = FOREST_NEIGHBOURS
 
     def compute(df: DataFrame, w: Window) -> DataFrame:
@@ -184,7 +186,8 @@ def in_sample(bars: DataFrame, coefs: DataFrame, block: str = "year") -> DataFra
         return df.withColumn("rf_fit", _forest_sum(ys, F.col("n")))
 
     fitted = blocked_window(rows, "symbol", "d", time_block("date", block),
-                            before=k, after=k, compute=compute)
+                            before=k, after=k, compute=compute).drop("n")
+    fitted = fitted.join(coefs, "symbol")
     return fitted.select(
         "symbol", "date", "y", "n", "var_y", "flat",
         (F.col("d") - F.col("d0")).alias("day_index"),

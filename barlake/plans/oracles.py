@@ -413,6 +413,7 @@ ORACLES["csv_roundtrip"] = f"""WITH {BARS_DAILY}
 SELECT {_DAILY_OUT} FROM bars_daily"""
 
 ORACLES["union_symbol_files"] = ORACLES["scan_bars_csv"]
+ORACLES["clean_csv_bars"] = ORACLES["scan_bars_csv"]
 
 ORACLES["symbol_universe"] = f"""WITH {BARS_DAILY}
 SELECT DISTINCT symbol FROM bars_daily WHERE day(date) % 5 = 0 OR day(date) % 7 <> 0"""
@@ -427,10 +428,12 @@ ORACLES["stream_resume"] = ORACLES["valid_bars"]
 ORACLES["stream_rejects"] = ORACLES["rejects"]
 ORACLES["stream_latest_state"] = ORACLES["retain_last_n_cap10"]
 
+# ST4: 5 producer cycles of equal offset ranges; cycle 0 publishes everything.
 ORACLES["snapshot_then_delta"] = _ENV + f""",
 valid AS (SELECT Symbol AS symbol,
                  CASE WHEN f = 5 THEN msg_ts ELSE date_trunc('second', msg_ts) END AS ts,
-                 seq, Open, High, Low, Close, Volume, seq // 2000 AS chunk
+                 seq, Open, High, Low, Close, Volume,
+                 seq // CAST(ceil((SELECT max(seq) + 1 FROM ticks) / 5.0) AS BIGINT) AS chunk
           FROM parsed WHERE f >= 7 OR f = 5),
 cyc AS (SELECT * FROM valid WHERE chunk = 0
         UNION ALL

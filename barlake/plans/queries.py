@@ -348,6 +348,12 @@ def q_envelope_encode(spark, sf_dir):
     return cleanse.valid_bars(env).drop("seq")
 
 
+@register("clean_csv_bars")
+def q_clean_csv_bars(spark, sf_dir):
+    """F4 + F3: text bar rows (bad symbol, text numbers, blanks) cleansed in place."""
+    return cleanse.clean_csv_bars(fx.bar_csv_rows(spark, sf_dir))
+
+
 # --- files ---------------------------------------------------------------------
 @register("scan_bars_csv")
 def q_scan_bars_csv(spark, sf_dir):
@@ -399,7 +405,7 @@ def q_screener_symbols(spark, sf_dir):
 
 
 # --- streaming -----------------------------------------------------------------
-STREAM_ROWS_PER_FILE = 2000  # ordered chunks: one file (and micro-batch) per chunk
+STREAM_CYCLES = 5  # producer cycles of the ordered replays (one micro-batch each)
 INGEST_ROWS_PER_FILE = 10000  # unordered ingest input files
 INGEST_FILES_PER_TRIGGER = 4
 
@@ -438,16 +444,16 @@ def q_stream_idempotent(spark, sf_dir):
 
 @register("stream_resume")
 def q_stream_resume(spark, sf_dir):
-    """Stop after half the input, land the rest, restart from the checkpoint."""
+    """Stop after half the cycles, then restart from the checkpoint for the rest."""
     src, sink, ckpt = (scratch_path(spark, n) for n in ("resume_src", "resume_sink", "resume_ckpt"))
     env = fx.envelopes(spark, sf_dir)
-    hi = env.agg(F.max("offset")).first()[0]
-    last = int(hi) // STREAM_ROWS_PER_FILE
-    half = last // 2
-    ingest.land_ordered_chunks(env, src, STREAM_ROWS_PER_FILE, "offset", 0, half)
-    ingest.run_to_end(ingest.start_ingest(ingest.file_stream(spark, src, 1), sink, ckpt))
-    ingest.land_ordered_chunks(env, src, STREAM_ROWS_PER_FILE, "offset", half + 1, last)
-    ingest.run_to_end(ingest.start_ingest(ingest.file_stream(spark, src, 1), sink, ckpt))
+
+    def start():
+        return ingest.start_ingest(ingest.file_stream(spark, src, 1000), sink, ckpt)
+
+    half = STREAM_CYCLES // 2
+    size = ingest.replay_in_cycles(env, src, "offset", STREAM_CYCLES, start, 0, half - 1)
+    ingest.replay_in_cycles(env, src, "offset", STREAM_CYCLES, start, half, None, size)
     return ingest.read_sink(spark, sink, "bars").drop("batch_id")
 
 
@@ -455,8 +461,9 @@ def q_stream_resume(spark, sf_dir):
 def q_snapshot_then_delta(spark, sf_dir):
     """ST4: first cycle publishes every bar, later cycles each symbol's last bar."""
     src, sink, ckpt = (scratch_path(spark, n) for n in ("snap_src", "snap_sink", "snap_ckpt"))
-    ingest.land_ordered_chunks(fx.envelopes(spark, sf_dir), src, STREAM_ROWS_PER_FILE, "offset")
-    ingest.run_to_end(ingest.start_snapshot_delta(ingest.file_stream(spark, src, 1), sink, ckpt))
+    ingest.replay_in_cycles(
+        fx.envelopes(spark, sf_dir), src, "offset", STREAM_CYCLES,
+        lambda: ingest.start_snapshot_delta(ingest.file_stream(spark, src, 1000), sink, ckpt))
     return ingest.read_sink(spark, sink, "cycles").drop("batch_id")
 
 
@@ -465,10 +472,13 @@ def q_stream_latest_state(spark, sf_dir):
     """ST3: keyed live state (keep-last, cap 10 dates per symbol) vs. its batch twin."""
     src, sink, ckpt = (scratch_path(spark, n) for n in ("state_src", "state_sink", "state_ckpt"))
     arr = fx.arrivals(spark, sf_dir)
-    ingest.land_ordered_chunks(arr, src, STREAM_ROWS_PER_FILE, "seq")
     state.use_rocksdb(spark)
-    stream = (spark.readStream.schema(arr.schema).option("maxFilesPerTrigger", 1).parquet(src))
-    ingest.run_to_end(state.start_live_state(stream, sink, ckpt, cap=10))
+
+    def start():
+        stream = spark.readStream.schema(arr.schema).parquet(src)
+        return state.start_live_state(stream, sink, ckpt, cap=10)
+
+    ingest.replay_in_cycles(arr, src, "seq", STREAM_CYCLES, start)
     return state.live_view(ingest.read_sink(spark, sink, "log"))
 
 

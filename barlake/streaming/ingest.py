@@ -70,21 +70,38 @@ def land_envelopes(envelopes: DataFrame, path: str, rows_per_file: int) -> None:
      .parquet(path))
 
 
-def land_ordered_chunks(df: DataFrame, path: str, rows_per_file: int, order: str = "offset",
-                        first_chunk: int = 0, last_chunk: int | None = None) -> int:
-    """Write ordered stream input: chunk ``c`` holds ``order`` values ``[c*R, (c+1)*R)``.
+def cycle_size(df: DataFrame, order: str, cycles: int) -> int:
+    """Rows of ``order`` range per cycle so ``cycles`` cycles cover the table."""
+    hi = df.agg(F.max(order)).first()[0]
+    return max(1, -(-(int(hi) + 1) // cycles)) if hi is not None else 1
 
-    Chunks are appended one after another so file modification times follow
-    arrival order, which ordered replay (keyed state, snapshot/delta) needs.
-    Each file holds at most ``rows_per_file`` rows.  Returns the last chunk.
+
+def land_cycle(df: DataFrame, path: str, order: str, size: int, cycle: int) -> None:
+    """Append the rows of one producer cycle (``order`` in ``[c*size, (c+1)*size)``).
+
+    One parallel write; the cycle may span any number of files.
     """
-    if last_chunk is None:
-        hi = df.agg(F.max(order)).first()[0]
-        last_chunk = int(hi) // rows_per_file if hi is not None else -1
-    for c in range(first_chunk, last_chunk + 1):
-        (df.where((F.col(order) >= c * rows_per_file) & (F.col(order) < (c + 1) * rows_per_file))
-         .coalesce(1).write.mode("append").parquet(path))
-    return last_chunk
+    (df.where((F.col(order) >= cycle * size) & (F.col(order) < (cycle + 1) * size))
+     .write.mode("append").parquet(path))
+
+
+def replay_in_cycles(df: DataFrame, path: str, order: str, cycles: int,
+                     start: Callable[[], StreamingQuery], first: int = 0,
+                     last: int | None = None, size: int | None = None) -> int:
+    """Ordered replay: land cycle c, let the stream consume it, then land c+1.
+
+    Each ``start()`` resumes the same checkpointed query with
+    ``availableNow``, so every cycle becomes exactly one micro-batch and
+    per-symbol arrival order is preserved across batches, whatever the file
+    modification times.  The number of cycles is fixed, not data-dependent.
+    Returns the cycle size.
+    """
+    size = size or cycle_size(df, order, cycles)
+    last = cycles - 1 if last is None else last
+    for c in range(first, last + 1):
+        land_cycle(df, path, order, size, c)
+        run_to_end(start())
+    return size
 
 
 def idempotent_writer(sink: str, prepare: Callable[[DataFrame, int], DataFrame],
@@ -121,10 +138,29 @@ def ingest_outputs(classified: DataFrame, batch_id: int) -> dict[str, DataFrame]
             .select("seq", "symbol_key", "reason", "json_data")}
 
 
+INGEST_COUNTERS = "ingest_counters"
+
+
+def observe_counters(classified: DataFrame) -> DataFrame:
+    """Per-batch message counters published in the query progress."""
+    return classified.observe(
+        INGEST_COUNTERS,
+        F.count(F.lit(1)).alias("messages"),
+        F.count_if(F.col("reason").isNull()).alias("valid"),
+        F.count_if(F.col("reason").isNotNull()).alias("rejected"))
+
+
 def start_ingest(source: DataFrame, sink: str, checkpoint: str,
                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
-    """ST1: append pipeline source -> decode -> parse -> validate -> sink."""
-    w = (source.writeStream.foreachBatch(idempotent_writer(sink, classify_batch, ingest_outputs))
+    """ST1: append pipeline source -> decode -> parse -> validate -> sink.
+
+    Classification runs on the streaming DataFrame (the same functions as
+    the batch tables) and its counters are observed per micro-batch.
+    """
+    classified = observe_counters(
+        cleanse.classify(cleanse.parse_payload(cleanse.decode_envelope(source))))
+    w = (classified.writeStream
+         .foreachBatch(idempotent_writer(sink, lambda b, _: b, ingest_outputs))
          .option("checkpointLocation", checkpoint))
     if available_now:
         w = w.trigger(availableNow=True)
@@ -133,6 +169,17 @@ def start_ingest(source: DataFrame, sink: str, checkpoint: str,
     return w.start()
 
 
+def ingest_counters(query: StreamingQuery) -> dict[str, int]:
+    """Counters summed over the query's retained progress reports."""
+    total = {"messages": 0, "valid": 0, "rejected": 0}
+    for p in query.recentProgress:
+        m = (p.get("observedMetrics") or {}).get(INGEST_COUNTERS)
+        if m:
+            for k in total:
+                total[k] += int(m[k])
+    return total
+
+
 def read_sink(spark: SparkSession, sink: str, name: str) -> DataFrame:
     """The exactly-once table written by :func:`idempotent_writer`."""
     return spark.read.parquet(f"{sink}/{name}")
