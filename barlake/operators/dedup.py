@@ -28,9 +28,25 @@ def keep_last(df: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
     return df.groupBy(*keys).agg(latest).select(*keys, "_last.*")
 
 
+GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def allow_group_limit(spark, k: int) -> None:
+    """Let Catalyst plan a partial ``WindowGroupLimit`` for ``row_number() <= k``.
+
+    Spark only infers the map-side top-k below this threshold (1000 by
+    default); without it a symbol's rows would all be shuffled and sorted
+    in one task.
+    """
+    current = int(spark.conf.get(GROUP_LIMIT_CONF, "1000"))
+    if current < k:
+        spark.conf.set(GROUP_LIMIT_CONF, str(k))
+
+
 def retain_last_n(df: DataFrame, key: str = "symbol", seq: str = "seq",
                   cap: int = LIVE_CAP) -> DataFrame:
     """U8: the ``cap`` most recent arrivals of each symbol."""
+    allow_group_limit(df.sparkSession, cap)
     w = Window.partitionBy(key).orderBy(F.col(seq).desc())
     return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn")
 

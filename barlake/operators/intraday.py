@@ -1,9 +1,9 @@
 """Intraday views: trailing slices, trading session, candles, quotes.
 
-(F10, F12, U10, A4, W4-W7.)  The clock is an explicit ``as_of`` timestamp
-column or literal instead of the machine's wall clock, so replays and
-tests agree; :func:`as_of_latest` derives it from the data as a scalar
-subquery (one global ``max``).
+(F10, F12, U10, A4, W4-W7.)  The clock is an explicit session day -- from an
+``as_of`` value via :func:`session_day` or from the data via
+:func:`latest_session_day` (one global ``max`` in a scalar subquery) --
+instead of the machine's wall clock, so replays and tests agree.
 """
 
 from __future__ import annotations
@@ -17,9 +17,18 @@ from barlake.functions.expressions import (dollar_text, magnitude_text, pct_chan
 RECENT_FALLBACK = 100  # fixed value: bars shown when the session day is empty
 
 
-def as_of_latest(bars: DataFrame, ts: str = "ts") -> Column:
-    """The latest bar time in the table as a scalar subquery column."""
-    return bars.agg(F.max(ts)).scalar()
+def latest_session_day(bars: DataFrame, ts: str = "ts") -> Column:
+    """Trading day of the latest bar time in the table, as one scalar subquery.
+
+    The clock expression is evaluated inside the subquery, so the plan
+    references (and runs) the subquery once.
+    """
+    return bars.agg(trading_day(F.max(ts))).scalar()
+
+
+def session_day(as_of: Column) -> Column:
+    """Trading day of an explicit clock value (a literal folds to a constant)."""
+    return trading_day(as_of)
 
 
 def trailing_period(bars: DataFrame, order: str = "date", months: int = 1,
@@ -30,12 +39,12 @@ def trailing_period(bars: DataFrame, order: str = "date", months: int = 1,
     return bars.join(last, key).where(F.to_date(F.col(order)) > cutoff).drop("_last")
 
 
-def session_bars(bars: DataFrame, as_of: Column, ts: str = "ts") -> DataFrame:
-    """bars whose calendar date is the trading day of ``as_of``."""
-    return bars.where(F.to_date(F.col(ts)) == trading_day(as_of)).orderBy("symbol", ts)
+def session_bars(bars: DataFrame, day: Column, ts: str = "ts") -> DataFrame:
+    """bars whose calendar date is the session ``day``, ascending."""
+    return bars.where(F.to_date(F.col(ts)) == day).orderBy("symbol", ts)
 
 
-def session_or_recent(bars: DataFrame, as_of: Column, ts: str = "ts",
+def session_or_recent(bars: DataFrame, day: Column, ts: str = "ts",
                       n: int = RECENT_FALLBACK, key: str = "symbol") -> DataFrame:
     """The session day's bars ascending, else the latest ``n`` bars descending.
 
@@ -43,7 +52,6 @@ def session_or_recent(bars: DataFrame, as_of: Column, ts: str = "ts",
     ``row_number`` filters over one window spec; the recent branch keeps at
     most ``n`` rows per symbol.  ``in_session`` tells which branch applied.
     """
-    day = trading_day(as_of)
     b = bars.withColumn("_in", F.to_date(F.col(ts)) == day)
     has_session = b.groupBy(key).agg(F.max(F.col("_in").cast("int")).alias("_has"))
     w_desc = Window.partitionBy(key).orderBy(F.col(ts).desc())

@@ -268,21 +268,21 @@ def q_trailing_month(spark, sf_dir):
 def q_session_bars(spark, sf_dir):
     """one-minute bars of the trading day of the latest bar."""
     bars = fx.bars_minute(spark, sf_dir)
-    return intraday.session_bars(bars, intraday.as_of_latest(bars))
+    return intraday.session_bars(bars, intraday.latest_session_day(bars))
 
 
 @register("session_or_recent")
 def q_session_or_recent(spark, sf_dir):
     """Session bars, or the latest 100 bars for symbols without any."""
     bars = fx.bars_minute(spark, sf_dir)
-    return intraday.session_or_recent(bars, intraday.as_of_latest(bars))
+    return intraday.session_or_recent(bars, intraday.latest_session_day(bars))
 
 
 @register("candles")
 def q_candles(spark, sf_dir):
     """Columnar candle trace per symbol over the live view."""
     bars = fx.bars_minute(spark, sf_dir)
-    return intraday.candles(intraday.session_or_recent(bars, intraday.as_of_latest(bars)))
+    return intraday.candles(intraday.session_or_recent(bars, intraday.latest_session_day(bars)))
 
 
 @register("quote_board")

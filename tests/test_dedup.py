@@ -44,7 +44,9 @@ def test_keep_last_is_not_drop_duplicates(spark):
     assert got == {"2024-01-01": 30.0, "2024-01-02": 40.0}
 
 
-def test_retention_plan_uses_group_limit(spark):
-    df = spark.range(100).selectExpr("CAST(id % 3 AS STRING) AS symbol", "id AS seq")
-    plan = retain_last_n(df, cap=5)._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("cap", [5, 5000])
+def test_retention_plan_uses_group_limit(spark, cap):
+    # more rows than the cap, else Spark proves the limit redundant
+    df = spark.range(3 * cap + 10).selectExpr("CAST(id % 3 AS STRING) AS symbol", "id AS seq")
+    plan = retain_last_n(df, cap=cap)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan

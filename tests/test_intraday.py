@@ -34,15 +34,16 @@ def _minute_bars(spark, n, start, base=0.0):
 
 def test_empty_session_falls_back_to_latest_100(spark):
     bars = _minute_bars(spark, 150, _ts("2024-01-03 10:00:00"))
-    as_of = F.lit(_ts("2024-01-10 12:00:00"))
-    view = intraday.session_or_recent(bars, as_of).orderBy("pos").collect()
+    day = intraday.session_day(F.lit(_ts("2024-01-10 12:00:00")))
+    view = intraday.session_or_recent(bars, day).orderBy("pos").collect()
     assert len(view) == 100 and not view[0].in_session
     assert view[0].close == 149.0 and view[-1].close == 50.0  # descending
 
 
 def test_session_day_ascending(spark):
     bars = _minute_bars(spark, 30, _ts("2024-01-09 09:30:00"))
-    view = intraday.session_or_recent(bars, F.lit(_ts("2024-01-09 12:00:00"))).orderBy("pos").collect()
+    day = intraday.session_day(F.lit(_ts("2024-01-09 12:00:00")))
+    view = intraday.session_or_recent(bars, day).orderBy("pos").collect()
     assert len(view) == 30 and view[0].in_session and view[0].close == 0.0
 
 
