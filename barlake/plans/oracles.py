@@ -467,3 +467,41 @@ SELECT symbol,
             WHEN volume >= 1e3 THEN {_fmt2('volume / 1e3')} || 'K'
             ELSE {_fmt2('volume')} END AS volume_text
 FROM c"""
+
+
+# Temporal output columns rendered as ISO text (queries.finalize does the same).
+DATE_COLUMNS = ("date", "anchor", "trading_day")
+TIMESTAMP_COLUMNS = ("ts", "earliest", "latest", "as_of")
+TEMPORAL: dict[str, tuple[str, ...]] = {
+    "linear_trend": ("anchor",),
+    "coverage": ("earliest", "latest"),
+    "trading_day": ("ts", "trading_day"),
+    "quote_board": ("as_of",),
+}
+for _name in ["analysis_series", "analysis_series_long", "latest_indicators", "history_series",
+              "quadratic_trend", "bagged_tree_trend", "bagged_tree_trend_long", "forecast_horizon",
+              "forecasts", "forecasts_long", "prediction_series", "moving_average", "daily_change",
+              "volatility", "day_index", "bars_for_symbol", "dedup_keep_last", "retain_last_n",
+              "retain_last_n_cap10", "trailing_month", "scan_bars_csv", "csv_roundtrip",
+              "union_symbol_files", "clean_csv_bars", "stream_latest_state"]:
+    TEMPORAL[_name] = ("date",)
+for _name in ["session_bars", "session_or_recent", "valid_bars", "event_time_default",
+              "envelope_encode", "stream_ingest", "stream_idempotent", "stream_resume",
+              "snapshot_then_delta"]:
+    TEMPORAL[_name] = ("ts",)
+
+
+def as_text(name: str, sql: str) -> str:
+    """Wrap an oracle so its temporal columns come out as ISO text."""
+    cols = TEMPORAL.get(name)
+    if not cols:
+        return sql
+    parts = []
+    for c in cols:
+        fmt = "%Y-%m-%d" if c in DATE_COLUMNS else "%Y-%m-%d %H:%M:%S.%f"
+        parts.append(f"strftime({c}, '{fmt}') AS {c}")
+    return f"SELECT * REPLACE ({', '.join(parts)}) FROM (\n{sql}\n) AS oracle_q"
+
+
+def oracles() -> dict[str, str]:
+    return {k: as_text(k, v) for k, v in ORACLES.items()}

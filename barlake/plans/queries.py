@@ -60,12 +60,27 @@ TIE_SHIFT = 1.234567e-10
 TIE_SHIFT_SCALED = 1.234567e-4
 
 
+DATE_TEXT = "yyyy-MM-dd"
+TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
 def finalize(df: DataFrame) -> DataFrame:
-    """Round every DOUBLE column and array (comparison contract with the oracle)."""
+    """Comparison contract with the oracle for registered outputs.
+
+    Doubles (and double arrays) are rounded by :func:`compare_round`; DATE
+    and TIMESTAMP columns are rendered as ISO text, because engines hand
+    temporal values to Python differently (``date`` vs. midnight
+    ``Timestamp``, micro- vs. nanosecond units) while text compares the
+    same everywhere.  The library functions themselves keep typed columns.
+    """
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             cols.append(compare_round(F.col(f.name)).alias(f.name))
+        elif isinstance(f.dataType, T.DateType):
+            cols.append(F.date_format(F.col(f.name), DATE_TEXT).alias(f.name))
+        elif isinstance(f.dataType, (T.TimestampNTZType, T.TimestampType)):
+            cols.append(F.date_format(F.col(f.name), TIMESTAMP_TEXT).alias(f.name))
         elif isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.DoubleType):
             cols.append(F.transform(F.col(f.name), compare_round).alias(f.name))
         else:
