@@ -469,6 +469,22 @@ SELECT symbol,
 FROM c"""
 
 
+ORACLES["intraday_indicators_hot"] = f"""WITH hot_minute AS (
+  SELECT symbol, bar_ts AS ts, last(value ORDER BY ts, event_id) AS close
+  FROM (SELECT CASE WHEN user_id % 3 = 0 THEN 'HOT' ELSE 'U' || user_id END AS symbol,
+               date_trunc('minute', ts) AS bar_ts, ts, event_id, value FROM events)
+  GROUP BY symbol, bar_ts),
+ind AS (SELECT symbol, ts, close, lag(close) OVER w AS prev_close,
+               CASE WHEN count(close) OVER w3 = 3 THEN avg(close) OVER w3 END AS moving_average,
+               (close / nullif(lag(close) OVER w, 0) - 1) * 100 AS daily_change,
+               CASE WHEN count(close) OVER w3 = 3 THEN stddev_samp(close) OVER w3 END AS volatility
+        FROM hot_minute
+        WINDOW w AS (PARTITION BY symbol ORDER BY ts),
+               w3 AS (PARTITION BY symbol ORDER BY ts ROWS BETWEEN 2 PRECEDING AND CURRENT ROW))
+SELECT symbol, ts, {R('close')} AS close, {R('prev_close')} AS prev_close,
+       {R('moving_average')} AS moving_average, {R('daily_change')} AS daily_change,
+       {R('volatility')} AS volatility FROM ind"""
+
 # Temporal output columns rendered as ISO text (queries.finalize does the same).
 DATE_COLUMNS = ("date", "anchor", "trading_day")
 TIMESTAMP_COLUMNS = ("ts", "earliest", "latest", "as_of")
@@ -485,7 +501,8 @@ for _name in ["analysis_series", "analysis_series_long", "latest_indicators", "h
               "retain_last_n_cap10", "trailing_month", "scan_bars_csv", "csv_roundtrip",
               "union_symbol_files", "clean_csv_bars", "stream_latest_state"]:
     TEMPORAL[_name] = ("date",)
-for _name in ["session_bars", "session_or_recent", "valid_bars", "event_time_default",
+for _name in ["intraday_indicators_hot", "session_bars", "session_or_recent", "valid_bars",
+              "event_time_default",
               "envelope_encode", "stream_ingest", "stream_idempotent", "stream_resume",
               "snapshot_then_delta"]:
     TEMPORAL[_name] = ("ts",)

@@ -202,6 +202,17 @@ def q_volatility(spark, sf_dir):
     return _indicators(spark, sf_dir).select("symbol", "date", "volatility")
 
 
+@register("intraday_indicators_hot")
+def q_intraday_indicators_hot(spark, sf_dir):
+    """W1-W3 on one-minute bars with a hot symbol holding a third of all rows.
+
+    Windows run over (symbol, day) blocks with halo rows, so the hot symbol
+    is spread over one task per day instead of one task overall.
+    """
+    bars = fx.bars_minute_hot(spark, sf_dir).select("symbol", "ts", "close")
+    return rolling_indicators(bars, order="ts", block="day")
+
+
 @register("day_index")
 def q_day_index(spark, sf_dir):
     """A3: whole days since each symbol's first bar."""
@@ -422,7 +433,9 @@ def q_screener_symbols(spark, sf_dir):
 # --- streaming -----------------------------------------------------------------
 STREAM_CYCLES = 5  # producer cycles of the ordered replays (one micro-batch each)
 INGEST_ROWS_PER_FILE = 10000  # unordered ingest input files
-INGEST_FILES_PER_TRIGGER = 4
+# Rate limit of the ingest stream: at most this many new files per micro-batch
+# (with 128 MB files about 32 GB per batch -- bounded batches and recovery).
+INGEST_FILES_PER_TRIGGER = 256
 
 
 def _ingest_run(spark, sf_dir, files_per_trigger: int = INGEST_FILES_PER_TRIGGER):

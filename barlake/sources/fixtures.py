@@ -67,6 +67,23 @@ def bars_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumnRenamed("bar_ts", "ts"))
 
 
+HOT_SYMBOL = "HOT"
+
+
+def bars_minute_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-minute bars where a third of all users trade as one symbol ``HOT``.
+
+    The skew workload: ``HOT`` holds about a third of all rows, so any
+    operator that puts a whole symbol into one task shows up here.
+    """
+    sym = F.when(F.pmod(F.col("user_id"), F.lit(3)) == 0, F.lit(HOT_SYMBOL)).otherwise(_user_symbol())
+    ev = table(spark, sf_dir, "events").select(
+        sym.alias("symbol"), trunc_minute_ntz("ts").alias("bar_ts"),
+        "ts", "event_id", F.col("value").alias("price"), F.lit(1).alias("vol"))
+    return (_first_last_bar(ev, ["symbol", "bar_ts"], F.struct("ts", "event_id"))
+            .withColumnRenamed("bar_ts", "ts"))
+
+
 def bars_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long daily history from ``lineitem``: symbol P<partkey>, unit price."""
     li = table(spark, sf_dir, "lineitem").select(
