@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from barlake.functions.expressions import (dollar_text, magnitude_text, pct_change,
                                            signed_change_text, trading_day)
+from barlake.operators.windows import blocked_row_number
 
 RECENT_FALLBACK = 100  # fixed value: bars shown when the session day is empty
 
@@ -48,9 +49,10 @@ def session_or_recent(bars: DataFrame, day: Column, ts: str = "ts",
                       n: int = RECENT_FALLBACK, key: str = "symbol") -> DataFrame:
     """The session day's bars ascending, else the latest ``n`` bars descending.
 
-    ``pos`` is the display position (0-based).  Both branches are
-    ``row_number`` filters over one window spec; the recent branch keeps at
-    most ``n`` rows per symbol.  ``in_session`` tells which branch applied.
+    ``pos`` is the display position (0-based).  The recent branch is a
+    ``row_number() <= n`` filter (a partial group limit); the session branch
+    numbers rows by hour blocks (:func:`blocked_row_number`).
+    ``in_session`` tells which branch applied.
     """
     b = bars.withColumn("_in", F.to_date(F.col(ts)) == day)
     has_session = b.groupBy(key).agg(F.max(F.col("_in").cast("int")).alias("_has"))
@@ -61,9 +63,11 @@ def session_or_recent(bars: DataFrame, day: Column, ts: str = "ts",
               .where(F.col("_rd") <= n)
               .withColumn("pos", F.col("_rd") - 1)
               .withColumn("in_session", F.lit(False)))
-    w_asc = Window.partitionBy(key).orderBy(F.col(ts).asc())
-    session = (j.where((F.col("_has") == 1) & F.col("_in"))
-               .withColumn("pos", F.row_number().over(w_asc) - 1)
+    # session rows are numbered by hour blocks, so a busy symbol's day is
+    # not sorted in one task
+    session = (blocked_row_number(j.where((F.col("_has") == 1) & F.col("_in")), key, ts,
+                                  F.hour(ts), "_rs")
+               .withColumn("pos", F.col("_rs") - 1)
                .withColumn("in_session", F.lit(True)))
     cols = [c for c in bars.columns] + ["pos", "in_session"]
     return session.select(*cols).unionByName(recent.select(*cols))

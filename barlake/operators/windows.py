@@ -98,3 +98,22 @@ def blocked_window(df: DataFrame, key: str, order: str, block: Column,
     w = Window.partitionBy(key, BLOCK).orderBy(order)
     out = compute(u, w)
     return out.where(~F.col(HALO)).drop(BLOCK, HALO)
+
+
+def blocked_row_number(df: DataFrame, key: str, order: str, block: Column,
+                       name: str = "rn") -> DataFrame:
+    """Exact ``row_number()`` over ``partitionBy(key).orderBy(order)`` without a per-key task.
+
+    Rows are counted per (key, block); a running sum over that small count
+    table gives each block's offset; the final number is the offset plus the
+    row number inside the block.  ``block`` must be non-decreasing in
+    ``order`` (a time bucket of the ordering column).
+    """
+    b = df.withColumn(BLOCK, block)
+    counts = b.groupBy(key, BLOCK).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(key).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(key, BLOCK, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    w = Window.partitionBy(key, BLOCK).orderBy(order)
+    return (b.join(offsets, [key, BLOCK])
+            .withColumn(name, F.col("_off") + F.row_number().over(w))
+            .drop(BLOCK, "_off"))

@@ -51,3 +51,11 @@ def test_tails_use_group_limit(spark):
     got = blocked_window(df, "symbol", "date", time_block("date", "month"), 2, 0, _compute(2, 0))
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_blocked_row_number_equals_row_number(spark):
+    from barlake.operators.windows import blocked_row_number
+    df = _series(spark, 11)
+    got = blocked_row_number(df, "symbol", "date", time_block("date", "month"), "rn")
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("symbol").orderBy("date")))
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
