@@ -48,32 +48,39 @@ class LiveBars(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         symbol = key[0]
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("seq")
-        batch = batch.drop_duplicates("day", keep="last")
-        state = {k[0]: v for k, v in self.bars.iterator()}
-        published = set(state)
-        changed = set()
-        for r in batch.itertuples(index=False):
-            old = state.get(r.day)
-            if old is None or old[0] < r.seq:
-                state[r.day] = (r.seq, r.date, r.open, r.high, r.low, r.close, r.volume)
-                changed.add(r.day)
-        evicted = []
-        if len(state) > self.cap:
-            by_age = sorted(state, key=lambda d: state[d][0])
-            evicted = by_age[: len(state) - self.cap]
-        event_seq = int(batch["seq"].max())
+        published = {k[0]: tuple(v) for k, v in self.bars.iterator()}
+        state = dict(published)
+        event_seq = None
+        # Arrow chunks are folded in one at a time and the state is trimmed to
+        # the cap after each, so a hot symbol's batch never sits in memory at
+        # once.  Trimming early is equivalent to trimming at the end: a date
+        # evicted here already has `cap` dates with newer arrivals, and a later
+        # arrival for it re-enters with its newer seq.
+        for chunk in rows:
+            if chunk.empty:
+                continue
+            chunk = chunk.sort_values("seq").drop_duplicates("day", keep="last")
+            top = int(chunk["seq"].iloc[-1])
+            event_seq = top if event_seq is None else max(event_seq, top)
+            for r in chunk.itertuples(index=False):
+                old = state.get(r.day)
+                if old is None or old[0] < r.seq:
+                    state[r.day] = (int(r.seq), r.date, r.open, r.high, r.low, r.close, r.volume)
+            if len(state) > self.cap:
+                by_age = sorted(state, key=lambda d: state[d][0])
+                for d in by_age[: len(state) - self.cap]:
+                    del state[d]
+        if event_seq is None:
+            return
         out = []
-        for d in evicted:
-            v = state.pop(d)
-            changed.discard(d)
-            if d in published:
+        for d, v in published.items():
+            if d not in state:
                 self.bars.removeKey((d,))
                 out.append((symbol, v[1], v[0], None, None, None, None, None, "evict", event_seq))
-        for d in changed:
-            v = state[d]
-            self.bars.updateValue((d,), v)
-            out.append((symbol, v[1], v[0], v[2], v[3], v[4], v[5], v[6], "upsert", int(v[0])))
+        for d, v in state.items():
+            if published.get(d) != v:
+                self.bars.updateValue((d,), v)
+                out.append((symbol, v[1], v[0], v[2], v[3], v[4], v[5], v[6], "upsert", int(v[0])))
         if out:
             yield pd.DataFrame(out, columns=["symbol", "date", "seq", "open", "high", "low",
                                              "close", "volume", "op", "event_seq"])
