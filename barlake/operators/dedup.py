@@ -1,9 +1,9 @@
 """Keep-last dedup and bounded per-symbol retention.
 
 * keep-last: one row per key, the one with the greatest arrival ``seq``.
-  Written as ``max_by(struct(cols), seq)`` in a hash aggregate, which Spark
-  pre-aggregates map-side: a key holding a third of the table is reduced
-  per task before the shuffle instead of being sorted in one task.
+  Written as ``max_by(col, seq)`` per column in a hash aggregate, which
+  Spark pre-aggregates map-side: a key holding a third of the table is
+  reduced per task before the shuffle instead of being sorted in one task.
   (``dropDuplicates`` keeps an arbitrary row, so it is not equivalent.)
 * retention: the newest ``cap`` rows per symbol by arrival, a
   ``row_number() <= cap`` filter that Spark executes with a partial
@@ -22,10 +22,15 @@ LIVE_CAP = 5000  # fixed value: retained bars per symbol
 
 
 def keep_last(df: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
-    """Last arrival per key wins."""
+    """Last arrival per key wins.
+
+    ``seq`` is unique per key (an arrival position), so one ``max_by`` per
+    column selects the same row as ``max_by(struct(...))`` would, while
+    keeping fixed-width aggregation buffers: Spark plans a hash aggregate
+    with map-side partial aggregation instead of sorting every row.
+    """
     rest = [c for c in df.columns if c not in keys]
-    latest = F.max_by(F.struct(*rest), F.col(seq)).alias("_last")
-    return df.groupBy(*keys).agg(latest).select(*keys, "_last.*")
+    return df.groupBy(*keys).agg(*[F.max_by(c, F.col(seq)).alias(c) for c in rest])
 
 
 GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
@@ -58,7 +63,6 @@ def live_state(arrivals: DataFrame, date_col: str = "date", seq: str = "seq",
 
 
 def latest_row(df: DataFrame, order: str, key: str = "symbol") -> DataFrame:
-    """The last row of each symbol by ``order`` (partial aggregation)."""
+    """The last row of each symbol by ``order`` (unique per symbol; partial aggregation)."""
     rest = [c for c in df.columns if c != key]
-    return (df.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_last"))
-            .select(key, "_last.*"))
+    return df.groupBy(key).agg(*[F.max_by(c, F.col(order)).alias(c) for c in rest])
