@@ -32,12 +32,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.operators.windows import blocked_window, time_block
+from barlake.operators.windows import blocked_window, density_block, time_block
 
 # Fixed values of the forecast page: 30 calendar days ahead, three models.
 HORIZON_DAYS = 30
 MODELS = ["linear", "polynomial", "random_forest"]
 FOREST_NEIGHBOURS = 50
+FOREST_BLOCK_ROWS = 2000  # target rows per window block (halo <= 5% of a block)
 
 
 def _xy(bars: DataFrame) -> DataFrame:
@@ -165,16 +166,18 @@ def forest_future(bars: DataFrame, coefs: DataFrame) -> DataFrame:
             .agg(F.sum(F.col("y") * _forest_weight(F.col("n"), F.col("k") - 1)).alias("rf_future")))
 
 
-def in_sample(bars: DataFrame, coefs: DataFrame, block: str = "year") -> DataFrame:
+def in_sample(bars: DataFrame, coefs: DataFrame, block: str = "density") -> DataFrame:
     """Fitted values of all three models for every bar.
 
     The forest needs the K nearest rows around each bar, all within +-K
-    positions; the window runs over (symbol, time block) with halo rows so a
-    long or hot symbol is spread over many tasks.
+    positions; the window runs over (symbol, block) with halo rows so a long
+    or hot symbol is spread over many tasks.  Blocks are sized by each
+    symbol's density (about ``FOREST_BLOCK_ROWS`` rows): short series get a
+    single block and no halo, so sparse histories are not amplified.
     """
-    # Only n is needed inside the window; the wide coefficient row is joined
-    # after it, so the window shuffle carries four narrow columns.
-    rows = _xy(bars).join(coefs.select("symbol", "n"), "symbol")
+    # Only n and the day range are needed inside the window; the wide
+    # coefficient row is joined after it, so the window shuffle stays narrow.
+    rows = _xy(bars).join(coefs.select("symbol", "n", "d0", "d_last"), "symbol")
     k = FOREST_NEIGHBOURS
 
     def compute(df: DataFrame, w: Window) -> DataFrame:
@@ -185,8 +188,10 @@ def in_sample(bars: DataFrame, coefs: DataFrame, block: str = "year") -> DataFra
         ys = F.transform(F.slice(ranked, 1, k), lambda s: s["y"])
         return df.withColumn("rf_fit", _forest_sum(ys, F.col("n")))
 
-    fitted = blocked_window(rows, "symbol", "d", time_block("date", block),
-                            before=k, after=k, compute=compute).drop("n")
+    blk = (density_block(F.col("d"), F.col("d0"), F.col("d_last"), F.col("n"), FOREST_BLOCK_ROWS)
+           if block == "density" else time_block("date", block))
+    fitted = blocked_window(rows, "symbol", "d", blk, before=k, after=k,
+                            compute=compute).drop("n", "d0", "d_last")
     fitted = fitted.join(coefs, "symbol")
     return fitted.select(
         "symbol", "date", "y", "n", "var_y", "flat",
@@ -196,7 +201,7 @@ def in_sample(bars: DataFrame, coefs: DataFrame, block: str = "year") -> DataFra
         "rf_fit")
 
 
-def model_metrics(bars: DataFrame, block: str = "year") -> DataFrame:
+def model_metrics(bars: DataFrame, block: str = "density") -> DataFrame:
     """M6: in-sample MSE and R^2 of all three models, one row per symbol."""
     coefs = fit_coefficients(bars)
     fitted = in_sample(bars, coefs, block)

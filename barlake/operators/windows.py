@@ -51,6 +51,19 @@ def time_block(col: str, unit: str) -> Column:
     raise ValueError(f"unknown block unit {unit!r}")
 
 
+def density_block(pos: Column, first: Column, last: Column, n: Column, target_rows: int) -> Column:
+    """Block id sized by the key's own density: about ``target_rows`` rows per block.
+
+    ``pos`` is a numeric ordering value (day or microsecond number) with
+    per-key ``first``/``last`` values and ``n`` rows.  A key with at most
+    ``target_rows`` rows gets a single block (no halo at all); a hot key is
+    split into about ``n / target_rows`` blocks, so halo rows stay a small
+    fraction of each block however sparse or dense the series is.
+    """
+    span = (last - first + F.lit(1)).cast("double")
+    return F.floor((pos - first).cast("double") * n.cast("double") / (span * F.lit(float(target_rows))))
+
+
 def _halo_rows(b: DataFrame, key: str, order: str, k: int, forward: bool) -> DataFrame:
     """Rows that blocks need from their neighbours, re-labelled with the target block."""
     cols = [c for c in b.columns if c not in (BLOCK, HALO)]
@@ -62,17 +75,17 @@ def _halo_rows(b: DataFrame, key: str, order: str, k: int, forward: bool) -> Dat
         # tail rows: serve later blocks whose first tail row is <= k positions ahead
         edge = edge.withColumn(
             "_mark", F.coalesce(F.lag(BLOCK, 1).over(w) != F.col(BLOCK), F.lit(True)))
-        shift = F.lead
     else:
         # head rows: serve earlier blocks whose last head row is <= k positions behind
         edge = edge.withColumn(
             "_mark", F.coalesce(F.lead(BLOCK, 1).over(w) != F.col(BLOCK), F.lit(True)))
-        shift = F.lag
-    targets = F.array(*[
-        F.when(shift("_mark", j).over(w), shift(BLOCK, j).over(w)) for j in range(1, k + 1)
-    ])
-    return (edge.select(*cols, F.array_compact(targets).alias("_targets"))
-            .select(*cols, F.explode("_targets").alias(BLOCK))
+    # the k neighbouring edge rows in one sliding frame (instead of k offset
+    # functions); keep the blocks whose first (last) edge row is among them
+    frame = w.rowsBetween(1, k) if not forward else w.rowsBetween(-k, -1)
+    near = F.collect_list(F.struct(F.col("_mark").alias("m"), F.col(BLOCK).alias("b"))).over(frame)
+    return (edge.select(*cols, near.alias("_near"))
+            .select(*cols, F.explode(F.transform(F.filter("_near", lambda x: x["m"]),
+                                                 lambda x: x["b"])).alias(BLOCK))
             .withColumn(HALO, F.lit(True)))
 
 

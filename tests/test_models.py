@@ -100,3 +100,16 @@ def test_horizon_is_calendar_days(spark):
     hz = models.forecast_horizon(models.fit_coefficients(bars)).orderBy("h").collect()
     assert [str(r.date) for r in hz[:3]] == ["2021-03-06", "2021-03-07", "2021-03-08"]
     assert [r.day_index for r in hz[:3]] == [5, 6, 7]
+
+
+def test_forest_across_many_density_blocks(spark, monkeypatch):
+    """Blocks of ~60 rows: the +-50 neighbourhood crosses several block edges."""
+    monkeypatch.setattr(models, "FOREST_BLOCK_ROWS", 60)
+    rng = random.Random(11)
+    days = sorted(rng.sample(range(0, 2000), 400))
+    closes = [round(rng.uniform(10, 500), 2) for _ in days]
+    bars = daily(spark, _rows(days, closes))
+    fit = {r.day_index: r.rf_fit for r in models.in_sample(bars, models.fit_coefficients(bars)).collect()}
+    assert len(fit) == len(days)
+    for d in days:
+        assert math.isclose(fit[d - days[0]], _expected_forest(days, closes, d), rel_tol=1e-12)
