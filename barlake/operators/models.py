@@ -84,9 +84,10 @@ def r2_expr(mse: Column, var_y: Column, n: Column, flat: Column) -> Column:
 def fit_coefficients(bars: DataFrame) -> DataFrame:
     """Per-symbol coefficients of the linear and quadratic fits (two passes).
 
-    Pass 1 (one row per symbol): count, anchor, last date, means, distinct x.
-    Pass 2 joins the means back (a per-symbol table that AQE broadcasts when
-    small) and aggregates centred moments.  Both are hash aggregations with
+    Pass 1 (one row per symbol): count, first/last day, means.
+    Pass 2 joins them back (a per-symbol table that AQE broadcasts when
+    small) and aggregates centred moments; ``nx`` is the number of distinct
+    days capped at 3, which selects the least-squares branch.  Both are hash aggregations with
     map-side partial aggregation, so a hot symbol is pre-reduced per task.
     """
     xy = _xy(bars)
@@ -96,17 +97,23 @@ def fit_coefficients(bars: DataFrame) -> DataFrame:
         F.max("d").alias("d_last"),
         F.avg("d").alias("mean_d"),
         F.avg("y").alias("mean_y"),
-        F.count_distinct("d").alias("nx"),
         (F.max("y") == F.min("y")).alias("flat"),
     )
     u = F.col("d") - F.col("mean_d")
     e = F.col("y") - F.col("mean_y")
-    s2 = (xy.join(s1.select("symbol", "mean_d", "mean_y"), "symbol")
+    # "interior" counts days strictly between the first and last day; with
+    # the day range it tells 1, 2 or >= 3 distinct days exactly, without a
+    # separate distinct aggregation
+    inside = (F.col("d") > F.col("d0")) & (F.col("d") < F.col("d_last"))
+    s2 = (xy.join(s1.select("symbol", "mean_d", "mean_y", "d0", "d_last"), "symbol")
           .groupBy("symbol").agg(
               F.avg(u * u).alias("m2"), F.avg(u * u * u).alias("m3"),
               F.avg(u * u * u * u).alias("m4"), F.avg(u * e).alias("c1"),
-              F.avg(u * u * e).alias("c2"), F.avg(e * e).alias("var_y")))
-    c = s1.join(s2, "symbol")
+              F.avg(u * u * e).alias("c2"), F.avg(e * e).alias("var_y"),
+              F.count_if(inside).alias("interior")))
+    distinct_days = (F.when(F.col("d0") == F.col("d_last"), F.lit(1))
+                     .when(F.col("interior") == 0, F.lit(2)).otherwise(F.lit(3)))
+    c = s1.join(s2, "symbol").withColumn("nx", distinct_days)
     m2, m3, m4, c1, c2 = (F.col(k) for k in ("m2", "m3", "m4", "c1", "c2"))
     mean_x = F.col("mean_d") - F.col("d0")
     span = (F.col("d_last") - F.col("d0")).cast("double")
