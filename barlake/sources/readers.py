@@ -70,12 +70,6 @@ def write_screener_pages(symbols: DataFrame, path: str, page_size: int = 25) ->
 
 
 # --- F8 / U1: per-symbol files -----------------------------------------------------
-def tag_symbol_from_path(df: DataFrame) -> DataFrame:
-    """F8: symbol taken from the file name ``<SYMBOL>.csv`` of each row."""
-    name = F.regexp_extract(F.input_file_name(), r"([^/]+?)(\.csv)?$", 1)
-    return df.withColumn("symbol", F.coalesce(F.col("symbol"), name))
-
-
 def write_symbol_files(rows: DataFrame, path: str) -> None:
     """Land bar CSV rows as one directory per symbol (``Symbol=<s>/part-*.csv``).
 
@@ -99,14 +93,6 @@ def read_symbol_dirs(spark: SparkSession, path: str) -> DataFrame:
             .csv(path))
 
 
-def read_symbol_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Union of per-symbol bar files in one scan; unreadable files skipped."""
-    return (spark.read.schema(BAR_CSV_SCHEMA)
-            .option("header", True).option("mode", "PERMISSIVE")
-            .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
-            .csv(paths))
-
-
 # --- F9 / S8: symbol lookup ---------------------------------------------------------
 def bars_for_symbol(bars: DataFrame, symbol: str | Column) -> DataFrame:
     """bars of one symbol, a bound equality (never formatted SQL text)."""

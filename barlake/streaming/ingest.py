@@ -126,11 +126,6 @@ def idempotent_writer(sink: str, prepare: Callable[[DataFrame, int], DataFrame],
     return write
 
 
-def classify_batch(batch: DataFrame, batch_id: int) -> DataFrame:
-    """Decode, parse and classify one micro-batch of envelopes."""
-    return cleanse.classify(cleanse.parse_payload(cleanse.decode_envelope(batch)))
-
-
 def ingest_outputs(classified: DataFrame, batch_id: int) -> dict[str, DataFrame]:
     """ST1 + ST5: valid bars and rejected messages of one micro-batch."""
     return {"bars": cleanse.to_bars(classified),

@@ -31,3 +31,18 @@ def test_batch_analytics_stay_in_the_jvm(spark):
 def test_column_pruning_on_scan(spark):
     plan = _plan(REGISTRY["analysis_series"](spark, SF_SMALL))
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in plan
+
+
+def test_hot_symbol_windows_are_split_by_block(spark):
+    import re
+    plan = _plan(REGISTRY["intraday_indicators_hot"](spark, SF_SMALL))
+    specs = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[", plan)
+    assert specs, plan
+    # every window over the bar rows is partitioned by (symbol, block); the
+    # only symbol-wide windows run over the small per-block edge tables
+    assert any("_blk" in s for s in specs)
+    hot = fx.bars_minute_hot(spark, SF_SMALL)
+    per_day = hot.where("symbol = 'HOT'").groupBy("symbol", hot.ts.cast("date")).count()
+    biggest = per_day.agg({"count": "max"}).first()[0]
+    total = hot.where("symbol = 'HOT'").count()
+    assert biggest < total / 10  # one day block holds a small share of the hot symbol
