@@ -93,6 +93,23 @@ def read_symbol_dirs(spark: SparkSession, path: str) -> DataFrame:
             .csv(path))
 
 
+# --- stored history -----------------------------------------------------------------
+def write_history_table(bars: DataFrame, path: str, rows_per_file: int = 1_000_000,
+                        order: str = "date") -> None:
+    """Store bars range-partitioned and sorted by (symbol, time).
+
+    Each file then covers a narrow symbol range, so Parquet min/max
+    statistics let a symbol lookup skip files and row groups.  Range
+    partitioning on the composite key samples the data and splits a hot
+    symbol across several files by time instead of writing it from one task.
+    """
+    n = bars.count()
+    files = max(1, -(-n // rows_per_file))
+    (bars.repartitionByRange(files, "symbol", order)
+     .sortWithinPartitions("symbol", order)
+     .write.mode("overwrite").parquet(path))
+
+
 # --- F9 / S8: symbol lookup ---------------------------------------------------------
 def bars_for_symbol(bars: DataFrame, symbol: str | Column) -> DataFrame:
     """bars of one symbol, a bound equality (never formatted SQL text)."""

@@ -12,9 +12,12 @@ def _plan(df):
 
 
 def test_symbol_filter_reaches_parquet_scan(spark):
+    from barlake.sources.readers import write_history_table
     path = scratch_path(spark, "bars_table")
-    fx.bars_daily(spark, SF_SMALL).write.parquet(path)
+    write_history_table(fx.bars_daily(spark, SF_SMALL), path, rows_per_file=200)
     bars = spark.read.parquet(path)
+    assert len(bars.inputFiles()) > 1
+    assert bars_for_symbol(bars, "U7").count() == fx.bars_daily(spark, SF_SMALL).where("symbol = 'U7'").count()
     plan = _plan(bars_for_symbol(bars, "U7"))
     assert "PushedFilters: [IsNotNull(symbol), EqualTo(symbol,U7)]" in plan
     plan = _plan(datasets.analysis_series(bars).where("symbol = 'U7'"))
