@@ -111,3 +111,27 @@ def signed_change_text(change: str | Column, pct: str | Column) -> Column:
 
 def dollar_text(v: str | Column) -> Column:
     return F.concat(F.lit("$"), F.format_string("%.2f", col_(v)))
+
+
+def rounded_text(v: str | Column, places: int) -> Column:
+    """A number as the pages print ``value|round(places)``.
+
+    Rounds the exact binary value half-to-even (as Python's ``round``), then
+    prints the shortest form of the rounded double (``5.0``, ``83.73``).
+    ``format_number`` rounds the exact binary value; its thousands
+    separators are removed before re-reading the number.
+    """
+    rounded = F.regexp_replace(F.format_number(col_(v), places), ",", "").cast("double")
+    # Spark prints doubles outside [1e-3, 1e7) with an exponent ("7.0E-4");
+    # Python prints them positionally there, so use fixed digits, trimmed
+    trimmed = F.regexp_replace(
+        F.regexp_replace(F.format_string(f"%.{places}f", rounded), r"(\.\d*?)0+$", "$1"),
+        r"\.$", ".0")
+    a = F.abs(rounded)
+    return F.when((a == 0) | ((a >= 1e-3) & (a < 1e7)), rounded.cast("string")).otherwise(trimmed)
+
+
+def card_change_text(v: str | Column) -> Column:
+    """Daily change on the card: ``+`` only for values > 0, then ``%``."""
+    x = col_(v)
+    return F.concat(F.when(x > 0, F.lit("+")).otherwise(F.lit("")), rounded_text(x, 2), F.lit("%"))

@@ -59,3 +59,23 @@ def prediction_series(bars: DataFrame, days: int = models.HORIZON_DAYS) -> DataF
     fc = models.forecasts(bars, days).select(
         "symbol", F.col("model").alias("series"), "date", F.col("prediction").alias("price"))
     return hist.unionByName(fc)
+
+
+def indicator_card_text(bars: DataFrame, block: str = "year") -> DataFrame:
+    """The indicator card as displayed -- MSE, $MA, signed change %, volatility."""
+    from barlake.functions.expressions import card_change_text, rounded_text
+    card = latest_indicators(bars, block)
+    return card.select(
+        "symbol",
+        rounded_text("mse", 2).alias("mse_text"),
+        F.concat(F.lit("$"), rounded_text("moving_average", 2)).alias("moving_average_text"),
+        card_change_text("daily_change").alias("daily_change_text"),
+        rounded_text("volatility", 2).alias("volatility_text"))
+
+
+def metrics_text(bars: DataFrame) -> DataFrame:
+    """The model comparison table as displayed (4 decimals)."""
+    from barlake.functions.expressions import rounded_text
+    m = models.model_metrics(bars)
+    cols = ["linear_mse", "poly_mse", "rf_mse", "linear_r2", "poly_r2", "rf_r2"]
+    return m.select("symbol", *[rounded_text(c, 4).alias(f"{c}_text") for c in cols])

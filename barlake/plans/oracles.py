@@ -485,6 +485,32 @@ SELECT symbol, ts, {R('close')} AS close, {R('prev_close')} AS prev_close,
        {R('moving_average')} AS moving_average, {R('daily_change')} AS daily_change,
        {R('volatility')} AS volatility FROM ind"""
 
+def _pytext(x: str, places: int) -> str:
+    """``round(x, places)`` printed as the shortest double (binary half-even rounding)."""
+    return f"CAST(CAST(printf('%.{places}f', {x}) AS DOUBLE) AS VARCHAR)"
+
+
+ORACLES["indicator_card_text"] = f"""WITH a AS ({_analysis(BARS_DAILY, "bars_daily").replace(
+    "SELECT symbol, date, " + R('close'), "SELECT symbol, date, close").replace(
+    R('predicted_close'), 'predicted_close').replace(R('moving_average'), 'moving_average').replace(
+    R('daily_change'), 'daily_change').replace(R('volatility'), 'volatility').replace(R('mse'), 'mse')}),
+last AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY date DESC) = 1)
+SELECT symbol, {_pytext('mse', 2)} AS mse_text,
+       '$' || {_pytext('moving_average', 2)} AS moving_average_text,
+       CASE WHEN daily_change > 0 THEN '+' ELSE '' END || {_pytext('daily_change', 2)} || '%'
+         AS daily_change_text,
+       {_pytext('volatility', 2)} AS volatility_text
+FROM last"""
+
+ORACLES["metrics_text"] = _fits(BARS_DAILY, "bars_daily") + f""",
+m AS (SELECT symbol, any_value(n) AS n, any_value(vy) AS vy, any_value(flat) AS flat,
+             avg(power(y - linear_fit, 2)) AS linear_mse, avg(power(y - poly_fit, 2)) AS poly_mse,
+             avg(power(y - rf_fit, 2)) AS rf_mse FROM fit GROUP BY symbol)
+SELECT symbol, {_pytext('linear_mse', 4)} AS linear_mse_text, {_pytext('poly_mse', 4)} AS poly_mse_text,
+       {_pytext('rf_mse', 4)} AS rf_mse_text, {_pytext(_r2('linear_mse'), 4)} AS linear_r2_text,
+       {_pytext(_r2('poly_mse'), 4)} AS poly_r2_text, {_pytext(_r2('rf_mse'), 4)} AS rf_r2_text
+FROM m"""
+
 # Temporal output columns rendered as ISO text (queries.finalize does the same).
 DATE_COLUMNS = ("date", "anchor", "trading_day")
 TIMESTAMP_COLUMNS = ("ts", "earliest", "latest", "as_of")

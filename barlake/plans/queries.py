@@ -510,6 +510,18 @@ def q_stream_latest_state(spark, sf_dir):
     return state.live_view(ingest.read_sink(spark, sink, "log"))
 
 
+@register("indicator_card_text")
+def q_indicator_card_text(spark, sf_dir):
+    """Indicator card strings (Python-style rounding of the binary value)."""
+    return datasets.indicator_card_text(fx.bars_daily(spark, sf_dir))
+
+
+@register("metrics_text")
+def q_metrics_text(spark, sf_dir):
+    """Model metric strings rounded to 4 places."""
+    return datasets.metrics_text(fx.bars_daily(spark, sf_dir))
+
+
 @register("symbol_count")
 def q_symbol_count(spark, sf_dir):
     """Number of distinct symbols in the long-history catalog."""

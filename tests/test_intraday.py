@@ -60,3 +60,12 @@ def test_magnitude_text(spark):
     df = spark.createDataFrame([(999.0,), (1500.0,), (2_500_000.0,), (3e9,)], "v double")
     got = [r.t for r in df.select(magnitude_text("v").alias("t")).collect()]
     assert got == ["999.00", "1.50K", "2.50M", "3.00B"]
+
+
+def test_rounded_text_matches_python_round(spark):
+    from barlake.functions.expressions import rounded_text
+    vals = [0.0007, 0.00012, 5.0, 83.7349, 2.675, 1.005, 12345678.91234, -0.00071, 0.0, 1e-6, 0.001, 0.125]
+    df = spark.createDataFrame([(v,) for v in vals], "v double")
+    for places in (2, 4):
+        got = [r.t for r in df.select(rounded_text("v", places).alias("t")).collect()]
+        assert got == [str(round(v, places)) for v in vals]
