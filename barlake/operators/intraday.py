@@ -2,7 +2,7 @@
 
 (F10, F12, U10, A4, W4-W7.)  The clock is an explicit session day -- from an
 ``as_of`` value via :func:`session_day` or from the data via
-:func:`latest_session_day` (one global ``max`` in a scalar subquery) --
+:func:`latest_session_day` (one global ``max``, evaluated once) --
 instead of the machine's wall clock, so replays and tests agree.
 """
 
@@ -19,12 +19,16 @@ RECENT_FALLBACK = 100  # fixed value: bars shown when the session day is empty
 
 
 def latest_session_day(bars: DataFrame, ts: str = "ts") -> Column:
-    """Trading day of the latest bar time in the table, as one scalar subquery.
+    """Trading day of the latest bar time in the table, as a DATE literal.
 
-    The clock expression is evaluated inside the subquery, so the plan
-    references (and runs) the subquery once.
+    Evaluated once up front: one global ``max`` (map-side partial
+    aggregation, one value per task to the final step).  As a scalar
+    subquery it would be re-executed in every plan branch that uses the
+    session flag; as a literal it folds into the plan and can prune
+    partitions.  An empty table gives a NULL day (and empty views).
     """
-    return bars.agg(trading_day(F.max(ts))).scalar()
+    day = bars.agg(trading_day(F.max(ts)).alias("day")).first()["day"]
+    return F.lit(day).cast("date")
 
 
 def session_day(as_of: Column) -> Column:

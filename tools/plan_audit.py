@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from barlake.plans.queries import REGISTRY  # noqa: E402
 from barlake.session import get_session  # noqa: E402
 
-NODES = ["ShuffleExchange", "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin",
+NODES = ["BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin",
          "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct", "WindowGroupLimit",
          "Window", "HashAggregate", "SortAggregate", "ObjectHashAggregate", "Expand",
          "ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas", "TakeOrderedAndProject",
@@ -28,7 +28,11 @@ def audit(spark, name, sf):
     df.write.format("noop").mode("overwrite").save()
     qe = df._jdf.queryExecution()
     plan = qe.executedPlan().toString()
-    counts = {}
+    counts = {
+        "shuffles": len(re.findall(r"Exchange (hash|range|round)", plan)),
+        "single_partition": len(re.findall(r"Exchange SinglePartition", plan)),
+    }
+    counts = {k: v for k, v in counts.items() if v}
     for n in NODES:
         c = len(re.findall(rf"\b{n}\b", plan)) if n != "Window" else len(re.findall(r"\bWindow \[", plan))
         if c:
