@@ -3,7 +3,8 @@
 All adapters are aggregations or projections over the whole input table,
 so the work grows with the data.  Arrival order is explicit (``seq``); the
 first/last bar prices use ``min_by``/``max_by`` over a full tie-break
-struct, which Spark evaluates with partial (map-side) aggregation, so a
+(a flat decimal key for events, a struct for the five-column lineitem
+order), which Spark evaluates with partial (map-side) aggregation, so a
 hot symbol never lands whole in one task.
 
 Fault injection for envelopes and CSV rows (fixed values, chosen by the
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.functions.expressions import trunc_minute_ntz
+from barlake.functions.expressions import trunc_minute_ntz, ts_tie_order_key
 
 FAULT_MODULUS = 50
 FAULT_NOT_JSON, FAULT_NO_OPEN, FAULT_NO_SYMBOL, FAULT_TEXT_VOLUME, FAULT_NAN_CLOSE, \
@@ -55,7 +56,7 @@ def bars_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(
         _user_symbol().alias("symbol"), F.to_date("ts").alias("date"),
         "ts", "event_id", F.col("value").alias("price"), F.lit(1).alias("vol"))
-    return _first_last_bar(ev, ["symbol", "date"], F.struct("ts", "event_id"))
+    return _first_last_bar(ev, ["symbol", "date"], ts_tie_order_key("ts", "event_id"))
 
 
 def bars_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +64,7 @@ def bars_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(
         _user_symbol().alias("symbol"), trunc_minute_ntz("ts").alias("bar_ts"),
         "ts", "event_id", F.col("value").alias("price"), F.lit(1).alias("vol"))
-    return (_first_last_bar(ev, ["symbol", "bar_ts"], F.struct("ts", "event_id"))
+    return (_first_last_bar(ev, ["symbol", "bar_ts"], ts_tie_order_key("ts", "event_id"))
             .withColumnRenamed("bar_ts", "ts"))
 
 
@@ -80,7 +81,7 @@ def bars_minute_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select(
         sym.alias("symbol"), trunc_minute_ntz("ts").alias("bar_ts"),
         "ts", "event_id", F.col("value").alias("price"), F.lit(1).alias("vol"))
-    return (_first_last_bar(ev, ["symbol", "bar_ts"], F.struct("ts", "event_id"))
+    return (_first_last_bar(ev, ["symbol", "bar_ts"], ts_tie_order_key("ts", "event_id"))
             .withColumnRenamed("bar_ts", "ts"))
 
 

@@ -49,3 +49,24 @@ def test_hot_symbol_windows_are_split_by_block(spark):
     biggest = per_day.agg({"count": "max"}).first()[0]
     total = hot.where("symbol = 'HOT'").count()
     assert biggest < total / 10  # one day block holds a small share of the hot symbol
+
+
+def test_event_bars_use_hash_aggregation(spark):
+    for adapter in (fx.bars_daily, fx.bars_minute, fx.bars_minute_hot):
+        plan = _plan(adapter(spark, SF_SMALL))
+        assert "SortAggregate" not in plan, adapter.__name__
+        assert "HashAggregate" in plan, adapter.__name__
+
+
+def test_ts_tie_order_key_sorts_like_ts_then_tie(spark):
+    import datetime as dt
+
+    from barlake.functions.expressions import ts_tie_order_key
+    ts = [dt.datetime(1900, 1, 1), dt.datetime(1969, 12, 31, 23, 59, 59, 999999),
+          dt.datetime(1970, 1, 1), dt.datetime(2024, 1, 1, 0, 0, 7, 179575), dt.datetime(9999, 12, 31), None]
+    ids = [-(2 ** 63), -1, 0, 1, 2 ** 63 - 1, None]
+    rows = [(t, i) for t in ts for i in ids]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, id bigint")
+    got = [(r.ts, r.id) for r in df.orderBy(ts_tie_order_key("ts", "id")).collect()]
+    want = sorted(rows, key=lambda r: (r[0] is None, r[0] or dt.datetime.min, r[1] is None, r[1] or 0))
+    assert got == want
