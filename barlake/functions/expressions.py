@@ -53,20 +53,24 @@ def trunc_minute_ntz(ts: str) -> Column:
     return F.expr(f"timestampadd(MICROSECOND, -CAST(extract(SECOND FROM `{ts}`) * 1000000 AS BIGINT), `{ts}`)")
 
 
-def ts_tie_order_key(ts: str, tie: str) -> Column:
+def ts_tie_order_key(ts: str, tie: str, nulls_first: bool = False) -> Column:
     """Exact ``DECIMAL(38,0)`` sort key equal in order to ``ORDER BY ts, tie``.
 
     ``ts`` microseconds fill the high digits and the BIGINT tie-break,
-    shifted by 2**63 to be non-negative, the low 20 digits; NULLs sort last
-    in both places.  A flat decimal key keeps ``min_by``/``max_by`` on
-    Spark's hash aggregation (a struct key forces a sort-based aggregate).
+    shifted to be positive, the low 20 digits.  NULLs sort last in both
+    places (SQL ``ASC`` default), or first with ``nulls_first`` (the order
+    Spark gives a ``struct(ts, tie)``).  A flat decimal key keeps
+    ``min_by``/``max_by`` on Spark's hash aggregation (a struct key forces
+    a sort-based aggregate).
     """
+    null_ts, null_tie = ("-300000000000000000", "0") if nulls_first else \
+        ("300000000000000000", "18446744073709551617")
     return F.expr(
         "CAST(coalesce(timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
-        f"`{ts}`), 300000000000000000) AS DECIMAL(38,0)) "
+        f"`{ts}`), {null_ts}) AS DECIMAL(38,0)) "
         "* CAST(100000000000000000000 AS DECIMAL(38,0)) "
-        f"+ coalesce(CAST(`{tie}` AS DECIMAL(38,0)) + CAST(9223372036854775808 AS DECIMAL(38,0)), "
-        "CAST(18446744073709551616 AS DECIMAL(38,0)))")
+        f"+ coalesce(CAST(`{tie}` AS DECIMAL(38,0)) + CAST(9223372036854775809 AS DECIMAL(38,0)), "
+        f"CAST({null_tie} AS DECIMAL(38,0)))")
 
 
 def hours_between(start: str, end: str) -> Column:

@@ -109,22 +109,24 @@ def quote_board(bars: DataFrame, ts: str = "ts", key: str = "symbol") -> DataFra
     """
     w = Window.partitionBy(key).orderBy(F.col(ts).desc())
     two = bars.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= 2)
+    # ``_r`` is unique per key, so per-column ``min_by`` picks one row and
+    # keeps every buffer fixed-width (hash aggregation)
     q = two.groupBy(key).agg(
-        F.min_by(F.struct(ts, "open", "high", "low", "close", "volume"), F.col("_r")).alias("last"),
+        *[F.min_by(c, F.col("_r")).alias(f"last_{c}") for c in (ts, "open", "high", "low", "close", "volume")],
         F.max(F.when(F.col("_r") == 2, F.col("close"))).alias("_prev"))
-    last_close = F.col("last.close")
+    last_close = F.col("last_close")
     prev = F.coalesce(F.col("_prev"), last_close)
     out = q.select(
         key,
-        F.col(f"last.{ts}").alias("as_of"),
+        F.col(f"last_{ts}").alias("as_of"),
         last_close.alias("price"),
         prev.alias("prev_close"),
         (last_close - prev).alias("change"),
         pct_change(last_close, prev).alias("change_pct"),
-        F.col("last.open").alias("open"),
-        F.col("last.low").alias("day_low"),
-        F.col("last.high").alias("day_high"),
-        F.col("last.volume").alias("volume"),
+        F.col("last_open").alias("open"),
+        F.col("last_low").alias("day_low"),
+        F.col("last_high").alias("day_high"),
+        F.col("last_volume").alias("volume"),
     )
     return out.select(
         "*",

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from barlake.functions.expressions import ts_tie_order_key
 from barlake.operators import cleanse
 from barlake.schema import ENVELOPE_SCHEMA
 
@@ -202,9 +203,9 @@ def snapshot_delta_outputs(classified: DataFrame, batch_id: int) -> dict[str, Da
     if batch_id == 0:
         out = bars
     else:
-        last = F.max_by(F.struct("ts", "seq", "open", "high", "low", "close", "volume"),
-                        F.struct("ts", "seq"))
-        out = bars.groupBy("symbol").agg(last.alias("b")).select("symbol", "b.*")
+        order = ts_tie_order_key("ts", "seq", nulls_first=True)
+        cols = ("ts", "seq", "open", "high", "low", "close", "volume")
+        out = bars.groupBy("symbol").agg(*[F.max_by(c, order).alias(c) for c in cols])
     return {"cycles": out.withColumn("cycle", F.lit(batch_id))}
 
 

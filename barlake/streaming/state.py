@@ -113,6 +113,10 @@ def start_live_state(arrivals: DataFrame, sink: str, checkpoint: str,
 
 def live_view(log: DataFrame) -> DataFrame:
     """Current live table from the event log: the latest event per (symbol, date) if an upsert."""
-    last = keep_last(log.drop("batch_id"), ["symbol", "date"], "event_seq")
-    return last.where(F.col("op") == "upsert").select(
+    # a boolean flag instead of the string ``op`` keeps the keep-last
+    # aggregate on fixed-width buffers (hash, not sort, aggregation)
+    flagged = log.select(*[c for c in log.columns if c not in ("batch_id", "op")],
+                         (F.col("op") == "upsert").alias("_upsert"))
+    last = keep_last(flagged, ["symbol", "date"], "event_seq")
+    return last.where(F.col("_upsert")).select(
         "symbol", "date", "seq", "open", "high", "low", "close", "volume")

@@ -61,12 +61,25 @@ def test_event_bars_use_hash_aggregation(spark):
 def test_ts_tie_order_key_sorts_like_ts_then_tie(spark):
     import datetime as dt
 
+    from pyspark.sql import functions as F
+
     from barlake.functions.expressions import ts_tie_order_key
     ts = [dt.datetime(1900, 1, 1), dt.datetime(1969, 12, 31, 23, 59, 59, 999999),
           dt.datetime(1970, 1, 1), dt.datetime(2024, 1, 1, 0, 0, 7, 179575), dt.datetime(9999, 12, 31), None]
     ids = [-(2 ** 63), -1, 0, 1, 2 ** 63 - 1, None]
     rows = [(t, i) for t in ts for i in ids]
     df = spark.createDataFrame(rows, "ts timestamp_ntz, id bigint")
-    got = [(r.ts, r.id) for r in df.orderBy(ts_tie_order_key("ts", "id")).collect()]
-    want = sorted(rows, key=lambda r: (r[0] is None, r[0] or dt.datetime.min, r[1] is None, r[1] or 0))
-    assert got == want
+    for nulls_first in (False, True):
+        got = [(r.ts, r.id) for r in df.orderBy(ts_tie_order_key("ts", "id", nulls_first)).collect()]
+        want = sorted(rows, key=lambda r: ((r[0] is None) != nulls_first, r[0] or dt.datetime.min,
+                                           (r[1] is None) != nulls_first, r[1] or 0))
+        assert got == want, nulls_first
+    # nulls-first matches Spark's own struct ordering
+    by_struct = [(r.ts, r.id) for r in df.orderBy(F.struct("ts", "id")).collect()]
+    assert by_struct == [(r.ts, r.id) for r in df.orderBy(ts_tie_order_key("ts", "id", True)).collect()]
+
+
+def test_keep_last_and_quote_aggregates_are_hash_based(spark):
+    for name in ("quote_board", "dedup_keep_last"):
+        plan = _plan(REGISTRY[name](spark, SF_SMALL))
+        assert "SortAggregate" not in plan, name
