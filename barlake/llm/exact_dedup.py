@@ -19,15 +19,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.llm.shared import ASCII_SPACE, col, text_of
+from barlake.llm.shared import ASCII_SPACE, col, stored, text_of
 
 # Counters per Misra-Gries summary, digests kept from it, and first-level salts.
 SKETCH_ITEMS = 4096
 HEAVY_LIMIT = 1000
 SALTS = 64
 
-DECISIONS = ["keep_id", "group_size", "kept", "text_sha256"]
-
 
 def text_digest(text: Column) -> Column:
     """Lower-case hex SHA-256 of the text with each ASCII space run as one space."""
@@ -43,55 +41,66 @@ def frequent_digests(rows: DataFrame, digest: str) -> DataFrame:
     return whole.select(item).where("_e.count > 1").select(F.col("_e.item").alias("_heavy"))
 
 
-def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Decide for every row whether it stays.
+def digests(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``_id`` and ``_sha`` of every row, written once: the texts are read and hashed one time."""
+    return stored(docs.select(col(id_col).alias("_id"), text_digest(text_of(text_col)).alias("_sha")), "digests")
 
-    Returns all columns of ``docs`` and ``keep_id`` (id of the row that
-    stays), ``group_size`` (rows with an equal text), ``kept`` and
-    ``text_sha256``; input columns of those four names are replaced.
 
-    Null text counts as empty.  Of equal texts the smallest id stays; null
-    ids come last, and a group of null ids has a null ``keep_id``.  Rows that
-    repeat id and text are copies like any other: exactly one has ``kept``.
-    An empty table gives an empty result.  ``docs`` must read the same rows
-    in the same partitions each time (a table or a checkpoint), as its scan
-    order is the last tie-break.
+def heavy_winners(rows: DataFrame) -> DataFrame:
+    """Verified frequent digests: ``_won``, the smallest id ``_keep`` and the group's ``_size``."""
+    heavy = frequent_digests(rows, "_sha")
+    return (rows.join(F.broadcast(heavy), F.xxhash64("_sha") == F.col("_heavy"), "left_semi")
+            .groupBy("_sha").agg(F.min("_id").alias("_keep"), F.count(F.lit(1)).alias("_size"))
+            .select(F.col("_sha").alias("_won"), "_keep", "_size"))
+
+
+def split_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(copies of heavy digests, settled map-side; all rows that still go through a shuffle).
+
+    The second part holds one row per heavy digest, its smallest id, besides
+    the rows of all other digests.
     """
-    carried = [c for c in docs.columns if c not in DECISIONS]
-    rows = docs.select(
-        *[col(c).alias(f"_in{i}") for i, c in enumerate(carried)],
-        F.struct(col(id_col).isNull().alias("no_id"), col(id_col).alias("id"),
-                 F.monotonically_increasing_id().alias("row")).alias("_order"),
-        text_digest(text_of(text_col)).alias("_sha"))
+    split = rows.join(F.broadcast(heavy_winners(rows.select("_id", "_sha"))), F.col("_sha") == F.col("_won"), "left")
+    copy = F.col("_won").isNotNull() & ~F.col("_id").eqNullSafe(F.col("_keep"))
+    return split.where(copy), split.where(~copy)
 
-    heavy = frequent_digests(rows, "_sha")
-    winners = (rows.join(F.broadcast(heavy), F.xxhash64("_sha") == F.col("_heavy"), "left_semi")
-               .groupBy("_sha").agg(F.min("_order").alias("_first"), F.count(F.lit(1)).alias("_size"))
-               .select(F.col("_sha").alias("_won"), "_first", "_size"))
-    split = rows.join(F.broadcast(winners), F.col("_sha") == F.col("_won"), "left")
 
-    out = [F.col(f"_in{i}").alias(c) for i, c in enumerate(carried)]
+def mark_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per row of ``docs``: does it stay, and for which row does it go.
 
-    def decided(df: DataFrame) -> DataFrame:
-        return df.select(*out, F.col("_first.id").alias("keep_id"), F.col("_size").alias("group_size"),
-                         (F.col("_order.row") == F.col("_first.row")).alias("kept"),
-                         F.col("_sha").alias("text_sha256"))
+    Columns: the id, ``keep_id`` (id of the row that stays), ``group_size``
+    (rows with an equal text), ``kept`` and ``text_sha256``.
 
-    large = decided(split.where(F.col("_won").isNotNull()))
+    Null text counts as empty.  Of equal texts the smallest id stays; null
+    ids come last, and a group of null ids only has a null ``keep_id``.  Rows
+    that repeat id and text are copies like any other: exactly one has
+    ``kept``.  An empty table gives an empty result; other columns of
+    ``docs`` are not used.
+    """
+    copies, rest = split_rows(digests(docs, id_col, text_col))
     by_digest = Window.partitionBy("_sha")
-    rest = decided(split.where(F.col("_won").isNull()).drop("_first", "_size")
-                   .withColumn("_first", F.min("_order").over(by_digest))
-                   .withColumn("_size", F.count(F.lit(1)).over(by_digest)))
-    return large.unionByName(rest)
+    first = by_digest.orderBy(F.col("_id").asc_nulls_last())
+    decided = rest.select(
+        "_id", "_sha", F.coalesce("_keep", F.min("_id").over(by_digest)).alias("_keep"),
+        F.coalesce("_size", F.count(F.lit(1)).over(by_digest)).alias("_size"),
+        (F.row_number().over(first) == 1).alias("_kept"))
+    lost = copies.select("_id", "_sha", "_keep", "_size", F.lit(False).alias("_kept"))
+    return lost.unionByName(decided).select(
+        F.col("_id").alias(id_col), F.col("_keep").alias("keep_id"), F.col("_size").alias("group_size"),
+        F.col("_kept").alias("kept"), F.col("_sha").alias("text_sha256"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with the columns of ``docs``."""
-    marked = mark_copies(docs, id_col, text_col).where("kept")
-    lost = [c for c in DECISIONS if c in docs.columns]
-    if lost:  # a clashing input column would be replaced, so carry it under another name
-        names = {c: f"_own_{i}" for i, c in enumerate(lost)}
-        marked = mark_copies(docs.withColumnsRenamed(names), id_col, text_col).where("kept")
-        return marked.drop(*lost).withColumnsRenamed({v: k for k, v in names.items()}).select(
-            *[col(c) for c in docs.columns])
-    return marked.select(*[col(c) for c in docs.columns])
+    """The rows of ``docs`` that stay (see :func:`mark_copies`), with the columns of ``docs``.
+
+    Copies of heavy digests are filtered before the shuffle; the texts of all
+    other rows are moved once.
+    """
+    rows = docs.select(*[col(c).alias(f"_in{i}") for i, c in enumerate(docs.columns)],
+                       col(id_col).alias("_id"), text_digest(text_of(text_col)).alias("_sha"))
+    winners = heavy_winners(digests(docs, id_col, text_col))
+    ahead = (rows.join(F.broadcast(winners), F.col("_sha") == F.col("_won"), "left")
+             .where(F.col("_won").isNull() | F.col("_id").eqNullSafe(F.col("_keep"))))
+    first = Window.partitionBy("_sha").orderBy(F.col("_id").asc_nulls_last())
+    return (ahead.withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
+            .select(*[F.col(f"_in{i}").alias(c) for i, c in enumerate(docs.columns)]))

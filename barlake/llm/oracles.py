@@ -10,3 +10,37 @@ SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = min(doc_id) OVER g AS kept, text_sha256
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """
+
+ORACLES["op1_decontaminate"] = r"""
+WITH fold AS (
+  SELECT 'D' AS side, doc_id AS id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+  UNION ALL
+  SELECT 'B', item_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')
+  FROM benchmark),
+wins AS (
+  SELECT DISTINCT id AS item, least(len(w), 10) AS width, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+  FROM (SELECT id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM fold WHERE side = 'B' AND len(w) > 0)),
+widths AS (SELECT DISTINCT width FROM wins),
+places AS (
+  SELECT id AS doc_id, width, unnest(range(1, len(w) - width + 2)) AS i, w
+  FROM fold, widths WHERE side = 'D' AND len(w) >= width),
+hits AS (
+  SELECT p.doc_id, p.i, p.width, wins.item
+  FROM places p JOIN wins ON wins.width = p.width AND wins.win = array_to_string(p.w[p.i:p.i + p.width - 1], ' ')),
+words_hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT DISTINCT doc_id, unnest(range(i, i + width)) AS p FROM hits) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT doc_id, CAST(item AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT f.id AS doc_id, CAST(len(f.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit,
+       coalesce(n.n_items, 0) AS n_items, sha256(coalesce(n.ids, '')) AS items_sha256,
+       coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM fold f LEFT JOIN words_hit h ON h.doc_id = f.id LEFT JOIN items n ON n.doc_id = f.id
+WHERE f.side = 'D'
+"""

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from barlake.llm import exact_dedup
+from barlake.llm import decontaminate, exact_dedup, simhash
 from barlake.llm.shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,8 +18,25 @@ def query(fn):
     return fn
 
 
+@query
+def op1_decontaminate(spark, sf_dir):
+    """One row per document: words inside any 10-word benchmark window."""
+    marked = decontaminate.mark_contaminated(
+        table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", "n_words", "n_hit", "n_items",
+                         F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+                         "contaminated")
+
+
 @query
 def op2_exact_dedup(spark, sf_dir):
     """One row per document: which copy stays and how many there are."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return exact_dedup.mark_copies(docs).select("doc_id", *exact_dedup.DECISIONS)
+    return exact_dedup.mark_copies(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_simhash_near_dedup(spark, sf_dir):
+    """One row per document: 64-bit fingerprint and smallest document reachable over links of 3 bits."""
+    group = simhash.near_groups(table(spark, sf_dir, "documents"))
+    return group.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        F.col("first.id").alias("component_id"))
