@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import decontaminate, exact_dedup, simhash
-from barlake.llm.shared import table
+from barlake.llm import decontaminate, exact_dedup, langid, quality, records, sentencepiece, simhash
+from barlake.llm.shared import fold_of, table
+
+# Vocabulary files of public tokenizers, never copied into the repository.
+TOKENIZERS = "/opt/tokenizers"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -40,3 +43,34 @@ def op8_simhash_near_dedup(spark, sf_dir):
     group = simhash.near_groups(table(spark, sf_dir, "documents"))
     return group.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                         F.col("first.id").alias("component_id"))
+
+
+@query
+def op3_language_id(spark, sf_dir):
+    """One row per document: predicted language; every fifth document by hash is held out of learning."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold_of("doc_id", 5) == 0
+    profiles = langid.learn(docs, ~held_out)
+    return langid.identify(docs.withColumn("held_out", held_out), profiles, carry=("held_out",))
+
+
+@query
+def op4_token_records(spark, sf_dir):
+    """One row per document, read back from the record files: where its ids start, how many, their crc32."""
+    manifest = records.write_records(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return records.read_records(spark, manifest)
+
+
+@query
+def op6_sentencepiece(spark, sf_dir):
+    """One row per document: ids of its whole text, decoded again and compared with the reference library."""
+    return sentencepiece.encode_documents(
+        table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", with_ids=False)
+
+
+@query
+def op9_quality(spark, sf_dir):
+    """One row per document: calibrated views, their combination and the decision."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score_documents(docs, model).select("doc_id", *quality.SCORES)

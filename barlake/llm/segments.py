@@ -29,23 +29,15 @@ class SegmentCache:
 
     def _group(self, texts: list[str]) -> Iterator[bytes]:
         parts = [self.split(t) for t in texts]
-        missing = set().union(*map(set, parts)).difference(self.known)
-        known = self.known
-        if missing:
-            order = sorted(missing)
-            fresh = dict(zip(order, self.encode_many(order)))
-            if len(known) + len(fresh) > self.limit:
-                kept = set().union(*map(set, parts)).difference(fresh)
-                known = {s: known[s] for s in kept}
-            if len(known) + len(fresh) > self.limit:  # one group alone is over the limit: don't keep it
-                known = {**known, **fresh}
-                self.known = {}
-            else:
-                known.update(fresh)
-                self.known = {s: v for s, v in known.items() if len(s) <= CACHE_CHARS} if any(
-                    len(s) > CACHE_CHARS for s in fresh) else known
-        for p in parts:
-            yield b"".join([known[s] for s in p])
+        found = [list(map(self.known.get, p)) for p in parts]
+        missing = sorted({s for p, f in zip(parts, found) if None in f for s, v in zip(p, f) if v is None})
+        fresh = dict(zip(missing, self.encode_many(missing))) if missing else {}
+        for p, f in zip(parts, found):
+            yield b"".join([fresh[s] if v is None else v for s, v in zip(p, f)] if None in f else f)
+        if len(self.known) + len(fresh) > self.limit:
+            self.known = {}
+        if len(fresh) <= self.limit:
+            self.known.update((s, v) for s, v in fresh.items() if len(s) <= CACHE_CHARS)
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, in order."""
