@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import decontaminate, exact_dedup, langid, quality, records, sentencepiece, simhash
+from barlake.llm import decontaminate, exact_dedup, langid, lm, pii, quality, records, secret_scan, sentencepiece, simhash
 from barlake.llm.shared import fold_of, table
 
 # Vocabulary files of public tokenizers, never copied into the repository.
@@ -61,6 +61,16 @@ def op4_token_records(spark, sf_dir):
     return records.read_records(spark, manifest)
 
 
+@query
+def op5_secret_scan(spark, sf_dir):
+    """One row per document: candidates, secrets the forest accepts, and their spans."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    spans = F.array_join(F.transform("secrets", lambda s: F.concat_ws(
+        ":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select("doc_id", "n_candidates", F.size("secrets").cast("bigint").alias("n_secrets"),
+                        spans.alias("spans"))
+
+
 @query
 def op6_sentencepiece(spark, sf_dir):
     """One row per document: ids of its whole text, decoded again and compared with the reference library."""
@@ -74,3 +84,24 @@ def op9_quality(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return quality.score_documents(docs, model).select("doc_id", *quality.SCORES)
+
+
+@query
+def op7_lm_score(spark, sf_dir):
+    """One row per document: base and interpolated log10 probability; every tenth by hash is held out."""
+    return lm.score_documents(table(spark, sf_dir, "documents"), fold_of("doc_id", 10) == 0)
+
+
+@query
+def op10_pii(spark, sf_dir):
+    """One row per document: base spans by kind, their digest, and all spans."""
+    found = pii.find_spans(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str):
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("bigint")
+
+    counts = [count(k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts,
+                        F.sha2(pii.span_text(base).cast("binary"), 256).alias("base_sha256"),
+                        pii.span_text(F.col("spans")).alias("spans"))

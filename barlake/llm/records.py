@@ -80,6 +80,39 @@ def encoder(spec: str) -> Encoder:
     return Encoder(spec)
 
 
+class ShardWriter:
+    """A record file and its index, opened with the first record."""
+
+    def __init__(self, folder: str, name: str):
+        self.system, base = fs.FileSystem.from_uri(folder)
+        self.base, self.folder, self.name = f"{base}/{name}", base, name
+        self.out = self.index = None
+        self.bytes = self.docs = self.tokens = 0
+
+    def add(self, doc: int | None, ids: np.ndarray, width: int) -> None:
+        if self.out is None:
+            self.system.create_dir(self.folder, recursive=True)
+            self.out, self.index = (self.system.open_output_stream(self.base + x) for x in ("", ".idx"))
+        payload = HEAD.pack(width, doc is None, doc or 0) + ids.astype(f"<u{width}").tobytes()
+        size = LENGTH.pack(len(payload))
+        self.out.write(size + masked(size) + payload + masked(payload))
+        self.index.write(ENTRY.pack(self.bytes, len(ids)))
+        self.bytes += record_size(payload)
+        self.docs, self.tokens = self.docs + 1, self.tokens + len(ids)
+
+    def close(self) -> bool:
+        """True if there is a file."""
+        if self.out is None:
+            return False
+        self.out.close()
+        self.index.close()
+        return True
+
+
+def record_size(payload: bytes) -> int:
+    return len(payload) + LENGTH.size + 2 * CHECKSUM.size
+
+
 def write_records(docs: DataFrame, tokenizer_path: str, folder: str | None = None, id_col: str = "doc_id",
                   text_col: str = "text", end_id: int = END_ID) -> DataFrame:
     """Encode every whole text and write record and index files; returns the manifest.
@@ -105,32 +138,18 @@ def write_records(docs: DataFrame, tokenizer_path: str, folder: str | None = Non
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(spec.value)
-        system, base = fs.FileSystem.from_uri(target)
-        name = f"shard-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex[:12]}.rec"
-        kind = "<u2" if own.width == 2 else "<u4"
+        shard = TaskContext.get().partitionId()
+        writer = ShardWriter(target, f"shard-{shard:06d}-{uuid.uuid4().hex[:12]}.rec")
         end = np.array([end_id], dtype="<u4")
-        out = index = None
-        at = n_docs = n_tokens = 0
         for whole in batches:
             for k in range(0, whole.num_rows, ROWS_AT_ONCE):
                 b = whole.slice(k, ROWS_AT_ONCE)
-                if out is None:
-                    system.create_dir(base, recursive=True)
-                    out, index = (system.open_output_stream(f"{base}/{name}{x}") for x in ("", ".idx"))
                 for doc, ids in zip(b.column("id").to_pylist(), own.cache.encode(b.column("text").to_pylist())):
-                    seq = np.append(np.frombuffer(ids, dtype="<u4"), end)
-                    payload = HEAD.pack(own.width, doc is None, doc or 0) + seq.astype(kind).tobytes()
-                    size = LENGTH.pack(len(payload))
-                    out.write(size + masked(size) + payload + masked(payload))
-                    index.write(ENTRY.pack(at, len(seq)))
-                    at += len(payload) + LENGTH.size + 2 * CHECKSUM.size
-                    n_docs, n_tokens = n_docs + 1, n_tokens + len(seq)
-        if out is not None:
-            out.close()
-            index.close()
+                    writer.add(doc, np.append(np.frombuffer(ids, dtype="<u4"), end), own.width)
+        if writer.close():
             yield pa.RecordBatch.from_pydict({
-                "shard": pa.array([TaskContext.get().partitionId()], pa.int32()),
-                "path": [f"{target.rstrip('/')}/{name}"], "docs": [n_docs], "tokens": [n_tokens], "bytes": [at]})
+                "shard": pa.array([shard], pa.int32()), "path": [f"{target.rstrip('/')}/{writer.name}"],
+                "docs": [writer.docs], "tokens": [writer.tokens], "bytes": [writer.bytes]})
 
     return stored(ordered.mapInArrow(of, "shard int, path string, docs bigint, tokens bigint, bytes bigint"),
                   "manifest")
@@ -164,6 +183,21 @@ def read_at(path: str, numbers: list[int]) -> Iterator[tuple[int | None, np.ndar
             yield sequence(frame(records))
 
 
+def read_shard(path: str, docs: int) -> Iterator[tuple[int | None, np.ndarray]]:
+    """All records of one file in order; raises unless index, lengths and checksums agree."""
+    system, base = fs.FileSystem.from_uri(path)
+    with system.open_input_stream(base) as records, system.open_input_stream(f"{base}.idx") as index:
+        at = 0
+        for _ in range(docs):
+            offset, n = ENTRY.unpack(index.read(ENTRY.size))
+            payload = frame(records)
+            doc, ids = sequence(payload)
+            if offset != at or n != len(ids):
+                raise ValueError("index and records differ")
+            at += record_size(payload)
+            yield doc, ids
+
+
 def read_records(spark: SparkSession, manifest: DataFrame, with_ids: bool = False) -> DataFrame:
     """Read all record files back, one task per file, with every checksum verified.
 
@@ -183,24 +217,16 @@ def read_records(spark: SparkSession, manifest: DataFrame, with_ids: bool = Fals
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, docs, begin in zip(*(b.column(i).to_pylist() for i in range(3))):
-                system, base = fs.FileSystem.from_uri(path)
-                with system.open_input_stream(base) as records, system.open_input_stream(f"{base}.idx") as index:
-                    rows, at, held = [], 0, 0
-                    for _ in range(docs):
-                        offset, n = ENTRY.unpack(index.read(ENTRY.size))
-                        payload = frame(records)
-                        doc, ids = sequence(payload)
-                        if offset != at or n != len(ids):
-                            raise ValueError("index and records differ")
-                        at += len(payload) + LENGTH.size + 2 * CHECKSUM.size
-                        rows.append((doc, begin, n, zlib.crc32(ids.tobytes()), *([ids.tolist()] if with_ids else [])))
-                        begin += n
-                        held += n
-                        if len(rows) >= ROWS_AT_ONCE or held > 1 << 20:
-                            yield pack(rows)
-                            rows, held = [], 0
-                    if rows:
+                rows, held = [], 0
+                for doc, ids in read_shard(path, docs):
+                    rows.append((doc, begin, len(ids), zlib.crc32(ids.tobytes()), *([ids.tolist()] if with_ids else [])))
+                    begin += len(ids)
+                    held += len(ids)
+                    if len(rows) >= ROWS_AT_ONCE or held > 1 << 20:
                         yield pack(rows)
+                        rows, held = [], 0
+                if rows:
+                    yield pack(rows)
 
     def pack(rows: list[tuple]) -> pa.RecordBatch:
         arrays = [pa.array(list(c), pa.list_(pa.int64()) if n == "ids" else pa.int64())
