@@ -55,7 +55,7 @@ def benchmark_windows(benchmark: DataFrame, id_col: str, text_col: str, window:
     items = benchmark.select(F.coalesce(col(id_col).cast("string"), F.lit("")).alias("item"),
                              words_of(text_of(text_col)).alias("words")).where(F.size("words") > 0)
     starts = F.sequence(F.lit(1), F.greatest(F.size("words") - (window - 1), F.lit(1)))
-    win = items.select("item", F.explode(F.transform(
+    win = items.select("item", F.explode_outer(F.transform(
         starts, lambda i: F.slice(F.col("words"), i, window))).alias("win"))
     return (win.groupBy("win").agg(F.collect_set("item").alias("items"))
             .withColumn("width", F.size("win")))
@@ -69,7 +69,7 @@ def window_tokens(windows: DataFrame, shingle: int) -> DataFrame:
     arrays = F.when(F.col("width") >= shingle, of(shingle))
     for length in range(1, shingle):
         arrays = arrays.when(F.col("width") == length, of(length))
-    return windows.select("win", "width", "items", F.inline(arrays))
+    return windows.select("win", "width", "items", F.inline_outer(arrays))
 
 
 def document_tokens(words: Column, lengths: list[int]) -> Column:
@@ -110,13 +110,17 @@ def mark_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
 
     rows = docs.select(col(id_col).alias("_id"), F.monotonically_increasing_id().alias("_row"),
                        F.xxhash64(text_of(text_col)).alias("_key"), words_of(text_of(text_col)).alias("_words"))
-    exploded = rows.select("_id", "_row", "_key", "_words", F.posexplode(
-        document_tokens(F.col("_words"), lengths)).alias("_pos", "_token"))
+    # The tokens are a column of their own: Spark then runs explode, join and bounds as one generated
+    # loop that points at the document's words, instead of copying them for every token.  The outer
+    # explode (no array is empty) keeps Spark from adding a filter that would tokenise each text again,
+    # and once for every shingle.
+    shingled = rows.withColumn("_tokens", document_tokens(F.col("_words"), lengths))
+    exploded = shingled.select("_id", "_row", "_key", "_words", F.posexplode_outer("_tokens").alias("_pos", "_token"))
 
     def block(df: DataFrame, token: str, b: int) -> DataFrame:
         return df if blocks == 1 else df.where(F.pmod(F.col(token), F.lit(blocks)) == b)
 
-    seen = rows.select(F.explode(document_tokens(F.col("_words"), lengths)).alias("_token"))
+    seen = shingled.select(F.explode_outer("_tokens").alias("_token"))
     asked = tokens.select("token").distinct()
     counts = reduce(DataFrame.unionByName, [
         seen.join(F.broadcast(block(asked, "token", b)), F.col("_token") == F.col("token"))

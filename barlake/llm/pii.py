@@ -90,7 +90,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     empty = F.filter(F.array(none), lambda s: F.lit(False))
     rows = (docs.select(col(id_col).alias("id"), F.monotonically_increasing_id().alias("row"),
                         text_of(text_col).alias("text"))
-            .select("id", "row", F.inline(reduce(F.concat, [F.coalesce(f, empty) for f in found], F.array(none)))))
+            .select("id", "row", F.inline_outer(reduce(F.concat, [F.coalesce(f, empty) for f in found], F.array(none)))))
     kept = stored(rows, "pii-matches")
     in_order = Window.partitionBy("row", "pattern").orderBy("nth")
     size = F.length("m").cast("bigint")

@@ -106,8 +106,8 @@ def rule(word: str, before: str, known: float) -> float | None:
 
 def frequent_words(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY) -> set[str]:
     """The ``size`` most frequent words of letters over all texts; ties by word."""
-    words = docs.select(F.explode(F.regexp_extract_all(
-        F.lower(text_of(text_col)), F.lit(r"(?<![a-z0-9])[a-z]{3,16}(?![a-z0-9])"), F.lit(0))).alias("w"))
+    words = docs.select(F.explode_outer(F.regexp_extract_all(
+        F.lower(text_of(text_col)), F.lit(r"(?<![a-z0-9])[a-z]{3,16}(?![a-z0-9])"), F.lit(0))).alias("w")).where("w IS NOT NULL")
     top = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "w").limit(size)
     return {r["w"] for r in top.collect()}
 

@@ -1,0 +1,63 @@
+import random
+import re
+
+from barlake.llm import pii as P
+
+PLAIN = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+         "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def luhn(d):
+    return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+
+
+def passes(kind, m):
+    d = re.sub("[^0-9]", "", m)
+    if kind == "ip":
+        return all(int(x) <= 255 for x in m.split("."))
+    return {"email": True, "card": 16 <= len(d) <= 19 and luhn(d), "phone": 8 <= len(d) <= 15}[kind]
+
+
+def brute(text):
+    return [(k, m.start(), m.end()) for k, p in PLAIN.items() for m in re.finditer(p, text or "") if passes(k, m[0])]
+
+
+def base(row):
+    return [(s["kind"], s["start"], s["end"]) for s in row["spans"] if s["base"]]
+
+
+def test_base_spans_match_the_plain_patterns(spark):
+    rnd = random.Random(3)
+    bits = ["a", "b.c", "@", ".", "1", "12", "255", "256", "4111111111111111", " ", "-", "+", "+1", "(555", ") ", "0",
+            "é", "😀", "x@y.z", "%", "_", "1.2.3.4", "999", "\n", "name (at) host (dot) com", "555-123-4567", "call ",
+            "378282246310005", "00255", ".0."]
+    rows = [(i, "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 25)))) for i in range(1500)]
+    rows += [(2000, None), (2001, ""), (2002, "1" * 20000), (2003, "a" * 30000 + "@"), (2004, "+1" + " " * 20000),
+             (2005, "1 " * 20000), (2006, "a@" + "b." * 20000), (2007, "a@b.cd_x@e.f")]
+    got = {r["doc_id"]: base(r) for r in P.find_spans(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: brute(t) for i, t in rows}
+
+
+def test_loose_spans_are_added_and_clear_of_base_ones(spark):
+    rows = [(i, f"please call our phone 555-123-{4000 + i} or e-mail me{i}@mail.com today") for i in range(60)]
+    rows += [(100 + i, f"part no 212-555-{1000 + i}x see order {i}") for i in range(20)]
+    rows += [(200, "phone +1 (555) 555-1234 x"), (201, "mail jane.roe (at) example (dot) org now")]
+    got = {r["doc_id"]: r["spans"] for r in P.find_spans(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all([(s["kind"], s["base"]) for s in got[i]] == [("email", True), ("phone", False)] for i in range(60))
+    assert [(s["kind"], s["base"]) for s in got[200]] == [("phone", True)]
+    for spans in got.values():
+        order = [(s["order"], s["start"]) for s in spans]
+        assert order == sorted(order)
+
+
+def test_em_trusts_the_labelers_that_agree():
+    post = P.reliabilities([("email", (1, 1, 1), 50), ("email", (1, 1, 0), 40), ("email", (-1, -1, 0), 40),
+                            ("email", (-1, -1, 1), 5), ("email", (0, 1, -1), 3)])
+    assert post["email", (1, 1, 1)] > 0.9 and post["email", (-1, -1, 0)] < 0.1 and post["email", (-1, -1, 1)] < 0.5
+    assert P.reliabilities([]) == {}
+
+
+def test_edges(edge_docs, edge_rows, no_docs):
+    got = P.find_spans(edge_docs).collect()
+    assert len(got) == len(edge_rows) and all(base(r) == [] for r in got)
+    assert P.find_spans(no_docs).count() == 0

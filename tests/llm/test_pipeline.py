@@ -1,0 +1,51 @@
+from pyspark.sql import functions as F
+
+import corpus_pipeline as C
+from barlake.llm.queries import QUERIES
+from barlake.llm.shared import stored, table
+from tests.conftest import SF_SMALL
+from tests.llm.test_decontaminate import brute
+from tests.llm.test_exact_dedup import normal
+from tests.llm.test_simhash import brute_components, brute_print
+
+
+def test_stages_against_brute_force(spark):
+    docs = table(spark, SF_SMALL, "documents")
+    columns = docs.columns
+    seen = []
+    for name, stage in C.STAGES:
+        docs = stored(stage(spark, docs, SF_SMALL), name)
+        seen.append(docs)
+        assert docs is seen[-1] and (name == C.STAGES[-1][0] or docs.columns == columns)
+    texts = [{r["doc_id"]: r["text"] for r in d.select("doc_id", "text").collect()} for d in seen[:-1]]
+    scored = {r["doc_id"]: r["kept"] for r in QUERIES["op9_quality"](spark, SF_SMALL).collect()}
+    assert set(texts[0]) == {i for i, k in scored.items() if k} and 0 < len(texts[0]) < len(scored)
+
+    first = {}
+    for i in sorted(texts[0]):
+        first.setdefault(normal(texts[0][i]), i)
+    assert set(texts[1]) == set(first.values())
+
+    prints = {i: brute_print(t) for i, t in texts[1].items()}
+    groups = brute_components(set(prints.values()))
+    least = {}
+    for i in sorted(prints):
+        least.setdefault(frozenset(groups[prints[i]]), i)
+    assert set(texts[2]) == set(least.values())
+
+    items = [(r["item_id"], r["text"]) for r in table(spark, SF_SMALL, "benchmark").collect()]
+    assert set(texts[3]) == {i for i, _, hit, _ in brute(list(texts[2].items()), items) if not hit}
+
+    assert {r["doc_id"] for r in seen[4].collect()} == set(texts[3])
+    assert seen[4].where(~F.col("round_trip") | ~F.col("parity")).count() == 0
+    assert len(C.STAGES) == 5
+
+
+def test_stages_take_empty_and_null_documents(spark):
+    rows = [(None, None, None, None, None), (1, "", None, "s", 0), (2, "same text here", "en", None, 14),
+            (3, "same  text here", "en", "s", None), (3, "same  text here", "en", "s", None)]
+    for data in (rows, []):
+        docs = spark.createDataFrame(data, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+        for name, stage in C.STAGES:
+            docs = stored(stage(spark, docs, SF_SMALL), name)
+        assert docs.count() <= len(data)
