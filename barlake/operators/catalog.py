@@ -57,11 +57,19 @@ def symbol_search(bars: DataFrame, query: str, key: str = "symbol") -> DataFrame
 
 
 def coverage(bars: DataFrame, ts: str = "ts", key: str = "symbol") -> DataFrame:
-    """A1 + A2: per-symbol row count, distinct times and dates, first/last time, span in hours."""
-    return bars.groupBy(key).agg(
-        F.count(F.lit(1)).alias("count"),
-        F.count_distinct(ts).alias("unique_times"),
-        F.count_distinct(F.to_date(ts)).alias("unique_dates"),
-        F.min(ts).alias("earliest"),
-        F.max(ts).alias("latest"),
+    """A1 + A2: per-symbol row count, distinct times and dates, first/last time, span in hours.
+
+    Distinct times, then days, then symbols are aggregated in turn: each
+    level is pre-aggregated before its shuffle and no row is copied for a
+    second distinct count.
+    """
+    times = bars.groupBy(key, F.to_date(ts).alias("_day"), F.col(ts).alias("_ts")).agg(F.count(F.lit(1)).alias("_n"))
+    days = times.groupBy(key, "_day").agg(
+        F.sum("_n").alias("_n"), F.count("_ts").alias("_times"), F.min("_ts").alias("_first"), F.max("_ts").alias("_last"))
+    return days.groupBy(key).agg(
+        F.sum("_n").alias("count"),
+        F.sum("_times").alias("unique_times"),
+        F.count("_day").alias("unique_dates"),
+        F.min("_first").alias("earliest"),
+        F.max("_last").alias("latest"),
     ).withColumn("time_range_hours", hours_between("earliest", "latest"))

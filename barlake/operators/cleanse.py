@@ -28,13 +28,18 @@ REASONS = ["not_json", "missing_symbol", "missing_date", "bad_date",
            "nan_open", "nan_high", "nan_low", "nan_close", "nan_volume"]
 
 
+# Source position and producer cycle, carried along where the envelope has them.
+POSITION = ["partition", "cycle"]
+
+
 def decode_envelope(env: DataFrame) -> DataFrame:
     """message key/value bytes to text, keeping the source position."""
     return env.select(
         F.col("key").cast("string").alias("symbol_key"),
         F.col("value").cast("string").alias("json_data"),
         F.col("offset").alias("seq"),
-        F.col("timestamp").alias("msg_ts"))
+        F.col("timestamp").alias("msg_ts"),
+        *[F.col(c) for c in POSITION if c in env.columns])
 
 
 def parse_payload(decoded: DataFrame) -> DataFrame:
@@ -56,9 +61,9 @@ def parse_payload(decoded: DataFrame) -> DataFrame:
     no_field = F.lit(True)
     for f in fields:
         no_field = no_field & F.col(f).isNull()
-    return (decoded.select("symbol_key", "seq", "msg_ts", "json_data",
-                           F.inline(F.array(F.struct(data.alias("d")))))
-            .select("symbol_key", "seq", "msg_ts", "json_data", "d.*")
+    kept = ["symbol_key", "seq", "msg_ts", "json_data", *[c for c in POSITION if c in decoded.columns]]
+    return (decoded.select(*kept, F.inline(F.array(F.struct(data.alias("d")))))
+            .select(*kept, "d.*")
             .withColumn("is_json", ~(F.col(CORRUPT_COLUMN).isNotNull() & no_field))
             .drop(CORRUPT_COLUMN))
 
@@ -90,17 +95,19 @@ def classify(parsed: DataFrame, date_required: bool = True) -> DataFrame:
     return parsed.withColumn("reason", reject_reason(parsed, date_required))
 
 
-def to_bars(classified: DataFrame, default_time: bool = False) -> DataFrame:
+def to_bars(classified: DataFrame, default_time: bool = False,
+            keep: tuple[str, ...] = ()) -> DataFrame:
     """F3 + F6: valid rows as typed intraday bars (symbol, ts, seq, OHLCV).
 
     With ``default_time`` a missing Date takes the message timestamp.
+    ``keep`` names position columns to carry along.
     """
     ts = parse_bar_time("Date")
     if default_time:
         ts = F.when(F.col("Date").isNull(), F.col("msg_ts")).otherwise(ts)
     return classified.where(F.col("reason").isNull()).select(
         F.col("Symbol").alias("symbol"), ts.alias("ts"), "seq",
-        *[F.col(f.capitalize()).alias(f) for f in NUMERIC_FIELDS])
+        *[F.col(f.capitalize()).alias(f) for f in NUMERIC_FIELDS], *keep)
 
 
 def valid_bars(envelopes: DataFrame) -> DataFrame:

@@ -33,27 +33,23 @@ def keep_last(df: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
     return df.groupBy(*keys).agg(*[F.max_by(c, F.col(seq)).alias(c) for c in rest])
 
 
-GROUP_LIMIT_CONF = "spark.sql.optimizer.windowGroupLimitThreshold"
+TOP_SALTS = 32  # a symbol's arrivals are ranked in so many parts first
 
 
-def allow_group_limit(spark, k: int) -> None:
-    """Let Catalyst plan a partial ``WindowGroupLimit`` for ``row_number() <= k``.
+def retain_last_n(df: DataFrame, key: str = "symbol", seq: str = "seq",
+                  cap: int = LIVE_CAP, salts: int = TOP_SALTS) -> DataFrame:
+    """U8: the ``cap`` most recent arrivals of each symbol.
 
-    Spark only infers the map-side top-k below this threshold (1000 by
-    default); without it a symbol's rows would all be shuffled and sorted
-    in one task.
+    Two stages: the newest ``cap`` of each (symbol, salt), then of the
+    symbol, so the last task of a hot symbol sorts at most ``cap x salts``
+    rows however many arrived.
     """
-    current = int(spark.conf.get(GROUP_LIMIT_CONF, "1000"))
-    if current < k:
-        spark.conf.set(GROUP_LIMIT_CONF, str(k))
-
-
-def retain_last_n(df: DataFrame, key: str = "symbol", seq: str = "seq",
-                  cap: int = LIVE_CAP) -> DataFrame:
-    """U8: the ``cap`` most recent arrivals of each symbol."""
-    allow_group_limit(df.sparkSession, cap)
-    w = Window.partitionBy(key).orderBy(F.col(seq).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= cap).drop("_rn")
+    salt = F.pmod(F.xxhash64(seq), F.lit(salts))
+    part = Window.partitionBy(key, "_salt").orderBy(F.col(seq).desc())
+    whole = Window.partitionBy(key).orderBy(F.col(seq).desc())
+    newest = (df.withColumn("_salt", salt).withColumn("_rn", F.row_number().over(part))
+              .where(F.col("_rn") <= cap).drop("_salt", "_rn"))
+    return newest.withColumn("_rn", F.row_number().over(whole)).where(F.col("_rn") <= cap).drop("_rn")
 
 
 def live_state(arrivals: DataFrame, date_col: str = "date", seq: str = "seq",

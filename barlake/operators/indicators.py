@@ -17,6 +17,19 @@ from barlake.operators.windows import blocked_window, time_block
 ROLLING_ROWS = 3  # fixed value: 3-bar moving average / volatility
 
 
+def with_indicators(df: DataFrame, w: Window) -> DataFrame:
+    """The indicator columns over an ordered window of a symbol's bars."""
+    w3 = w.rowsBetween(-(ROLLING_ROWS - 1), 0)
+    prev = F.lag("close", 1).over(w)
+    return df.select(
+        "*",
+        prev.alias("prev_close"),
+        full_window(F.avg("close").over(w3), "close", w3, ROLLING_ROWS).alias("moving_average"),
+        pct_change("close", prev).alias("daily_change"),
+        full_window(F.stddev_samp("close").over(w3), "close", w3, ROLLING_ROWS).alias("volatility"),
+    )
+
+
 def rolling_indicators(bars: DataFrame, order: str = "date", block: str = "year",
                        key: str = "symbol") -> DataFrame:
     """Adds ``prev_close``, ``moving_average``, ``daily_change`` and ``volatility``.
@@ -26,19 +39,8 @@ def rolling_indicators(bars: DataFrame, order: str = "date", block: str = "year"
       the first bar and when the previous close is 0 (W2)
     * volatility: sample standard deviation of the last 3 closes (W3)
     """
-    def compute(df: DataFrame, w: Window) -> DataFrame:
-        w3 = w.rowsBetween(-(ROLLING_ROWS - 1), 0)
-        prev = F.lag("close", 1).over(w)
-        return df.select(
-            "*",
-            prev.alias("prev_close"),
-            full_window(F.avg("close").over(w3), "close", w3, ROLLING_ROWS).alias("moving_average"),
-            pct_change("close", prev).alias("daily_change"),
-            full_window(F.stddev_samp("close").over(w3), "close", w3, ROLLING_ROWS).alias("volatility"),
-        )
-
     return blocked_window(bars, key, order, time_block(order, block),
-                          before=ROLLING_ROWS - 1, after=0, compute=compute)
+                          before=ROLLING_ROWS - 1, after=0, compute=with_indicators)
 
 
 def series_anchor(bars: DataFrame, order: str = "date", key: str = "symbol") -> DataFrame:

@@ -99,16 +99,17 @@ def candles(view: DataFrame, ts: str = "ts", key: str = "symbol") -> DataFrame:
         F.col(key).alias("name"))
 
 
-def quote_board(bars: DataFrame, ts: str = "ts", key: str = "symbol") -> DataFrame:
+def quote_board(view: DataFrame, ts: str = "ts", key: str = "symbol") -> DataFrame:
     """Latest price, previous close, change, range, volume and text.
 
-    Computed from the true latest bar and the one before it (the two newest
-    rows per symbol via a ``row_number() <= 2`` group limit).  A one-bar
-    series uses its own close as previous close.  ``is_up`` uses
-    ``change >= 0`` as the quote does.
+    ``view`` is the displayed view (:func:`session_or_recent`): the previous
+    close never comes from outside it.  Computed from its latest bar and the
+    one before it (the two newest rows per symbol via a ``row_number() <= 2``
+    group limit).  A one-bar view uses its own close as previous close.
+    ``is_up`` uses ``change >= 0`` as the quote does.
     """
     w = Window.partitionBy(key).orderBy(F.col(ts).desc())
-    two = bars.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= 2)
+    two = view.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= 2)
     # ``_r`` is unique per key, so per-column ``min_by`` picks one row and
     # keeps every buffer fixed-width (hash aggregation)
     q = two.groupBy(key).agg(

@@ -46,32 +46,45 @@ def _xy(bars: DataFrame) -> DataFrame:
                        F.unix_date("date").alias("d"))
 
 
+def with_linear_fit(bars: DataFrame) -> DataFrame:
+    """Daily bars with their symbol's linear fit (M1) as columns, in one shuffle.
+
+    Input: ``symbol``, ``date``, ``close`` and columns to carry along, unique
+    on (symbol, date).  A daily series has at most one row per calendar day
+    (some 25,000 in 70 years), so a symbol is one window partition whatever
+    the size of the table.  Adds ``n``, ``anchor``, ``last_date``, ``slope``,
+    ``intercept`` (at the anchor), ``mse`` and ``r2``.
+
+    The MSE averages the squared residuals: ``var(y) - slope * cov(x, y)``
+    would cancel on a close fit.
+    """
+    w = Window.partitionBy("symbol")
+    d, y = F.unix_date("date"), F.col("close")
+    s = (bars.withColumn("_d", d)
+         .select("*", F.count(y).over(w).alias("n"), F.min("date").over(w).alias("anchor"),
+                 F.max("date").over(w).alias("last_date"), F.avg("_d").over(w).alias("_mean_d"),
+                 F.avg(y).over(w).alias("_mean_y"), F.var_pop(y).over(w).alias("_var_y"),
+                 F.covar_pop(F.col("_d").cast("double"), y).over(w).alias("_cov"),
+                 F.var_pop("_d").over(w).alias("_var_x"),
+                 (F.max(y).over(w) == F.min(y).over(w)).alias("_flat"))
+         .withColumn("slope", F.when(F.col("_var_x") > 0, F.try_divide("_cov", "_var_x")).otherwise(F.lit(0.0))))
+    residual = F.when(F.col("_flat"), F.lit(0.0)).otherwise(
+        y - (F.col("_mean_y") + F.col("slope") * (F.col("_d") - F.col("_mean_d"))))
+    mean_x = F.col("_mean_d") - F.unix_date("anchor")
+    return (s.withColumn("mse", F.avg(residual * residual).over(w))
+            .withColumn("intercept", F.col("_mean_y") - F.col("slope") * mean_x)
+            .withColumn("r2", r2_expr(F.col("mse"), F.col("_var_y"), F.col("n"), F.col("_flat")))
+            .drop("_d", "_mean_d", "_mean_y", "_var_y", "_cov", "_var_x", "_flat"))
+
+
 def linear_fit(bars: DataFrame) -> DataFrame:
-    """M1 in one aggregation: slope, intercept (at day index 0), MSE, R^2.
+    """M1, one row per symbol: slope, intercept (at day index 0), MSE, R^2.
 
-    ``regr_slope`` and ``covar_pop`` use Spark's streaming centred updates,
-    so the raw day number needs no shifting.  MSE comes from the normal
-    equations: SSE/n = var(y) - slope * cov(x, y).
+    The aggregation needs no shuffle of its own after :func:`with_linear_fit`.
     """
-    s = _xy(bars).groupBy("symbol").agg(
-        F.count("y").alias("n"),
-        F.min("date").alias("anchor"),
-        F.max("date").alias("last_date"),
-        F.avg("d").alias("mean_d"),
-        F.avg("y").alias("mean_y"),
-        F.var_pop("y").alias("var_y"),
-        F.covar_pop("d", "y").alias("cov_xy"),
-        F.var_pop("d").alias("var_x"),
-        (F.max("y") == F.min("y")).alias("flat"),
-    )
-    slope = F.when(F.col("var_x") > 0, F.try_divide("cov_xy", "var_x")).otherwise(F.lit(0.0))
-    mean_x = F.col("mean_d") - F.unix_date("anchor")
-    mse = F.greatest(F.col("var_y") - F.col("slope") * F.col("cov_xy"), F.lit(0.0))
-    return (s.withColumn("slope", slope)
-            .withColumn("intercept", F.col("mean_y") - F.col("slope") * mean_x)
-            .withColumn("mse", mse)
-            .withColumn("r2", r2_expr(F.col("mse"), F.col("var_y"), F.col("n"), F.col("flat")))
-            .select("symbol", "n", "anchor", "last_date", "slope", "intercept", "mse", "r2"))
+    cols = ["n", "anchor", "last_date", "slope", "intercept", "mse", "r2"]
+    return (with_linear_fit(bars.select("symbol", "date", "close"))
+            .groupBy("symbol").agg(*[F.max(c).alias(c) for c in cols]))
 
 
 def r2_expr(mse: Column, var_y: Column, n: Column, flat: Column) -> Column:

@@ -8,39 +8,37 @@ first on raw arrivals.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.operators import models
 from barlake.operators.dedup import latest_row
-from barlake.operators.indicators import rolling_indicators
+from barlake.operators.indicators import with_indicators
 
 
-def analysis_series(bars: DataFrame, block: str = "year") -> DataFrame:
+def analysis_series(bars: DataFrame) -> DataFrame:
     """Date, close, linear trend value, 3-bar MA, daily change %, 3-bar volatility, MSE.
 
-    Plan: one per-symbol aggregate for the linear fit (partial aggregation),
-    one shuffle of the bars on (symbol, time block) for the windows, and a
-    join with the per-symbol fit that AQE turns into a broadcast when the
-    measured fit table is small.
+    Daily bars, unique on (symbol, date), at most one row per calendar day:
+    fit and indicators share one shuffle on the symbol and need no join.
     """
-    fit = models.linear_fit(bars).select("symbol", "anchor", "slope", "intercept", "mse")
-    ind = rolling_indicators(bars.select("symbol", "date", "close"), order="date", block=block)
+    fitted = models.with_linear_fit(bars.select("symbol", "date", "close"))
+    ind = with_indicators(fitted, Window.partitionBy("symbol").orderBy("date"))
     x = F.datediff("date", "anchor")
-    return ind.join(fit, "symbol").select(
+    return ind.select(
         "symbol", "date", "close",
         x.cast("long").alias("day_index"),
         (F.col("intercept") + F.col("slope") * x).alias("predicted_close"),
         "moving_average", "daily_change", "volatility", "mse")
 
 
-def latest_indicators(bars: DataFrame, block: str = "year") -> DataFrame:
+def latest_indicators(bars: DataFrame) -> DataFrame:
     """The indicator card -- last MA, change and volatility plus MSE.
 
     ``is_positive`` uses ``daily_change > 0`` (zero shows as negative), as
     the card does.
     """
-    last = latest_row(analysis_series(bars, block).drop("day_index"), "date")
+    last = latest_row(analysis_series(bars).drop("day_index"), "date")
     return last.select(
         "symbol", "date", "close", "moving_average", "daily_change", "volatility", "mse",
         (F.col("daily_change") > 0).alias("is_positive"))
@@ -61,10 +59,10 @@ def prediction_series(bars: DataFrame, days: int = models.HORIZON_DAYS) -> DataF
     return hist.unionByName(fc)
 
 
-def indicator_card_text(bars: DataFrame, block: str = "year") -> DataFrame:
+def indicator_card_text(bars: DataFrame) -> DataFrame:
     """The indicator card as displayed -- MSE, $MA, signed change %, volatility."""
     from barlake.functions.expressions import card_change_text, rounded_text
-    card = latest_indicators(bars, block)
+    card = latest_indicators(bars)
     return card.select(
         "symbol",
         rounded_text("mse", 2).alias("mse_text"),

@@ -320,8 +320,8 @@ SELECT symbol,
        'candlestick' AS type, symbol AS name
 FROM view GROUP BY symbol"""
 
-ORACLES["quote_board"] = f"""WITH {BARS_MINUTE},
-r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS rn FROM bars_minute),
+ORACLES["quote_board"] = _VIEW + f""",
+r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS rn FROM view),
 q AS (SELECT a.symbol, a.ts AS as_of, a.close AS price, coalesce(b.close, a.close) AS prev_close,
              a.open, a.low AS day_low, a.high AS day_high, a.volume
       FROM r a LEFT JOIN r b ON a.symbol = b.symbol AND b.rn = 2 WHERE a.rn = 1)
@@ -428,14 +428,15 @@ ORACLES["stream_resume"] = ORACLES["valid_bars"]
 ORACLES["stream_rejects"] = ORACLES["rejects"]
 ORACLES["stream_latest_state"] = ORACLES["retain_last_n_cap10"]
 
-# ST4: 5 producer cycles of equal offset ranges; cycle 0 publishes everything.
+# ST4: 5 producer cycles of equal offset ranges; cycle 0 publishes its session day.
 ORACLES["snapshot_then_delta"] = _ENV + f""",
 valid AS (SELECT Symbol AS symbol,
                  CASE WHEN f = 5 THEN msg_ts ELSE date_trunc('second', msg_ts) END AS ts,
                  seq, Open, High, Low, Close, Volume,
                  seq // CAST(ceil((SELECT max(seq) + 1 FROM ticks) / 5.0) AS BIGINT) AS chunk
           FROM parsed WHERE f >= 7 OR f = 5),
-cyc AS (SELECT * FROM valid WHERE chunk = 0
+session AS (SELECT {trading_day_sql('max(ts)')} AS day FROM valid WHERE chunk = 0),
+cyc AS (SELECT * FROM valid WHERE chunk = 0 AND CAST(ts AS DATE) = (SELECT day FROM session)
         UNION ALL
         SELECT * FROM valid WHERE chunk > 0
         QUALIFY row_number() OVER (PARTITION BY chunk, symbol ORDER BY ts DESC, seq DESC) = 1)
@@ -449,8 +450,8 @@ def _fmt2(x: str) -> str:
     return f"printf('%.2f', {x})"
 
 
-ORACLES["quote_text"] = f"""WITH {BARS_MINUTE},
-r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS rn FROM bars_minute),
+ORACLES["quote_text"] = _VIEW + f""",
+r AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY ts DESC) AS rn FROM view),
 q AS (SELECT a.symbol, a.close AS price, coalesce(b.close, a.close) AS prev_close,
              a.low AS day_low, a.high AS day_high, a.volume
       FROM r a LEFT JOIN r b ON a.symbol = b.symbol AND b.rn = 2 WHERE a.rn = 1),

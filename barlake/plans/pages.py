@@ -36,9 +36,11 @@ def historical_page(bars: DataFrame, symbol: str) -> DataFrame:
     return datasets.history_series(bars, symbol)
 
 
-def live_page(minute_bars: DataFrame, symbol: str, day: Column | None = None) -> dict[str, DataFrame]:
-    """Live page (D5): candle trace and quote of one symbol for a session day."""
-    bars = _only(minute_bars, symbol)
-    day = intraday.latest_session_day(bars) if day is None else day
-    view = intraday.session_or_recent(bars, day)
-    return {"candles": intraday.candles(view), "quote": intraday.quote_board(bars)}
+def live_page(minute_bars: DataFrame, symbol: str, day: Column) -> dict[str, DataFrame]:
+    """Live page (D5): candle trace and quote of one symbol for a session day.
+
+    ``day`` is the session day of the whole table, not of the symbol, so the
+    page shows the rows that the all-symbol datasets hold for it.
+    """
+    view = intraday.session_or_recent(_only(minute_bars, symbol), day)
+    return {"candles": intraday.candles(view), "quote": intraday.quote_board(view)}

@@ -97,8 +97,8 @@ def q_analysis_series(spark, sf_dir):
 
 @register("analysis_series_long")
 def q_analysis_series_long(spark, sf_dir):
-    """D1 over the long multi-year history (halo rows cross year blocks)."""
-    return datasets.analysis_series(fx.bars_long(spark, sf_dir), block="year")
+    """D1 over the long multi-year history."""
+    return datasets.analysis_series(fx.bars_long(spark, sf_dir))
 
 
 @register("latest_indicators")
@@ -290,38 +290,48 @@ def q_trailing_month(spark, sf_dir):
     return intraday.trailing_period(fx.bars_long(spark, sf_dir), "date", months=1)
 
 
+def _session_day(spark, sf_dir) -> Column:
+    """Trading day of the latest tick: one column of the raw scan, not the bars built from it."""
+    return intraday.latest_session_day(fx.ticks(spark, sf_dir))
+
+
+def _quotes(spark, sf_dir) -> DataFrame:
+    return intraday.quote_board(intraday.session_or_recent(
+        fx.bars_minute(spark, sf_dir), _session_day(spark, sf_dir)))
+
+
 @register("session_bars")
 def q_session_bars(spark, sf_dir):
     """one-minute bars of the trading day of the latest bar."""
     bars = fx.bars_minute(spark, sf_dir)
-    return intraday.session_bars(bars, intraday.latest_session_day(bars))
+    return intraday.session_bars(bars, _session_day(spark, sf_dir))
 
 
 @register("session_or_recent")
 def q_session_or_recent(spark, sf_dir):
     """Session bars, or the latest 100 bars for symbols without any."""
     bars = fx.bars_minute(spark, sf_dir)
-    return intraday.session_or_recent(bars, intraday.latest_session_day(bars))
+    return intraday.session_or_recent(bars, _session_day(spark, sf_dir))
 
 
 @register("candles")
 def q_candles(spark, sf_dir):
     """Columnar candle trace per symbol over the live view."""
     bars = fx.bars_minute(spark, sf_dir)
-    return intraday.candles(intraday.session_or_recent(bars, intraday.latest_session_day(bars)))
+    return intraday.candles(intraday.session_or_recent(bars, _session_day(spark, sf_dir)))
 
 
 @register("quote_board")
 def q_quote_board(spark, sf_dir):
-    """Latest quote per symbol from the one-minute bars."""
-    return intraday.quote_board(fx.bars_minute(spark, sf_dir)).drop(
+    """Latest quote per symbol from its displayed view."""
+    return _quotes(spark, sf_dir).drop(
         "price_text", "change_text", "range_text", "volume_text")
 
 
 @register("quote_text")
 def q_quote_text(spark, sf_dir):
-    """Display strings of the quote (checked by row count only)."""
-    return intraday.quote_board(fx.bars_minute(spark, sf_dir)).select(
+    """Display strings of the quote."""
+    return _quotes(spark, sf_dir).select(
         "symbol", "price_text", "change_text", "range_text", "volume_text")
 
 
@@ -330,7 +340,7 @@ def q_quote_text(spark, sf_dir):
 def q_envelope_decode(spark, sf_dir):
     """F1 + F2: every message decoded and parsed with the fixed schema."""
     p = cleanse.parse_payload(cleanse.decode_envelope(fx.envelopes(spark, sf_dir)))
-    return p.drop("json_data", "msg_ts")
+    return p.drop("json_data", "msg_ts", "partition")
 
 
 @register("valid_bars")
@@ -385,7 +395,12 @@ def q_clean_csv_bars(spark, sf_dir):
 def q_scan_bars_csv(spark, sf_dir):
     """S1 + F4: landed bar CSV with bad rows, cleansed."""
     path = scratch_path(spark, "bar_csv")
-    sources.write_bar_csv(fx.bar_csv_rows(spark, sf_dir), path)
+    rows = fx.bar_csv_rows(spark, sf_dir)
+    odd = F.crc32(F.col("Date").cast("binary")) % 2 == 1
+    sources.write_bar_csv(rows.where(~odd), f"{path}/landed")
+    # the same columns in another order: bound by name
+    (rows.where(odd).select("Volume", "Close", "Low", "High", "Open", "Symbol", "Date")
+     .write.option("header", True).csv(f"{path}/reordered"))
     return cleanse.clean_csv_bars(sources.read_bar_csv(spark, path))
 
 
@@ -405,7 +420,11 @@ def q_csv_roundtrip(spark, sf_dir):
 def q_union_symbol_files(spark, sf_dir):
     """F8 + U1: one directory per symbol, read in one scan, symbol from the path."""
     path = scratch_path(spark, "symbol_files")
-    sources.write_symbol_files(fx.bar_csv_rows(spark, sf_dir).where(F.col("Symbol").isNotNull()), path)
+    rows = fx.bar_csv_rows(spark, sf_dir).where(F.col("Symbol").isNotNull())
+    odd = F.crc32(F.col("Date").cast("binary")) % 2 == 1
+    sources.write_symbol_files(rows.where(~odd), path)
+    (rows.where(odd).select("Volume", "Close", "Symbol", "Low", "High", "Open", "Date")
+     .write.mode("append").partitionBy("Symbol").option("header", True).csv(path))
     return cleanse.clean_csv_bars(sources.read_symbol_dirs(spark, path))
 
 
@@ -438,9 +457,10 @@ INGEST_ROWS_PER_FILE = 10000  # unordered ingest input files
 INGEST_FILES_PER_TRIGGER = 256
 
 
-def _ingest_run(spark, sf_dir, files_per_trigger: int = INGEST_FILES_PER_TRIGGER):
+def _ingest_run(spark, sf_dir, files_per_trigger: int = INGEST_FILES_PER_TRIGGER, files: int | None = None):
     src, sink, ckpt = (scratch_path(spark, n) for n in ("stream_src", "stream_sink", "stream_ckpt"))
-    ingest.land_envelopes(fx.envelopes(spark, sf_dir), src, INGEST_ROWS_PER_FILE)
+    env = fx.envelopes(spark, sf_dir)
+    ingest.land_envelopes(env.repartition(files) if files else env, src, INGEST_ROWS_PER_FILE)
     q = ingest.start_ingest(ingest.file_stream(spark, src, files_per_trigger), sink, ckpt)
     ingest.run_to_end(q)
     return src, sink
@@ -450,24 +470,24 @@ def _ingest_run(spark, sf_dir, files_per_trigger: int = INGEST_FILES_PER_TRIGGER
 def q_stream_ingest(spark, sf_dir):
     """ST1: envelopes streamed through decode/parse/validate into the bar table."""
     _, sink = _ingest_run(spark, sf_dir)
-    return ingest.read_sink(spark, sink, "bars").drop("batch_id")
+    return ingest.read_sink(spark, sink, "bars").drop("partition")
 
 
 @register("stream_rejects")
 def q_stream_rejects(spark, sf_dir):
     """ST5 on the stream: the reject table written next to the bars."""
     _, sink = _ingest_run(spark, sf_dir)
-    return ingest.read_sink(spark, sink, "rejects").drop("batch_id", "json_data")
+    return ingest.read_sink(spark, sink, "rejects").drop("partition", "json_data")
 
 
 @register("stream_idempotent")
 def q_stream_idempotent(spark, sf_dir):
-    """ST2: the whole stream replayed from scratch into the same sink -- no duplicates."""
-    src, sink = _ingest_run(spark, sf_dir)
-    replay = ingest.start_ingest(ingest.file_stream(spark, src, INGEST_FILES_PER_TRIGGER), sink,
+    """ST2: the stream replayed from scratch into the same sink, in other batches -- no duplicates."""
+    src, sink = _ingest_run(spark, sf_dir, files_per_trigger=1, files=4)
+    replay = ingest.start_ingest(ingest.file_stream(spark, src, 3), sink,
                                  scratch_path(spark, "stream_ckpt_replay"))
     ingest.run_to_end(replay)
-    return ingest.read_sink(spark, sink, "bars").drop("batch_id")
+    return ingest.read_sink(spark, sink, "bars").drop("partition")
 
 
 @register("stream_resume")
@@ -482,17 +502,21 @@ def q_stream_resume(spark, sf_dir):
     half = STREAM_CYCLES // 2
     size = ingest.replay_in_cycles(env, src, "offset", STREAM_CYCLES, start, 0, half - 1)
     ingest.replay_in_cycles(env, src, "offset", STREAM_CYCLES, start, half, None, size)
-    return ingest.read_sink(spark, sink, "bars").drop("batch_id")
+    return ingest.read_sink(spark, sink, "bars").drop("partition")
 
 
 @register("snapshot_then_delta")
 def q_snapshot_then_delta(spark, sf_dir):
-    """ST4: first cycle publishes every bar, later cycles each symbol's last bar."""
+    """ST4: first cycle publishes the session day's bars, later cycles each symbol's last bar.
+
+    Every cycle lands four files and the stream takes three at a time, so
+    cycles and micro-batches never coincide.
+    """
     src, sink, ckpt = (scratch_path(spark, n) for n in ("snap_src", "snap_sink", "snap_ckpt"))
     ingest.replay_in_cycles(
         fx.envelopes(spark, sf_dir), src, "offset", STREAM_CYCLES,
-        lambda: ingest.start_snapshot_delta(ingest.file_stream(spark, src, 1000), sink, ckpt))
-    return ingest.read_sink(spark, sink, "cycles").drop("batch_id")
+        lambda: ingest.start_snapshot_delta(ingest.file_stream(spark, src, 3), sink, ckpt), files=4)
+    return ingest.snapshot_delta_view(ingest.read_sink(spark, sink, "cycles")).drop("partition")
 
 
 @register("stream_latest_state")
@@ -500,8 +524,6 @@ def q_stream_latest_state(spark, sf_dir):
     """ST3: keyed live state (keep-last, cap 10 dates per symbol) vs. its batch twin."""
     src, sink, ckpt = (scratch_path(spark, n) for n in ("state_src", "state_sink", "state_ckpt"))
     arr = fx.arrivals(spark, sf_dir)
-    state.use_rocksdb(spark)
-
     def start():
         stream = spark.readStream.schema(arr.schema).parquet(src)
         return state.start_live_state(stream, sink, ckpt, cap=10)

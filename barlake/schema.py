@@ -51,3 +51,6 @@ ENVELOPE_SCHEMA = T.StructType([
     T.StructField("offset", T.LongType(), True),
     T.StructField("timestamp", T.TimestampNTZType(), True),
 ])
+
+# The same with the producer's cycle number (a message header on the bus).
+CYCLE_ENVELOPE_SCHEMA = T.StructType(ENVELOPE_SCHEMA.fields + [T.StructField("cycle", T.IntegerType(), True)])

@@ -2,8 +2,8 @@
 
 Derived tables, stream checkpoints and sinks are written below the folder
 named by ``spark.checkpoint.dir``: on a cluster that is a shared file
-system every executor can reach.  We only pick our own folder when the
-session has none (local tests).
+system every executor can reach.  Only :func:`get_session` with a local
+master picks a folder of its own, when the session has none.
 """
 
 from __future__ import annotations
@@ -41,26 +41,32 @@ def get_session(master: str | None = None, app: str = "barlake",
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    if master.startswith("local") and not (spark.conf.get("spark.checkpoint.dir", None)
+                                           or spark.sparkContext.getCheckpointDir()):
+        # a local session is its own and only executor
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="barlake-"))
     return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; set one only if unset."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    """The shared folder: ``spark.checkpoint.dir``, else the context's checkpoint folder.
+
+    Raises if neither is set: a machine-local folder of our own would not be
+    seen by other executors.
+    """
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", root)
-    # Make Dataset.checkpoint() usable as well.
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+        raise RuntimeError("no shared folder: set spark.checkpoint.dir (or call "
+                           "SparkContext.setCheckpointDir) to one that all executors reach")
+    if context.getCheckpointDir() is None:  # makes Dataset.checkpoint() usable as well
+        context.setCheckpointDir(root)
     return root
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never reused directory below the checkpoint root."""
-    root = checkpoint_root(spark)
+def scratch_path(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A fresh, never reused directory below ``root`` or the checkpoint root."""
+    root = root or checkpoint_root(spark)
     if root.startswith("file:"):
         root = root[len("file:"):]
     return os.path.join(root, "barlake", f"{name}-{uuid.uuid4().hex[:12]}")

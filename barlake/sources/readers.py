@@ -8,20 +8,91 @@ the job.  Writers are plain DataFrame writes executed by the executors.
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from barlake.schema import CSV_COLUMNS, SCREENER_SCHEMA, SYMBOL_LIST_SCHEMA
 
-from barlake.schema import (BAR_CSV_SCHEMA, CSV_COLUMNS, SCREENER_SCHEMA,
-                            SYMBOL_LIST_SCHEMA)
+
+HEADER_THREADS = 32
 
 
 # --- S1 / S9: bar CSV ---------------------------------------------------------
-def read_bar_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """CSV with header ``Date,Symbol,Open,High,Low,Close,Volume`` as text."""
-    return (spark.read.schema(BAR_CSV_SCHEMA)
-            .option("header", True).option("mode", "PERMISSIVE")
-            .option("enforceSchema", False)
-            .csv(path))
+def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
+    """Data files below ``path`` by the column names of their header line.
+
+    Reads one line of each file, as listing does one entry of each file; no
+    data.  Hidden files and empty files are left out.
+    """
+    sc = spark.sparkContext
+    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    listed, found = fs.listFiles(root, True), []
+    while listed.hasNext():
+        f = listed.next()
+        name = f.getPath().getName()
+        if f.getLen() > 0 and not name.startswith(("_", ".")):
+            found.append(f.getPath())
+
+    def header(p) -> tuple[tuple[str, ...], str]:
+        stream = fs.open(p)
+        try:
+            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
+        finally:
+            stream.close()
+        names = next(csv.reader([line.lstrip("\ufeff")]), [])
+        return tuple(n.strip() for n in names), p.toString()
+
+    groups: dict[tuple[str, ...], list[str]] = {}
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        for names, file in pool.map(header, found):
+            groups.setdefault(names, []).append(file)
+    return groups
+
+
+def csv_by_name(spark: SparkSession, path: str, wanted: list[str],
+                partition_cols: list[str] | None = None) -> DataFrame:
+    """Text columns ``wanted`` of all CSV files below ``path``, bound by header name.
+
+    Files may have their columns in any order and extra ones.  Files of one
+    order are read together and the orders are united by name.  A file that
+    lacks a wanted column is left out (see :func:`csv_rejects`).
+    """
+    groups = csv_headers(spark, path)
+    partition_cols = partition_cols or []
+    partition = [T.StructField(c, T.StringType(), True) for c in partition_cols]
+    parts = []
+    for names, files in sorted(groups.items()):
+        if not set(wanted) <= set(names) or len(set(names)) < len(names):
+            continue
+        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names] + partition)
+        # one order only: let Spark list the folder itself
+        where = path if len(groups) == 1 else sorted(files)
+        parts.append(spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+                     .option("basePath", path).option("ignoreCorruptFiles", True)
+                     .option("ignoreMissingFiles", True).csv(where).select(*wanted, *partition_cols))
+    if not parts:
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*wanted, *partition_cols]])
+        return spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, parts)
+
+
+def csv_rejects(spark: SparkSession, path: str, wanted: list[str] = CSV_COLUMNS) -> list[tuple[str, list[str]]]:
+    """(file, wanted columns it lacks or repeats) of every file that :func:`csv_by_name` leaves out."""
+    return sorted((f, [c for c in wanted if names.count(c) != 1])
+                  for names, files in csv_headers(spark, path).items()
+                  if not set(wanted) <= set(names) or len(set(names)) < len(names) for f in files)
+
+
+def read_bar_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Bar CSV files as text, columns bound by header name, in any order."""
+    return csv_by_name(spark, path, CSV_COLUMNS)
 
 
 def write_bar_csv(df: DataFrame, path: str) -> None:
@@ -81,16 +152,11 @@ def write_symbol_files(rows: DataFrame, path: str) -> None:
 
 
 def read_symbol_dirs(spark: SparkSession, path: str) -> DataFrame:
-    """F8 + U1: every per-symbol directory in one scan; the symbol comes from the path.
+    """F8 + U1: all per-symbol directories, columns bound by name, the symbol from the path.
 
     Unreadable files are skipped (a failing symbol does not stop the rest).
     """
-    data_cols = [c for c in CSV_COLUMNS if c != "Symbol"]
-    schema = BAR_CSV_SCHEMA.__class__([f for f in BAR_CSV_SCHEMA.fields if f.name in data_cols]
-                                     + [f for f in BAR_CSV_SCHEMA.fields if f.name == "Symbol"])
-    return (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-            .option("ignoreCorruptFiles", True).option("ignoreMissingFiles", True)
-            .csv(path))
+    return csv_by_name(spark, path, [c for c in CSV_COLUMNS if c != "Symbol"], ["Symbol"])
 
 
 # --- stored history -----------------------------------------------------------------
@@ -103,11 +169,9 @@ def write_history_table(bars: DataFrame, path: str, rows_per_file: int = 1_000_0
     partitioning on the composite key samples the data and splits a hot
     symbol across several files by time instead of writing it from one task.
     """
-    n = bars.count()
-    files = max(1, -(-n // rows_per_file))
-    (bars.repartitionByRange(files, "symbol", order)
+    (bars.repartitionByRange("symbol", order)
      .sortWithinPartitions("symbol", order)
-     .write.mode("overwrite").parquet(path))
+     .write.option("maxRecordsPerFile", rows_per_file).mode("overwrite").parquet(path))
 
 
 # --- F9 / S8: symbol lookup ---------------------------------------------------------
@@ -119,9 +183,16 @@ def bars_for_symbol(bars: DataFrame, symbol: str | Column) -> DataFrame:
 
 
 def read_jdbc_bars(spark: SparkSession, url: str, table: str, symbol: str | None = None,
-                   properties: dict | None = None) -> DataFrame:
-    """Relational scan; the symbol equality and column list are pushed to the database."""
-    df = spark.read.jdbc(url, table, properties=properties or {})
+                   properties: dict | None = None, predicates: list[str] | None = None) -> DataFrame:
+    """Relational scan; the symbol equality and column list are pushed to the database.
+
+    A whole table is read in parallel, one task per predicate: pass clauses
+    that do not overlap and cover the table, such as one per date range.
+    """
+    if predicates:
+        df = spark.read.jdbc(url, table, predicates=predicates, properties=properties or {})
+    else:
+        df = spark.read.jdbc(url, table, properties=properties or {})
     if symbol is not None:
         df = df.where(F.col("symbol") == F.lit(symbol))
     return df.select("symbol", "date", "open", "high", "low", "close", "volume")

@@ -6,25 +6,29 @@
   ``"latest"`` tails new messages only (S5).
 * The stream runs the very same decode/parse/validate functions as the
   batch tables (:mod:`barlake.operators.cleanse`), so batch = stream.
-* Sink: ``foreachBatch`` writes each micro-batch to ``.../batch_id=N`` with
-  overwrite.  A replayed batch (after a failure between write and commit)
-  replaces its own directory, so the table is exactly-once without any
-  driver-side collect; executors do all writing.
+* Sink: ``foreachBatch`` writes each micro-batch to ``.../run=R/batch_id=N``
+  with overwrite.  A batch run again (after a failure between write and
+  commit) replaces its own directory; a replay from another checkpoint
+  writes only source positions that the table lacks.  The table is unique on
+  (partition, offset) however the batches are cut; executors do all writing.
+* Snapshot and delta follow the producer's cycle number in the envelope,
+  never the micro-batch number.
 * Checkpoints live below the shared checkpoint root (S10); restarting with
   the same checkpoint resumes after the last committed batch.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barlake.functions.expressions import ts_tie_order_key
+from barlake.functions.expressions import trading_day, ts_tie_order_key
 from barlake.operators import cleanse
-from barlake.schema import ENVELOPE_SCHEMA
+from barlake.schema import CYCLE_ENVELOPE_SCHEMA
 
 KAFKA_COLUMNS = ["key", "value", "partition", "offset", "timestamp"]
 
@@ -40,17 +44,20 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic)
-         .option("startingOffsets", starting_offsets))
+         .option("startingOffsets", starting_offsets)
+         .option("includeHeaders", True))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     df = r.load()
     return df.select("key", "value", "partition", "offset",
-                     F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+                     F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+                     F.get(F.filter("headers", lambda h: h["key"] == "cycle"), 0)["value"]
+                     .cast("string").try_cast("int").alias("cycle"))
 
 
 def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
     """Offline stand-in for the bus: Parquet files with the envelope columns."""
-    return (spark.readStream.schema(ENVELOPE_SCHEMA)
+    return (spark.readStream.schema(CYCLE_ENVELOPE_SCHEMA)
             .option("maxFilesPerTrigger", max_files_per_trigger)
             .parquet(path))
 
@@ -77,61 +84,106 @@ def cycle_size(df: DataFrame, order: str, cycles: int) -> int:
     return max(1, -(-(int(hi) + 1) // cycles)) if hi is not None else 1
 
 
-def land_cycle(df: DataFrame, path: str, order: str, size: int, cycle: int) -> None:
-    """Append the rows of one producer cycle (``order`` in ``[c*size, (c+1)*size)``).
+def land_cycle(df: DataFrame, path: str, order: str, size: int, cycle: int, cycles: int,
+               files: int | None = None) -> None:
+    """Append the rows of one producer cycle, stamped with their ``cycle``.
 
-    One parallel write; the cycle may span any number of files.
+    A row belongs to cycle ``order // size``; rows without an order or below
+    0 belong to the first cycle and those beyond the last to the last one, so
+    every row lands.  One parallel write, in at least ``files`` files if given.
     """
-    (df.where((F.col(order) >= cycle * size) & (F.col(order) < (cycle + 1) * size))
-     .write.mode("append").parquet(path))
+    at = F.coalesce(F.floor(F.col(order) / size), F.lit(0))
+    rows = df.where(F.greatest(F.least(at, F.lit(cycles - 1)), F.lit(0)) == cycle)
+    rows = rows.repartition(files) if files else rows
+    rows.withColumn("cycle", F.lit(cycle)).write.mode("append").parquet(path)
 
 
 def replay_in_cycles(df: DataFrame, path: str, order: str, cycles: int,
                      start: Callable[[], StreamingQuery], first: int = 0,
-                     last: int | None = None, size: int | None = None) -> int:
+                     last: int | None = None, size: int | None = None,
+                     files: int | None = None) -> int:
     """Ordered replay: land cycle c, let the stream consume it, then land c+1.
 
     Each ``start()`` resumes the same checkpointed query with
-    ``availableNow``, so every cycle becomes exactly one micro-batch and
-    per-symbol arrival order is preserved across batches, whatever the file
-    modification times.  The number of cycles is fixed, not data-dependent.
-    Returns the cycle size.
+    ``availableNow``, so per-symbol arrival order is preserved across
+    batches, whatever the file modification times; a cycle may take any
+    number of micro-batches.  The number of cycles is fixed, not
+    data-dependent.  Returns the cycle size.
     """
     size = size or cycle_size(df, order, cycles)
     last = cycles - 1 if last is None else last
     for c in range(first, last + 1):
-        land_cycle(df, path, order, size, c)
+        land_cycle(df, path, order, size, c, cycles, files)
         run_to_end(start())
     return size
 
 
-def idempotent_writer(sink: str, prepare: Callable[[DataFrame, int], DataFrame],
+POSITION_KEY = ["partition", "seq"]
+
+
+def run_name(checkpoint: str) -> str:
+    """Name of a stream run: the same after a restart from its checkpoint."""
+    return f"{zlib.crc32(checkpoint.encode()):08x}"
+
+
+def other_runs(spark: SparkSession, table: str, run: str) -> list[str]:
+    """Folders that other runs wrote below ``table`` (one per run, not per batch)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(table)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(path)]
+    return [f"{table}/{n}" for n in names if n.startswith("run=") and n != f"run={run}"]
+
+
+def not_landed(out: DataFrame, table: str, run: str) -> DataFrame:
+    """Rows of ``out`` whose source position no other run has written.
+
+    Within a run the checkpoint hands out each position once.  Against other
+    runs only the batch's own offset range is read (Parquet statistics skip
+    the rest), so a replay costs a lookup and a normal run nothing.
+    """
+    runs = other_runs(out.sparkSession, table, run)
+    if not runs:
+        return out
+    low, high = out.agg(F.min("seq"), F.max("seq")).first()
+    if low is None:
+        return out
+    landed = (out.sparkSession.read.schema(out.select(*POSITION_KEY).schema)
+              .option("recursiveFileLookup", True).parquet(*runs)
+              .where(F.col("seq").between(low, high)).select(*POSITION_KEY))
+    return out.join(landed, POSITION_KEY, "left_anti")
+
+
+def idempotent_writer(sink: str, run: str, prepare: Callable[[DataFrame, int], DataFrame],
                       outputs: Callable[[DataFrame, int], dict[str, DataFrame]]):
-    """foreachBatch function writing each output to ``sink/<name>/batch_id=N``.
+    """foreachBatch function writing each output to ``sink/<name>/run=R/batch_id=N``.
+
+    A batch that is run again after a failure replaces its own folder, and a
+    replay from another checkpoint, however it cuts its batches, writes only
+    positions (partition, offset) that are not in the table yet.
 
     ``prepare`` turns the raw micro-batch into the frame all outputs derive
-    from; with several outputs it is persisted while they are written, so
-    the batch is read and parsed once.
+    from; it is persisted while they are written, so the batch is read and
+    parsed once.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        base = prepare(batch, batch_id)
-        outs = outputs(base, batch_id)
-        if len(outs) > 1:
-            base.persist()
+        base = prepare(batch, batch_id).persist()
         try:
-            for name, out in outs.items():
-                out.write.mode("overwrite").parquet(f"{sink}/{name}/batch_id={batch_id}")
+            for name, out in outputs(base, batch_id).items():
+                (not_landed(out, f"{sink}/{name}", run).write.mode("overwrite")
+                 .parquet(f"{sink}/{name}/run={run}/batch_id={batch_id}"))
         finally:
-            if len(outs) > 1:
-                base.unpersist()
+            base.unpersist()
     return write
 
 
 def ingest_outputs(classified: DataFrame, batch_id: int) -> dict[str, DataFrame]:
     """ST1 + ST5: valid bars and rejected messages of one micro-batch."""
-    return {"bars": cleanse.to_bars(classified),
+    return {"bars": cleanse.to_bars(classified, keep=("partition",)),
             "rejects": classified.where(F.col("reason").isNotNull())
-            .select("seq", "symbol_key", "reason", "json_data")}
+            .select("partition", "seq", "symbol_key", "reason", "json_data")}
 
 
 INGEST_COUNTERS = "ingest_counters"
@@ -156,13 +208,16 @@ def start_ingest(source: DataFrame, sink: str, checkpoint: str,
     classified = observe_counters(
         cleanse.classify(cleanse.parse_payload(cleanse.decode_envelope(source))))
     w = (classified.writeStream
-         .foreachBatch(idempotent_writer(sink, lambda b, _: b, ingest_outputs))
+         .foreachBatch(idempotent_writer(sink, run_name(checkpoint), lambda b, _: b, ingest_outputs))
          .option("checkpointLocation", checkpoint))
-    if available_now:
-        w = w.trigger(availableNow=True)
-    elif processing_time:
-        w = w.trigger(processingTime=processing_time)
-    return w.start()
+    return triggered(w, None if available_now else processing_time).start()
+
+
+def triggered(writer, processing_time: str | None):
+    """``processing_time`` keeps the query running at that pace (the reference
+    cycles every 60 s); without it the query ends once all input is consumed."""
+    return (writer.trigger(processingTime=processing_time) if processing_time
+            else writer.trigger(availableNow=True))
 
 
 def ingest_counters(query: StreamingQuery) -> dict[str, int]:
@@ -177,8 +232,8 @@ def ingest_counters(query: StreamingQuery) -> dict[str, int]:
 
 
 def read_sink(spark: SparkSession, sink: str, name: str) -> DataFrame:
-    """The exactly-once table written by :func:`idempotent_writer`."""
-    return spark.read.parquet(f"{sink}/{name}")
+    """The table written by :func:`idempotent_writer`, unique on its source position."""
+    return spark.read.parquet(f"{sink}/{name}").drop("run", "batch_id")
 
 
 def run_to_end(query: StreamingQuery, timeout_s: int = 600) -> None:
@@ -198,18 +253,43 @@ def classify_realtime(batch: DataFrame, batch_id: int) -> DataFrame:
 
 
 def snapshot_delta_outputs(classified: DataFrame, batch_id: int) -> dict[str, DataFrame]:
-    """ST4: the first micro-batch publishes every bar, later ones each symbol's last bar."""
-    bars = cleanse.to_bars(classified, default_time=True)
-    if batch_id == 0:
-        out = bars
+    """ST4 rows of one micro-batch, by the producer cycle of each message.
+
+    The first cycle (0, or no cycle) is written in full; of a later one the
+    last bar of each symbol that the batch holds.  A cycle may be spread over
+    any number of batches: :func:`snapshot_delta_view` merges the parts.
+    """
+    bars = cleanse.to_bars(classified, default_time=True, keep=("partition", "cycle"))
+    bars = bars.withColumn("cycle", F.coalesce("cycle", F.lit(0)))
+    return {"cycles": bars.where(F.col("cycle") == 0).unionByName(last_of_cycle(
+        bars.where(F.col("cycle") > 0)))}
+
+
+def last_of_cycle(bars: DataFrame) -> DataFrame:
+    """Each symbol's latest bar per cycle (ties: the later arrival)."""
+    order = ts_tie_order_key("ts", "seq", nulls_first=True)
+    rest = [c for c in bars.columns if c not in ("symbol", "cycle")]
+    return bars.groupBy("symbol", "cycle").agg(*[F.max_by(c, order).alias(c) for c in rest])
+
+
+def snapshot_delta_view(cycles: DataFrame, day: Column | None = None) -> DataFrame:
+    """ST4: the session day's bars of the first cycle, then each symbol's last bar per cycle.
+
+    ``day`` is the session day of the snapshot; by default the trading day of
+    the first cycle's latest bar (one row, joined, no driver action).
+    """
+    first = cycles.where(F.col("cycle") == 0)
+    if day is not None:
+        snapshot = first.where(F.to_date("ts") == day)
     else:
-        order = ts_tie_order_key("ts", "seq", nulls_first=True)
-        cols = ("ts", "seq", "open", "high", "low", "close", "volume")
-        out = bars.groupBy("symbol").agg(*[F.max_by(c, order).alias(c) for c in cols])
-    return {"cycles": out.withColumn("cycle", F.lit(batch_id))}
+        clock = first.agg(trading_day(F.max("ts")).alias("_day"))
+        snapshot = first.join(F.broadcast(clock), F.to_date("ts") == F.col("_day")).drop("_day")
+    return snapshot.unionByName(last_of_cycle(cycles.where(F.col("cycle") > 0)))
 
 
-def start_snapshot_delta(source: DataFrame, sink: str, checkpoint: str) -> StreamingQuery:
-    writer = idempotent_writer(sink, classify_realtime, snapshot_delta_outputs)
-    return (source.writeStream.foreachBatch(writer)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+def start_snapshot_delta(source: DataFrame, sink: str, checkpoint: str,
+                         processing_time: str | None = None) -> StreamingQuery:
+    """ST4 stream: sink table ``cycles``, read through :func:`snapshot_delta_view`."""
+    writer = idempotent_writer(sink, run_name(checkpoint), classify_realtime, snapshot_delta_outputs)
+    return triggered(source.writeStream.foreachBatch(writer)
+                     .option("checkpointLocation", checkpoint), processing_time).start()

@@ -21,6 +21,7 @@ checkpointed, so a lost executor resumes from the last committed version.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from barlake.operators.dedup import LIVE_CAP, keep_last
+from barlake.streaming.ingest import triggered
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 VALUE_FIELDS = ["seq", "date", "open", "high", "low", "close", "volume"]
@@ -89,9 +91,25 @@ class LiveBars(StatefulProcessor):
         pass
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """The state processor API needs the RocksDB state store provider."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+
+
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """The state processor API needs the RocksDB provider when a query starts.
+
+    A started query keeps its own copy of the settings, so the session's
+    value is put back.
+    """
+    before = spark.conf.get(PROVIDER_CONF, None)
+    spark.conf.set(PROVIDER_CONF, ROCKSDB)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(PROVIDER_CONF)
+        else:
+            spark.conf.set(PROVIDER_CONF, before)
 
 
 def live_log(arrivals: DataFrame, cap: int = LIVE_CAP) -> DataFrame:
@@ -103,12 +121,13 @@ def live_log(arrivals: DataFrame, cap: int = LIVE_CAP) -> DataFrame:
 
 
 def start_live_state(arrivals: DataFrame, sink: str, checkpoint: str,
-                     cap: int = LIVE_CAP) -> StreamingQuery:
+                     cap: int = LIVE_CAP, processing_time: str | None = None) -> StreamingQuery:
     """ST3: run the keyed state and append its event log (idempotent per batch)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{sink}/log/batch_id={batch_id}")
-    return (live_log(arrivals, cap).writeStream.foreachBatch(write)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    with rocksdb(arrivals.sparkSession):
+        return triggered(live_log(arrivals, cap).writeStream.foreachBatch(write)
+                         .option("checkpointLocation", checkpoint), processing_time).start()
 
 
 def live_view(log: DataFrame) -> DataFrame:
