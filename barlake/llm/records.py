@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from barlake.llm.segments import SegmentCache
+from barlake.llm.segments import SegmentCache, encode_batch
 from barlake.llm.shared import col, shared_path, stored, text_of
 
 # Fixed value: what the record checksums are masked with.
@@ -70,8 +70,7 @@ class Encoder:
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
 
     def _segments(self, segments: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch(segments, add_special_tokens=False)]
+        return [x.tobytes() for x in encode_batch(self.tokenizer, segments, threads=False)]
 
 
 @lru_cache(maxsize=2)

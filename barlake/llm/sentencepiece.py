@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
-from barlake.llm.segments import SegmentCache
+from barlake.llm.segments import SegmentCache, encode_batch
 from barlake.llm.shared import col, text_of
 
 MARK = "▁"
@@ -150,17 +150,17 @@ class Codec:
         self.at = np.cumsum(self.size) - self.size
 
     def _segments(self, segments: list[str]) -> list[bytes]:
-        ids = [e.ids for e in self.bare.encode_batch(segments, add_special_tokens=False)]
+        ids = encode_batch(self.bare, segments, threads=True)
         self._compare(segments, ids)
-        return [np.asarray(x, dtype="<u4").tobytes() for x in ids]
+        return [x.tobytes() for x in ids]
 
-    def _compare(self, segments: list[str], ids: list[list[int]]) -> None:
+    def _compare(self, segments: list[str], ids: list) -> None:
         """Parity of segments that the library can be given alone (its dummy prefix is their first marker)."""
         if self.model.charsmap or self.model.one_space or not self.model.dummy_prefix:
             return
         led = [i for i, s in enumerate(segments) if s[0] == MARK and len(s) > 1]
         theirs = self.own.encode([segments[i][1:].replace(MARK, " ") for i in led], num_threads=1)
-        self.odd.update(segments[i] for i, x in zip(led, theirs) if x != ids[i])
+        self.odd.update(segments[i] for i, x in zip(led, theirs) if x != ids[i].tolist())
 
     def normalised(self, text: str) -> str:
         return self.norm.normalize_str(text)
