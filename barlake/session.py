@@ -36,6 +36,8 @@ def get_session(master: str | None = None, app: str = "barlake",
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # lets Catalyst plan the map-side top-k for the live cap of 5,000 bars (1,000 by default)
+        .config("spark.sql.optimizer.windowGroupLimitThreshold", "5000")
         .config("spark.driver.memory", os.environ.get("BARLAKE_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()

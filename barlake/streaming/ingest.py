@@ -153,7 +153,7 @@ def not_landed(out: DataFrame, table: str, run: str) -> DataFrame:
     landed = (out.sparkSession.read.schema(out.select(*POSITION_KEY).schema)
               .option("recursiveFileLookup", True).parquet(*runs)
               .where(F.col("seq").between(low, high)).select(*POSITION_KEY))
-    return out.join(landed, POSITION_KEY, "left_anti")
+    return out.join(landed, POSITION_KEY, "left_anti").select(*out.columns)
 
 
 def idempotent_writer(sink: str, run: str, prepare: Callable[[DataFrame, int], DataFrame],

@@ -25,10 +25,12 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from barlake.plans.queries import REGISTRY  # noqa: E402
 from barlake.session import get_session  # noqa: E402
 
-HEADLINE = ["analysis_series", "forecasts", "dedup_keep_last", "stream_ingest"]
+HEADLINE = ["analysis_series", "forecasts", "dedup_keep_last", "stream_ingest",
+            "analysis_series_long", "bagged_tree_trend_long"]
 # Input rows each query reads (the source table), for rows/s.
 INPUT_TABLE = {"analysis_series": "events", "forecasts": "events",
-               "dedup_keep_last": "events", "stream_ingest": "events"}
+               "dedup_keep_last": "events", "stream_ingest": "events",
+               "analysis_series_long": "lineitem", "bagged_tree_trend_long": "lineitem"}
 
 
 def run_once(spark, name: str, sf_dir: str) -> float:

@@ -113,3 +113,13 @@ def test_forest_across_many_density_blocks(spark, monkeypatch):
     assert len(fit) == len(days)
     for d in days:
         assert math.isclose(fit[d - days[0]], _expected_forest(days, closes, d), rel_tol=1e-12)
+
+
+def test_mse_of_a_close_fit_does_not_cancel(spark):
+    rng = np.random.default_rng(5)
+    x = np.arange(2000)
+    y = 1e5 + 500.0 * x + rng.normal(0, 1e-4, len(x))
+    fit = models.linear_fit(daily(spark, _rows(x.tolist(), y.tolist()))).first()
+    coef = np.polyfit(x - x.mean(), y, 1)
+    want = np.mean((y - np.polyval(coef, x - x.mean())) ** 2)
+    assert abs(fit["mse"] - want) <= 1e-6 * want + 1e-12

@@ -83,3 +83,23 @@ def test_keep_last_and_quote_aggregates_are_hash_based(spark):
     for name in ("quote_board", "dedup_keep_last"):
         plan = _plan(REGISTRY[name](spark, SF_SMALL))
         assert "SortAggregate" not in plan, name
+
+
+def test_daily_series_take_one_shuffle(spark):
+    """One exchange of the bar adapter and one on the symbol; one scan; no join."""
+    import re
+    for name in ("analysis_series", "latest_indicators", "linear_trend"):
+        plan = _plan(REGISTRY[name](spark, SF_SMALL))
+        assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 2, name
+        assert plan.count("FileScan") == 1 and "Join" not in plan, name
+
+
+def test_coverage_copies_no_rows(spark):
+    assert "Expand" not in _plan(REGISTRY["coverage"](spark, SF_SMALL))
+
+
+def test_retention_is_ranked_in_parts_first(spark):
+    from barlake.operators.dedup import retain_last_n
+    df = spark.range(20000).selectExpr("'HOT' AS symbol", "id AS seq")
+    plan = _plan(retain_last_n(df, cap=5000))
+    assert "_salt" in plan and retain_last_n(df, cap=5000).selectExpr("min(seq)", "count(*)").first() == (15000, 5000)
