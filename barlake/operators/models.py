@@ -19,8 +19,13 @@ aggregates and column expressions; nothing leaves the JVM.
   ``sum_k w_k * y_(k)``.  Ranks beyond ``FOREST_NEIGHBOURS`` carry total
   weight ``((n-K)/n)^n <= e^-K`` (below 2e-22 for K = 50, under double
   precision), so the neighbours that matter always lie within +-K rows and
-  the sum is taken over a +-K row window.  A seeded 100-tree forest
-  differs from this expectation by its sampling noise.
+  the sum is taken over a +-K row window; what is left out is at most
+  ``e^-K * max|y|``.  A seeded 100-tree forest differs from this expectation
+  by its sampling noise.
+
+Series are daily: unique on (symbol, date), so a symbol has at most one row
+per calendar day and is one window partition; fits, neighbours and metrics
+share one shuffle on the symbol.
 
 Metrics (A5, A6): MSE = mean squared residual; R^2 = 1 - SSE/SST, with
 R^2 = 1 when the closes are constant (every model reproduces a constant
@@ -32,13 +37,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.operators.windows import blocked_window, density_block, time_block
 
 # Fixed values of the forecast page: 30 calendar days ahead, three models.
 HORIZON_DAYS = 30
 MODELS = ["linear", "polynomial", "random_forest"]
 FOREST_NEIGHBOURS = 50
-FOREST_BLOCK_ROWS = 2000  # target rows per window block (halo <= 5% of a block)
+PLACES = 256  # places of a frame of at most 2 K + 1 rows
 
 
 def _xy(bars: DataFrame) -> DataFrame:
@@ -94,39 +98,35 @@ def r2_expr(mse: Column, var_y: Column, n: Column, flat: Column) -> Column:
             .otherwise(F.lit(1.0) - F.try_divide(mse, var_y)))
 
 
-def fit_coefficients(bars: DataFrame) -> DataFrame:
-    """Per-symbol coefficients of the linear and quadratic fits (two passes).
+COEFFICIENTS = ["n", "nx", "d0", "d_last", "mean_d", "mean_y", "var_y", "flat",
+                "lin_b", "quad_a", "quad_b", "quad_c"]
+
+
+def with_coefficients(bars: DataFrame) -> DataFrame:
+    """``symbol``, ``date``, ``y``, ``d`` and the symbol's linear and quadratic coefficients, in one shuffle.
 
-    Pass 1 (one row per symbol): count, first/last day, means.
-    Pass 2 joins them back (a per-symbol table that AQE broadcasts when
-    small) and aggregates centred moments; ``nx`` is the number of distinct
-    days capped at 3, which selects the least-squares branch.  Both are hash aggregations with
-    map-side partial aggregation, so a hot symbol is pre-reduced per task.
+    Daily bars, at most one per calendar day, so a symbol is one window
+    partition.  The means come first and the moments centred on them second,
+    over the same partition; ``nx`` is the number of distinct days capped at
+    3, which selects the least-squares branch.
     """
-    xy = _xy(bars)
-    s1 = xy.groupBy("symbol").agg(
-        F.count("y").alias("n"),
-        F.min("d").alias("d0"),
-        F.max("d").alias("d_last"),
-        F.avg("d").alias("mean_d"),
-        F.avg("y").alias("mean_y"),
-        (F.max("y") == F.min("y")).alias("flat"),
-    )
+    w = Window.partitionBy("symbol")
+    s1 = _xy(bars).select(
+        "*", F.count("y").over(w).alias("n"), F.min("d").over(w).alias("d0"), F.max("d").over(w).alias("d_last"),
+        F.avg("d").over(w).alias("mean_d"), F.avg("y").over(w).alias("mean_y"),
+        (F.max("y").over(w) == F.min("y").over(w)).alias("flat"))
     u = F.col("d") - F.col("mean_d")
     e = F.col("y") - F.col("mean_y")
     # "interior" counts days strictly between the first and last day; with
     # the day range it tells 1, 2 or >= 3 distinct days exactly, without a
     # separate distinct aggregation
     inside = (F.col("d") > F.col("d0")) & (F.col("d") < F.col("d_last"))
-    s2 = (xy.join(s1.select("symbol", "mean_d", "mean_y", "d0", "d_last"), "symbol")
-          .groupBy("symbol").agg(
-              F.avg(u * u).alias("m2"), F.avg(u * u * u).alias("m3"),
-              F.avg(u * u * u * u).alias("m4"), F.avg(u * e).alias("c1"),
-              F.avg(u * u * e).alias("c2"), F.avg(e * e).alias("var_y"),
-              F.count_if(inside).alias("interior")))
+    moments = {"m2": u * u, "m3": u * u * u, "m4": u * u * u * u, "c1": u * e, "c2": u * u * e, "var_y": e * e}
+    s2 = s1.select("*", *[F.avg(c).over(w).alias(k) for k, c in moments.items()],
+                   F.sum(inside.cast("int")).over(w).alias("interior"))
     distinct_days = (F.when(F.col("d0") == F.col("d_last"), F.lit(1))
                      .when(F.col("interior") == 0, F.lit(2)).otherwise(F.lit(3)))
-    c = s1.join(s2, "symbol").withColumn("nx", distinct_days)
+    c = s2.withColumn("nx", distinct_days)
     m2, m3, m4, c1, c2 = (F.col(k) for k in ("m2", "m3", "m4", "c1", "c2"))
     mean_x = F.col("mean_d") - F.col("d0")
     span = (F.col("d_last") - F.col("d0")).cast("double")
@@ -146,8 +146,12 @@ def fit_coefficients(bars: DataFrame) -> DataFrame:
             .withColumn("quad_a", F.when(nx >= 3, g_a).when(nx == 2, t_a).otherwise(F.col("mean_y")))
             .withColumn("quad_b", F.when(nx >= 3, g_b).when(nx == 2, t_b).otherwise(F.lit(0.0)))
             .withColumn("quad_c", F.when(nx >= 3, g_c).when(nx == 2, s).otherwise(F.lit(0.0)))
-            .select("symbol", "n", "nx", "d0", "d_last", "mean_d", "mean_y", "var_y", "flat",
-                    "lin_b", "quad_a", "quad_b", "quad_c"))
+            .select("symbol", "date", "y", "d", *COEFFICIENTS))
+
+
+def fit_coefficients(bars: DataFrame) -> DataFrame:
+    """The coefficients, one row per symbol; no shuffle beyond :func:`with_coefficients`."""
+    return with_coefficients(bars).groupBy("symbol").agg(*[F.max(c).alias(c) for c in COEFFICIENTS])
 
 
 def _linear_at(d: Column) -> Column:
@@ -171,60 +175,32 @@ def _forest_sum(ys: Column, n: Column) -> Column:
     return F.aggregate(weighted, F.lit(0.0), lambda acc, v: acc + v)
 
 
-def forest_future(bars: DataFrame, coefs: DataFrame) -> DataFrame:
-    """M3 beyond the last bar: the nearest rows are the latest ones.
-
-    Every future day gets the same value.  Uses the K latest bars per symbol
-    (a ``row_number() <= K`` filter that Spark evaluates as a partial
-    window-group limit before the shuffle).
-    """
-    w = Window.partitionBy("symbol").orderBy(F.col("d").desc())
-    latest = (_xy(bars).withColumn("k", F.row_number().over(w))
-              .where(F.col("k") <= FOREST_NEIGHBOURS))
-    return (latest.join(coefs.select("symbol", "n"), "symbol")
-            .groupBy("symbol")
-            .agg(F.sum(F.col("y") * _forest_weight(F.col("n"), F.col("k") - 1)).alias("rf_future")))
-
-
-def in_sample(bars: DataFrame, coefs: DataFrame, block: str = "density") -> DataFrame:
+def in_sample(bars: DataFrame) -> DataFrame:
     """Fitted values of all three models for every bar.
 
-    The forest needs the K nearest rows around each bar, all within +-K
-    positions; the window runs over (symbol, block) with halo rows so a long
-    or hot symbol is spread over many tasks.  Blocks are sized by each
-    symbol's density (about ``FOREST_BLOCK_ROWS`` rows): short series get a
-    single block and no halo, so sparse histories are not amplified.
+    The forest needs the K nearest rows of each bar, all within +-K
+    positions of its symbol's series.  Both sides are in date order, so a
+    neighbour is one number, its distance and its place in the frame, and
+    sorting those longs puts the nearest first (ties: the earlier day).
     """
-    # Only n and the day range are needed inside the window; the wide
-    # coefficient row is joined after it, so the window shuffle stays narrow.
-    rows = _xy(bars).join(coefs.select("symbol", "n", "d0", "d_last"), "symbol")
     k = FOREST_NEIGHBOURS
-
-    def compute(df: DataFrame, w: Window) -> DataFrame:
-        nb = F.collect_list(F.struct("d", "y")).over(w.rowsBetween(-k, k))
-        ranked = F.array_sort(F.transform(
-            nb, lambda s: F.struct(F.abs(s["d"] - F.col("d")).alias("dist"),
-                                   s["d"].alias("d"), s["y"].alias("y"))))
-        ys = F.transform(F.slice(ranked, 1, k), lambda s: s["y"])
-        return df.withColumn("rf_fit", _forest_sum(ys, F.col("n")))
-
-    blk = (density_block(F.col("d"), F.col("d0"), F.col("d_last"), F.col("n"), FOREST_BLOCK_ROWS)
-           if block == "density" else time_block("date", block))
-    fitted = blocked_window(rows, "symbol", "d", blk, before=k, after=k,
-                            compute=compute).drop("n", "d0", "d_last")
-    fitted = fitted.join(coefs, "symbol")
-    return fitted.select(
+    frame = Window.partitionBy("symbol").orderBy("d").rowsBetween(-k, k)
+    rows = with_coefficients(bars).select(
+        "*", F.collect_list(F.struct("d", "y")).over(frame).alias("_rows"))
+    keys = F.transform("_rows", lambda x, i: F.abs(x["d"] - F.col("d")).cast("bigint") * PLACES + i)
+    ranked = rows.withColumn("_near", F.slice(F.sort_array(keys), 1, k))
+    ys = F.transform("_near", lambda key: F.get("_rows", (key % PLACES).cast("int"))["y"])
+    return ranked.select(
         "symbol", "date", "y", "n", "var_y", "flat",
         (F.col("d") - F.col("d0")).alias("day_index"),
         _linear_at(F.col("d")).alias("linear_fit"),
         _quadratic_at(F.col("d")).alias("poly_fit"),
-        "rf_fit")
+        _forest_sum(ys, F.col("n")).alias("rf_fit"))
 
 
-def model_metrics(bars: DataFrame, block: str = "density") -> DataFrame:
+def model_metrics(bars: DataFrame) -> DataFrame:
     """M6: in-sample MSE and R^2 of all three models, one row per symbol."""
-    coefs = fit_coefficients(bars)
-    fitted = in_sample(bars, coefs, block)
+    fitted = in_sample(bars)
 
     def sq(c: str) -> Column:
         r = F.col("y") - F.col(c)
@@ -253,10 +229,18 @@ def forecast_horizon(coefs: DataFrame, days: int = HORIZON_DAYS) -> DataFrame:
 
 
 def forecasts(bars: DataFrame, days: int = HORIZON_DAYS) -> DataFrame:
-    """M5: long table (symbol, model, date, day_index, prediction)."""
-    coefs = fit_coefficients(bars)
-    rf = forest_future(bars, coefs)
-    hz = forecast_horizon(coefs.join(rf, "symbol"), days)
+    """M5: long table (symbol, model, date, day_index, prediction).
+
+    M3 beyond the last bar: the nearest rows are the latest ones, so every
+    future day gets the same weighted sum of the K latest closes.  It is
+    taken over the partitions that the coefficients are computed in.
+    """
+    latest = Window.partitionBy("symbol").orderBy(F.col("d").desc())
+    k = F.row_number().over(latest)
+    weighted = F.when(F.col("_k") <= FOREST_NEIGHBOURS, F.col("y") * _forest_weight(F.col("n"), F.col("_k") - 1))
+    coefs = (with_coefficients(bars).withColumn("_k", k).groupBy("symbol")
+             .agg(*[F.max(c).alias(c) for c in COEFFICIENTS], F.sum(weighted).alias("rf_future")))
+    hz = forecast_horizon(coefs, days)
     preds = F.array(
         F.struct(F.lit("linear").alias("model"), _linear_at(F.col("d")).alias("prediction")),
         F.struct(F.lit("polynomial").alias("model"), _quadratic_at(F.col("d")).alias("prediction")),

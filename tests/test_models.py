@@ -36,7 +36,7 @@ def test_quadratic_matches_lstsq(spark, days):
     rng = random.Random(len(days))
     closes = [round(rng.uniform(10, 500), 2) for _ in days]
     bars = daily(spark, _rows(days, closes))
-    fit = {r.day_index: r.poly_fit for r in models.in_sample(bars, models.fit_coefficients(bars)).collect()}
+    fit = {r.day_index: r.poly_fit for r in models.in_sample(bars).collect()}
     want = _lstsq_quadratic(np.array(days, float), np.array(closes))
     for d, w in zip(days, want):
         assert math.isclose(fit[d], w, rel_tol=1e-9, abs_tol=1e-7)
@@ -47,8 +47,7 @@ def test_forest_matches_exact_expectation(spark):
     days = sorted(rng.sample(range(0, 400), 120))
     closes = [round(rng.uniform(10, 500), 2) for _ in days]
     bars = daily(spark, _rows(days, closes))
-    coefs = models.fit_coefficients(bars)
-    fit = {r.day_index: r.rf_fit for r in models.in_sample(bars, coefs).collect()}
+    fit = {r.day_index: r.rf_fit for r in models.in_sample(bars).collect()}
     for d in days:
         assert math.isclose(fit[d - days[0]], _expected_forest(days, closes, d), rel_tol=1e-12)
     fut = models.forecasts(bars).where("model = 'random_forest'").collect()
@@ -102,14 +101,13 @@ def test_horizon_is_calendar_days(spark):
     assert [r.day_index for r in hz[:3]] == [5, 6, 7]
 
 
-def test_forest_across_many_density_blocks(spark, monkeypatch):
-    """Blocks of ~60 rows: the +-50 neighbourhood crosses several block edges."""
-    monkeypatch.setattr(models, "FOREST_BLOCK_ROWS", 60)
+def test_forest_of_a_long_series(spark):
+    """Far more rows than the +-50 neighbourhood."""
     rng = random.Random(11)
     days = sorted(rng.sample(range(0, 2000), 400))
     closes = [round(rng.uniform(10, 500), 2) for _ in days]
     bars = daily(spark, _rows(days, closes))
-    fit = {r.day_index: r.rf_fit for r in models.in_sample(bars, models.fit_coefficients(bars)).collect()}
+    fit = {r.day_index: r.rf_fit for r in models.in_sample(bars).collect()}
     assert len(fit) == len(days)
     for d in days:
         assert math.isclose(fit[d - days[0]], _expected_forest(days, closes, d), rel_tol=1e-12)

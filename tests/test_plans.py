@@ -88,7 +88,8 @@ def test_keep_last_and_quote_aggregates_are_hash_based(spark):
 def test_daily_series_take_one_shuffle(spark):
     """One exchange of the bar adapter and one on the symbol; one scan; no join."""
     import re
-    for name in ("analysis_series", "latest_indicators", "linear_trend"):
+    for name in ("analysis_series", "latest_indicators", "linear_trend", "model_metrics", "bagged_tree_trend",
+                 "forecasts"):
         plan = _plan(REGISTRY[name](spark, SF_SMALL))
         assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 2, name
         assert plan.count("FileScan") == 1 and "Join" not in plan, name
