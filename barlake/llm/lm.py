@@ -245,6 +245,8 @@ def mixture(cells: list, types: int) -> np.ndarray:
     """EM over the cells: weights (pair, word, uniform) of each context bucket."""
     weights = np.tile([0.0, 0.5, 0.5], (BUCKETS, 1))
     table = np.array([tuple(c) for c in cells], dtype=float).reshape(-1, 4)
+    if not len(table):  # nothing learned: every word is as likely
+        return np.tile([0.0, 0.0, 1.0], (BUCKETS, 1))
     at = table[:, 0].astype(np.int64) // (LEVELS * LEVELS)
     for b in range(BUCKETS):
         own = table[at == b]

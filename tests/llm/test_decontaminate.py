@@ -35,7 +35,7 @@ ITEMS = [(1, prose(30, 3)), (2, prose(12, 3)), (10, "Copper WIND"), (11, "under
          (5, prose(30, 3)), (None, "one"), (6, "stone"), (6, "stone"), (7, prose(25, 9))]
 
 
-@pytest.mark.parametrize("block_rows", [100_000, 7])
+@pytest.mark.parametrize("block_rows", [100_000, 60])
 def test_matches_brute_force(spark, edge_docs, edge_rows, block_rows):
     planted = [(200, prose(20, 50) + " " + prose(30, 3) + "!" + prose(9, 51)),
                (201, (prose(14, 9) + " ") * 5), (202, "COPPER, wind copper wind"), (203, prose(24, 9).upper())]

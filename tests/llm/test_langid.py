@@ -31,8 +31,6 @@ def test_counts_and_distances_match_brute_force():
         keys, counts = L.counted(t)
         assert dict(zip(map(spelled, keys.tolist()), counts.tolist())) == dict(brute(t))
 
-    def ranked(c):
-        return sorted(c, key=lambda g: (-c[g], [ord(x) for x in g].__len__(), g))
     profiles = {"x": L.profile(*L.counted(texts[0])).tolist(), "y": L.profile(*L.counted(texts[3])).tolist()}
     own = L.profile(*L.counted(texts[4]))
     far = L.Identifier(profiles).distances(own)
