@@ -79,11 +79,10 @@ def hours_between(start: str, end: str) -> Column:
 
 
 # --- trading-day clock -------------------------------------------------------
-# Fixed values of the market session: opens 09:30, closes 16:00; Monday
+# Fixed values of the market session: opens 09:30; Monday
 # before 09:00 belongs to the previous Friday (the hour-only test means
 # Monday 09:00-09:29 resolves to Sunday).
 OPEN_HOUR, OPEN_MINUTE = 9, 30
-CLOSE_HOUR = 16
 
 
 def trading_day(ts: str | Column) -> Column:

@@ -51,19 +51,6 @@ def time_block(col: str, unit: str) -> Column:
     raise ValueError(f"unknown block unit {unit!r}")
 
 
-def density_block(pos: Column, first: Column, last: Column, n: Column, target_rows: int) -> Column:
-    """Block id sized by the key's own density: about ``target_rows`` rows per block.
-
-    ``pos`` is a numeric ordering value (day or microsecond number) with
-    per-key ``first``/``last`` values and ``n`` rows.  A key with at most
-    ``target_rows`` rows gets a single block (no halo at all); a hot key is
-    split into about ``n / target_rows`` blocks, so halo rows stay a small
-    fraction of each block however sparse or dense the series is.
-    """
-    span = (last - first + F.lit(1)).cast("double")
-    return F.floor((pos - first).cast("double") * n.cast("double") / (span * F.lit(float(target_rows))))
-
-
 def _halo_rows(b: DataFrame, key: str, order: str, k: int, forward: bool) -> DataFrame:
     """Rows that blocks need from their neighbours, re-labelled with the target block."""
     cols = [c for c in b.columns if c not in (BLOCK, HALO)]

@@ -1,8 +1,9 @@
 """DuckDB SQL twins of the registered queries.
 
 Each statement runs on the driver tables registered as views and computes
-the same result by an independent route (plain window functions, self
-joins, residual sums) -- not a transcription of the Spark plan.  Doubles
+the same result with plain window functions, self joins and residual sums;
+the quadratic fit solves the same centred normal equations as the Spark code
+(``tests/test_models.py`` checks it against numpy).  Doubles
 are rounded by :func:`R` exactly as ``queries.compare_round`` does;
 ``+ 0.0`` turns DuckDB's ``-0.0`` into ``0.0`` (Spark's ``round`` never
 yields negative zero).
