@@ -529,7 +529,7 @@ def q_stream_latest_state(spark, sf_dir):
         return state.start_live_state(stream, sink, ckpt, cap=10)
 
     ingest.replay_in_cycles(arr, src, "seq", STREAM_CYCLES, start)
-    return state.live_view(ingest.read_sink(spark, sink, "log"))
+    return state.live_view(spark, sink)
 
 
 @register("indicator_card_text")

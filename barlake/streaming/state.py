@@ -1,141 +1,109 @@
 """Keyed live state: keep-last per (symbol, date), newest ``cap`` dates per symbol (ST3).
 
-``groupBy("symbol").transformWithStateInPandas`` keeps one MapState per
-symbol (date -> latest bar and its arrival ``seq``).  Each micro-batch:
-
-1. rows of the symbol are ordered by ``seq``; the last arrival per date
-   wins, and an older arrival never replaces a newer one;
-2. if the symbol now holds more than ``cap`` dates, the oldest arrivals are
-   evicted (an LRU by arrival, as the live table of the reference);
-3. the processor emits an event log -- ``upsert`` for every stored bar that
-   changed, ``evict`` for every previously published date that left -- in
-   append mode.
-
-The live table is ``keep_last(log by (symbol, date), event_seq)`` filtered
-to upserts (:func:`live_view`), which equals the batch twin
-:func:`barlake.operators.dedup.live_state` on the same arrivals.  State is
-bounded by ``cap`` per symbol; the RocksDB state store keeps it off-heap and
-checkpointed, so a lost executor resumes from the last committed version.
+The live table is kept as versions of hash buckets of symbols:
+``<sink>/state/v=<batch>/bucket=<b>``.  Each micro-batch
+
+1. is reduced by the batch operators (:func:`barlake.operators.dedup.live_state`:
+   the last arrival per date, then the newest ``cap`` dates of each symbol,
+   salted, so a hot symbol is pre-reduced by many tasks);
+2. is merged, by the same operators, with the newest earlier version of the
+   buckets it touches;
+3. writes those buckets as version ``v=<batch>``.
+
+Trimming early changes nothing: a date that is evicted has ``cap`` dates with
+newer arrivals, and a later arrival for it enters with its newer ``seq``.  So
+the table equals the batch twin on the same arrivals, whatever the batches.
+
+A batch reads at most ``cap`` rows for each symbol of its buckets, however
+many batches came before.  A batch that is run again rewrites its own version
+from the one before, which is why two versions of a bucket are kept; older
+ones are retired.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
-from barlake.operators.dedup import LIVE_CAP, keep_last
+from barlake.operators.dedup import LIVE_CAP, live_state
 from barlake.streaming.ingest import triggered
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-VALUE_FIELDS = ["seq", "date", "open", "high", "low", "close", "volume"]
-VALUE_SCHEMA = ("seq BIGINT, date DATE, open DOUBLE, high DOUBLE, low DOUBLE, "
+BUCKETS = 64  # the unit that a batch rewrites
+KEPT_VERSIONS = 2
+COLUMNS = ["symbol", "date", "seq", "open", "high", "low", "close", "volume"]
+STATE_SCHEMA = ("symbol STRING, date DATE, seq BIGINT, open DOUBLE, high DOUBLE, low DOUBLE, "
                 "close DOUBLE, volume DOUBLE")
-LOG_SCHEMA = ("symbol STRING, date DATE, seq BIGINT, open DOUBLE, high DOUBLE, low DOUBLE, "
-              "close DOUBLE, volume DOUBLE, op STRING, event_seq BIGINT")
-
-
-class LiveBars(StatefulProcessor):
-    """Per-symbol LRU of dated bars with keep-last semantics."""
-
-    def __init__(self, cap: int = LIVE_CAP) -> None:
-        self.cap = cap
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.bars = handle.getMapState("bars", "day BIGINT", VALUE_SCHEMA)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        symbol = key[0]
-        published = {k[0]: tuple(v) for k, v in self.bars.iterator()}
-        state = dict(published)
-        event_seq = None
-        # Arrow chunks are folded in one at a time and the state is trimmed to
-        # the cap after each, so a hot symbol's batch never sits in memory at
-        # once.  Trimming early is equivalent to trimming at the end: a date
-        # evicted here already has `cap` dates with newer arrivals, and a later
-        # arrival for it re-enters with its newer seq.
-        for chunk in rows:
-            if chunk.empty:
-                continue
-            chunk = chunk.sort_values("seq").drop_duplicates("day", keep="last")
-            top = int(chunk["seq"].iloc[-1])
-            event_seq = top if event_seq is None else max(event_seq, top)
-            for r in chunk.itertuples(index=False):
-                old = state.get(r.day)
-                if old is None or old[0] < r.seq:
-                    state[r.day] = (int(r.seq), r.date, r.open, r.high, r.low, r.close, r.volume)
-            if len(state) > self.cap:
-                by_age = sorted(state, key=lambda d: state[d][0])
-                for d in by_age[: len(state) - self.cap]:
-                    del state[d]
-        if event_seq is None:
-            return
-        out = []
-        for d, v in published.items():
-            if d not in state:
-                self.bars.removeKey((d,))
-                out.append((symbol, v[1], v[0], None, None, None, None, None, "evict", event_seq))
-        for d, v in state.items():
-            if published.get(d) != v:
-                self.bars.updateValue((d,), v)
-                out.append((symbol, v[1], v[0], v[2], v[3], v[4], v[5], v[6], "upsert", int(v[0])))
-        if out:
-            yield pd.DataFrame(out, columns=["symbol", "date", "seq", "open", "high", "low",
-                                             "close", "volume", "op", "event_seq"])
-
-    def close(self) -> None:
-        pass
-
-
-PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
-
-
-@contextmanager
-def rocksdb(spark: SparkSession) -> Iterator[None]:
-    """The state processor API needs the RocksDB provider when a query starts.
-
-    A started query keeps its own copy of the settings, so the session's
-    value is put back.
-    """
-    before = spark.conf.get(PROVIDER_CONF, None)
-    spark.conf.set(PROVIDER_CONF, ROCKSDB)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(PROVIDER_CONF)
-        else:
-            spark.conf.set(PROVIDER_CONF, before)
 
 
-def live_log(arrivals: DataFrame, cap: int = LIVE_CAP) -> DataFrame:
-    """Streaming event log of the live table (input: symbol, date, seq, OHLCV)."""
-    rows = arrivals.select("symbol", F.unix_date("date").cast("long").alias("day"), *VALUE_FIELDS)
-    return rows.groupBy("symbol").transformWithStateInPandas(
-        statefulProcessor=LiveBars(cap), outputStructType=LOG_SCHEMA,
-        outputMode="Append", timeMode="None")
+def versions(spark: SparkSession, sink: str, before: int | None = None) -> dict[int, list[int]]:
+    """Complete versions of each bucket, newest first, optionally only those before a batch."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(f"{sink}/state")
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found: dict[int, list[int]] = {}
+    if not fs.exists(root):
+        return found
+    for folder in fs.listStatus(root):
+        version = int(folder.getPath().getName().removeprefix("v="))
+        if before is not None and version >= before:
+            continue
+        parts = [p.getPath().getName() for p in fs.listStatus(folder.getPath())]
+        if "_SUCCESS" in parts:
+            for name in parts:
+                if name.startswith("bucket="):
+                    found.setdefault(int(name.removeprefix("bucket=")), []).append(version)
+    return {b: sorted(v, reverse=True) for b, v in found.items()}
+
+
+def stored_state(spark: SparkSession, sink: str, newest: dict[int, int]) -> DataFrame:
+    """Live rows of the given buckets at the given versions."""
+    paths = [f"{sink}/state/v={v}/bucket={b}" for b, v in sorted(newest.items())]
+    if not paths:
+        return spark.createDataFrame([], STATE_SCHEMA)
+    return spark.read.schema(STATE_SCHEMA).parquet(*paths)
+
+
+def retire(spark: SparkSession, sink: str, touched: list[int]) -> None:
+    """Remove all but the newest ``KEPT_VERSIONS`` versions of the touched buckets, and emptied versions."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(sink).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    known = versions(spark, sink)
+    old = [(b, v) for b in touched for v in known.get(b, [])[KEPT_VERSIONS:]]
+    for b, v in old:
+        fs.delete(path(f"{sink}/state/v={v}/bucket={b}"), True)
+    for v in {v for _, v in old}:
+        folder = path(f"{sink}/state/v={v}")
+        if not any(p.getPath().getName().startswith("bucket=") for p in fs.listStatus(folder)):
+            fs.delete(folder, True)
+
+
+def merge_batch(batch: DataFrame, batch_id: int, sink: str, cap: int = LIVE_CAP) -> None:
+    """Merge one micro-batch (symbol, date, seq, OHLCV) into the live table as version ``batch_id``."""
+    spark = batch.sparkSession
+    bucket = F.pmod(F.xxhash64("symbol"), F.lit(BUCKETS)).cast("int")
+    reduced = live_state(batch.select(*COLUMNS), cap=cap).persist()
+    try:
+        touched = sorted(r[0] for r in reduced.select(bucket).distinct().collect())  # at most BUCKETS numbers
+        if not touched:
+            return
+        earlier = {b: v[0] for b, v in versions(spark, sink, before=batch_id).items() if b in touched}
+        merged = live_state(stored_state(spark, sink, earlier).unionByName(reduced), cap=cap)
+        (merged.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket")
+         .parquet(f"{sink}/state/v={batch_id}"))
+    finally:
+        reduced.unpersist()
+    retire(spark, sink, touched)
 
 
 def start_live_state(arrivals: DataFrame, sink: str, checkpoint: str,
                      cap: int = LIVE_CAP, processing_time: str | None = None) -> StreamingQuery:
-    """ST3: run the keyed state and append its event log (idempotent per batch)."""
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{sink}/log/batch_id={batch_id}")
-    with rocksdb(arrivals.sparkSession):
-        return triggered(live_log(arrivals, cap).writeStream.foreachBatch(write)
-                         .option("checkpointLocation", checkpoint), processing_time).start()
-
-
-def live_view(log: DataFrame) -> DataFrame:
-    """Current live table from the event log: the latest event per (symbol, date) if an upsert."""
-    # a boolean flag instead of the string ``op`` keeps the keep-last
-    # aggregate on fixed-width buffers (hash, not sort, aggregation)
-    flagged = log.select(*[c for c in log.columns if c not in ("batch_id", "op")],
-                         (F.col("op") == "upsert").alias("_upsert"))
-    last = keep_last(flagged, ["symbol", "date"], "event_seq")
-    return last.where(F.col("_upsert")).select(
-        "symbol", "date", "seq", "open", "high", "low", "close", "volume")
+    """ST3: keep the live table of a stream of arrivals; read it with :func:`live_view`."""
+    return triggered(arrivals.writeStream
+                     .foreachBatch(lambda batch, batch_id: merge_batch(batch, batch_id, sink, cap))
+                     .option("checkpointLocation", checkpoint), processing_time).start()
+
+
+def live_view(spark: SparkSession, sink: str) -> DataFrame:
+    """Current live table: the newest version of every bucket."""
+    return stored_state(spark, sink, {b: v[0] for b, v in versions(spark, sink).items()})

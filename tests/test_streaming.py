@@ -64,9 +64,23 @@ def test_snapshot_and_delta_do_not_depend_on_batches(spark):
     assert out[0] and out[0] == out[1] == out[2]
 
 
-def test_state_setting_is_put_back(spark):
+def test_live_state_is_bounded_and_repeatable(spark):
+    """Old versions go, a repeated batch changes nothing, and late or re-sent dates enter by arrival."""
+    import datetime as dt
+
+    from barlake.operators.dedup import live_state
+    from barlake.session import scratch_path
     from barlake.streaming import state
-    before = spark.conf.get(state.PROVIDER_CONF, None)
-    with state.rocksdb(spark):
-        assert spark.conf.get(state.PROVIDER_CONF) == state.ROCKSDB
-    assert spark.conf.get(state.PROVIDER_CONF, None) == before
+    sink = scratch_path(spark, "l_sink")
+    schema = "symbol string, date date, seq bigint, open double, high double, low double, close double, volume double"
+    rows = [("A", dt.date(2024, 1, 1 + d), seq, *([float(seq)] * 5))
+            for seq, d in enumerate([0, 1, 2, 3, 0, 4, 5, 1, 1, 6])]
+    for k in range(5):
+        batch = spark.createDataFrame(rows[2 * k:2 * k + 2], schema)
+        state.merge_batch(batch, k, sink, cap=3)
+        state.merge_batch(batch, k, sink, cap=3)
+    want = live_state(spark.createDataFrame(rows, schema), cap=3)
+    assert _rows(state.live_view(spark, sink)) == _rows(want.select(*state.COLUMNS))
+    assert all(len(v) <= state.KEPT_VERSIONS for v in state.versions(spark, sink).values())
+    state.merge_batch(spark.createDataFrame([], schema), 5, sink, cap=3)
+    assert state.live_view(spark, sink).count() == 3
