@@ -31,6 +31,8 @@ from barlake.llm.segments import SegmentCache, encode_batch
 from barlake.llm.shared import col, text_of
 
 MARK = "▁"
+# Cached segments per worker: half the usual bound, as two tokenizers and the library's model live there too.
+CACHED = 250_000
 # Fixed values of the SentencePiece protobuf: field numbers and enum values.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 PIECE, SCORE, KIND = 1, 2, 3
@@ -141,7 +143,7 @@ class Codec:
         self.norm = self.whole.normalizer
         self.own = sentencepiece.SentencePieceProcessor(model_proto=data)
         pattern = f"{MARK}*[^{MARK}]+|{MARK}+" if self.model.by_segment else r"(?s).+"
-        self.cache = SegmentCache(pattern, self._segments)
+        self.cache = SegmentCache(pattern, self._segments, limit=CACHED)
         self.odd: set[str] = set()  # segments whose ids differ from the library's
         parts = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else p.replace(MARK, " ").encode()
                  for p, _, k in self.model.pieces]
