@@ -55,18 +55,22 @@ class Encoder:
     """Batch encoder of one tokenizer in one Python worker.
 
     Byte-level pieces never reach over the start of a white-space run, so
-    texts are encoded by segment; other tokenizers get whole texts.
+    texts are encoded by segment; other tokenizers get whole texts.  Strings
+    of added tokens in a text are cut out first and get the token's id, or,
+    with ``special_as_text``, those of special tokens are ordinary text.
     """
 
-    def __init__(self, spec: str):
+    def __init__(self, spec: str, special_as_text: bool = True):
         self.tokenizer = Tokenizer.from_str(spec)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = special_as_text
         top = json.loads(spec)
+        added = [t for t in top.get("added_tokens") or [] if not (special_as_text and t["special"])]
         pre = top.get("pre_tokenizer") or {}
         by_segment = (top.get("normalizer") is None and pre.get("type") == "ByteLevel"
-                      and pre.get("use_regex", True) and not pre.get("add_prefix_space", True))
+                      and pre.get("use_regex", True) and not pre.get("add_prefix_space", True)
+                      and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added))
         pattern = f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+" if by_segment else r"(?s).+"
-        self.cache = SegmentCache(pattern, self._segments)
+        self.cache = SegmentCache(pattern, self._segments, added=[t["content"] for t in added] if by_segment else ())
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
 
     def _segments(self, segments: list[str]) -> list[bytes]:
@@ -75,8 +79,8 @@ class Encoder:
 
 @lru_cache(maxsize=2)
 def encoder(spec: str) -> Encoder:
-    """The worker's encoder of a tokenizer; kept over batches and tasks."""
-    return Encoder(spec)
+    """The worker's encoder of a tokenizer as its file says; kept over batches and tasks."""
+    return Encoder(spec, special_as_text=False)
 
 
 class ShardWriter:
@@ -123,7 +127,9 @@ def write_records(docs: DataFrame, tokenizer_path: str, folder: str | None = Non
 
     The id must be an integer.  Null ids come first; null text counts as
     empty; every document gets ``end_id`` appended, so none has no ids.
-    Repeated ids are all written, ordered by the text's hash.  An empty table
+    Repeated ids are all written, ordered by the text's hash.  The string of
+    an added token in a text gets that token's id, as the tokenizer does by
+    default.  An empty table
     writes no file and gives an empty manifest.
     """
     spark = docs.sparkSession

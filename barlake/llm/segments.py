@@ -11,7 +11,7 @@ from __future__ import annotations
 import array
 import os
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 from tokenizers import Tokenizer
 
@@ -32,6 +32,21 @@ def encode_batch(tokenizer: Tokenizer, segments: list[str], threads: bool) -> li
     return [array.array("I", e.ids) for e in tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
 
 
+def splitter(pattern: str, added: Sequence[str] = ()) -> Callable[[str], list[str]]:
+    """Split a text at the strings of ``added``, the longest first, and what is between them by ``pattern``."""
+    find = re.compile(pattern).findall
+    if not added:
+        return find
+    cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")").split
+
+    def split(text: str) -> list[str]:
+        if not any(a in text for a in added):
+            return find(text)
+        return [s for i, part in enumerate(cut(text)) for s in ([part] if i % 2 else find(part))]
+
+    return split
+
+
 class SegmentCache:
     """``encode_many(segments) -> list of id bytes`` behind a cache of two generations.
 
@@ -39,8 +54,9 @@ class SegmentCache:
     holds half the limit it becomes the old one and the old one goes.
     """
 
-    def __init__(self, pattern: str, encode_many: Callable[[list[str]], list[bytes]], limit: int = CACHE_SEGMENTS):
-        self.split = re.compile(pattern).findall
+    def __init__(self, pattern: str, encode_many: Callable[[list[str]], list[bytes]], limit: int = CACHE_SEGMENTS,
+                 added: Sequence[str] = ()):
+        self.split = splitter(pattern, added)
         self.encode_many = encode_many
         self.limit = limit
         self.young: dict[str, bytes] = {}

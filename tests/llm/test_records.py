@@ -68,3 +68,18 @@ def test_shuffled_reads_and_damage(edge_docs):
 
 def test_empty_table(spark, no_docs):
     assert R.read_records(spark, R.write_records(no_docs, PATH)).count() == 0
+
+
+def test_strings_of_special_tokens_get_their_ids_as_from_the_unchanged_tokenizer(spark):
+    unchanged = Tokenizer.from_file(PATH)
+    rnd = random.Random(9)
+    bits = ["<|endoftext|>", "<|endoftext|>", "<|endo", "text|>", " ", "  ", "\n", "\u3000", "word", "it's", "12", "é"]
+    texts = ["hello <|endoftext|> world", "<|endoftext|>", "", "plain"] + [
+        "".join(rnd.choice(bits) for _ in range(rnd.randint(0, 20))) for _ in range(2000)]
+    want = [e.ids for e in unchanged.encode_batch(texts, add_special_tokens=False)]
+    assert want[0] == [31373, 220, 50256, 995]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = R.read_records(spark, R.write_records(docs, PATH), with_ids=True).collect()
+    assert {r["doc_id"]: r["ids"][:-1] for r in got} == dict(enumerate(want))
+    starts = np.cumsum([0] + [len(x) + 1 for x in want])
+    assert all(r["start"] == starts[r["doc_id"]] for r in got)
