@@ -56,27 +56,36 @@ def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[st
     return groups
 
 
+def binds(names: tuple[str, ...], wanted: list[str]) -> bool:
+    """Whether a header has every wanted column exactly once."""
+    return all(names.count(c) == 1 for c in wanted)
+
+
 def csv_by_name(spark: SparkSession, path: str, wanted: list[str],
-                partition_cols: list[str] | None = None) -> DataFrame:
+                partition_cols: list[str] | None = None, skip_unreadable: bool = False) -> DataFrame:
     """Text columns ``wanted`` of all CSV files below ``path``, bound by header name.
 
-    Files may have their columns in any order and extra ones.  Files of one
-    order are read together and the orders are united by name.  A file that
-    lacks a wanted column is left out (see :func:`csv_rejects`).
+    Files may have their columns in any order and extra ones, whatever these
+    are called.  Files of one order are read together and the orders are
+    united by name.  A file that lacks or repeats a wanted column is left out
+    (see :func:`csv_rejects`).  A file that is damaged or goes missing while
+    read is an error unless ``skip_unreadable``.
     """
     groups = csv_headers(spark, path)
     partition_cols = partition_cols or []
     partition = [T.StructField(c, T.StringType(), True) for c in partition_cols]
     parts = []
     for names, files in sorted(groups.items()):
-        if not set(wanted) <= set(names) or len(set(names)) < len(names):
+        if not binds(names, wanted):
             continue
-        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names] + partition)
+        # unwanted columns get names of their own: theirs may be equal
+        fields = [n if n in wanted else f"_unwanted_{i}" for i, n in enumerate(names)]
+        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in fields] + partition)
         # one order only: let Spark list the folder itself
         where = path if len(groups) == 1 else sorted(files)
         parts.append(spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-                     .option("basePath", path).option("ignoreCorruptFiles", True)
-                     .option("ignoreMissingFiles", True).csv(where).select(*wanted, *partition_cols))
+                     .option("basePath", path).option("ignoreCorruptFiles", skip_unreadable)
+                     .option("ignoreMissingFiles", skip_unreadable).csv(where).select(*wanted, *partition_cols))
     if not parts:
         schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*wanted, *partition_cols]])
         return spark.createDataFrame([], schema)
@@ -87,11 +96,14 @@ def csv_rejects(spark: SparkSession, path: str, wanted: list[str] = CSV_COLUMNS)
     """(file, wanted columns it lacks or repeats) of every file that :func:`csv_by_name` leaves out."""
     return sorted((f, [c for c in wanted if names.count(c) != 1])
                   for names, files in csv_headers(spark, path).items()
-                  if not set(wanted) <= set(names) or len(set(names)) < len(names) for f in files)
+                  if not binds(names, wanted) for f in files)
 
 
 def read_bar_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Bar CSV files as text, columns bound by header name, in any order."""
+    """Bar CSV files as text, columns bound by header name, in any order.
+
+    A file that can't be read to its end is an error, never a part of its rows.
+    """
     return csv_by_name(spark, path, CSV_COLUMNS)
 
 
@@ -156,7 +168,8 @@ def read_symbol_dirs(spark: SparkSession, path: str) -> DataFrame:
 
     Unreadable files are skipped (a failing symbol does not stop the rest).
     """
-    return csv_by_name(spark, path, [c for c in CSV_COLUMNS if c != "Symbol"], ["Symbol"])
+    return csv_by_name(spark, path, [c for c in CSV_COLUMNS if c != "Symbol"], ["Symbol"],
+                       skip_unreadable=True)
 
 
 # --- stored history -----------------------------------------------------------------

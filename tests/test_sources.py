@@ -1,4 +1,6 @@
 """CSV columns are bound by header name; files that lack one are rejected, not misread."""
+import gzip
+
 import pytest
 
 from barlake.operators import cleanse
@@ -58,3 +60,32 @@ def test_every_row_lands_in_a_cycle(spark, tmp_path):
         ingest.land_cycle(df, str(tmp_path / "x"), "offset", 4, c, 3)
     rows = {r.offset: r.cycle for r in spark.read.parquet(str(tmp_path / "x")).collect()}
     assert rows == {None: 0, -5: 0, 0: 0, 7: 1, 99: 2}
+
+
+def test_damaged_bar_file_is_an_error(spark, tmp_path):
+    rows = "".join(f"2024-01-02,S{i},1,4,0.5,{i % 97},10\n" for i in range(50000))
+    packed = gzip.compress(("Date,Symbol,Open,High,Low,Close,Volume\n" + rows).encode())
+    (tmp_path / "a.csv.gz").write_bytes(packed[:len(packed) // 2])
+    header = ("Date", "Symbol", "Open", "High", "Low", "Close", "Volume")
+    with pytest.MonkeyPatch.context() as m:  # the header reader does not unpack
+        m.setattr(readers, "csv_headers", lambda *_: {header: [str(tmp_path / "a.csv.gz")]})
+        with pytest.raises(Exception):
+            readers.read_bar_csv(spark, str(tmp_path)).collect()
+
+
+def test_bar_file_gone_after_listing_is_an_error(spark, tmp_path):
+    text = "Date,Symbol,Open,High,Low,Close,Volume\n2024-01-02,{},1,4,0.5,2,10\n"
+    put(tmp_path, "a.csv", text.format("A"))
+    put(tmp_path, "b.csv", text.format("B"))
+    bars = readers.read_bar_csv(spark, str(tmp_path))
+    (tmp_path / "b.csv").unlink()
+    with pytest.raises(Exception):
+        bars.collect()
+
+
+def test_equal_unwanted_columns_are_read(spark, tmp_path):
+    put(tmp_path, "a.csv", "Date,Symbol,Open,High,Low,Close,Volume,,\n2024-01-02,A,1,4,0.5,2,10,,\n")
+    put(tmp_path, "b.csv", "Date,Symbol,Open,High,Low,Close,Volume,Close\n2024-01-02,B,1,4,0.5,2,10,3\n")
+    rows = cleanse.clean_csv_bars(readers.read_bar_csv(spark, str(tmp_path))).collect()
+    assert [(r.symbol, r.close, r.volume) for r in rows] == [("A", 2.0, 10.0)]
+    assert [(f.rsplit("/", 1)[-1], c) for f, c in readers.csv_rejects(spark, str(tmp_path))] == [("b.csv", ["Close"])]
