@@ -1,12 +1,14 @@
 """Secret scan: candidate strings judged by a random forest.
 
-Candidates are all unbroken runs of at least ``SHORTEST`` key characters.
-Strict rules label some of them as findings (provider formats, a mixed value
+Candidates are strings of a format that a provider publishes, values assigned
+on one line to a telling name, whatever their length and characters, and all
+other unbroken runs of at least ``SHORTEST`` key characters.  Strict rules label some of them as findings (provider formats, a mixed value
 assigned to a telling name) or as false positives (plain words, numbers,
 identifiers, placeholders); findings labelled by hand can be passed instead.
 A random forest learns from a bounded number of labelled candidates, on
 length, character transitions, dictionary coverage, path and neighbouring
-words, and judges every candidate, so false positives of any kind go.
+words, and judges every candidate, so false positives of any kind go.  Only a
+provider's format that is no placeholder is a finding whatever the forest says.
 """
 
 from __future__ import annotations
@@ -36,13 +38,26 @@ TREES, DEPTH, SEED = 40, 8, 11
 ACCEPT = 0.5
 NAME_SLOTS, PATH_SLOTS = 16, 16
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9+/=_-])[A-Za-z0-9+/_-][A-Za-z0-9+/=_-]{15,}")
+# '=' belongs to a run as padding at its end only.
+CANDIDATE = re.compile(
+    r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{%d,}(?:={1,2}(?![A-Za-z0-9+/=_-]))?" % SHORTEST)
 TELLING = re.compile(r"(?i)(?:key|token|secret|passw|pwd|auth|bearer|credential|api)")
 ASSIGNED = re.compile(r"[:=]\s*[\"'`]?$")
 # Formats that providers publish for their keys.
 PROVIDERS = re.compile(
     r"(?:AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9-]{10,}|sk_live_[0-9A-Za-z]{24,}"
     r"|AIza[0-9A-Za-z_-]{35}|glpat-[0-9A-Za-z_-]{20}")
+PUBLISHED = re.compile(rf"(?<![A-Za-z0-9])(?:{PROVIDERS.pattern})(?![A-Za-z0-9])")
+# An assignment: the name (with a type) that ends at most NAMED characters before its sign, and the value after it.
+NAMED = 96
+SIGN = re.compile(r"(?<![:=])(?::=|=>|={1,3}|:(?!:))[ \t]*")
+NAME = re.compile(r"([?&]?)([\w.-]+)[\"'`\])]{0,2}(?:[ \t]*:[ \t]*[A-Za-z_][\w.\[\]|]*)?[ \t]*$")
+SCHEME = re.compile(r"(?i)(?:bearer|basic|token)[ \t]+(?=\S)")
+QUOTED = re.compile(r"[A-Za-z]{0,2}([\"'`])((?:\\.|(?!\1)[^\\\n])+)\1")
+PLAIN = re.compile(r"[\"'`]*((?:(?![,;&][\w\"'.-]+[:=])\S)+)")
+PARAMETER = re.compile(r"([^\s&#\"'`<>]+)")
+CODE = re.compile(r"[\s(){}\[\]$<>]")
+PUBLISHED_FORMAT, VALUE, RUN = range(3)
 UUID = re.compile(r"[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
 PLACEHOLDER = re.compile(r"(?i)example|placeholder|your[_-]|changeme|dummy|(.)\1{7}")
 HEX = re.compile(r"[0-9a-fA-F]+")
@@ -50,6 +65,69 @@ CLASSES = str.maketrans({**{c: "l" for c in "abcdefghijklmnopqrstuvwxyz"}, **{c:
                          **{c: "d" for c in "0123456789"}, **{c: "s" for c in "+/=_-"}})
 
 
+def shape(word: str) -> str:
+    """The class of each character: lower or upper case letter, digit, any other."""
+    return re.sub("[^luds]", "s", word.translate(CLASSES))
+
+
+def assigned(text: str) -> Iterator[tuple[int, int]]:
+    """Spans of the values assigned to telling names, from the last to the first."""
+    plain = parameter = len(text)  # where the value after begins: values that are not quoted end there
+    for m in reversed(list(SIGN.finditer(text))):
+        name = NAME.search(text[max(0, m.start() - NAMED):m.start()])
+        if not name or not TELLING.search(name[0]):
+            continue
+        at = m.end()
+        if q := QUOTED.match(text, at):
+            start, end = q.span(2)
+            if scheme := SCHEME.match(text, start, end):
+                start = scheme.end()
+        else:
+            if scheme := SCHEME.match(text, at):
+                at = scheme.end()
+            v = PARAMETER.match(text, at, parameter) if name[1] else PLAIN.match(text, at, plain)
+            if not v:
+                continue
+            start, end = v.span(1)
+            parameter = start
+            if not name[1]:
+                plain = start
+                end = start + len(v[1].rstrip(",;.)]}>\"'`"))
+        yield start, end
+
+
+def spans_in(text: str) -> list[tuple[int, int, int]]:
+    """(start, end, kind) of all candidates, none over another.
+
+    Formats come first, then values, the inner of nested ones before the
+    outer, then runs; each keeps the parts that those before it leave.
+    """
+    out, taken = [], bytearray(len(text))
+
+    def add(start: int, end: int, kind: int, shortest: int = 1) -> None:
+        while start < end:
+            stop = taken.find(1, start, end)
+            stop = end if stop < 0 else stop
+            if stop - start >= shortest and any(map(str.isalnum, text[start:stop])):
+                out.append((start, stop, kind))
+            taken[start:stop] = b"\1" * (stop - start)
+            rest = taken.find(0, stop, end)
+            start = end if rest < 0 else rest
+
+    for m in PUBLISHED.finditer(text):
+        add(*m.span(), PUBLISHED_FORMAT)
+    for start, end in assigned(text):
+        add(start, end, VALUE)
+    for m in CANDIDATE.finditer(text):
+        start, end = m.span()
+        bare = start + len(m[0].rstrip("="))
+        # a sign after a name is no padding
+        if bare < end and ((end - start) % 4 or (text[end:end + 1] in ("'", '"', "`") and text[start - 1:start] != text[end])):
+            end = bare
+        add(start, end, RUN, SHORTEST)
+    return sorted(out)
+
+
 def coverage(word: str, dictionary: set[str], longest: int = 16) -> float:
     """Share of the characters that dictionary words cover, longest first from the left."""
     low, at, covered = word.lower(), 0, 0
@@ -66,17 +144,17 @@ def coverage(word: str, dictionary: set[str], longest: int = 16) -> float:
 
 def transitions(word: str) -> tuple[float, float, float]:
     """Changes of character class, changes between letter and digit, and entropy in bits."""
-    kinds = word.translate(CLASSES)
+    kinds = shape(word)
     pairs = list(zip(kinds, kinds[1:]))
-    change = sum(a != b for a, b in pairs) / len(pairs)
-    mixed = sum((a == "d") != (b == "d") for a, b in pairs) / len(pairs)
+    change = sum(a != b for a, b in pairs) / max(1, len(pairs))
+    mixed = sum((a == "d") != (b == "d") for a, b in pairs) / max(1, len(pairs))
     n = len(word)
     return change, mixed, -sum(c / n * math.log2(c / n) for c in Counter(word).values())
 
 
 def features(word: str, before: str, after: str, path: str | None, dictionary: set[str]) -> list[float]:
     change, mixed, entropy = transitions(word)
-    kinds = Counter(word.translate(CLASSES))
+    kinds = Counter(shape(word))
     n = len(word)
     names = re.findall(r"[A-Za-z_]+", before)[-3:]
     slots = [0.0] * (NAME_SLOTS + PATH_SLOTS)
@@ -90,13 +168,21 @@ def features(word: str, before: str, after: str, path: str | None, dictionary: s
             *slots]
 
 
-def rule(word: str, before: str, known: float) -> float | None:
+def rule(word: str, before: str, known: float, kind: int = RUN) -> float | None:
     """1 for a certain finding, 0 for a certain false positive, None if the rules can't tell."""
-    kinds = set(word.translate(CLASSES))
-    if PLACEHOLDER.search(word) or UUID.fullmatch(word) or kinds == {"d"}:
+    kinds = set(shape(word))
+    if PLACEHOLDER.search(word) or UUID.fullmatch(word) or (kinds == {"d"} and kind != VALUE):
         return 0.0
     if PROVIDERS.fullmatch(word):
         return 1.0
+    if kind == VALUE:
+        if CODE.search(word):
+            return None
+        if "d" in kinds:
+            mixed = len(word) >= SHORTEST or (len(word) >= 8 and kinds & {"l", "u"})
+            return 1.0 if len(kinds) > 1 and mixed else None
+        if before[-1:] in ("'", '"', "`"):
+            return None
     if "d" in kinds and len(kinds) > 1 and ASSIGNED.search(before) and TELLING.search(before[-24:]):
         return 1.0
     if "d" not in kinds and (known >= 0.3 or kinds == {"l"} or word[1:].translate(CLASSES).strip("l") == ""):
@@ -126,20 +212,23 @@ def candidates(docs: DataFrame, dictionary: set[str], id_col: str, text_col: str
                 b = whole.slice(k, 500)
                 out = []
                 for i, (text, where) in enumerate(zip(b.column("text").to_pylist(), b.column("path").to_pylist())):
-                    out.append((i, None, None, None, None))
-                    for m in CANDIDATE.finditer(text):
-                        before, after = text[max(0, m.start() - AROUND):m.start()], text[m.end():m.end() + 1]
-                        x = features(m[0], before, after, where, words)
-                        out.append((i, m.start(), m.end(), x, rule(m[0], before, x[8])))
-                at, start, end, x, y = zip(*out)
+                    out.append((i, None, None, None, None, None))
+                    for start, end, kind in spans_in(text):
+                        word, before, after = text[start:end], text[max(0, start - AROUND):start], text[end:end + 1]
+                        x = features(word, before, after, where, words)
+                        y = rule(word, before, x[8], kind)
+                        out.append((i, start, end, x, y, kind == PUBLISHED_FORMAT and y == 1.0))
+                at, start, end, x, y, sure = zip(*out)
                 at = pa.array(at)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("id").take(at), b.column("row").take(at), pa.array(start, pa.int64()),
-                     pa.array(end, pa.int64()), pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.float64())],
-                    ["id", "row", "start", "end", "x", "rule"])
+                     pa.array(end, pa.int64()), pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.float64()),
+                     pa.array(sure, pa.bool_())],
+                    ["id", "row", "start", "end", "x", "rule", "sure"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return stored(rows.mapInArrow(of, f"id {kind}, row bigint, start bigint, end bigint, x array<double>, rule double"),
+    return stored(rows.mapInArrow(of, f"id {kind}, row bigint, start bigint, end bigint, x array<double>, rule double, "
+                                    "sure boolean"),
                   "secret-candidates")
 
 
@@ -150,6 +239,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
     ``secrets`` is an array of struct(start, end, score) in code points, end
     exclusive, by start.  ``labelled`` may name findings checked by hand: id,
     ``start``, ``end`` and ``label`` (1 or 0); it replaces the rules' labels.
+    Candidates of a provider's format have score 1 unless labelled 0.
 
     Null text counts as empty, a null or missing path as the empty path.
     Without labels of both classes nothing can be learned and the certain
@@ -163,6 +253,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
                               F.col("label").cast("double").alias("_label"))
         spans = spans.join(own, (F.col("id") == F.col("_id")) & (F.col("start") == F.col("_start"))
                            & (F.col("end") == F.col("_end")), "left").withColumn("rule", F.col("_label"))
+        spans = spans.withColumn("sure", F.col("sure") & F.coalesce(F.col("_label") != 0.0, F.lit(True)))
     known = spans.where("rule IS NOT NULL")
     sizes = {r["rule"]: r["n"] for r in known.groupBy("rule").agg(F.count(F.lit(1)).alias("n")).collect()}
     if {0.0, 1.0} <= sizes.keys():
@@ -178,6 +269,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
         judged = judged.withColumn("score", vector_to_array("probability")[1])
     else:
         judged = spans.withColumn("score", F.coalesce("rule", F.lit(0.0)))
+    judged = judged.withColumn("score", F.when(F.col("sure"), 1.0).otherwise(F.col("score")))
     some = judged.select("row", F.struct("start", "end", "score").alias("s"))
     whole = (found.where("start IS NULL").select("row", "id").withColumn("s", F.lit(None).cast(
         "struct<start:bigint,end:bigint,score:double>")).unionByName(some, allowMissingColumns=True))

@@ -47,3 +47,73 @@ def test_edges(edge_docs, edge_rows, no_docs):
     got = S.scan(edge_docs).collect()
     assert len(got) == len(edge_rows) and all(r["secrets"] == [] for r in got)
     assert S.scan(no_docs).count() == 0
+
+
+def found(text):
+    return [text[a:z] for a, z, _ in S.spans_in(text)]
+
+
+AWS, GITHUB = "AKIA" + "ABCDEFGHIJKLMNOP", "ghp_" + "a1B2" * 9
+
+
+def test_candidates_of_usual_forms():
+    assert found(f"AWS_KEY={AWS}") == [AWS]
+    assert found(f"AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG")[-1] == "wJalrXUtnFEMI/K7MDENG"
+    assert found(f"token={GITHUB}") == [GITHUB]
+    assert found(f"/v1/keys/{AWS}/x") == [AWS]
+    assert found("https://h.org/a?user=me&token=ab.c-12&page=2#top") == ["ab.c-12"]
+    assert found('password: "hunter2hunter"') == ["hunter2hunter"]
+    assert found('{"password": "p@ss!w0rd", "n": 1}') == ["p@ss!w0rd"]
+    assert found('key = "abc.def.ghi123456"') == ["abc.def.ghi123456"]
+    assert found("DB_PASSWD=a!b@c#1, next") == ["a!b@c#1"]
+    assert found('password: str = "hunter2"')[-1] == "hunter2"
+    assert found("Authorization: Bearer eyJh.eyJz.c2ln") == ["eyJh.eyJz.c2ln"]
+    assert found('x "QUJDREVGR0hJSktMTU5PUA==" y') == ["QUJDREVGR0hJSktMTU5PUA=="]
+    assert found("the token and the key of: note") == []
+    nested = f"api_url=https://h.org/a?token=ab12cd34&k={AWS}"
+    assert {"ab12cd34", AWS} <= set(found(nested))
+
+
+def test_candidates_never_overlap_and_long_texts_are_fast():
+    for text in ("key=" * 50000, "?token=" * 30000, "x" * 300000, "key='a" * 30000, " " * 300000, "key:a,"  * 30000):
+        at = 0
+        for a, z, _ in S.spans_in(text):
+            assert at <= a < z
+            at = z
+
+
+def test_usual_forms_are_found(spark):
+    rnd = random.Random(5)
+    rows, planted = documents()
+    rows = [(i, t) for i, t in rows if i not in planted]
+
+    def value(n, chars="abcdefghijkmnpqrstuvwxyz23456789"):
+        return "".join(rnd.choice(chars) for _ in range(n - 1)) + "7"
+
+    want = {}
+    for i in range(1000, 1160):
+        v = [value(13), value(6) + "." + value(5) + "." + value(6), value(24), value(20)][i % 4]
+        text = [f'password: "{v}"', f'key = "{v}"', f"API_TOKEN={v}", f"https://h.org/a?token={v}&page=2"][i % 4]
+        rows.append((i, f"the on the {text} the on"))
+        want[i] = [v]
+    rows.append((2000, f"AWS_KEY={AWS}"))
+    rows.append((2001, f"the on the /on/{GITHUB}/on the"))
+    want.update({2000: [AWS], 2001: [GITHUB]})
+    texts = dict(rows)
+    got = S.scan(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r["doc_id"]: [texts[r["doc_id"]][s["start"]:s["end"]] for s in r["secrets"]]
+            for r in got if r["secrets"]} == want
+
+
+def test_provider_format_stays_whatever_the_forest_says(spark):
+    rows, planted = documents()
+    rows.append((3000, f"the on {AWS} the on"))
+    other = [(i, a, z, i % 2) for i, (a, z) in planted.items()]
+    schema = "doc_id bigint, start bigint, end bigint, label int"
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+
+    def spans(labels):
+        got = S.scan(docs, labelled=spark.createDataFrame(labels, schema)).where("doc_id = 3000").first()
+        return [(s["start"], s["end"], s["score"]) for s in got["secrets"]]
+    assert spans(other) == [(7, 27, 1.0)]
+    assert S.scan(docs).where("doc_id = 3000").first()["secrets"][0]["score"] == 1.0
