@@ -1,13 +1,15 @@
-"""Registered queries of the ten operators: ``name -> (spark, sf_dir) -> DataFrame``."""
+"""Registered queries of the operators: ``name -> (spark, sf_dir) -> DataFrame``."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from barlake.llm import decontaminate, exact_dedup, langid, lm, pii, quality, records, secret_scan, sentencepiece, simhash
+from barlake.llm import (clustering, codes, decontaminate, exact_dedup, langid, lm, pii, quality, records, secret_scan,
+                         sentencepiece, simhash, url_filter)
 from barlake.llm.shared import fold_of, table
 
 # Vocabulary files of public tokenizers, never copied into the repository.
@@ -105,3 +107,27 @@ def op10_pii(spark, sf_dir):
     return found.select("doc_id", *counts,
                         F.sha2(pii.span_text(base).cast("binary"), 256).alias("base_sha256"),
                         pii.span_text(F.col("spans")).alias("spans"))
+
+
+@query
+def op11_centroids(spark, sf_dir):
+    """One row per usable vector: its cluster, exact squared distance and the cluster's sums."""
+    found, clusters = clustering.cluster(table(spark, sf_dir, "embeddings"))
+    return clustering.with_cluster_facts(found, clusters).select(
+        "vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+@query
+def op12_vector_codes(spark, sf_dir):
+    """One row per usable vector: its code, squared error, and the error summed over its label."""
+    done = codes.compress(table(spark, sf_dir, "embeddings"), carry=("label",))
+    digest = hashlib.sha256(done.codebook_text().encode()).hexdigest()
+    return codes.with_group_error(done.rows, "carry0").select(
+        F.col("id").alias("vec_id"), codes.code_text(F.col("code")).alias("code"), "error",
+        F.col("group_error").alias("label_error"), F.lit(digest).alias("codebooks_sha256"))
+
+
+@query
+def op13_url_filter(spark, sf_dir):
+    """One row per page: host, path, the domain rule that decides and the verdict."""
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.default_rules())
