@@ -393,13 +393,14 @@ def q_clean_csv_bars(spark, sf_dir):
 # --- files ---------------------------------------------------------------------
 @register("scan_bars_csv")
 def q_scan_bars_csv(spark, sf_dir):
-    """S1 + F4: landed bar CSV with bad rows, cleansed."""
+    """S1 + F4: landed bar CSV with bad rows, cleansed; plain and packed files, sub-folders, two column orders."""
     path = scratch_path(spark, "bar_csv")
     rows = fx.bar_csv_rows(spark, sf_dir)
-    odd = F.crc32(F.col("Date").cast("binary")) % 2 == 1
-    sources.write_bar_csv(rows.where(~odd), f"{path}/landed")
+    part = F.crc32(F.col("Date").cast("binary")) % 3
+    sources.write_bar_csv(rows.where(part == 0), f"{path}/landed")
+    rows.where(part == 1).write.option("header", True).option("compression", "gzip").csv(f"{path}/packed/2024")
     # the same columns in another order: bound by name
-    (rows.where(odd).select("Volume", "Close", "Low", "High", "Open", "Symbol", "Date")
+    (rows.where((part == 2) | part.isNull()).select("Volume", "Close", "Low", "High", "Open", "Symbol", "Date")
      .write.option("header", True).csv(f"{path}/reordered"))
     return cleanse.clean_csv_bars(sources.read_bar_csv(spark, path))
 
@@ -423,8 +424,9 @@ def q_union_symbol_files(spark, sf_dir):
     rows = fx.bar_csv_rows(spark, sf_dir).where(F.col("Symbol").isNotNull())
     odd = F.crc32(F.col("Date").cast("binary")) % 2 == 1
     sources.write_symbol_files(rows.where(~odd), path)
+    # packed, deeper, and in another column order
     (rows.where(odd).select("Volume", "Close", "Symbol", "Low", "High", "Open", "Date")
-     .write.mode("append").partitionBy("Symbol").option("header", True).csv(path))
+     .write.partitionBy("Symbol").option("header", True).option("compression", "gzip").csv(f"{path}/more/packed"))
     return cleanse.clean_csv_bars(sources.read_symbol_dirs(spark, path))
 
 

@@ -8,103 +8,31 @@ the job.  Writers are plain DataFrame writes executed by the executors.
 
 from __future__ import annotations
 
-import csv
-from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from barlake.schema import CSV_COLUMNS, SCREENER_SCHEMA, SYMBOL_LIST_SCHEMA
-
-
-HEADER_THREADS = 32
+from barlake.sources import csv_files
 
 
 # --- S1 / S9: bar CSV ---------------------------------------------------------
-def csv_headers(spark: SparkSession, path: str) -> dict[tuple[str, ...], list[str]]:
-    """Data files below ``path`` by the column names of their header line.
-
-    Reads one line of each file, as listing does one entry of each file; no
-    data.  Hidden files and empty files are left out.
-    """
-    sc = spark.sparkContext
-    jvm, conf = sc._jvm, sc._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
-    listed, found = fs.listFiles(root, True), []
-    while listed.hasNext():
-        f = listed.next()
-        name = f.getPath().getName()
-        if f.getLen() > 0 and not name.startswith(("_", ".")):
-            found.append(f.getPath())
-
-    def header(p) -> tuple[tuple[str, ...], str]:
-        stream = fs.open(p)
-        try:
-            line = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8")).readLine()
-        finally:
-            stream.close()
-        names = next(csv.reader([line.lstrip("\ufeff")]), [])
-        return tuple(n.strip() for n in names), p.toString()
-
-    groups: dict[tuple[str, ...], list[str]] = {}
-    with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        for names, file in pool.map(header, found):
-            groups.setdefault(names, []).append(file)
-    return groups
-
-
-def binds(names: tuple[str, ...], wanted: list[str]) -> bool:
-    """Whether a header has every wanted column exactly once."""
-    return all(names.count(c) == 1 for c in wanted)
-
-
-def csv_by_name(spark: SparkSession, path: str, wanted: list[str],
-                partition_cols: list[str] | None = None, skip_unreadable: bool = False) -> DataFrame:
-    """Text columns ``wanted`` of all CSV files below ``path``, bound by header name.
-
-    Files may have their columns in any order and extra ones, whatever these
-    are called.  Files of one order are read together and the orders are
-    united by name.  A file that lacks or repeats a wanted column is left out
-    (see :func:`csv_rejects`).  A file that is damaged or goes missing while
-    read is an error unless ``skip_unreadable``.
-    """
-    groups = csv_headers(spark, path)
-    partition_cols = partition_cols or []
-    partition = [T.StructField(c, T.StringType(), True) for c in partition_cols]
-    parts = []
-    for names, files in sorted(groups.items()):
-        if not binds(names, wanted):
-            continue
-        # unwanted columns get names of their own: theirs may be equal
-        fields = [n if n in wanted else f"_unwanted_{i}" for i, n in enumerate(names)]
-        schema = T.StructType([T.StructField(n, T.StringType(), True) for n in fields] + partition)
-        # one order only: let Spark list the folder itself
-        where = path if len(groups) == 1 else sorted(files)
-        parts.append(spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-                     .option("basePath", path).option("ignoreCorruptFiles", skip_unreadable)
-                     .option("ignoreMissingFiles", skip_unreadable).csv(where).select(*wanted, *partition_cols))
-    if not parts:
-        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in [*wanted, *partition_cols]])
-        return spark.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, parts)
-
-
-def csv_rejects(spark: SparkSession, path: str, wanted: list[str] = CSV_COLUMNS) -> list[tuple[str, list[str]]]:
-    """(file, wanted columns it lacks or repeats) of every file that :func:`csv_by_name` leaves out."""
-    return sorted((f, [c for c in wanted if names.count(c) != 1])
-                  for names, files in csv_headers(spark, path).items()
-                  if not binds(names, wanted) for f in files)
+def csv_rejects(spark: SparkSession, path: str, wanted: list[str] = CSV_COLUMNS,
+                skip_unreadable: bool = False) -> list[tuple[str, str]]:
+    """(file, reason) of every file below ``path`` that gives no rows."""
+    return csv_files.inspect(spark, path, wanted, skip_unreadable).rejects
 
 
 def read_bar_csv(spark: SparkSession, path: str) -> DataFrame:
     """Bar CSV files as text, columns bound by header name, in any order.
 
-    A file that can't be read to its end is an error, never a part of its rows.
+    All files below ``path`` are read, compressed ones and those in
+    sub-folders too.  A file that lacks or repeats a wanted column is left
+    out (see :func:`csv_rejects`).  A file that can't be read to its end is an
+    error, never a part of its rows.
     """
-    return csv_by_name(spark, path, CSV_COLUMNS)
+    return csv_files.rows_by_name(spark, csv_files.inspect(spark, path, CSV_COLUMNS), CSV_COLUMNS)
 
 
 def write_bar_csv(df: DataFrame, path: str) -> None:
@@ -163,13 +91,27 @@ def write_symbol_files(rows: DataFrame, path: str) -> None:
      .partitionBy("Symbol").option("header", True).csv(path))
 
 
-def read_symbol_dirs(spark: SparkSession, path: str) -> DataFrame:
-    """F8 + U1: all per-symbol directories, columns bound by name, the symbol from the path.
+FILE_COLUMNS = [c for c in CSV_COLUMNS if c != "Symbol"]
 
-    Unreadable files are skipped (a failing symbol does not stop the rest).
+
+def scan_symbol_dirs(spark: SparkSession, path: str) -> tuple[DataFrame, list[tuple[str, str, str]]]:
+    """F8 + U1: (rows of all per-symbol folders, quarantined files as (symbol, file, reason)).
+
+    The symbol is that of the ``Symbol=`` folder a file lies in, at any depth.
+    A file gives all its rows or none: one that can't be read to its end, or
+    lacks a column, is quarantined and does not stop the others.
     """
-    return csv_by_name(spark, path, [c for c in CSV_COLUMNS if c != "Symbol"], ["Symbol"],
-                       skip_unreadable=True)
+    files = csv_files.inspect(spark, path, FILE_COLUMNS, skip_unreadable=True)
+    rejects = []
+    for file, reason in files.rejects:
+        folders = [p.removeprefix("Symbol=") for p in file.split("/")[:-1] if p.startswith("Symbol=")]
+        rejects.append((unquote(folders[-1]) if folders else "", file, reason))
+    return csv_files.rows_by_name(spark, files, FILE_COLUMNS, ["Symbol"]), rejects
+
+
+def read_symbol_dirs(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of :func:`scan_symbol_dirs`."""
+    return scan_symbol_dirs(spark, path)[0]
 
 
 # --- stored history -----------------------------------------------------------------
