@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from barlake.functions.expressions import (dollar_text, magnitude_text, pct_change,
                                            signed_change_text, trading_day)
-from barlake.operators.windows import blocked_row_number
 
 RECENT_FALLBACK = 100  # fixed value: bars shown when the session day is empty
+MINUTES_PER_DAY = 1440  # grain of one-minute bars: most bars of a symbol on one day
+SESSION_SALTS = 32
 
 
 def latest_session_day(bars: DataFrame, ts: str = "ts") -> Column:
@@ -50,31 +51,39 @@ def session_bars(bars: DataFrame, day: Column, ts: str = "ts") -> DataFrame:
 
 
 def session_or_recent(bars: DataFrame, day: Column, ts: str = "ts",
-                      n: int = RECENT_FALLBACK, key: str = "symbol") -> DataFrame:
+                      n: int = RECENT_FALLBACK, key: str = "symbol", per_day: int = MINUTES_PER_DAY,
+                      salts: int = SESSION_SALTS) -> DataFrame:
     """The session day's bars ascending, else the latest ``n`` bars descending.
 
-    ``pos`` is the display position (0-based).  The recent branch is a
-    ``row_number() <= n`` filter (a partial group limit); the session branch
-    numbers rows by hour blocks (:func:`blocked_row_number`).
-    ``in_session`` tells which branch applied.
+    ``pos`` is the display position (0-based); ``in_session`` tells which of
+    the two applied.  One ranking serves both: a symbol's bars with the
+    session's first, the latest first.  It is taken in two steps, by (symbol,
+    salt) and then by symbol.  The salt is dealt by time slot, so a salt holds
+    at most ``per_day / salts`` bars of one day and needs no more than that or
+    ``n`` bars: a short top-k that Spark also takes before the shuffle, however
+    long or hot the symbol.  ``per_day`` is the bars' grain; a symbol with more
+    bars on the session day is an error, never a part of them.
     """
-    b = bars.withColumn("_in", F.to_date(F.col(ts)) == day)
-    has_session = b.groupBy(key).agg(F.max(F.col("_in").cast("int")).alias("_has"))
-    w_desc = Window.partitionBy(key).orderBy(F.col(ts).desc())
-    j = b.join(has_session, key)
-    recent = (j.where(F.col("_has") == 0)
-              .withColumn("_rd", F.row_number().over(w_desc))
-              .where(F.col("_rd") <= n)
-              .withColumn("pos", F.col("_rd") - 1)
-              .withColumn("in_session", F.lit(False)))
-    # session rows are numbered by hour blocks, so a busy symbol's day is
-    # not sorted in one task
-    session = (blocked_row_number(j.where((F.col("_has") == 1) & F.col("_in")), key, ts,
-                                  F.hour(ts), "_rs")
-               .withColumn("pos", F.col("_rs") - 1)
-               .withColumn("in_session", F.lit(True)))
-    cols = [c for c in bars.columns] + ["pos", "in_session"]
-    return session.select(*cols).unionByName(recent.select(*cols))
+    dealt = -(-per_day // salts)
+    limit = max(n, dealt) + 1
+    clock = F.col(ts)
+    second = (F.hour(clock) * 3600 + F.minute(clock) * 60 + F.second(clock)).cast("bigint")
+    slot = F.floor(second * F.lit(per_day) / 86400)
+    newest = [F.col("_in").desc(), clock.desc()]
+    by_salt = Window.partitionBy(key, "_salt").orderBy(*newest)
+    by_key = Window.partitionBy(key).orderBy(*newest)
+    too_many = F.raise_error(F.lit(f"more than {per_day} bars of a symbol on one day"))
+    top = (bars.withColumn("_in", F.coalesce(F.to_date(clock) == day, F.lit(False)))
+           .withColumn("_salt", F.coalesce(F.pmod(slot, F.lit(salts)), F.lit(0)))
+           .withColumn("_rs", F.row_number().over(by_salt)).where(F.col("_rs") <= limit)
+           .where(F.when(F.col("_in") & (F.col("_rs") > dealt), too_many.cast("boolean")).otherwise(True)))
+    ranked = (top.withColumn("_rn", F.row_number().over(by_key))
+              .withColumn("_n", F.sum(F.col("_in").cast("int")).over(Window.partitionBy(key))))
+    in_session = F.col("_n") > 0
+    return (ranked.where(F.when(in_session, F.col("_in")).otherwise(F.col("_rn") <= n))
+            .select(*bars.columns,
+                    F.when(in_session, F.col("_n") - F.col("_rn")).otherwise(F.col("_rn") - 1).cast("int").alias("pos"),
+                    in_session.alias("in_session")))
 
 
 def candles(view: DataFrame, ts: str = "ts", key: str = "symbol") -> DataFrame:

@@ -69,3 +69,46 @@ def test_rounded_text_matches_python_round(spark):
     for places in (2, 4):
         got = [r.t for r in df.select(rounded_text("v", places).alias("t")).collect()]
         assert got == [str(round(v, places)) for v in vals]
+
+
+def test_session_view_equals_one_window_per_symbol(spark):
+    """Symbols with a whole day of minutes, a short one, none on the session day, and missing times."""
+    import random
+    rnd = random.Random(5)
+    day = dt.datetime(2024, 1, 9)
+    times = {"FULL": [day + dt.timedelta(minutes=i) for i in range(1440)],
+             "SOME": [day + dt.timedelta(minutes=i) for i in rnd.sample(range(1440), 200)]
+             + [day - dt.timedelta(minutes=i) for i in range(1, 3000)],
+             "OLD": [day - dt.timedelta(minutes=i) for i in range(1, 5000, 2)],
+             "FEW": [day - dt.timedelta(days=i) for i in range(1, 8)] + [None],
+             "NEXT": [day + dt.timedelta(days=1, minutes=i) for i in range(300)]}
+    rows = [(s, t, *([float(i)] * 5)) for s, ts in times.items() for i, t in enumerate(ts)]
+    rnd.shuffle(rows)
+    bars = spark.createDataFrame(
+        rows, "symbol string, ts timestamp_ntz, open double, high double, low double, close double, volume double")
+    want = set()
+    for s, ts in times.items():
+        inside = sorted(t for t in ts if t is not None and t.date() == day.date())
+        shown = inside or sorted((t for t in ts if t is not None), reverse=True)[:100]
+        if not inside and len(shown) < 100 and None in ts:
+            shown.append(None)
+        want |= {(s, t, pos, bool(inside)) for pos, t in enumerate(shown)}
+    for salts in (1, 32, 1440):
+        view = intraday.session_or_recent(bars, F.lit(day.date()), salts=salts)
+        got = view.select("symbol", "ts", "pos", "in_session").collect()
+        assert len(got) == len(want) and set(map(tuple, got)) == want, salts
+    assert intraday.session_or_recent(bars.limit(0), F.lit(day.date())).collect() == []
+    nothing = intraday.session_or_recent(bars, F.lit(None).cast("date"))
+    assert not nothing.where("in_session").count() and nothing.where("symbol = 'FULL'").count() == 100
+
+
+def test_bars_beyond_their_grain_are_an_error_not_dropped(spark):
+    import pytest
+    start = _ts("2024-01-09 10:00:00")
+    rows = [("A", start + dt.timedelta(seconds=i), *([float(i)] * 5)) for i in range(7200)]
+    bars = spark.createDataFrame(
+        rows, "symbol string, ts timestamp_ntz, open double, high double, low double, close double, volume double")
+    day = F.lit(start.date())
+    with pytest.raises(Exception, match="more than 1440 bars"):
+        intraday.session_or_recent(bars, day).collect()
+    assert intraday.session_or_recent(bars, day, per_day=86400).count() == 7200

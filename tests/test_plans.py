@@ -104,3 +104,13 @@ def test_retention_is_ranked_in_parts_first(spark):
     df = spark.range(20000).selectExpr("'HOT' AS symbol", "id AS seq")
     plan = _plan(retain_last_n(df, cap=5000))
     assert "_salt" in plan and retain_last_n(df, cap=5000).selectExpr("min(seq)", "count(*)").first() == (15000, 5000)
+
+
+def test_session_views_take_one_scan_and_one_ranking(spark):
+    import re
+    for name in ("session_or_recent", "candles", "quote_board"):
+        df = REGISTRY[name](spark, SF_SMALL)
+        plan = _plan(df).split("+- == Initial Plan ==")[-1]
+        assert len(re.findall(r"FileScan|Scan parquet", plan)) <= 1, name
+        assert len(re.findall(r"Exchange ", plan)) <= 4, name
+        assert "WindowGroupLimit" in plan and "Join" not in plan, name
