@@ -523,15 +523,21 @@ def q_snapshot_then_delta(spark, sf_dir):
 
 @register("stream_latest_state")
 def q_stream_latest_state(spark, sf_dir):
-    """ST3: keyed live state (keep-last, cap 10 dates per symbol) vs. its batch twin."""
-    src, sink, ckpt = (scratch_path(spark, n) for n in ("state_src", "state_sink", "state_ckpt"))
+    """ST3: keyed live state (keep-last, cap 10 dates per symbol) vs. its batch twin.
+
+    Halfway the consumer loses its checkpoint and goes on with a new one,
+    which sends it everything landed so far once more.
+    """
+    src, sink, first, second = (scratch_path(spark, n) for n in ("state_src", "state_sink", "state_ckpt", "state_ckpt2"))
     arr = fx.arrivals(spark, sf_dir)
-    def start():
-        stream = spark.readStream.schema(arr.schema).parquet(src)
-        return state.start_live_state(stream, sink, ckpt, cap=10)
 
-    ingest.replay_in_cycles(arr, src, "seq", STREAM_CYCLES, start)
-    return state.live_view(spark, sink)
+    def start(checkpoint):
+        return state.start_live_state(spark.readStream.schema(arr.schema).parquet(src), sink, checkpoint, cap=10)
+
+    half = STREAM_CYCLES // 2
+    size = ingest.replay_in_cycles(arr, src, "seq", STREAM_CYCLES, lambda: start(first), 0, half - 1)
+    ingest.replay_in_cycles(arr, src, "seq", STREAM_CYCLES, lambda: start(second), half, None, size)
+    return state.live_view(spark, sink, cap=10)
 
 
 @register("indicator_card_text")

@@ -6,29 +6,34 @@
   ``"latest"`` tails new messages only (S5).
 * The stream runs the very same decode/parse/validate functions as the
   batch tables (:mod:`barlake.operators.cleanse`), so batch = stream.
-* Sink: ``foreachBatch`` writes each micro-batch to ``.../run=R/batch_id=N``
-  with overwrite.  A batch run again (after a failure between write and
-  commit) replaces its own directory; a replay from another checkpoint
-  writes only source positions that the table lacks.  The table is unique on
-  (partition, offset) however the batches are cut; executors do all writing.
+* Sink: ``foreachBatch`` writes each micro-batch into folders of its own and
+  adds one entry to the sink's commit log, which makes all its outputs visible
+  at once.  A batch run again after its entry does nothing; a replay from
+  another checkpoint writes only source positions that the sink lacks, known
+  from bitmaps of landed offsets.  The tables are unique on (partition, offset)
+  however the batches are cut; executors do all writing.
+* The counters (A7) are stored with each entry's positions and summed over the
+  sink, so they cover a stream's whole life, restarts and replays included.
 * Snapshot and delta follow the producer's cycle number in the envelope,
   never the micro-batch number.
 * Checkpoints live below the shared checkpoint root (S10); restarting with
-  the same checkpoint resumes after the last committed batch.
+  the same checkpoint resumes after the last committed batch.  If it is lost,
+  a new one may start from the beginning, or from :func:`next_offsets`.
 """
 
 from __future__ import annotations
 
-import zlib
+import json
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barlake.functions.expressions import trading_day, ts_tie_order_key
 from barlake.operators import cleanse
 from barlake.schema import CYCLE_ENVELOPE_SCHEMA
+from barlake.streaming.commits import CommitLog, Files, run_of
 
 KAFKA_COLUMNS = ["key", "value", "partition", "offset", "timestamp"]
 
@@ -119,66 +124,127 @@ def replay_in_cycles(df: DataFrame, path: str, order: str, cycles: int,
 
 
 POSITION_KEY = ["partition", "seq"]
+# Landed source positions: one bitmap per partition and run of 2^15 offsets, with counters.
+POSITIONS = "positions"
+POSITION_BITS = 15
+POSITIONS_SCHEMA = ("partition INT, block BIGINT, landed BINARY, messages BIGINT, valid BIGINT, rejected BIGINT")
+COUNTERS = ["messages", "valid", "rejected"]
 
 
-def run_name(checkpoint: str) -> str:
-    """Name of a stream run: the same after a restart from its checkpoint."""
-    return f"{zlib.crc32(checkpoint.encode()):08x}"
+def position_block(seq: Column) -> Column:
+    return F.shiftright(seq, POSITION_BITS)
 
 
-def other_runs(spark: SparkSession, table: str, run: str) -> list[str]:
-    """Folders that other runs wrote below ``table`` (one per run, not per batch)."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(table)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [f.getPath().getName() for f in fs.listStatus(path)]
-    return [f"{table}/{n}" for n in names if n.startswith("run=") and n != f"run={run}"]
+def position_bit(seq: Column) -> Column:
+    return seq.bitwiseAND((1 << POSITION_BITS) - 1)
 
 
-def not_landed(out: DataFrame, table: str, run: str) -> DataFrame:
-    """Rows of ``out`` whose source position no other run has written.
+def positions(rows: DataFrame, valid: Column) -> DataFrame:
+    """The source positions of ``rows`` as bitmaps, with how many rows are ``valid``.
 
-    Within a run the checkpoint hands out each position once.  Against other
-    runs only the batch's own offset range is read (Parquet statistics skip
-    the rest), so a replay costs a lookup and a normal run nothing.
+    Rows without a position count, but can't be found again.
     """
-    runs = other_runs(out.sparkSession, table, run)
-    if not runs:
-        return out
-    low, high = out.agg(F.min("seq"), F.max("seq")).first()
-    if low is None:
-        return out
-    landed = (out.sparkSession.read.schema(out.select(*POSITION_KEY).schema)
-              .option("recursiveFileLookup", True).parquet(*runs)
-              .where(F.col("seq").between(low, high)).select(*POSITION_KEY))
-    return out.join(landed, POSITION_KEY, "left_anti").select(*out.columns)
-
-
-def idempotent_writer(sink: str, run: str, prepare: Callable[[DataFrame, int], DataFrame],
-                      outputs: Callable[[DataFrame, int], dict[str, DataFrame]]):
-    """foreachBatch function writing each output to ``sink/<name>/run=R/batch_id=N``.
-
-    A batch that is run again after a failure replaces its own folder, and a
-    replay from another checkpoint, however it cuts its batches, writes only
-    positions (partition, offset) that are not in the table yet.
-
-    ``prepare`` turns the raw micro-batch into the frame all outputs derive
-    from; it is persisted while they are written, so the batch is read and
-    parsed once.
+    return (rows.groupBy(F.col("partition").cast("int").alias("partition"), position_block(F.col("seq")).alias("block"))
+            .agg(F.bitmap_construct_agg(position_bit(F.col("seq"))).alias("landed"), F.count(F.lit(1)).alias("messages"),
+                 F.count_if(valid).alias("valid"), F.count_if(~valid).alias("rejected")))
+
+
+def not_landed(rows: DataFrame, landed: DataFrame) -> DataFrame:
+    """Rows whose source position is in none of the bitmaps.
+
+    The bitmaps of a block are merged and joined by (partition, block): what
+    is read of a sink is one bit per message, never its rows.
+    """
+    blocks = (landed.where("block is not null")
+              .groupBy(F.col("partition").alias("_partition"), F.col("block").alias("_block"))
+              .agg(F.bitmap_or_agg("landed").alias("_landed")))
+    bit = position_bit(F.col("seq"))
+    byte = F.conv(F.hex(F.substring("_landed", F.shiftright(bit, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = F.getbit(byte, bit.bitwiseAND(7).cast("int")) == 1
+    joined = rows.join(blocks, (F.col("partition") == F.col("_partition"))
+                       & (position_block(F.col("seq")) == F.col("_block")), "left")
+    return joined.where(~F.coalesce(found, F.lit(False))).select(*rows.columns)
+
+
+def commit_batch(log: CommitLog, run: str, batch_id: int, base: DataFrame,
+                 outputs: Callable[[DataFrame, int], dict[str, DataFrame]]) -> None:
+    """Write the outputs of one micro-batch's rows and make them part of the sink, once.
+
+    Within a run the checkpoint hands out each position once; against other
+    runs the landed positions are looked up.  If another writer's entry comes
+    first, the batch is looked at again with what that one landed.
+    """
+    while True:
+        log.refresh()
+        if log.done(run, batch_id):
+            return
+        others = [p for p in log.of_table(POSITIONS) if p["run"] != run]
+        rows = not_landed(base, log.read(others, POSITIONS_SCHEMA)) if others else base
+        parts = [log.write(out, name) for name, out in outputs(rows, batch_id).items()]
+        parts.append(log.write(positions(rows, F.col("reason").isNull()), POSITIONS))
+        if log.add({"run": run, "batch": batch_id, "add": parts}):
+            return
+
+
+def committed_writer(log: CommitLog, checkpoint: str, prepare: Callable[[DataFrame, int], DataFrame],
+                     outputs: Callable[[DataFrame, int], dict[str, DataFrame]]):
+    """foreachBatch function of :func:`commit_batch`.
+
+    ``prepare`` turns the raw micro-batch into the classified frame that all
+    outputs derive from; it is persisted while they are written, so the batch
+    is read and parsed once.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
+        run = run_of(log.spark, checkpoint)
+        if log.done(run, batch_id):
+            return  # replayed after its entry was added: the batch is not even read
         base = prepare(batch, batch_id).persist()
         try:
-            for name, out in outputs(base, batch_id).items():
-                (not_landed(out, f"{sink}/{name}", run).write.mode("overwrite")
-                 .parquet(f"{sink}/{name}/run={run}/batch_id={batch_id}"))
+            commit_batch(log, run, batch_id, base, outputs)
         finally:
             base.unpersist()
     return write
 
 
+# --- S10: what a lost or interrupted run left behind --------------------------------
+def next_offsets(spark: SparkSession, sink: str) -> DataFrame:
+    """The first source offset of each partition that the sink lacks: ``partition``, ``next``.
+
+    A stream that lost its checkpoint may start there: nothing below is
+    missing, and what lies beyond and has landed is left out when it comes
+    again.  Found by partition in the landed bitmaps: the first block that is
+    not full or not followed by the next one.
+    """
+    log = CommitLog(spark, sink)
+    size = 1 << POSITION_BITS
+    blocks = (log.read(log.of_table(POSITIONS), POSITIONS_SCHEMA).where("partition is not null and block is not null")
+              .groupBy("partition", "block").agg(F.bitmap_or_agg("landed").alias("landed")))
+    start = F.col("block") * size
+    ones = F.length(F.regexp_extract(F.hex("landed"), "^((?:FF)*)", 1)) / 2  # bytes without a gap
+    byte = F.conv(F.hex(F.substring("landed", ones.cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    bit = F.coalesce(*[F.when(F.getbit(byte, F.lit(k)) == 0, F.lit(k)) for k in range(8)])
+    follower = F.lead("block").over(Window.partitionBy("partition").orderBy("block"))
+    gap = (F.when(F.bitmap_count("landed") < size, start + ones.cast("bigint") * 8 + bit)
+           .when(~follower.eqNullSafe(F.col("block") + 1), start + size))
+    return blocks.select("partition", gap.alias("gap")).groupBy("partition").agg(F.min("gap").alias("next"))
+
+
+def starting_offsets(topic: str, offsets: DataFrame) -> str:
+    """:func:`next_offsets` as the bus source's ``startingOffsets`` (one row per source partition)."""
+    return json.dumps({topic: {str(r["partition"]): r["next"] for r in offsets.collect()}})
+
+
+def unfinished_batch(spark: SparkSession, checkpoint: str) -> int | None:
+    """The batch that a run planned but did not commit to its checkpoint, if there is one.
+
+    It is run again after a restart; whether its rows landed says the sink's log.
+    """
+    planned, committed = ([int(n) for n in Files(spark, checkpoint).names(folder) if n.isdigit()]
+                          for folder in ("offsets", "commits"))
+    last = max(planned, default=None)
+    return last if last is not None and last > max(committed, default=-1) else None
+
+
 def ingest_outputs(classified: DataFrame, batch_id: int) -> dict[str, DataFrame]:
     """ST1 + ST5: valid bars and rejected messages of one micro-batch."""
     return {"bars": cleanse.to_bars(classified, keep=("partition",)),
@@ -186,29 +252,16 @@ def ingest_outputs(classified: DataFrame, batch_id: int) -> dict[str, DataFrame]
             .select("partition", "seq", "symbol_key", "reason", "json_data")}
 
 
-INGEST_COUNTERS = "ingest_counters"
-
-
-def observe_counters(classified: DataFrame) -> DataFrame:
-    """Per-batch message counters published in the query progress."""
-    return classified.observe(
-        INGEST_COUNTERS,
-        F.count(F.lit(1)).alias("messages"),
-        F.count_if(F.col("reason").isNull()).alias("valid"),
-        F.count_if(F.col("reason").isNotNull()).alias("rejected"))
-
-
 def start_ingest(source: DataFrame, sink: str, checkpoint: str,
                  available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     """ST1: append pipeline source -> decode -> parse -> validate -> sink.
 
-    Classification runs on the streaming DataFrame (the same functions as
-    the batch tables) and its counters are observed per micro-batch.
+    Classification runs on the streaming DataFrame, by the same functions as
+    the batch tables.
     """
-    classified = observe_counters(
-        cleanse.classify(cleanse.parse_payload(cleanse.decode_envelope(source))))
-    w = (classified.writeStream
-         .foreachBatch(idempotent_writer(sink, run_name(checkpoint), lambda b, _: b, ingest_outputs))
+    classified = cleanse.classify(cleanse.parse_payload(cleanse.decode_envelope(source)))
+    log = CommitLog(source.sparkSession, sink)
+    w = (classified.writeStream.foreachBatch(committed_writer(log, checkpoint, lambda b, _: b, ingest_outputs))
          .option("checkpointLocation", checkpoint))
     return triggered(w, None if available_now else processing_time).start()
 
@@ -220,20 +273,24 @@ def triggered(writer, processing_time: str | None):
             else writer.trigger(availableNow=True))
 
 
-def ingest_counters(query: StreamingQuery) -> dict[str, int]:
-    """Counters summed over the query's retained progress reports."""
-    total = {"messages": 0, "valid": 0, "rejected": 0}
-    for p in query.recentProgress:
-        m = (p.get("observedMetrics") or {}).get(INGEST_COUNTERS)
-        if m:
-            for k in total:
-                total[k] += int(m[k])
-    return total
+def ingest_counters(spark: SparkSession, sink: str) -> DataFrame:
+    """Messages, valid and rejected ones of everything the sink holds (one row).
+
+    The counters are those stored with the batches' commits, so no batch is
+    missing, however many there were, and none is counted twice.
+    """
+    log = CommitLog(spark, sink)
+    return log.read(log.of_table(POSITIONS), POSITIONS_SCHEMA).agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in COUNTERS])
 
 
 def read_sink(spark: SparkSession, sink: str, name: str) -> DataFrame:
-    """The table written by :func:`idempotent_writer`, unique on its source position."""
-    return spark.read.parquet(f"{sink}/{name}").drop("run", "batch_id")
+    """One output of all committed batches, unique on its source position."""
+    log = CommitLog(spark, sink)
+    parts = log.of_table(name)
+    if not parts:
+        raise ValueError(f"no batch has been committed to {sink}")
+    return spark.read.parquet(*[f"{sink}/{p['folder']}" for p in parts])
 
 
 def run_to_end(query: StreamingQuery, timeout_s: int = 600) -> None:
@@ -290,6 +347,7 @@ def snapshot_delta_view(cycles: DataFrame, day: Column | None = None) -> DataFra
 def start_snapshot_delta(source: DataFrame, sink: str, checkpoint: str,
                          processing_time: str | None = None) -> StreamingQuery:
     """ST4 stream: sink table ``cycles``, read through :func:`snapshot_delta_view`."""
-    writer = idempotent_writer(sink, run_name(checkpoint), classify_realtime, snapshot_delta_outputs)
+    writer = committed_writer(CommitLog(source.sparkSession, sink), checkpoint, classify_realtime,
+                              snapshot_delta_outputs)
     return triggered(source.writeStream.foreachBatch(writer)
                      .option("checkpointLocation", checkpoint), processing_time).start()

@@ -1,109 +1,84 @@
 """Keyed live state: keep-last per (symbol, date), newest ``cap`` dates per symbol (ST3).
 
-The live table is kept as versions of hash buckets of symbols:
-``<sink>/state/v=<batch>/bucket=<b>``.  Each micro-batch
-
-1. is reduced by the batch operators (:func:`barlake.operators.dedup.live_state`:
-   the last arrival per date, then the newest ``cap`` dates of each symbol,
-   salted, so a hot symbol is pre-reduced by many tasks);
-2. is merged, by the same operators, with the newest earlier version of the
-   buckets it touches;
-3. writes those buckets as version ``v=<batch>``.
+The live table is log-structured.  Each micro-batch is reduced by the batch
+operators (:func:`barlake.operators.dedup.live_state`: the last arrival per
+date, then the newest ``cap`` dates of each symbol, salted, so a hot symbol is
+pre-reduced by many tasks) and written as one delta; an entry of the sink's
+commit log (:mod:`barlake.streaming.commits`) makes it part of the table.  The
+current table is the same reduction over all parts.
 
 Trimming early changes nothing: a date that is evicted has ``cap`` dates with
 newer arrivals, and a later arrival for it enters with its newer ``seq``.  So
-the table equals the batch twin on the same arrivals, whatever the batches.
-
-A batch reads at most ``cap`` rows for each symbol of its buckets, however
-many batches came before.  A batch that is run again rewrites its own version
-from the one before, which is why two versions of a bucket are kept; older
-ones are retired.
+the table equals the batch twin on the same arrivals, whatever the batches,
+their order, or how often one is sent.  A consumer with a new checkpoint
+therefore continues the table, and a replay of what is there changes nothing.
+
+A batch writes in proportion to itself.  When ``FANOUT`` parts of one tier
+have come together they are merged into one part of the next tier, so a row is
+written once per tier (the logarithm of the number of batches to that base),
+and a reader merges fewer than ``FANOUT`` parts per tier.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from barlake.operators.dedup import LIVE_CAP, live_state
+from barlake.streaming.commits import CommitLog, run_of
 from barlake.streaming.ingest import triggered
 
-BUCKETS = 64  # the unit that a batch rewrites
-KEPT_VERSIONS = 2
+TABLE = "state"
+FANOUT = 8
+KEPT_ENTRIES = 4  # replaced parts keep their files for so many entries
 COLUMNS = ["symbol", "date", "seq", "open", "high", "low", "close", "volume"]
 STATE_SCHEMA = ("symbol STRING, date DATE, seq BIGINT, open DOUBLE, high DOUBLE, low DOUBLE, "
                 "close DOUBLE, volume DOUBLE")
 
 
-def versions(spark: SparkSession, sink: str, before: int | None = None) -> dict[int, list[int]]:
-    """Complete versions of each bucket, newest first, optionally only those before a batch."""
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(f"{sink}/state")
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found: dict[int, list[int]] = {}
-    if not fs.exists(root):
-        return found
-    for folder in fs.listStatus(root):
-        version = int(folder.getPath().getName().removeprefix("v="))
-        if before is not None and version >= before:
+def merge_batch(batch: DataFrame, batch_id: int, log: CommitLog, run: str, cap: int = LIVE_CAP) -> None:
+    """Add one micro-batch (symbol, date, seq, OHLCV) of a run to the live table."""
+    log.refresh()
+    if log.done(run, batch_id):
+        return
+    part = log.write(live_state(batch.select(*COLUMNS), cap=cap), TABLE, tier=0)
+    while not log.add({"run": run, "batch": batch_id, "add": [part]}):
+        pass  # parts of other writers do not conflict with a delta
+    merge_full_tiers(log, cap)
+
+
+def merge_full_tiers(log: CommitLog, cap: int = LIVE_CAP) -> None:
+    """Merge the oldest ``FANOUT`` parts of each tier that has as many into one of the next tier."""
+    tier = 0
+    while any(p["tier"] >= tier for p in log.of_table(TABLE)):
+        full = [p for p in log.of_table(TABLE) if p["tier"] == tier][:FANOUT]
+        if len(full) < FANOUT:
+            tier += 1
             continue
-        parts = [p.getPath().getName() for p in fs.listStatus(folder.getPath())]
-        if "_SUCCESS" in parts:
-            for name in parts:
-                if name.startswith("bucket="):
-                    found.setdefault(int(name.removeprefix("bucket=")), []).append(version)
-    return {b: sorted(v, reverse=True) for b, v in found.items()}
-
-
-def stored_state(spark: SparkSession, sink: str, newest: dict[int, int]) -> DataFrame:
-    """Live rows of the given buckets at the given versions."""
-    paths = [f"{sink}/state/v={v}/bucket={b}" for b, v in sorted(newest.items())]
-    if not paths:
-        return spark.createDataFrame([], STATE_SCHEMA)
-    return spark.read.schema(STATE_SCHEMA).parquet(*paths)
-
-
-def retire(spark: SparkSession, sink: str, touched: list[int]) -> None:
-    """Remove all but the newest ``KEPT_VERSIONS`` versions of the touched buckets, and emptied versions."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = path(sink).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    known = versions(spark, sink)
-    old = [(b, v) for b in touched for v in known.get(b, [])[KEPT_VERSIONS:]]
-    for b, v in old:
-        fs.delete(path(f"{sink}/state/v={v}/bucket={b}"), True)
-    for v in {v for _, v in old}:
-        folder = path(f"{sink}/state/v={v}")
-        if not any(p.getPath().getName().startswith("bucket=") for p in fs.listStatus(folder)):
-            fs.delete(folder, True)
-
-
-def merge_batch(batch: DataFrame, batch_id: int, sink: str, cap: int = LIVE_CAP) -> None:
-    """Merge one micro-batch (symbol, date, seq, OHLCV) into the live table as version ``batch_id``."""
-    spark = batch.sparkSession
-    bucket = F.pmod(F.xxhash64("symbol"), F.lit(BUCKETS)).cast("int")
-    reduced = live_state(batch.select(*COLUMNS), cap=cap).persist()
-    try:
-        touched = sorted(r[0] for r in reduced.select(bucket).distinct().collect())  # at most BUCKETS numbers
-        if not touched:
-            return
-        earlier = {b: v[0] for b, v in versions(spark, sink, before=batch_id).items() if b in touched}
-        merged = live_state(stored_state(spark, sink, earlier).unionByName(reduced), cap=cap)
-        (merged.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket")
-         .parquet(f"{sink}/state/v={batch_id}"))
-    finally:
-        reduced.unpersist()
-    retire(spark, sink, touched)
+        merged = log.write(live_state(log.read(full, STATE_SCHEMA), cap=cap), TABLE, tier=tier + 1)
+        entry = {"add": [merged], "remove": [p["folder"] for p in full]}
+        # another writer may have merged them meanwhile: then this merge is not added
+        while all(p["folder"] in log.parts for p in full) and not log.add(entry):
+            pass
+    log.drop_removed(KEPT_ENTRIES)
 
 
 def start_live_state(arrivals: DataFrame, sink: str, checkpoint: str,
                      cap: int = LIVE_CAP, processing_time: str | None = None) -> StreamingQuery:
-    """ST3: keep the live table of a stream of arrivals; read it with :func:`live_view`."""
-    return triggered(arrivals.writeStream
-                     .foreachBatch(lambda batch, batch_id: merge_batch(batch, batch_id, sink, cap))
+    """ST3: keep the live table of a stream of arrivals; read it with :func:`live_view`.
+
+    Any number of runs, one after another or at a time, may feed one sink.
+    """
+    log = CommitLog(arrivals.sparkSession, sink)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        merge_batch(batch, batch_id, log, run_of(log.spark, checkpoint), cap)
+
+    return triggered(arrivals.writeStream.foreachBatch(write)
                      .option("checkpointLocation", checkpoint), processing_time).start()
 
 
-def live_view(spark: SparkSession, sink: str) -> DataFrame:
-    """Current live table: the newest version of every bucket."""
-    return stored_state(spark, sink, {b: v[0] for b, v in versions(spark, sink).items()})
+def live_view(spark: SparkSession, sink: str, cap: int = LIVE_CAP) -> DataFrame:
+    """Current live table: all parts, reduced as one."""
+    log = CommitLog(spark, sink)
+    return live_state(log.read(log.of_table(TABLE), STATE_SCHEMA), cap=cap).select(*COLUMNS)

@@ -22,20 +22,157 @@ def test_live_state_equals_batch_twin(spark):
     assert got == _rows(REGISTRY["retain_last_n_cap10"](spark, SF_SMALL))
 
 
-def test_observed_counters_match_tables(spark):
+def _envelopes_landed(spark, rows_per_file=10000, files=None):
     from barlake.session import scratch_path
     from barlake.sources import fixtures as fx
     from barlake.streaming import ingest
-    src, sink, ckpt = (scratch_path(spark, n) for n in ("t_src", "t_sink", "t_ckpt"))
-    ingest.land_envelopes(fx.envelopes(spark, SF_SMALL), src, 300)
-    q = ingest.start_ingest(ingest.file_stream(spark, src, 2), sink, ckpt)
-    ingest.run_to_end(q)
-    c = ingest.ingest_counters(q)
+    src = scratch_path(spark, "t_src")
+    env = fx.envelopes(spark, SF_SMALL)
+    ingest.land_envelopes(env.repartition(files) if files else env, src, rows_per_file)
+    return src
+
+
+def _ingested(spark, src, sink, checkpoint=None, files_per_trigger=1000):
+    from barlake.session import scratch_path
+    from barlake.streaming import ingest
+    checkpoint = checkpoint or scratch_path(spark, "t_ckpt")
+    ingest.run_to_end(ingest.start_ingest(ingest.file_stream(spark, src, files_per_trigger), sink, checkpoint))
+    return checkpoint
+
+
+def test_counters_cover_the_whole_stream(spark):
+    """More batches than a query keeps progress reports for, a restart, and a replay: each message counts once."""
+    from barlake.session import scratch_path
+    from barlake.streaming import ingest
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        src, sink = _envelopes_landed(spark, files=40), scratch_path(spark, "t_sink")
+        assert ingest.ingest_counters(spark, sink).first().asDict() == {"messages": 0, "valid": 0, "rejected": 0}
+        ckpt = _ingested(spark, src, sink, files_per_trigger=1)
+        assert ingest.CommitLog(spark, sink).number == 40
+        _ingested(spark, src, sink, ckpt)
+        _ingested(spark, src, sink, files_per_trigger=30)
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    c = ingest.ingest_counters(spark, sink).first()
     assert c["valid"] == ingest.read_sink(spark, sink, "bars").count()
     assert c["rejected"] == ingest.read_sink(spark, sink, "rejects").count()
     assert c["messages"] == spark.read.parquet(src).count()
 
 
+def test_replay_reads_no_bar_file(spark):
+    """The landed bar files may be gone: a replay looks positions up in the log's bitmaps alone."""
+    from barlake.session import scratch_path
+    from barlake.streaming import ingest
+    from barlake.streaming.commits import Files
+    src, sink = _envelopes_landed(spark, files=3), scratch_path(spark, "t_sink")
+    _ingested(spark, src, sink)
+    Files(spark, sink).delete("bars")
+    _ingested(spark, src, sink, files_per_trigger=2)
+    log = ingest.CommitLog(spark, sink)
+    assert len(log.runs) == 2
+    later = [p for p in log.of_table("bars") if p["at"] > 1]
+    assert later and log.read(later, "symbol string").count() == 0
+
+
+def test_lost_checkpoint_leaves_no_gap_and_no_duplicate(spark, tmp_path):
+    """The checkpoint's folder is used again by a new query whose batches start at 0."""
+    from barlake.session import scratch_path
+    from barlake.sources import fixtures as fx
+    from barlake.streaming import ingest
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("t_src", "t_sink", "t_ckpt"))
+    env = fx.envelopes(spark, SF_SMALL)
+    n = env.count()
+    env.where(f"offset < {n // 2}").write.parquet(src)
+    _ingested(spark, src, sink, ckpt)
+    assert ingest.unfinished_batch(spark, ckpt) is None
+    env.where(f"offset >= {n // 2}").write.mode("append").parquet(src)
+    spark._jvm.org.apache.hadoop.fs.FileSystem.get(spark._jsc.hadoopConfiguration()).delete(
+        spark._jvm.org.apache.hadoop.fs.Path(ckpt), True)
+    _ingested(spark, src, sink, ckpt)
+    got = _rows(finalize(ingest.read_sink(spark, sink, "bars").drop("partition")))
+    assert got == _rows(REGISTRY["valid_bars"](spark, SF_SMALL))
+
+
+def test_batch_that_failed_after_its_files_or_after_its_entry(spark, monkeypatch):
+    """Planned and not committed: run again, and its files count once, wherever it stopped."""
+    import pytest
+
+    from barlake.session import scratch_path
+    from barlake.streaming import ingest
+    from barlake.streaming.commits import CommitLog
+    want = _rows(REGISTRY["valid_bars"](spark, SF_SMALL))
+    for late in (False, True):
+        src, sink, ckpt = _envelopes_landed(spark, files=2), *(scratch_path(spark, n) for n in ("t_sink", "t_ckpt"))
+        add = CommitLog.add
+
+        def fails(self, entry):
+            if late:
+                add(self, entry)
+            raise OSError("lost the driver")
+        with monkeypatch.context() as m:
+            m.setattr(CommitLog, "add", fails)
+            with pytest.raises(Exception, match="lost the driver"):
+                _ingested(spark, src, sink, ckpt)
+        assert ingest.unfinished_batch(spark, ckpt) == 0
+        assert CommitLog(spark, sink).number == int(late)
+        _ingested(spark, src, sink, ckpt)
+        assert ingest.unfinished_batch(spark, ckpt) is None
+        assert _rows(finalize(ingest.read_sink(spark, sink, "bars").drop("partition"))) == want, late
+
+
+def test_two_writers_land_each_position_once(spark, monkeypatch):
+    """Another run's entry comes between a batch's look at the log and its own entry."""
+    from barlake.session import scratch_path
+    from barlake.streaming import ingest
+    from barlake.streaming.commits import CommitLog
+    src, sink = _envelopes_landed(spark, files=2), scratch_path(spark, "t_sink")
+    add, entered = CommitLog.add, []
+
+    def slow(self, entry):
+        if not entered:
+            entered.append(1)
+            _ingested(spark, src, sink)
+        return add(self, entry)
+    monkeypatch.setattr(CommitLog, "add", slow)
+    _ingested(spark, src, sink)
+    got = _rows(finalize(ingest.read_sink(spark, sink, "bars").drop("partition")))
+    assert got == _rows(REGISTRY["valid_bars"](spark, SF_SMALL))
+
+
+def test_next_offsets_and_landed_positions(spark):
+    """Full blocks, gaps inside and between blocks, several parts per block, null and negative positions."""
+    from pyspark.sql import functions as F
+
+    from barlake.session import scratch_path
+    from barlake.streaming import ingest
+    from barlake.streaming.commits import CommitLog
+    size = 1 << ingest.POSITION_BITS
+    landed = {0: set(range(size + 100)), 1: set(range(2 * size)), 2: set(range(40)) | set(range(41, 90)),
+              3: set(range(size)) | set(range(2 * size, 2 * size + 5)), 4: {size - 1, size, 7}}
+    rows = [(p, s, None if s % 3 else "bad") for p, seqs in landed.items() for s in seqs]
+    rows += [(None, 5, None), (6, None, None), (7, -3, None)]
+    df = spark.createDataFrame(rows, "partition int, seq bigint, reason string")
+    log = CommitLog(spark, scratch_path(spark, "t_sink"))
+    for k in range(2):
+        half = df.where(F.coalesce(F.pmod("seq", F.lit(2)), F.lit(0)) == k)
+        part = log.write(ingest.positions(half, F.col("reason").isNull()), ingest.POSITIONS)
+        assert log.add({"run": "r", "batch": k, "add": [part]})
+    got = {r["partition"]: r["next"] for r in ingest.next_offsets(spark, log.sink).collect()}
+    assert {k: got[k] for k in landed} == {0: size + 100, 1: 2 * size, 2: 40, 3: size, 4: 0}
+    asked = [(p, s, None) for p in range(6) for s in (0, 7, 39, 40, 41, 90, size - 1, size, size + 99, size + 100, 2 * size,
+                                                      2 * size + 4, 2 * size + 5)]
+    asked += [(None, 5, None), (6, None, None), (7, -3, None), (7, -4, None)]
+    left = ingest.not_landed(spark.createDataFrame(asked, df.schema),
+                             log.read(log.of_table(ingest.POSITIONS), ingest.POSITIONS_SCHEMA))
+    assert {(r[0], r[1]) for r in left.collect()} == {
+        (p, s) for p, s, _ in asked if s not in landed.get(p, ()) and (p, s) != (7, -3)} | {(None, 5)}
+    counts = ingest.ingest_counters(spark, log.sink).first()
+    assert counts["messages"] == len(rows) and counts["rejected"] == sum(r[2] == "bad" for r in rows)
+    assert ingest.starting_offsets("bars", ingest.next_offsets(spark, log.sink).where("partition = 2")) \
+        == '{"bars": {"2": 40}}'
+
+
 def test_replay_in_any_cut_adds_nothing(spark):
     """Three runs with other file limits over the same source: the table stays unique on its position."""
     from barlake.session import scratch_path
@@ -64,23 +201,83 @@ def test_snapshot_and_delta_do_not_depend_on_batches(spark):
     assert out[0] and out[0] == out[1] == out[2]
 
 
-def test_live_state_is_bounded_and_repeatable(spark):
-    """Old versions go, a repeated batch changes nothing, and late or re-sent dates enter by arrival."""
+STATE_ROWS = "symbol string, date date, seq bigint, open double, high double, low double, close double, volume double"
+
+
+def _state_rows(arrivals):
     import datetime as dt
+    return [(symbol, dt.date(2024, 1, 1) + dt.timedelta(days=d), seq, *([float(seq)] * 5))
+            for symbol, d, seq in arrivals]
+
 
+def test_live_state_is_repeatable_and_outlives_its_runs(spark):
+    """A repeated batch changes nothing, late and re-sent dates enter by arrival, and a new run goes on with the table."""
     from barlake.operators.dedup import live_state
     from barlake.session import scratch_path
     from barlake.streaming import state
     sink = scratch_path(spark, "l_sink")
-    schema = "symbol string, date date, seq bigint, open double, high double, low double, close double, volume double"
-    rows = [("A", dt.date(2024, 1, 1 + d), seq, *([float(seq)] * 5))
-            for seq, d in enumerate([0, 1, 2, 3, 0, 4, 5, 1, 1, 6])]
+    log = state.CommitLog(spark, sink)
+    assert state.live_view(spark, sink, cap=3).collect() == []
+    rows = _state_rows([("A", d, seq) for seq, d in enumerate([0, 1, 2, 3, 0, 4, 5, 1, 1, 6])])
     for k in range(5):
-        batch = spark.createDataFrame(rows[2 * k:2 * k + 2], schema)
-        state.merge_batch(batch, k, sink, cap=3)
-        state.merge_batch(batch, k, sink, cap=3)
-    want = live_state(spark.createDataFrame(rows, schema), cap=3)
-    assert _rows(state.live_view(spark, sink)) == _rows(want.select(*state.COLUMNS))
-    assert all(len(v) <= state.KEPT_VERSIONS for v in state.versions(spark, sink).values())
-    state.merge_batch(spark.createDataFrame([], schema), 5, sink, cap=3)
-    assert state.live_view(spark, sink).count() == 3
+        batch = spark.createDataFrame(rows[2 * k:2 * k + 2], STATE_ROWS)
+        state.merge_batch(batch, k, log, "first", cap=3)
+        state.merge_batch(batch, k, log, "first", cap=3)
+    assert log.number == 5
+    more = _state_rows([(s, d, 100 + k) for k, (s, d) in enumerate([("B", 1), ("A", 9), ("C", 1), ("B", 2)])])
+    for k in range(6):  # a new checkpoint counts from 0 and sends some rows again
+        batch = spark.createDataFrame(more[k:k + 1] + rows[k:k + 3], STATE_ROWS)
+        state.merge_batch(batch, k, state.CommitLog(spark, sink), "second", cap=3)
+    want = live_state(spark.createDataFrame(rows + more, STATE_ROWS), cap=3)
+    assert _rows(state.live_view(spark, sink, cap=3)) == _rows(want.select(*state.COLUMNS))
+    state.merge_batch(spark.createDataFrame([], STATE_ROWS), 6, state.CommitLog(spark, sink), "second", cap=3)
+    assert state.live_view(spark, sink, cap=3).count() == 6
+
+
+def test_live_state_writes_by_the_batch_and_merges_by_tiers(spark, monkeypatch):
+    """70 batches with a fanout of 4: few parts are read, a row is written once per tier, old files go."""
+    from pyspark.sql import functions as F
+
+    from barlake.operators.dedup import live_state
+    from barlake.session import scratch_path
+    from barlake.streaming import state
+    from barlake.streaming.commits import Files
+    monkeypatch.setattr(state, "FANOUT", 4)
+    sink = scratch_path(spark, "l_sink")
+    log, written = state.CommitLog(spark, sink), []
+    write = state.CommitLog.write
+
+    def counted(self, df, table, **facts):
+        part = write(self, df, table, **facts)
+        written.append((facts["tier"], self.read([part], state.STATE_SCHEMA).count()))
+        return part
+    monkeypatch.setattr(state.CommitLog, "write", counted)
+    rows = _state_rows([(f"S{k % 50}", k // 50, k) for k in range(210)])
+    df = spark.createDataFrame(rows, STATE_ROWS).cache()
+    for k in range(70):
+        state.merge_batch(df.where(F.col("seq").between(3 * k, 3 * k + 2)).coalesce(1), k, log, "r", cap=1000)
+    assert all(n == 3 for tier, n in written if tier == 0)
+    assert sum(n for _, n in written) <= 210 * 4  # tiers 0 to 3
+    parts = state.CommitLog(spark, sink).of_table(state.TABLE)
+    assert parts == log.of_table(state.TABLE) and len(parts) == 70 // 64 + 6 // 4 + 70 % 4
+    assert len(Files(spark, sink).names("state")) <= len(parts) + state.FANOUT * (state.KEPT_ENTRIES + 1)
+    assert _rows(state.live_view(spark, sink)) == _rows(live_state(df).select(*state.COLUMNS))
+    df.unpersist()
+
+
+def test_commit_log_survives_summaries_and_rivals(spark):
+    """A log opened anew equals the one that wrote it; of two writers of one number the second looks again."""
+    from barlake.session import scratch_path
+    from barlake.streaming.commits import SUMMARY_EVERY, CommitLog
+    sink = scratch_path(spark, "c_sink")
+    one, two = CommitLog(spark, sink), CommitLog(spark, sink)
+    for k in range(SUMMARY_EVERY + 3):
+        assert one.add({"run": "a", "batch": k, "add": [{"table": "t", "folder": f"t/{k}"}],
+                        "remove": [f"t/{k - 1}"] if k % 2 else []})
+    assert not two.add({"run": "b", "batch": 0, "add": [{"table": "t", "folder": "t/x"}]})
+    assert two.number == one.number and not two.done("b", 0) and two.done("a", 5)
+    assert two.add({"run": "b", "batch": 0, "add": [{"table": "t", "folder": "t/x"}]})
+    one.refresh()
+    for log in (two, CommitLog(spark, sink)):
+        assert (log.number, log.runs, log.parts) == (one.number, one.runs, one.parts)
+        assert sorted(map(tuple, log.removed)) == sorted(map(tuple, one.removed))
