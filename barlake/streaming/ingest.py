@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -180,8 +181,9 @@ def commit_batch(log: CommitLog, run: str, batch_id: int, base: DataFrame,
             return
         others = [p for p in log.of_table(POSITIONS) if p["run"] != run]
         rows = not_landed(base, log.read(others, POSITIONS_SCHEMA)) if others else base
-        parts = [log.write(out, name) for name, out in outputs(rows, batch_id).items()]
-        parts.append(log.write(positions(rows, F.col("reason").isNull()), POSITIONS))
+        tables = {**outputs(rows, batch_id), POSITIONS: positions(rows, F.col("reason").isNull())}
+        with ThreadPoolExecutor(len(tables)) as pool:  # small jobs over the same persisted rows
+            parts = list(pool.map(lambda name: log.write(tables[name], name), tables))
         if log.add({"run": run, "batch": batch_id, "add": parts}):
             return
 
