@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,9 +13,6 @@ from barlake.llm import (clustering, codes, decontaminate, exact_dedup, langid,
                          sentencepiece, simhash, url_filter)
 from barlake.llm.shared import fold_of, table
 
-# Vocabulary files of public tokenizers, never copied into the repository.
-TOKENIZERS = "/opt/tokenizers"
-
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -59,7 +57,7 @@ def op3_language_id(spark, sf_dir):
 @query
 def op4_token_records(spark, sf_dir):
     """One row per document, read back from the record files: where its ids start, how many, their crc32."""
-    manifest = records.write_records(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    manifest = records.write_records(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return records.read_records(spark, manifest)
 
 
@@ -77,7 +75,7 @@ def op5_secret_scan(spark, sf_dir):
 def op6_sentencepiece(spark, sf_dir):
     """One row per document: ids of its whole text, decoded again and compared with the reference library."""
     return sentencepiece.encode_documents(
-        table(spark, sf_dir, "documents"), f"{TOKENIZERS}/piece_bpe_32k.model", with_ids=False)
+        table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), with_ids=False)
 
 
 @query

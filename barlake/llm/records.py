@@ -20,6 +20,7 @@ read.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -34,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from barlake.llm.segments import SegmentCache, encode_batch
+from barlake.llm.segments import SegmentCache, encode_batch, encode_runs
 from barlake.llm.shared import col, shared_path, stored, text_of
 
 # Fixed value: what the record checksums are masked with.
@@ -73,8 +74,20 @@ class Encoder:
         self.cache = SegmentCache(pattern, self._segments, added=[t["content"] for t in added] if by_segment else ())
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
 
+        self.ids = self.tokenizer.get_vocab_size()
+        # byte-level pieces are spelled with one character per byte
+        self.piece_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.ids)])
+        self.added = frozenset(t["content"] for t in added)
+        self.by_segment = by_segment
+        self.spaced = re.compile(f"[{WHITE_SPACE}]+[^{WHITE_SPACE}]").match
+
     def _segments(self, segments: list[str]) -> list[bytes]:
-        return [x.tobytes() for x in encode_batch(self.tokenizer, segments, threads=False)]
+        """Words led by white space are encoded in runs; first words, trailing spaces and added tokens alone."""
+        run = [s for s in segments if self.spaced(s) and s not in self.added] if self.by_segment else []
+        known = dict(zip(run, encode_runs(self.tokenizer, run, self.piece_bytes, threads=False)))
+        alone = [s for s in segments if s not in known]
+        known.update((s, x.tobytes()) for s, x in zip(alone, encode_batch(self.tokenizer, alone, threads=False)))
+        return [known[s] for s in segments]
 
 
 @lru_cache(maxsize=2)

@@ -9,17 +9,20 @@ go to the tokenizer as one batch, which it encodes on all its threads.
 from __future__ import annotations
 
 import array
+import itertools
 import os
 import re
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 from tokenizers import Tokenizer
 
-# Cached segments per worker (about 250 bytes each), longest cached segment and
-# characters of text looked up at a time.
-CACHE_SEGMENTS = 600_000
+# Cached segments per generation (about 250 bytes each), longest cached segment,
+# characters of text looked up at a time, and segments encoded as one run.
+CACHE_SEGMENTS = 400_000
 CACHE_CHARS = 64
 TEXT_AT_ONCE = 1 << 20
+RUN = 1024
 
 
 def encode_batch(tokenizer: Tokenizer, segments: list[str], threads: bool) -> list[array.array]:
@@ -32,6 +35,28 @@ def encode_batch(tokenizer: Tokenizer, segments: list[str], threads: bool) -> li
     return [array.array("I", e.ids) for e in tokenizer.encode_batch_fast(segments, add_special_tokens=False)]
 
 
+def encode_runs(tokenizer: Tokenizer, segments: list[str], piece_bytes: np.ndarray, threads: bool) -> list[bytes]:
+    """Ids of segments that may follow one another: encoded in runs and cut again where a segment's bytes end.
+
+    One encoding of a run costs about half of one per segment.  No piece may
+    reach over a segment's start; ``piece_bytes`` has the bytes of text that
+    each id stands for.  A run whose pieces do not end where its segments do
+    is encoded segment by segment.
+    """
+    runs = [segments[k:k + RUN] for k in range(0, len(segments), RUN)]
+    out: list[bytes] = []
+    for run, ids in zip(runs, encode_batch(tokenizer, ["".join(r) for r in runs], threads)):
+        ends = np.cumsum([len(s.encode("utf-8")) for s in run])
+        reached = np.cumsum(piece_bytes[np.frombuffer(ids, dtype="<u4")])
+        last = np.searchsorted(reached, ends)
+        if len(reached) == 0 or last[-1] != len(reached) - 1 or (reached[last] != ends).any():
+            out += [x.tobytes() for x in encode_batch(tokenizer, run, threads)]
+            continue
+        raw, cuts = ids.tobytes(), [0, *(4 * (last + 1)).tolist()]
+        out += [raw[a:z] for a, z in zip(cuts, cuts[1:])]
+    return out
+
+
 def splitter(pattern: str, added: Sequence[str] = ()) -> Callable[[str], list[str]]:
     """Split a text at the strings of ``added``, the longest first, and what is between them by ``pattern``."""
     find = re.compile(pattern).findall
@@ -51,7 +76,7 @@ class SegmentCache:
     """``encode_many(segments) -> list of id bytes`` behind a cache of two generations.
 
     Segments that are asked for again move to the young generation; when that
-    holds half the limit it becomes the old one and the old one goes.
+    holds ``limit`` segments it becomes the old one and the old one goes.
     """
 
     def __init__(self, pattern: str, encode_many: Callable[[list[str]], list[bytes]], limit: int = CACHE_SEGMENTS,
@@ -64,17 +89,18 @@ class SegmentCache:
 
     def _group(self, texts: list[str]) -> Iterator[bytes]:
         parts = [self.split(t) for t in texts]
-        found = [list(map(self.young.get, p)) for p in parts]
-        missing = {s for p, f in zip(parts, found) if None in f for s, v in zip(p, f) if v is None}
+        missing = set(itertools.chain.from_iterable(parts)).difference(self.young)
         fresh = {s: self.old[s] for s in missing if s in self.old}
-        unknown = sorted(missing.difference(fresh))
+        unknown = list(missing.difference(fresh))
         if unknown:
             fresh.update(zip(unknown, self.encode_many(unknown)))
-        for p, f in zip(parts, found):
-            yield b"".join([fresh[s] if v is None else v for s, v in zip(p, f)] if None in f else f)
-        self.young.update((s, v) for s, v in fresh.items() if len(s) <= CACHE_CHARS)
-        if 2 * len(self.young) > self.limit:
-            self.old, self.young = (self.young if len(self.young) <= self.limit else {}), {}
+        self.young.update(fresh)
+        yield from [b"".join(map(self.young.__getitem__, p)) for p in parts]
+        for s in fresh:
+            if len(s) > CACHE_CHARS:
+                del self.young[s]
+        if len(self.young) > self.limit:
+            self.old, self.young = (self.young if len(self.young) <= 2 * self.limit else {}), {}
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text, in order."""

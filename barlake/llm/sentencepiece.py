@@ -14,6 +14,7 @@ in whole texts.
 
 from __future__ import annotations
 
+import array
 import re
 import struct
 import zlib
@@ -27,12 +28,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, decoders, models, normalizers
 
-from barlake.llm.segments import SegmentCache, encode_batch
+from barlake.llm.segments import RUN, SegmentCache, encode_batch, encode_runs
 from barlake.llm.shared import col, text_of
 
 MARK = "▁"
-# Cached segments per worker: half the usual bound, as two tokenizers and the library's model live there too.
-CACHED = 250_000
+# Cached segments per generation: less than usual, as two tokenizers and the library's model live there too.
+CACHED = 150_000
 # Fixed values of the SentencePiece protobuf: field numbers and enum values.
 PIECES, TRAINER, NORMALIZER = 1, 2, 3
 PIECE, SCORE, KIND = 1, 2, 3
@@ -144,6 +145,7 @@ class Codec:
         self.own = sentencepiece.SentencePieceProcessor(model_proto=data)
         pattern = f"{MARK}*[^{MARK}]+|{MARK}+" if self.model.by_segment else r"(?s).+"
         self.cache = SegmentCache(pattern, self._segments, limit=CACHED)
+        self.compare_segments = not self.model.charsmap and not self.model.one_space and self.model.dummy_prefix
         self.odd: set[str] = set()  # segments whose ids differ from the library's
         parts = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else p.replace(MARK, " ").encode()
                  for p, _, k in self.model.pieces]
@@ -151,18 +153,38 @@ class Codec:
         self.size = np.array([len(p) for p in parts], dtype=np.int64)
         self.at = np.cumsum(self.size) - self.size
 
+        # Merges of a BPE model never reach over a marker, so marker-led segments may be encoded as one
+        # text; a unigram model's sums could round otherwise in a longer text.
+        self.in_runs = (self.model.kind == BPE and self.model.by_segment and self.model.byte_fallback
+                        and any(p == MARK for p, _, _ in self.model.pieces))
+        self.piece_bytes = np.array([1 if k == BYTE else len(p.encode()) for p, _, k in self.model.pieces])
+
     def _segments(self, segments: list[str]) -> list[bytes]:
-        ids = encode_batch(self.bare, segments, threads=True)
+        led = [s for s in segments if len(s) > 1 and s[0] == MARK and s[-1] != MARK] if self.in_runs else []
+        known = dict(zip(led, encode_runs(self.bare, led, self.piece_bytes, threads=True)))
+        alone = [s for s in segments if s not in known]
+        known.update((s, x.tobytes()) for s, x in zip(alone, encode_batch(self.bare, alone, threads=True)))
+        ids = [known[s] for s in segments]
         self._compare(segments, ids)
-        return [x.tobytes() for x in ids]
+        return ids
+
+    def _compare(self, segments: list[str], ids: list[bytes]) -> None:
+        """Parity of segments, by run where a run's ids are those of its segments, else and on a difference one by one.
 
-    def _compare(self, segments: list[str], ids: list) -> None:
-        """Parity of segments that the library can be given alone (its dummy prefix is their first marker)."""
-        if self.model.charsmap or self.model.one_space or not self.model.dummy_prefix:
+        A segment is given to the library without its first marker, which is the library's dummy prefix.
+        """
+        if not self.compare_segments:
             return
-        led = [i for i, s in enumerate(segments) if s[0] == MARK and len(s) > 1]
-        theirs = self.own.encode([segments[i][1:].replace(MARK, " ") for i in led], num_threads=1)
-        self.odd.update(segments[i] for i, x in zip(led, theirs) if x != ids[i].tolist())
+        marker = array.array("I", [self.own.piece_to_id(MARK)]).tobytes()
+        self.odd.update(s for s, x in zip(segments, ids) if s == MARK and x != marker)
+        led = [k for k, s in enumerate(segments) if s != MARK]
+        tight = [k for k in led if segments[k][-1] != MARK] if self.in_runs else []
+        runs = [tight[k:k + RUN] for k in range(0, len(tight), RUN)]
+        theirs = self.own.encode(["".join([segments[k] for k in r])[1:].replace(MARK, " ") for r in runs], num_threads=1)
+        same = {k for r, x in zip(runs, theirs) if array.array("I", x).tobytes() == b"".join([ids[k] for k in r]) for k in r}
+        rest = [k for k in led if k not in same]
+        theirs = self.own.encode([segments[k][1:].replace(MARK, " ") for k in rest], num_threads=1)
+        self.odd.update(segments[k] for k, x in zip(rest, theirs) if array.array("I", x).tobytes() != ids[k])
 
     def normalised(self, text: str) -> str:
         return self.norm.normalize_str(text)
@@ -175,6 +197,8 @@ class Codec:
             lead = MARK if self.model.dummy_prefix else ""
             clean = [lead + t.replace(" ", MARK) if t else "" for t in texts]
         ids = [np.frombuffer(x, dtype="<u4") for x in self.cache.encode(clean)]
+        if not self.compare_segments:  # the library normalises otherwise than by its prefix alone: whole texts
+            return ids, [x == y.tolist() for x, y in zip(self.own.encode(texts, num_threads=1), ids)], clean
         if self.odd:
             same = [self.odd.isdisjoint(self.cache.split(t)) for t in clean]
         else:
@@ -209,7 +233,8 @@ def encode_documents(docs: DataFrame, model_path: str, id_col: str = "doc_id", t
     Columns: the id, ``n_tokens``, ``ids_crc32`` (unsigned crc32 of the ids as
     little-endian unsigned 32-bit integers), ``round_trip`` (the decoded text
     is the normalised text), ``parity`` (each segment's ids equal the
-    SentencePiece library's) and, ``with_ids``, ``ids``.
+    SentencePiece library's, or the whole text's where the model's normaliser
+    does not let segments be compared) and, ``with_ids``, ``ids``.
 
     Null text counts as empty and has no ids.  Repeated rows give repeated
     rows; null ids stay null; other columns are not used.  The model file is

@@ -2,13 +2,13 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 from barlake.llm import records as R
-from barlake.llm.queries import TOKENIZERS
 
-PATH = f"{TOKENIZERS}/byte_bpe_50k.json"
+PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 @pytest.fixture(scope="module")
@@ -28,6 +28,21 @@ def test_segments_give_the_ids_of_whole_texts(plain):
     assert got == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_runs_give_the_ids_of_single_segments(plain, monkeypatch):
+    """Odd Unicode after every white space, in runs of any length; a wrong piece length falls back to single ones."""
+    rnd = random.Random(11)
+    own = R.Encoder(open(PATH, encoding="utf-8").read())
+    spaces = " \n\t\r\x85\xa0\u2003\u3000"
+    segments = list({rnd.choice(spaces) * rnd.randint(1, 3) + "".join(
+        chr(rnd.choice([rnd.randint(33, 126), rnd.randint(0xa1, 0x2fff), rnd.randint(0x1f300, 0x1f700), 0x200b]))
+        for _ in range(rnd.randint(1, 9))) for _ in range(5000)})
+    segments = [s for s in segments if not s[-1].isspace() and len(own.cache.split(s)) == 1]
+    want = [np.asarray(e.ids, "<u4").tobytes() for e in plain.encode_batch(segments, add_special_tokens=False)]
+    assert len(segments) > 3000 and own._segments(segments) == want
+    own.piece_bytes = own.piece_bytes + 1
+    assert own._segments(segments[:50]) == want[:50]
+
+
 def test_small_cache_changes_nothing(plain):
     own = R.Encoder(open(PATH, encoding="utf-8").read())
     own.cache.limit = 3

@@ -2,15 +2,15 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from barlake.llm import sentencepiece as S
-from barlake.llm.queries import TOKENIZERS
 
-PATH = f"{TOKENIZERS}/piece_bpe_32k.model"
+PATH = public_tokenizers.path("piece_bpe_32k.model")
 CODEC = S.Codec(open(PATH, "rb").read())
 OWN = sentencepiece.SentencePieceProcessor(model_file=PATH)
 
@@ -37,8 +37,22 @@ def test_any_text(text):
 def test_a_wrong_model_is_noticed():
     codec = S.Codec(open(PATH, "rb").read())
     codec.own = type("Other", (), {"encode": staticmethod(
-        lambda t, num_threads=1: [[0]] * len(t) if isinstance(t, list) else [0])})()
+        lambda t, num_threads=1: [[0]] * len(t) if isinstance(t, list) else [0]), "piece_to_id": lambda self, p: 0})()
     assert codec.encode(["some words"])[1] == [False]
+    assert codec.encode(["x", "more words", "y"])[1] == [False, False, False]
+
+
+def test_one_wrong_segment_marks_its_texts_only():
+    codec = S.Codec(open(PATH, "rb").read())
+    right = codec.own
+
+    def encode(text, num_threads=1):
+        if isinstance(text, list):
+            return [encode(t) for t in text]
+        return [0] if "stone" in text else right.encode(text)
+    codec.own = type("Other", (), {"encode": staticmethod(encode), "piece_to_id": right.piece_to_id})()
+    texts = ["a river", "a stone", "wood ", "stone bridge", "", "two  rivers"]
+    assert codec.encode(texts)[1] == [True, False, True, False, True, True]
 
 
 def field(number, value):
@@ -67,6 +81,23 @@ def test_unigram_model_with_byte_fallback():
     assert [codec.decode(x) for x in ids] == texts
 
 
+@pytest.mark.parametrize("norm", [field(5, 1) + field(3, 1), field(3, 0) + field(4, 0)])
+def test_parity_is_compared_whatever_the_normaliser(norm):
+    """Space collapsing, or no dummy prefix: no text's parity is taken for granted."""
+    pieces = [("<unk>", 0.0, 2), *[(f"<0x{b:02X}>", -12.0, 6) for b in range(256)], ("▁", -2.0, 1),
+              ("a", -3.0, 1), ("b", -3.2, 1), ("ab", -2.0, 1), ("▁a", -2.8, 1)]
+    data = b"".join(field(1, field(1, p.encode()) + field(2, s) + field(3, k)) for p, s, k in pieces)
+    data += field(2, field(3, 1) + field(35, 1)) + field(3, field(1, b"identity") + norm)
+    codec = S.Codec(data)
+    texts = ["ab a", "b  ab", "", "abab b", "a"]
+    ids, same, _ = codec.encode(texts)
+    assert same == [x.tolist() == y for x, y in zip(ids, sentencepiece.SentencePieceProcessor(model_proto=data).encode(texts))]
+    assert all(same)
+    codec.own = type("Other", (), {"encode": staticmethod(
+        lambda t, num_threads=1: [[0]] * len(t) if isinstance(t, list) else [0])})()
+    assert codec.encode(texts)[1] == [False] * 5
+
+
 def test_documents(edge_docs, edge_rows, no_docs):
     got = S.encode_documents(edge_docs, PATH).collect()
     want = sorted((str(i), OWN.encode(t or "")) for i, t in edge_rows)
