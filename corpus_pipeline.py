@@ -3,14 +3,20 @@
 Every stage takes ``(spark, docs, sf_dir)`` and works on all its predecessor
 kept.  All but the last return the columns of ``documents``; the last one
 returns the token ids of each document.
+
+Null texts count as empty in every stage, whole texts are read however long,
+and an empty table passes through as one.  Of equal or near-equal texts the
+smallest id stays, null ids last; of rows that repeat id and text one stays.
+Columns beyond those of ``documents`` come along, whatever they are called,
+up to the last stage, which returns its own.
 """
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from barlake.llm import decontaminate, exact_dedup, quality, sentencepiece, simhash
-from barlake.llm.queries import TOKENIZERS
 from barlake.llm.shared import stored, table
 
 
@@ -37,7 +43,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: SentencePiece ids of each document, with the decoding check."""
-    return sentencepiece.encode_documents(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
+    return sentencepiece.encode_documents(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
 STAGES = [
