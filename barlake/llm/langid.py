@@ -7,8 +7,8 @@ by the out-of-place distance: the sum of rank differences, with ``PROFILE``
 for an n-gram the language does not have.
 
 Counts are summed in the Python worker, then by Spark with map-side
-combining, so a common language costs one row per n-gram and task.  Only the
-profiles (languages x ``PROFILE`` rows) are broadcast.
+combining, so a common language costs one row per n-gram and task.  Only
+profiles are broadcast, those of so many languages at a time.
 """
 
 from __future__ import annotations
@@ -22,12 +22,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from barlake.llm.shared import col, text_of
+from barlake.llm.shared import col, stored, text_of
 
 PROFILE = 300
 LONGEST = 3
-# Bound of the broadcast: languages learned, and the letters counted at a time.
-MAX_LANGUAGES = 10_000
+# Languages whose profiles are broadcast together, and letters counted at a time.
+LANGUAGES_AT_ONCE = 5_000
 LETTERS_AT_ONCE = 1 << 20
 BITS = 21  # of a code point; three of them fit a 64-bit key
 BLANK = 1  # stands for everything that is no letter; not 0, so keys of different lengths differ
@@ -40,32 +40,45 @@ def letters() -> np.ndarray:
     return np.fromiter((chr(i).isalpha() for i in range(sys.maxunicode + 1)), dtype=bool, count=sys.maxunicode + 1)
 
 
-def code_points(text: str) -> np.ndarray:
-    """Lower-cased text with each run of other characters as one ``BLANK``, bounded by it."""
-    raw = np.frombuffer(text.lower().encode("utf-32-le", "replace"), dtype="<u4")
-    clean = np.full(len(raw) + 2, BLANK, dtype=np.int64)
-    clean[1:-1] = np.where(letters()[raw], raw, BLANK)
-    keep = np.ones(len(clean), dtype=bool)
-    keep[1:] = (clean[1:] != BLANK) | (clean[:-1] != BLANK)
-    return clean[keep]
+def slices(text: str) -> Iterator[tuple[np.ndarray, int]]:
+    """Lower-cased text with each run of other characters as one ``BLANK``, bounded by it, in bounded steps.
 
-
-def grams(points: np.ndarray) -> np.ndarray:
-    """Keys of all n-grams; a blank may be their first or last character, not one within."""
-    key, inner = points, points != BLANK
-    parts = [points[inner]]
+    Each slice is led by the points of the one before that an n-gram may
+    still need; their number comes with it.
+    """
+    low = text.lower()  # whole: a letter's lower case may depend on its neighbours
+    tail = np.array([BLANK], dtype=np.int64)
+    for at in range(0, max(len(low), 1), LETTERS_AT_ONCE):
+        raw = np.frombuffer(low[at:at + LETTERS_AT_ONCE].encode("utf-32-le", "replace"), dtype="<u4")
+        end = [BLANK] if at + LETTERS_AT_ONCE >= len(low) else []
+        points = np.concatenate([tail, np.where(letters()[raw], raw, BLANK), end]).astype(np.int64)
+        keep = np.ones(len(points), dtype=bool)
+        keep[1:] = (points[1:] != BLANK) | (points[:-1] != BLANK)
+        points = points[keep]
+        yield points, len(tail)
+        tail = points[1 - LONGEST:]
+
+
+def grams(points: np.ndarray, seen: int = 0) -> np.ndarray:
+    """Keys of all n-grams that end after the first ``seen`` points.
+
+    A blank may be an n-gram's first or last character, not one within.
+    """
+    key = points
+    parts = [points[seen:][points[seen:] != BLANK]]
     for n in range(2, LONGEST + 1):
         key = (key[:-1] << BITS) | points[n - 1:]
         within = [points[k:len(points) - n + 1 + k] != BLANK for k in range(1, n - 1)]
-        parts.append(key[np.logical_and.reduce(within)] if within else key)
+        new = np.arange(len(key)) >= seen - n + 1
+        parts.append(key[np.logical_and.reduce([new, *within])])
     return np.concatenate(parts)
 
 
 def counted(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct n-grams of a text and their counts, over the whole text in bounded steps."""
     keys, counts = np.empty(0, np.int64), np.empty(0, np.int64)
-    for at in range(0, max(len(text), 1), LETTERS_AT_ONCE):
-        k, c = np.unique(grams(code_points(text[at:at + LETTERS_AT_ONCE])), return_counts=True)
+    for points, seen in slices(text):
+        k, c = np.unique(grams(points, seen), return_counts=True)
         if len(keys):
             both, place = np.unique(np.concatenate([keys, k]), return_inverse=True)
             keys, counts = both, np.bincount(place, weights=np.concatenate([counts, c])).astype(np.int64)
@@ -79,8 +92,13 @@ def profile(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return keys[np.lexsort((keys, -counts))[:PROFILE]]
 
 
-def learn(docs: DataFrame, training: Column, text_col: str = "text", lang_col: str = "lang") -> dict[str, list[int]]:
-    """Profile of each language over all training rows with a language and a letter."""
+def learn(docs: DataFrame, training: Column, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """Profile of each language over all training rows with a language and a letter, written once.
+
+    One row per language and n-gram: ``lang``, ``gram`` and ``nth`` (its rank;
+    equally frequent n-grams rank by key).  Null texts and languages teach
+    nothing; repeated rows count each; texts of any length count whole.
+    """
     rows = docs.where(training & col(lang_col).isNotNull()).select(
         col(lang_col).cast("string").alias("lang"), text_of(text_col).alias("text"))
 
@@ -111,13 +129,15 @@ def learn(docs: DataFrame, training: Column, text_col: str = "text", lang_col: s
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     top = counts.withColumn("nth", nth).where(F.col("nth") <= PROFILE).select("lang", "gram", "nth")
-    found = top.limit(MAX_LANGUAGES * PROFILE + 1).collect()
-    if len(found) > MAX_LANGUAGES * PROFILE:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages: clean the language column first")
-    profiles: dict[str, list[int]] = {}
-    for r in sorted(found, key=lambda r: (r["lang"], r["nth"])):
-        profiles.setdefault(r["lang"], []).append(r["gram"])
-    return profiles
+    return stored(top, "profiles")
+
+
+def as_lists(profiles: DataFrame) -> dict[str, list[int]]:
+    """The profiles of a bounded number of languages."""
+    found: dict[str, list[int]] = {}
+    for r in sorted(profiles.collect(), key=lambda r: (r["lang"], r["nth"])):
+        found.setdefault(r["lang"], []).append(r["gram"])
+    return found
 
 
 class Identifier:
@@ -136,36 +156,58 @@ class Identifier:
         rank = self.rank[at]
         return np.where(rank < 0, PROFILE, np.abs(rank - np.arange(len(own))[:, None])).sum(axis=0)
 
-    def predict(self, text: str) -> tuple[str, float]:
-        """Nearest language (ties: first by name) and 1 - its distance / the largest possible one."""
-        own = profile(*counted(text))
-        if not len(own):
-            return UNKNOWN, 0.0
+    def nearest(self, own: np.ndarray) -> tuple[int, str]:
+        """(distance, language) of the nearest one; ties go to the first by name."""
         far = self.distances(own)
         best = int(far.argmin())
-        return self.langs[best], 1.0 - float(far[best]) / (PROFILE * len(own))
+        return int(far[best]), self.langs[best]
 
 
-def identify(docs: DataFrame, profiles: dict[str, list[int]], id_col: str = "doc_id", text_col: str = "text",
-             carry: tuple[str, ...] = ()) -> DataFrame:
+def identify(docs: DataFrame, profiles: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+             carry: tuple[str, ...] = (), at_once: int = LANGUAGES_AT_ONCE) -> DataFrame:
     """Predict the language of every whole text.
 
-    Columns: the id, those of ``carry``, ``lang_pred`` and ``score`` (0 to 1).
-    Null text or text without letters gives ``und`` and score 0, as does an
-    empty set of profiles.  Repeated rows are predicted alike; null ids stay.
+    Columns: the id, those of ``carry``, ``lang_pred`` and ``score`` (0 to 1:
+    1 less its distance as a share of the largest possible one).  Null text or
+    text without letters gives ``und`` and score 0, as does an empty table of
+    profiles.  Equally near languages go by name; repeated rows are predicted
+    alike; null ids stay; texts of any length count whole.
+
+    Languages are dealt to blocks of about ``at_once`` by hash and a block's
+    profiles are broadcast.  Documents pass the blocks one after another in
+    one task, each time keeping the nearest language so far, so any number of
+    languages gives the result of all together.
     """
-    data = docs.sparkSession.sparkContext.broadcast(profiles)  # at most MAX_LANGUAGES x PROFILE keys
+    spark = docs.sparkSession
+    blocks = max(1, -(-profiles.select("lang").distinct().count() // at_once))
     names = [id_col, *carry]
-    rows = docs.select(*[col(c).alias(f"_in{i}") for i, c in enumerate(names)], text_of(text_col).alias("_text"))
     kept = [f"_in{i}" for i in range(len(names))]
-
+    rows = docs.select(*[col(c).alias(k) for c, k in zip(names, kept)], text_of(text_col).alias("_text"),
+                       F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    for block in range(blocks):
+        some = as_lists(profiles.where(F.pmod(F.xxhash64("lang"), F.lit(blocks)) == block))
+        if some:
+            rows = rows.mapInArrow(nearer(spark.sparkContext.broadcast(some)), rows.schema)
+    return rows.drop("_text").withColumnsRenamed(dict(zip(kept, names)))
+
+
+def nearer(data):
+    """mapInArrow body: replace ``lang_pred`` and ``score`` where a language of the block is nearer, or as near and
+    first by name."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = Identifier(data.value) if data.value else None
+        block = Identifier(data.value)
         for b in batches:
-            out = [own.predict(t) if own else (UNKNOWN, 0.0) for t in b.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*[b.column(c) for c in kept], pa.array([x[0] for x in out], pa.string()),
-                 pa.array([x[1] for x in out], pa.float64())], [*kept, "lang_pred", "score"])
-
-    schema = rows.select(*kept).schema.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(of, schema).withColumnsRenamed(dict(zip(kept, names)))
+            langs, scores = [], []
+            for text, lang, score in zip(*(b.column(c).to_pylist() for c in ("_text", "lang_pred", "score"))):
+                own = profile(*counted(text))
+                if len(own):
+                    far, near = block.nearest(own)
+                    now = 1.0 - far / (PROFILE * len(own))
+                    if lang == UNKNOWN or (-now, near) < (-score, lang):
+                        lang, score = near, now
+                langs.append(lang)
+                scores.append(score)
+            yield (b.set_column(b.schema.get_field_index("lang_pred"), "lang_pred", pa.array(langs, pa.string()))
+                   .set_column(b.schema.get_field_index("score"), "score", pa.array(scores, pa.float64())))
+
+    return of

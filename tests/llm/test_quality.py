@@ -27,17 +27,85 @@ def test_views_teach_each_other():
     b = np.column_stack([y * 2 - 1 + rng.normal(0, 0.2, 3000)])
     few = slice(0, 40)
     alone = Q.fit_logistic(a[few], y[few])
-    both = Q.co_train(a[few], b[few], y[few], a[40:2000], b[40:2000])
+    both = Q.co_train(a[few], b[few], y[few], Q.ArrayPool(a[40:2000], b[40:2000]))
 
     def right(w):
         return ((Q.logits(a[2000:], w) > 0) == (y[2000:] == 1)).mean()
     assert right(both.text) > right(alone)
     # combining the views takes enough labels to calibrate on
     many = slice(0, 400)
-    score = Q.co_train(a[many], b[many], y[many], a[400:2000], b[400:2000]).score(a[2000:], b[2000:])[2]
+    score = Q.co_train(a[many], b[many], y[many], Q.ArrayPool(a[400:2000], b[400:2000])).score(a[2000:], b[2000:])[2]
     assert ((score > 0.5) == (y[2000:] == 1)).mean() > 0.97
 
 
+def brute_co_train(a, b, y, pool_a, pool_b):
+    """Row by row: the same rounds, every sum spelled out."""
+    hold = [i % 5 == 0 for i in range(len(y))]
+    rows = [[list(x) + [1.0] for x in v] for v in (a, b)]
+    pool = [[list(x) + [1.0] for x in v] for v in (pool_a, pool_b)]
+    train = [i for i in range(len(y)) if not hold[i]]
+    w = [list(Q.fit_logistic(np.array(v)[train], y[train])) for v in (a, b)]
+
+    def p(x, weights):
+        return 1 / (1 + np.exp(-sum(i * j for i, j in zip(x, weights))))
+    for k in range(1, Q.ROUNDS + 1):
+        teachers = [list(x) for x in w]
+        for _ in range(Q.STEPS):
+            new = []
+            for v in (0, 1):
+                used = [(rows[v][i], y[i], 1.0) for i in train]
+                sure = [(x, p(o, teachers[1 - v])) for x, o in zip(pool[v], pool[1 - v])]
+                for label in (0.0, 1.0):
+                    own = [x for x, q in sure if (q >= Q.CONFIDENT if label else q <= 1 - Q.CONFIDENT)]
+                    used += [(x, label, min(1.0, Q.SHARE * k * len(train) / len(own))) for x in own]
+                d = len(w[v])
+                g, h = [0.0] * d, [[1e-9 * (i == j) for j in range(d)] for i in range(d)]
+                for x, t, m in used:
+                    q = p(x, w[v])
+                    for i in range(d):
+                        g[i] += m * (q - t) * x[i]
+                        for j in range(d):
+                            h[i][j] += m * q * (1 - q) * x[i] * x[j]
+                for i in range(d):
+                    r = Q.RIDGE if i < d - 1 else 1e-6
+                    g[i] += r * w[v][i]
+                    h[i][i] += r
+                new.append([i - j for i, j in zip(w[v], np.linalg.solve(h, g))])
+            w = new
+    return w
+
+
+def test_co_training_equals_brute_force():
+    rng = np.random.default_rng(6)
+    y = rng.integers(0, 2, 400).astype(float)
+    a = np.column_stack([y * 4 + rng.normal(0, 0.8, 400), rng.normal(0, 1, 400)])
+    b = np.column_stack([y * 5 - 2 + rng.normal(0, 0.7, 400)])
+    got = Q.co_train(a[:60], b[:60], y[:60], Q.ArrayPool(a[60:], b[60:]))
+    want = brute_co_train(a[:60], b[:60], y[:60], a[60:], b[60:])
+    assert np.allclose(got.text, want[0], atol=1e-6) and np.allclose(got.meta, want[1], atol=1e-6)
+
+
+def test_every_unlabelled_document_counts(spark, edge_docs, monkeypatch):
+    """The passes over the stored features give the sums of all rows, however they are spread."""
+    taken = []
+    stored = Q.stored
+    monkeypatch.setattr(Q, "stored", lambda df, name: taken.append(stored(df, name)) or taken[-1])
+    monkeypatch.setattr(Q, "CONFIDENT", 0.5)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    model = Q.fit(edge_docs, labels)
+    rows = taken[0].collect()
+    assert len(rows) == edge_docs.count()
+    free = [r for r in rows if r["y"] is None]
+    views = np.array([r["a"] for r in free], dtype=float), Q.one_hot(np.array([r["b"] for r in free]))
+    teachers, w = [model.text * 0.9, model.meta * 1.1], [model.text, model.meta]
+    want = Q.pool_sums(views, teachers, w, Q.CONFIDENT)
+    assert want[0] + want[1 + len(w[0]) + len(w[0]) ** 2] >= len(free) and want.shape == (2 * sum(1 + len(x) + len(x) ** 2 for x in w),)
+    for parts in (1, 7, 40):
+        pool = Q.StoredPool(taken[0].where("y IS NULL").repartition(parts))
+        assert np.allclose(pool.sums(teachers, w), want, rtol=1e-9, atol=1e-9)
+    assert np.allclose(Q.StoredPool(taken[0].limit(0)).sums(teachers, w), 0)
+
+
 def test_edges(spark, edge_docs, edge_rows, no_docs):
     none = spark.createDataFrame([], "doc_id bigint, quality int")
     assert Q.fit(edge_docs, none) is None
