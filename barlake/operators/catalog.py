@@ -3,12 +3,14 @@
 Distinct symbols are a partial+final hash aggregate; ordered pages use
 ``orderBy(...).offset(o).limit(n)`` which Spark plans as a top-k
 (``TakeOrderedAndProject``) per task, so no task sorts the whole catalog.
-Symbol order is binary (ASCII) order.
+Symbol order is binary (ASCII) order.  For deep pages of large catalogs,
+:func:`write_directory` stores the symbols in sorted ranges with a directory
+of their sizes, and :func:`directory_page` reads only the ranges a page lies in.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.functions.expressions import hours_between
@@ -47,6 +49,46 @@ def symbols_page(bars: DataFrame, offset: int = 0, limit: int = DEFAULT_PAGE,
                        F.lit(offset).alias("page_offset"), F.lit(limit).alias("page_limit"))
 
 
+SYMBOLS_PER_RANGE = 100_000
+
+
+def write_directory(bars: DataFrame, path: str, key: str = "symbol", per_range: int = SYMBOLS_PER_RANGE) -> None:
+    """Store the distinct symbols in sorted ranges of about ``per_range``, and a directory with each range's size.
+
+    One distinct aggregation and one range partitioning; the directory has one
+    row per range: ``range``, ``n``, ``low``, ``high``.
+    """
+    spark = bars.sparkSession
+    symbols = distinct_symbols(bars, key).select(F.col(key).alias("symbol"))
+    ranges = max(1, -(-symbols.count() // per_range))
+    (symbols.repartitionByRange(ranges, "symbol").withColumn("range", F.spark_partition_id())
+     .sortWithinPartitions("symbol").write.partitionBy("range").parquet(f"{path}/symbols"))
+    stored = spark.read.schema("symbol string, range int").parquet(f"{path}/symbols")
+    (stored.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.min("symbol").alias("low"), F.max("symbol").alias("high"))
+     .coalesce(1).write.parquet(f"{path}/directory"))
+
+
+def directory_page(spark: SparkSession, path: str, offset: int = 0, limit: int = DEFAULT_PAGE) -> DataFrame:
+    """U5 + U6 from the directory: as :func:`symbols_page`, reading the page's ranges only.
+
+    The driver holds the directory, one row per range.
+    """
+    entries = spark.read.schema("range int, n bigint, low string, high string").parquet(f"{path}/directory")
+    total, needed, first = 0, [], None
+    for r in sorted(entries.collect(), key=lambda r: r["range"]):  # ranges are numbered in symbol order
+        if total < offset + limit and total + r["n"] > offset:
+            needed.append(r["range"])
+            first = total if first is None else first
+        total += r["n"]
+    if not needed or limit <= 0:
+        page = spark.createDataFrame([], "symbol string")
+    else:
+        some = spark.read.schema("symbol string").parquet(*[f"{path}/symbols/range={k}" for k in needed])
+        page = some.orderBy("symbol").offset(offset - first if offset > first else 0).limit(limit)
+    return page.select("symbol", F.lit(total).cast("bigint").alias("total_count"),
+                       F.lit(offset).alias("page_offset"), F.lit(limit).alias("page_limit"))
+
+
 def symbol_search(bars: DataFrame, query: str, key: str = "symbol") -> DataFrame:
     """case-insensitive substring match; an empty query keeps all."""
     q = (query or "").strip().lower()

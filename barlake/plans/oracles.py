@@ -249,6 +249,9 @@ SELECT symbol, (SELECT count(DISTINCT symbol) FROM bars_long) AS total_count,
 FROM (SELECT DISTINCT symbol FROM bars_long WHERE symbol IS NOT NULL ORDER BY symbol
       LIMIT 100 OFFSET 20)"""
 
+ORACLES["symbols_deep_page"] = (ORACLES["symbols_page"].replace("20 AS page_offset, 100 AS", "150 AS page_offset, 40 AS")
+                                .replace("LIMIT 100 OFFSET 20", "LIMIT 40 OFFSET 150"))
+
 ORACLES["symbol_search"] = f"""WITH {BARS_DAILY}
 SELECT DISTINCT symbol FROM bars_daily WHERE lower(symbol) LIKE '%' || lower(trim(' u1 ')) || '%'"""
 
@@ -258,6 +261,8 @@ SELECT symbol, count(*) AS count, count(DISTINCT ts) AS unique_times,
        {R("date_diff('microsecond', min(ts), max(ts)) / 3600000000.0")} AS time_range_hours
 FROM bars_minute GROUP BY symbol"""
 
+ORACLES["coverage_appended"] = ORACLES["coverage"]
+
 ORACLES["bars_for_symbol"] = f"""WITH {BARS_DAILY}
 SELECT symbol, date, {R('open')} AS open, {R('high')} AS high, {R('low')} AS low,
        {R('close')} AS close, {R('volume')} AS volume
@@ -487,6 +492,34 @@ SELECT symbol, ts, {R('close')} AS close, {R('prev_close')} AS prev_close,
        {R('moving_average')} AS moving_average, {R('daily_change')} AS daily_change,
        {R('volatility')} AS volatility FROM ind"""
 
+# x counted in whole minutes from the symbol's first bar; the quadratic by centred normal equations.
+ORACLES["minute_trends_hot"] = f"""WITH hot_minute AS (
+  SELECT symbol, bar_ts AS ts, last(value ORDER BY ts, event_id) AS y
+  FROM (SELECT CASE WHEN user_id % 3 = 0 THEN 'HOT' ELSE 'U' || user_id END AS symbol,
+               date_trunc('minute', ts) AS bar_ts, ts, event_id, value FROM events)
+  GROUP BY symbol, bar_ts),
+x AS (SELECT symbol, y, CAST(date_diff('minute', min(ts) OVER (PARTITION BY symbol), ts) AS DOUBLE) AS x FROM hot_minute),
+s1 AS (SELECT symbol, count(*) AS n, avg(x) AS mx, avg(y) AS my, max(x) AS xl, max(y) = min(y) AS flat,
+              coalesce(regr_slope(y, x), 0) AS slope, corr(y, x) AS r FROM x GROUP BY symbol),
+s2 AS (SELECT symbol, any_value(n) AS n, any_value(mx) AS mx, any_value(my) AS my, any_value(xl) AS xl,
+              any_value(flat) AS flat, any_value(slope) AS slope, any_value(r) AS r,
+              avg(power(x - mx, 2)) AS m2, avg(power(x - mx, 3)) AS m3, avg(power(x - mx, 4)) AS m4,
+              avg((x - mx) * (y - my)) AS c1, avg(power(x - mx, 2) * (y - my)) AS c2
+       FROM x JOIN s1 USING (symbol) GROUP BY symbol),
+q AS (SELECT *, m2 * (m4 - m2 * m2) - m3 * m3 AS det FROM s2),
+f AS (SELECT *, CASE WHEN n >= 3 THEN (c1 * (m4 - m2 * m2) - c2 * m3) / det END AS b,
+             CASE WHEN n >= 3 THEN (m2 * c2 - m3 * c1) / det END AS c FROM q),
+e AS (SELECT *, my - slope * mx AS l0, my + slope * (xl - mx) AS l1,
+             CASE WHEN n >= 3 THEN my - c * m2 - b * mx + c * mx * mx
+                  WHEN n = 2 THEN my - slope * mx ELSE my END AS q0,
+             CASE WHEN n >= 3 THEN my - c * m2 + b * (xl - mx) + c * (xl - mx) * (xl - mx)
+                  WHEN n = 2 THEN my + slope * (xl - mx) ELSE my END AS q1 FROM f)
+SELECT symbol, n, {R('slope')} AS slope,
+       {R('CASE WHEN n < 2 THEN NULL WHEN flat THEN 1.0 ELSE r * r END')} AS r2,
+       {R('l0')} AS linear_first, {R('l1')} AS linear_last, {R('q0')} AS quadratic_first, {R('q1')} AS quadratic_last
+FROM e"""
+
+
 def _pytext(x: str, places: int) -> str:
     """``round(x, places)`` printed as the shortest double (binary half-even rounding)."""
     return f"CAST(CAST(printf('%.{places}f', {x}) AS DOUBLE) AS VARCHAR)"
@@ -519,6 +552,7 @@ TIMESTAMP_COLUMNS = ("ts", "earliest", "latest", "as_of")
 TEMPORAL: dict[str, tuple[str, ...]] = {
     "linear_trend": ("anchor",),
     "coverage": ("earliest", "latest"),
+    "coverage_appended": ("earliest", "latest"),
     "trading_day": ("ts", "trading_day"),
     "quote_board": ("as_of",),
 }

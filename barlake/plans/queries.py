@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barlake.functions.expressions import trading_day
-from barlake.operators import catalog, cleanse, dedup, intraday, models
+from barlake.operators import catalog, cleanse, dedup, intraday, models, moments
+from barlake.operators.coverage_table import CoverageTable
 from barlake.operators.indicators import rolling_indicators, with_day_index
 from barlake.plans import datasets
 from barlake.sources import fixtures as fx
@@ -213,6 +214,20 @@ def q_intraday_indicators_hot(spark, sf_dir):
     return rolling_indicators(bars, order="ts", block="day")
 
 
+@register("minute_trends_hot")
+def q_minute_trends_hot(spark, sf_dir):
+    """M1 + M2 of minute series with a hot symbol, from merged moments; half of the days are appended later."""
+    bars = fx.bars_minute_hot(spark, sf_dir)
+    late = F.dayofmonth("ts") > 15
+    path = scratch_path(spark, "moments")
+    moments.merged(moments.block_moments(bars.where(~late), "ts", 60)).write.parquet(path)
+    new = moments.block_moments(bars.where(late), "ts", 60)
+    whole = moments.merged(spark.read.parquet(path).unionByName(new))
+    return moments.fitted(whole).select(
+        "symbol", F.col("n").cast("bigint").alias("n"), "slope", "r2", "linear_first", "linear_last",
+        "quadratic_first", "quadratic_last")
+
+
 @register("day_index")
 def q_day_index(spark, sf_dir):
     """A3: whole days since each symbol's first bar."""
@@ -239,6 +254,14 @@ def q_symbols_page(spark, sf_dir):
     return catalog.symbols_page(fx.bars_long(spark, sf_dir), offset=20, limit=100)
 
 
+@register("symbols_deep_page")
+def q_symbols_deep_page(spark, sf_dir):
+    """U5 + U6: a page far into the long-history catalog, read through its directory of sorted ranges."""
+    path = scratch_path(spark, "catalog")
+    catalog.write_directory(fx.bars_long(spark, sf_dir), path, per_range=97)
+    return catalog.directory_page(spark, path, offset=150, limit=40)
+
+
 @register("symbol_search")
 def q_symbol_search(spark, sf_dir):
     """case-insensitive substring search (query ' u1 ')."""
@@ -251,6 +274,17 @@ def q_coverage(spark, sf_dir):
     return catalog.coverage(fx.bars_minute(spark, sf_dir), ts="ts")
 
 
+@register("coverage_appended")
+def q_coverage_appended(spark, sf_dir):
+    """A1 + A2 from summaries kept while the bars land in four appends."""
+    bars = fx.bars_minute(spark, sf_dir)
+    kept = CoverageTable(spark, scratch_path(spark, "coverage"))
+    part = F.pmod(F.xxhash64("symbol", "ts"), F.lit(4))
+    for k in range(4):
+        kept.append(bars.where(part == k))
+    return kept.coverage()
+
+
 @register("bars_for_symbol")
 def q_bars_for_symbol(spark, sf_dir):
     """all bars of one symbol; the equality reaches the Parquet scan."""

@@ -61,10 +61,13 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
                      .cast("string").try_cast("int").alias("cycle"))
 
 
-def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Offline stand-in for the bus: Parquet files with the envelope columns."""
+def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1, skip_missing: bool = False) -> DataFrame:
+    """Offline stand-in for the bus: Parquet files with the envelope columns.
+
+    A file that is gone when its batch runs is an error unless ``skip_missing``.
+    """
     return (spark.readStream.schema(CYCLE_ENVELOPE_SCHEMA)
-            .option("maxFilesPerTrigger", max_files_per_trigger)
+            .option("maxFilesPerTrigger", max_files_per_trigger).option("ignoreMissingFiles", skip_missing)
             .parquet(path))
 
 

@@ -44,23 +44,7 @@ def merge_batch(batch: DataFrame, batch_id: int, log: CommitLog, run: str, cap:
     part = log.write(live_state(batch.select(*COLUMNS), cap=cap), TABLE, tier=0)
     while not log.add({"run": run, "batch": batch_id, "add": [part]}):
         pass  # parts of other writers do not conflict with a delta
-    merge_full_tiers(log, cap)
-
-
-def merge_full_tiers(log: CommitLog, cap: int = LIVE_CAP) -> None:
-    """Merge the oldest ``FANOUT`` parts of each tier that has as many into one of the next tier."""
-    tier = 0
-    while any(p["tier"] >= tier for p in log.of_table(TABLE)):
-        full = [p for p in log.of_table(TABLE) if p["tier"] == tier][:FANOUT]
-        if len(full) < FANOUT:
-            tier += 1
-            continue
-        merged = log.write(live_state(log.read(full, STATE_SCHEMA), cap=cap), TABLE, tier=tier + 1)
-        entry = {"add": [merged], "remove": [p["folder"] for p in full]}
-        # another writer may have merged them meanwhile: then this merge is not added
-        while all(p["folder"] in log.parts for p in full) and not log.add(entry):
-            pass
-    log.drop_removed(KEPT_ENTRIES)
+    log.merge_tiers(TABLE, FANOUT, lambda parts: live_state(log.read(parts, STATE_SCHEMA), cap=cap), KEPT_ENTRIES)
 
 
 def start_live_state(arrivals: DataFrame, sink: str, checkpoint: str,

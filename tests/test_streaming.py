@@ -281,3 +281,64 @@ def test_commit_log_survives_summaries_and_rivals(spark):
     for log in (two, CommitLog(spark, sink)):
         assert (log.number, log.runs, log.parts) == (one.number, one.runs, one.parts)
         assert sorted(map(tuple, log.removed)) == sorted(map(tuple, one.removed))
+
+
+def test_poison_files_are_quarantined_and_the_rest_lands(spark, tmp_path):
+    """Three damaged files among many, over several batches: named, moved whole, and all other messages counted."""
+    import os
+    import random
+
+    from barlake.session import scratch_path
+    from barlake.streaming import ingest
+    from barlake.streaming.supervise import run_supervised
+    src, sink, ckpt, aside = _envelopes_landed(spark, files=24), *(
+        scratch_path(spark, n) for n in ("t_sink", "t_ckpt", "t_aside"))
+    folder = src.removeprefix("file:")
+    files = sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))
+    bad = random.Random(4).sample(files, 3)
+    lost = spark.read.parquet(*[f"{src}/{f}" for f in bad]).count()
+    total = spark.read.parquet(src).count()
+    for k, f in enumerate(bad):
+        path = os.path.join(folder, f)
+        data = open(path, "rb").read()
+        open(path, "wb").write([b"", data[:len(data) // 2], data[:200] + b"\0" * (len(data) - 210) + data[-10:]][k] or b"x")
+        if os.path.exists(os.path.join(folder, f".{f}.crc")):
+            os.remove(os.path.join(folder, f".{f}.crc"))
+
+    def start(skip_missing):
+        return ingest.start_ingest(ingest.file_stream(spark, src, 10, skip_missing), sink, ckpt)
+    report = run_supervised(spark, start, ckpt, aside, pause_s=0)
+    assert sorted(old.rsplit("/", 1)[-1] for old, _ in report.quarantined) == sorted(bad) and report.restarts == 0
+    assert len([f for f in os.listdir(aside.removeprefix("file:")) if f.endswith(".parquet")]) == 3
+    assert ingest.ingest_counters(spark, sink).first()["messages"] == total - lost
+    assert ingest.unfinished_batch(spark, ckpt) is None
+
+
+def test_restarts_are_bounded(spark, monkeypatch):
+    import pytest
+
+    from barlake.session import scratch_path
+    from barlake.streaming import ingest
+    from barlake.streaming.supervise import run_supervised
+    src, sink, ckpt, aside = _envelopes_landed(spark, files=2), *(
+        scratch_path(spark, n) for n in ("t_sink", "t_ckpt", "t_aside"))
+    commit, failures = ingest.commit_batch, []
+
+    def flaky(*args):
+        failures.append(1)
+        if len(failures) <= 2:
+            raise OSError("store not reached")
+        return commit(*args)
+    monkeypatch.setattr(ingest, "commit_batch", flaky)
+
+    def start(skip_missing):
+        assert not skip_missing
+        return ingest.start_ingest(ingest.file_stream(spark, src, 10), sink, ckpt)
+    with pytest.raises(Exception, match="store not reached"):
+        run_supervised(spark, start, ckpt, aside, retries=1, pause_s=0)
+    assert run_supervised(spark, start, ckpt, aside, retries=1, pause_s=0).restarts == 0
+    failures.clear()
+    src2, sink2, ckpt2 = _envelopes_landed(spark, files=2), scratch_path(spark, "s"), scratch_path(spark, "c")
+    report = run_supervised(spark, lambda skip: ingest.start_ingest(ingest.file_stream(spark, src2, 10), sink2, ckpt2),
+                            ckpt2, aside, retries=2, pause_s=0)
+    assert report.restarts == 2 and ingest.read_sink(spark, sink2, "bars").count() > 0
