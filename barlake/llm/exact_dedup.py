@@ -8,8 +8,9 @@
    map-side combining.  These winners are at most ``HEAVY_LIMIT`` rows of
    about 100 bytes, so they are broadcast and settle the large groups without
    moving their rows.
-4. All other digests belong to groups below ``rows / SKETCH_ITEMS * 2`` rows
-   and go through one ordinary shuffle by digest.
+4. All other digests belong to groups below about ``4 * rows / SKETCH_ITEMS``
+   rows (a thousandth of them), the sketch's error, and go through one ordinary
+   shuffle by digest.
 
 The summary decides only which way a row takes, never its result.
 """
@@ -23,7 +24,7 @@ from barlake.llm.shared import ASCII_SPACE, col, stored, text_of
 
 # Counters per Misra-Gries summary, digests kept from it, and first-level salts.
 SKETCH_ITEMS = 4096
-HEAVY_LIMIT = 1000
+HEAVY_LIMIT = 4096
 SALTS = 64
 
 

@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barlake.llm.shared import col, stored, text_of
@@ -32,6 +32,7 @@ SHORTEST = 16
 AROUND = 48
 # Words of the dictionary (a broadcast of well under a megabyte) and their shortest length.
 DICTIONARY, WORD = 5_000, 3
+WORD_GROUPS = 64
 # Labelled candidates the forest is fitted on, at most about this many.
 FINDINGS = 20_000
 TREES, DEPTH, SEED = 40, 8, 11
@@ -194,7 +195,11 @@ def frequent_words(docs: DataFrame, text_col: str = "text", size: int = DICTIONA
     """The ``size`` most frequent words of letters over all texts; ties by word."""
     words = docs.select(F.explode_outer(F.regexp_extract_all(
         F.lower(text_of(text_col)), F.lit(r"(?<![a-z0-9])[a-z]{3,16}(?![a-z0-9])"), F.lit(0))).alias("w")).where("w IS NOT NULL")
-    top = words.groupBy("w").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "w").limit(size)
+    counts = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    # the first of every hash group, then of those: one task ranks groups x size rows, the driver gets ``size``
+    group = Window.partitionBy(F.pmod(F.xxhash64("w"), F.lit(WORD_GROUPS))).orderBy(F.desc("n"), "w")
+    some = counts.withColumn("nth", F.row_number().over(group)).where(F.col("nth") <= size).drop("nth")
+    top = some.repartition(1).orderBy(F.desc("n"), "w").limit(size)
     return {r["w"] for r in top.collect()}
 
 

@@ -37,6 +37,8 @@ TREE_ITEMS = 2048
 BUCKET = 32
 # Hashes whose bits are counted at a time, so that a very long text needs no more.
 BITS_AT_ONCE = 1 << 16
+# A fingerprint with more than one in so many rows is heavy: at most so many are.
+HEAVY_SHARE = 1000
 # Mean shard size aimed at when the number of blocks is chosen.
 MEAN_SHARD = 256
 
@@ -234,13 +236,20 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rows = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     order = F.struct(F.col("id").isNull().alias("no_id"), "id", "key")
-    fps = rows.groupBy("fp").agg(F.min(order).alias("least"))
+    fps = rows.groupBy("fp").agg(F.min(order).alias("least"), F.count(F.lit(1)).alias("n"))
     roots = components(links(fps.select("fp"), radius, tree_items))
     member = fps.join(roots, F.col("fp") == F.col("node"))
     best = member.groupBy("root").agg(F.min("least").alias("best"))
     linked = roots.join(best, "root").select(F.col("node").alias("fp"), "best")
-    first = fps.join(linked, "fp", "left").select("fp", F.coalesce("best", "least").alias("first"))
-    return rows.join(first, "fp")
+    first = stored(fps.join(linked, "fp", "left").select("fp", "n", F.coalesce("best", "least").alias("first")), "first")
+    # fewer than HEAVY_SHARE fingerprints can hold more than that share of the rows: those are settled map-side
+    heavy = F.col("n") > rows.count() / HEAVY_SHARE
+    many = F.broadcast(first.where(heavy).select(F.col("fp").alias("_fp"), F.col("first").alias("_first")))
+    split = rows.join(many, F.col("fp") == F.col("_fp"), "left")
+    columns = ["fp", *[c for c in rows.columns if c != "fp"]]
+    settled = split.where("_fp IS NOT NULL").select(*columns, F.col("_first").alias("first"))
+    rest = split.where("_fp IS NULL").select(*columns).join(first.where(~heavy).select("fp", "first"), "fp")
+    return settled.unionByName(rest)
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -117,3 +117,19 @@ def test_provider_format_stays_whatever_the_forest_says(spark):
         return [(s["start"], s["end"], s["score"]) for s in got["secrets"]]
     assert spans(other) == [(7, 27, 1.0)]
     assert S.scan(docs).where("doc_id = 3000").first()["secrets"][0]["score"] == 1.0
+
+
+def test_frequent_words_are_the_first_of_all_texts(spark):
+    """Ties by word, from every text, whatever group a word falls in."""
+    import random
+    import re
+    from collections import Counter
+
+    rnd = random.Random(2)
+    names = ["".join(rnd.choices("abcdefgh", k=rnd.randint(3, 5))) for _ in range(3000)]
+    texts = [" ".join(rnd.choices(names, weights=range(3000, 0, -1), k=200)) + " ab x9y Zürich" for _ in range(60)] + [None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(7)
+    counts = Counter(w for t in texts if t for w in re.findall(r"(?<![a-z0-9])[a-z]{3,16}(?![a-z0-9])", t.lower()))
+    for size in (1, 50, 700, 100_000):
+        want = sorted(counts, key=lambda w: (-counts[w], w))[:size]
+        assert S.frequent_words(docs, size=size) == set(want)

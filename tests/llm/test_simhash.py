@@ -104,3 +104,17 @@ def test_drop_keeps_one_of_each_group(edge_docs, edge_rows, no_docs):
     assert len({frozenset(groups[p]) for p in left}) == len({frozenset(g) for g in groups.values()})
     assert len(left) - 1 <= len({frozenset(g) for g in groups.values()})
     assert S.near_groups(no_docs).count() == 0 and S.drop_near_copies(no_docs).count() == 0
+
+
+def test_hot_fingerprints_are_settled_beside_the_rest(spark, monkeypatch):
+    """A third of the rows share a text; the heavy side and the shuffled one give every row once."""
+    rows = [(i, "one hot text of some words" if i % 3 else f"text number {i} with words {i * i} of its own {i % 7}")
+            for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    for share in (1000, 10, 1):
+        monkeypatch.setattr(S, "HEAVY_SHARE", share)
+        got = {r["id"]: (r["fp"] & (1 << 64) - 1, r["first"]["id"]) for r in S.near_groups(docs).collect()}
+        prints = {i: brute_print(t) for i, t in rows}
+        groups = brute_components(set(prints.values()))
+        least = {v: min(i for i, p in prints.items() if p in groups[v]) for v in groups}
+        assert got == {i: (p, least[p]) for i, p in prints.items()}, share
