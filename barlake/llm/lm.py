@@ -11,8 +11,12 @@ own distinct words and pairs:
 
 1. A chunk's texts become token numbers of a chunk-local vocabulary.
 2. The chunk sends its distinct 64-bit keys with its own training counts,
-   packed per key range.  A task adds up one key range over all chunks and
-   answers each chunk; a frequent word costs one entry per chunk.
+   packed per key range.  Counts are added up level by level: a node adds one
+   key range over a group of senders, then sends its sums on in as many finer
+   ranges to a node of a wider group, until the group is the whole corpus.
+   Every sender has at most ``FAN`` receivers and a node about as many keys
+   as one range holds, so messages grow with the corpus and keep their
+   size; a frequent word costs one entry per sender.  Totals return by the same way.
 3. The answers are joined to their chunk.  One pass gathers the held-out
    statistics in a fixed grid of cells (all the driver ever sees), another
    one scores the documents.
@@ -35,11 +39,13 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from barlake.llm.shared import col, stored, text_of
 
-# Characters per chunk (one longer text is a chunk of its own) and keys per range.
+# Characters per chunk (one longer text is a chunk of its own), keys per node and receivers per sender.
 CHUNK_CHARS = 1 << 22
 KEYS_PER_RANGE = 1_000_000
+FAN = 1024
 SEED = 7
 END, START = b"\n", b"\n\n"  # no word contains white space
+ONE = np.uint64(1)
 # Grid of the held-out statistics: context buckets, and quarter octaves of a probability.
 BUCKETS, LEVELS, PER_OCTAVE = 40, 160, 4
 ROUNDS = 200
@@ -138,20 +144,21 @@ class Chunk:
         self.pairs, self.pair_of = np.unique(self.before * width + self.word, return_inverse=True)
         self.left, self.right = self.pairs // width, self.pairs % width
         contexts = np.append(hashes, np.uint64(xxhash.xxh64_intdigest(START, seed=SEED)))
-        self.keys = (hashes, pair_keys(contexts[self.left], hashes[self.right]))
-
-    def asked(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(kind, sorted keys, own training counts): words (0), then pairs (1)."""
-        for kind, of in enumerate((self.word, self.pair_of)):
-            own = np.bincount(of[self.token_train], minlength=len(self.keys[kind]))
-            order = np.argsort(self.keys[kind], kind="stable")
-            yield kind, self.keys[kind][order], own[order]
-
-    def answered(self, kind: int, totals: np.ndarray) -> np.ndarray:
-        """Totals in key order back into the order of the words or pairs."""
+        # The last bit tells the keys of pairs from those of words.
+        self.keys = np.concatenate([hashes >> ONE << ONE, pair_keys(contexts[self.left], hashes[self.right]) | ONE])
+
+    def asked(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys of words and pairs, own training counts."""
+        own = np.concatenate([np.bincount(of[self.token_train], minlength=n)
+                              for of, n in ((self.word, len(self.hashes)), (self.pair_of, len(self.pairs)))])
+        order = np.argsort(self.keys, kind="stable")
+        return self.keys[order], own[order].astype(np.uint32)
+
+    def answered(self, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Totals in key order back into the order of the words, and of the pairs."""
         back = np.empty(len(totals), dtype=np.int64)
-        back[np.argsort(self.keys[kind], kind="stable")] = totals
-        return back
+        back[np.argsort(self.keys, kind="stable")] = totals
+        return back[:len(self.hashes)], back[len(self.hashes):]
 
 
 def row_chunk(row: dict) -> Chunk:
@@ -159,54 +166,131 @@ def row_chunk(row: dict) -> Chunk:
                  np.frombuffer(row["hashes"], dtype=np.uint64), ~np.array(row["held"], dtype=bool))
 
 
-def requests(chunked: DataFrame, ranges: tuple[int, int]) -> DataFrame:
-    """Keys and training counts of every chunk, one row per chunk and key range."""
+MESSAGE = pa.schema([("grp", pa.int64()), ("part", pa.int64()), ("src", pa.int64()),
+                     ("keys", pa.binary()), ("own", pa.binary())])
+NODE = pa.schema([("grp", pa.int64()), ("part", pa.int64()), ("srcs", pa.list_(pa.int64())),
+                  ("places", pa.list_(pa.binary())), ("keys", pa.binary()), ("own", pa.binary())])
+ANSWER = pa.schema([("src", pa.int64()), ("part", pa.int64()), ("totals", pa.binary()), ("types", pa.int64())])
+
+
+def ddl(schema: pa.Schema) -> str:
+    names = {"int64": "bigint", "binary": "binary", "list<item: int64>": "array<bigint>",
+             "list<item: binary>": "array<binary>"}
+    return ", ".join(f"{f.name} {names[str(f.type)]}" for f in schema)
+
+
+def levels(units: int, fan: int) -> tuple[int, int]:
+    """(levels, receivers per sender) that reach ``units`` key ranges with at most ``fan`` receivers each."""
+    n = 1
+    while fan ** n < units:
+        n += 1
+    width = 1
+    while width ** n < units:
+        width += 1
+    return n, width
+
+
+def messages(group: int, part: int, src: int, keys: np.ndarray, own: np.ndarray, width: int, ranges: int) -> pa.RecordBatch:
+    """A sender's sorted keys, cut into the ``width`` finer ranges of its range ``part``; ``ranges`` in all."""
+    limits = np.array([(k << 64) // ranges for k in range(part * width + 1, (part + 1) * width)], dtype=np.uint64)
+    cut = [0, *np.searchsorted(keys, limits).tolist(), len(keys)]
+    out = [(group, part * width + k, src, packed(np.diff(keys[a:z], prepend=np.uint64(0))), packed(own[a:z]))
+           for k, (a, z) in enumerate(itertools.pairwise(cut)) if z > a]
+    return pa.RecordBatch.from_pylist([dict(zip(MESSAGE.names, row)) for row in out], MESSAGE)
+
+
+def from_chunks(chunked: DataFrame, groups: int, width: int) -> DataFrame:
+    """First level: the messages of every chunk; a group holds the chunks that hash to it."""
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                row = b.slice(i, 1).to_pylist()[0]
+                yield messages(row["grp"], 0, row["chunk"], *row_chunk(row).asked(), width, width)
+    grp = F.pmod(F.xxhash64("chunk"), F.lit(groups)).alias("grp")
+    return chunked.select(grp, "chunk", "numbers", "sizes", "hashes", "held").mapInArrow(of, ddl(MESSAGE))
+
+
+def from_nodes(nodes: DataFrame, width: int, ranges: int) -> DataFrame:
+    """A further level: the messages of every node; ``width`` neighbouring groups make a wider one."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 row = b.slice(i, 1).to_pylist()[0]
-                out = []
-                for kind, keys, own in row_chunk(row).asked():
-                    n = ranges[kind]
-                    limits = [(k << 64) // n for k in range(1, n)]
-                    cut = [0, *np.searchsorted(keys, np.array(limits, dtype=np.uint64)).tolist(), len(keys)]
-                    for k in range(n):
-                        some = keys[cut[k]:cut[k + 1]]
-                        if len(some):
-                            step = np.diff(some, prepend=np.uint64(0))
-                            out.append((kind * ranges[0] + k, row["chunk"], packed(step),
-                                        packed(own[cut[k]:cut[k + 1]].astype(np.uint32))))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                    ["part", "chunk", "keys", "own"])
-    return chunked.select("chunk", "numbers", "sizes", "hashes", "held").mapInArrow(
-        of, "part int, chunk bigint, keys binary, own binary")
-
-
-def add_up(table: pa.Table) -> pa.Table:
-    """One key range: totals over all chunks, as an answer to each; ``types`` (seen keys) on the first row."""
-    part, chunk = table.column("part").to_pylist(), table.column("chunk").to_pylist()
+                keys = np.cumsum(unpacked(row["keys"]), dtype=np.uint64)
+                yield messages(row["grp"] // width, row["part"], row["grp"], keys, unpacked(row["own"]), width, ranges)
+    return nodes.select("grp", "part", "keys", "own").mapInArrow(of, ddl(MESSAGE))
+
+
+def added(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """One node's messages: distinct keys in order, their sums, and where each message's keys stand."""
     keys = [np.cumsum(unpacked(x.as_py()), dtype=np.uint64) for x in table.column("keys")]
     own = np.concatenate([unpacked(x.as_py()) for x in table.column("own")])
     distinct, place = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(place, weights=own, minlength=len(distinct)).astype(np.uint64)
     cut = np.cumsum([0, *map(len, keys)])
-    answers = [packed(total[place[a:z]]) for a, z in itertools.pairwise(cut)]
-    seen = [int((total > 0).sum())] + [0] * (len(part) - 1)
-    return pa.table({"part": pa.array(part, pa.int32()), "chunk": pa.array(chunk, pa.int64()),
-                     "totals": pa.array(answers, pa.binary()), "types": pa.array(seen, pa.int64())})
+    return distinct, total, [place[a:z] for a, z in itertools.pairwise(cut)]
+
+
+def as_node(table: pa.Table) -> pa.Table:
+    """A node below the top: its sums to send on, and what it needs to answer its senders."""
+    distinct, total, places = added(table)
+    return pa.Table.from_pylist([{
+        "grp": table.column("grp")[0].as_py(), "part": table.column("part")[0].as_py(),
+        "srcs": table.column("src").to_pylist(),
+        "places": [packed(np.diff(p, prepend=0).astype(np.uint32)) for p in places],
+        "keys": packed(np.diff(distinct, prepend=np.uint64(0))), "own": packed(total)}], NODE)
 
 
-def with_totals(rows: Iterator[pa.RecordBatch], word_ranges: int) -> Iterator[tuple[dict, Chunk, np.ndarray, np.ndarray]]:
+def top(table: pa.Table) -> pa.Table:
+    """A node of the top level: answers to its senders; ``types`` (words seen) on the first row."""
+    distinct, total, places = added(table)
+    seen = int(((total > 0) & (distinct & ONE == 0)).sum())
+    return pa.table([table.column("src"), table.column("part"), pa.array([packed(total[p]) for p in places], pa.binary()),
+                     pa.array([seen] + [0] * (len(places) - 1), pa.int64())], ANSWER)
+
+
+def handed_down(nodes: DataFrame, answers: DataFrame, width: int) -> DataFrame:
+    """Answers to a level's nodes, handed on to the senders of each."""
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                row = b.slice(i, 1).to_pylist()[0]
+                total = in_order(row["answers"])
+                yield pa.RecordBatch.from_pylist([
+                    {"src": s, "part": row["part"], "types": 0,
+                     "totals": packed(total[np.cumsum(unpacked(p), dtype=np.int64)])}
+                    for s, p in zip(row["srcs"], row["places"])], ANSWER)
+    # One list per node, of at most ``width`` answers.
+    back = (answers.groupBy(F.col("src").alias("grp"), F.expr(f"part div {width}").alias("node"))
+            .agg(F.collect_list(F.struct("part", "totals")).alias("answers")).withColumnRenamed("node", "part"))
+    return nodes.select("grp", "part", "srcs", "places").join(back, ["grp", "part"]).mapInArrow(of, ddl(ANSWER))
+
+
+def in_order(answers: list) -> np.ndarray:
+    return np.concatenate([unpacked(t) for _, t in sorted((a["part"], a["totals"]) for a in answers)])
+
+
+def totals_of(chunked: DataFrame, keys: int, keys_per_range: int) -> tuple[DataFrame, int]:
+    """(answers to every chunk: ``src``, ``part``, ``totals``; number of words seen in training)."""
+    depth, width = levels(max(1, -(-keys // keys_per_range)), FAN)
+    sent, nodes = from_chunks(chunked, width ** (depth - 1), width), []
+    for n in range(1, depth):
+        nodes.append(stored(sent.groupBy("grp", "part").applyInArrow(as_node, ddl(NODE)), "lm-nodes"))
+        sent = from_nodes(nodes[-1], width, width ** (n + 1))
+    answers = stored(sent.groupBy("grp", "part").applyInArrow(top, ddl(ANSWER)), "lm-answers")
+    types = int(answers.agg(F.coalesce(F.sum("types"), F.lit(0))).first()[0])
+    for level_nodes in reversed(nodes):
+        answers = stored(handed_down(level_nodes, answers, width), "lm-answers")
+    return answers, types
+
+
+def with_totals(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Chunk, np.ndarray, np.ndarray]]:
     """(row, chunk, training counts of its words, of its pairs) of each joined row."""
     for b in rows:
         for i in range(b.num_rows):
             row = b.slice(i, 1).to_pylist()[0]
-            answers = sorted((a["part"], a["totals"]) for a in row["answers"])
-            sides = [[unpacked(t) for p, t in answers if (p >= word_ranges) == bool(kind)] for kind in (0, 1)]
             state = row_chunk(row)
-            words, pairs = (state.answered(kind, np.concatenate(s)) for kind, s in enumerate(sides))
-            yield row, state, words, pairs
+            yield row, state, *state.answered(in_order(row["answers"]))
 
 
 def level(p: np.ndarray) -> np.ndarray:
@@ -221,10 +305,10 @@ def bucket(count: np.ndarray) -> np.ndarray:
     return np.where(count > 0, 1 + np.floor(np.log2(np.maximum(count, 1))), 0).clip(0, BUCKETS - 1).astype(np.int64)
 
 
-def held_out_cells(joined: DataFrame, n: int, docs: int, word_ranges: int) -> list:
+def held_out_cells(joined: DataFrame, n: int, docs: int) -> list:
     """Training tokens by (context bucket, level of the pair estimate, of the word estimate), all deleted by one."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, state, words, pairs in with_totals(batches, word_ranges):
+        for _, state, words, pairs in with_totals(batches):
             weight = np.bincount(state.pair_of[state.token_train], minlength=len(state.pairs))
             used = weight > 0
             weight = weight[used].astype(float)
@@ -279,8 +363,10 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
 
     Columns: the id, ``held_out``, ``n_tokens`` (words and one end),
     ``n_known`` (tokens seen in training), ``train_tokens``, ``base_score``
-    (add-0.1 unigram) and ``score`` (interpolated bigram).
+    (add-0.1 unigram) and ``score`` (interpolated bigram).  Other columns are
+    not returned, whatever they are called.
 
+    A text is never cut: one above ``CHUNK_CHARS`` is a chunk of its own.
     Null text counts as empty: one end token.  Repeated rows are counted and
     scored each; null ids stay null.  If nothing is left to learn from, both
     scores follow from zero counts; an empty table gives an empty result.
@@ -289,19 +375,16 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     chunked = chunks(docs, held_out, id_col, text_col)
     t = chunked.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("train_docs", "train_tokens", "n_words", "n_pairs")]).first()
     n_docs, n = int(t[0]), int(t[1])
-    ranges = tuple(max(1, -(-int(x) // keys_per_range)) for x in (t[2], t[3]))
-    answers = stored(requests(chunked, ranges).groupBy("part").applyInArrow(
-        add_up, "part int, chunk bigint, totals binary, types bigint"), "lm-answers")
-    types = int(answers.where(F.col("part") < ranges[0]).agg(F.coalesce(F.sum("types"), F.lit(0))).first()[0])
-    # One list per chunk, as long as the number of key ranges its own keys fall in.
-    by_chunk = answers.groupBy("chunk").agg(F.collect_list(F.struct("part", "totals")).alias("answers"))
+    answers, types = totals_of(chunked, int(t[2]) + int(t[3]), keys_per_range)
+    # One list per chunk, of at most FAN answers.
+    by_chunk = answers.groupBy(F.col("src").alias("chunk")).agg(F.collect_list(F.struct("part", "totals")).alias("answers"))
     joined = stored(chunked.select("chunk", "ids", "held", "sizes", "numbers", "hashes")
                     .join(by_chunk, "chunk"), "lm-joined")
-    weights = mixture(held_out_cells(joined, n, n_docs, ranges[0]), types)
+    weights = mixture(held_out_cells(joined, n, n_docs), types)
     id_type = to_arrow_type(docs.schema[id_col].dataType)
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, state, words, pairs in with_totals(batches, ranges[0]):
+        for row, state, words, pairs in with_totals(batches):
             context = np.append(words, n_docs)[state.left]
             w = weights[bucket(context)]
             p = (w[:, 0] * np.where(context > 0, pairs / np.maximum(context, 1), 0.0)

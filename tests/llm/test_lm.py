@@ -18,9 +18,10 @@ def held(i):
     return zlib.crc32(b"" if i is None else str(i).encode()) % 10 == 0
 
 
-@pytest.mark.parametrize("keys_per_range", [1_000_000, 17])
-def test_counts_scores_and_chunks_match_brute_force(edge_docs, edge_rows, keys_per_range, monkeypatch):
+@pytest.mark.parametrize("keys_per_range, fan", [(1_000_000, 1024), (17, 1024), (300, 3)])
+def test_counts_scores_and_chunks_match_brute_force(edge_docs, edge_rows, keys_per_range, fan, monkeypatch):
     monkeypatch.setattr(M, "CHUNK_CHARS", 2000)
+    monkeypatch.setattr(M, "FAN", fan)
     weights = {}
     mixture = M.mixture
     monkeypatch.setattr(M, "mixture", lambda cells, types: weights.setdefault("w", mixture(cells, types)))
@@ -78,6 +79,29 @@ def test_packing_round_trip():
         assert (M.unpacked(M.packed(a)) == a).all()
 
 
+def test_levels_reach_all_ranges_with_bounded_receivers():
+    for units in (1, 2, 3, 4, 9, 10, 27, 28, 1000, 12345):
+        depth, width = M.levels(units, 3)
+        assert width <= 3 and width ** depth >= units
+    assert M.levels(1024, 1024) == (1, 1024) and M.levels(1025, 1024) == (2, 33)
+
+
+def test_messages_grow_with_the_corpus(spark, monkeypatch):
+    """Ten times the chunks and ranges: a sender still has at most FAN receivers, and a node as many keys."""
+    monkeypatch.setattr(M, "CHUNK_CHARS", 400)
+    monkeypatch.setattr(M, "FAN", 4)
+    for docs in (40, 400):
+        rows = spark.range(docs).select(F.col("id").alias("doc_id"), F.array_join(F.transform(
+            F.sequence(F.lit(1), F.lit(40)), lambda k: F.pmod(F.xxhash64("id", k), F.lit(5000)).cast("string")), " ").alias("text"))
+        chunked = M.chunks(rows.repartition(4), F.lit(False), "doc_id", "text")
+        keys = chunked.agg(F.sum(F.col("n_words") + F.col("n_pairs"))).first()[0]
+        depth, width = M.levels(-(-keys // 100), 4)
+        sent = M.from_chunks(chunked, width ** (depth - 1), width)
+        assert sent.count() <= 4 * chunked.count()
+        counts = sent.groupBy("grp", "part").count().agg(F.max("count")).first()[0]
+        assert counts <= 40  # senders of one node: a few, whatever the corpus
+
+
 def test_nothing_to_learn_from(edge_docs, no_docs):
     rows = M.score_documents(edge_docs, F.lit(True)).collect()
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and r["base_score"] == 0 and r["score"] == 0 for r in rows)
