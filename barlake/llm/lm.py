@@ -275,12 +275,12 @@ def totals_of(chunked: DataFrame, keys: int, keys_per_range: int) -> tuple[DataF
     depth, width = levels(max(1, -(-keys // keys_per_range)), FAN)
     sent, nodes = from_chunks(chunked, width ** (depth - 1), width), []
     for n in range(1, depth):
-        nodes.append(stored(sent.groupBy("grp", "part").applyInArrow(as_node, ddl(NODE)), "lm-nodes"))
+        nodes.append(stored(sent.groupBy("grp", "part").applyInArrow(as_node, ddl(NODE)), "lm-nodes", free_shuffles=True))
         sent = from_nodes(nodes[-1], width, width ** (n + 1))
-    answers = stored(sent.groupBy("grp", "part").applyInArrow(top, ddl(ANSWER)), "lm-answers")
+    answers = stored(sent.groupBy("grp", "part").applyInArrow(top, ddl(ANSWER)), "lm-answers", free_shuffles=True)
     types = int(answers.agg(F.coalesce(F.sum("types"), F.lit(0))).first()[0])
     for level_nodes in reversed(nodes):
-        answers = stored(handed_down(level_nodes, answers, width), "lm-answers")
+        answers = stored(handed_down(level_nodes, answers, width), "lm-answers", free_shuffles=True)
     return answers, types
 
 
@@ -379,7 +379,7 @@ def score_documents(docs: DataFrame, held_out: Column, id_col: str = "doc_id", t
     # One list per chunk, of at most FAN answers.
     by_chunk = answers.groupBy(F.col("src").alias("chunk")).agg(F.collect_list(F.struct("part", "totals")).alias("answers"))
     joined = stored(chunked.select("chunk", "ids", "held", "sizes", "numbers", "hashes")
-                    .join(by_chunk, "chunk"), "lm-joined")
+                    .join(by_chunk, "chunk"), "lm-joined", free_shuffles=True)
     weights = mixture(held_out_cells(joined, n, n_docs), types)
     id_type = to_arrow_type(docs.schema[id_col].dataType)
 

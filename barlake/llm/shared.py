@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 # Character class shared by several contracts: ASCII space and \t \n \v \f \r.
 ASCII_SPACE = r"[\x20\x09-\x0D]+"
+# Spark's setting that deletes a query's shuffle files at its end.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def col(name: str) -> Column:
@@ -65,12 +67,19 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/barlake-llm/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, free_shuffles: bool = False) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back.
 
     Cuts the lineage: a lost executor costs a reread, not a recomputation.
+    ``free_shuffles`` lets Spark delete the write's shuffle files when it has
+    ended, which saves disk where a shuffle is as large as the input.
     """
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true" if free_shuffles else before)
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
