@@ -97,7 +97,9 @@ def learn(docs: DataFrame, training: Column, text_col: str = "text", lang_col: s
 
     One row per language and n-gram: ``lang``, ``gram`` and ``nth`` (its rank;
     equally frequent n-grams rank by key).  Null texts and languages teach
-    nothing; repeated rows count each; texts of any length count whole.
+    nothing; repeated rows count each; texts of any length count whole.  Other
+    columns are not read, whatever they are called; an empty table teaches no
+    language.
     """
     rows = docs.where(training & col(lang_col).isNotNull()).select(
         col(lang_col).cast("string").alias("lang"), text_of(text_col).alias("text"))

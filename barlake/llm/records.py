@@ -142,8 +142,9 @@ def write_records(docs: DataFrame, tokenizer_path: str, folder: str | None = Non
     empty; every document gets ``end_id`` appended, so none has no ids.
     Repeated ids are all written, ordered by the text's hash.  The string of
     an added token in a text gets that token's id, as the tokenizer does by
-    default.  An empty table
-    writes no file and gives an empty manifest.
+    default.  Texts of any length are encoded whole.  Other columns are not
+    written, whatever they are called.  An empty table writes no file and
+    gives an empty manifest.
     """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:

@@ -249,7 +249,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_c
     Null text counts as empty, a null or missing path as the empty path.
     Without labels of both classes nothing can be learned and the certain
     findings are returned with score 1.  Repeated rows are reported each;
-    null ids stay null; an empty table gives an empty result.
+    null ids stay null; an empty table gives an empty result.  Texts of any
+    length are scanned whole.  Other columns are not returned, whatever they
+    are called.
     """
     found = candidates(docs, frequent_words(docs, text_col), id_col, text_col, path_col)
     spans = found.where("start IS NOT NULL")
