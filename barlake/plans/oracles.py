@@ -435,7 +435,8 @@ ORACLES["stream_rejects"] = ORACLES["rejects"]
 ORACLES["stream_latest_state"] = ORACLES["retain_last_n_cap10"]
 
 # ST4: 5 producer cycles of equal offset ranges; cycle 0 publishes its session day.
-ORACLES["snapshot_then_delta"] = _ENV + f""",
+def _snapshot_sql(deltas_of: str, newest_first: str) -> str:
+    return _ENV + f""",
 valid AS (SELECT Symbol AS symbol,
                  CASE WHEN f = 5 THEN msg_ts ELSE date_trunc('second', msg_ts) END AS ts,
                  seq, Open, High, Low, Close, Volume,
@@ -445,9 +446,13 @@ session AS (SELECT {trading_day_sql('max(ts)')} AS day FROM valid WHERE chunk =
 cyc AS (SELECT * FROM valid WHERE chunk = 0 AND CAST(ts AS DATE) = (SELECT day FROM session)
         UNION ALL
         SELECT * FROM valid WHERE chunk > 0
-        QUALIFY row_number() OVER (PARTITION BY chunk, symbol ORDER BY ts DESC, seq DESC) = 1)
+        QUALIFY row_number() OVER (PARTITION BY {deltas_of} ORDER BY {newest_first}) = 1)
 SELECT symbol, ts, seq, {_BAR_OUT}, CAST(chunk AS INTEGER) AS cycle FROM cyc"""
 
+
+ORACLES["snapshot_then_delta"] = _snapshot_sql("chunk, symbol", "ts DESC, seq DESC")
+ORACLES["snapshot_current"] = _snapshot_sql("symbol", "chunk DESC, ts DESC, seq DESC")
+
 ORACLES["symbol_count"] = f"""WITH {BARS_LONG}
 SELECT count(DISTINCT symbol) AS total_count FROM bars_long"""
 
@@ -566,7 +571,7 @@ for _name in ["analysis_series", "analysis_series_long", "latest_indicators", "h
 for _name in ["intraday_indicators_hot", "session_bars", "session_or_recent", "valid_bars",
               "event_time_default",
               "envelope_encode", "stream_ingest", "stream_idempotent", "stream_resume",
-              "snapshot_then_delta"]:
+              "snapshot_then_delta", "snapshot_current"]:
     TEMPORAL[_name] = ("ts",)
 
 

@@ -22,7 +22,7 @@ from barlake.plans import datasets
 from barlake.sources import fixtures as fx
 from barlake.session import scratch_path
 from barlake.sources import readers as sources
-from barlake.streaming import ingest, state
+from barlake.streaming import cycles, ingest, state
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -541,18 +541,25 @@ def q_stream_resume(spark, sf_dir):
     return ingest.read_sink(spark, sink, "bars").drop("partition")
 
 
-@register("snapshot_then_delta")
-def q_snapshot_then_delta(spark, sf_dir):
-    """ST4: first cycle publishes the session day's bars, later cycles each symbol's last bar.
-
-    Every cycle lands four files and the stream takes three at a time, so
-    cycles and micro-batches never coincide.
-    """
+def _cycles_run(spark, sf_dir):
+    """Every cycle lands four files and the stream takes three at a time, so cycles and micro-batches never coincide."""
     src, sink, ckpt = (scratch_path(spark, n) for n in ("snap_src", "snap_sink", "snap_ckpt"))
     ingest.replay_in_cycles(
         fx.envelopes(spark, sf_dir), src, "offset", STREAM_CYCLES,
-        lambda: ingest.start_snapshot_delta(ingest.file_stream(spark, src, 3), sink, ckpt), files=4)
-    return ingest.snapshot_delta_view(ingest.read_sink(spark, sink, "cycles")).drop("partition")
+        lambda: cycles.start_snapshot_delta(ingest.file_stream(spark, src, 3), sink, ckpt), files=4)
+    return sink
+
+
+@register("snapshot_then_delta")
+def q_snapshot_then_delta(spark, sf_dir):
+    """ST4: first cycle publishes the session day's bars, later cycles each symbol's last bar."""
+    return cycles.history_view(spark, _cycles_run(spark, sf_dir)).drop("partition")
+
+
+@register("snapshot_current")
+def q_snapshot_current(spark, sf_dir):
+    """ST4 as shown after the last cycle: the snapshot and one delta per symbol, past cycles not read."""
+    return cycles.current_view(spark, _cycles_run(spark, sf_dir)).drop("partition")
 
 
 @register("stream_latest_state")

@@ -1,4 +1,4 @@
-"""Structured Streaming ingest (S4, S5, S10, ST1, ST2, ST4).
+"""Structured Streaming ingest (S4, S5, S10, ST1, ST2).
 
 * Sources: a message bus (``format("kafka")``: key, value, partition,
   offset, timestamp) or, offline, Parquet files with the same columns.
@@ -14,8 +14,8 @@
   however the batches are cut; executors do all writing.
 * The counters (A7) are stored with each entry's positions and summed over the
   sink, so they cover a stream's whole life, restarts and replays included.
-* Snapshot and delta follow the producer's cycle number in the envelope,
-  never the micro-batch number.
+* Snapshot and delta (:mod:`barlake.streaming.cycles`) follow the producer's
+  cycle number in the envelope, never the micro-batch number.
 * Checkpoints live below the shared checkpoint root (S10); restarting with
   the same checkpoint resumes after the last committed batch.  If it is lost,
   a new one may start from the beginning, or from :func:`next_offsets`.
@@ -31,7 +31,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barlake.functions.expressions import trading_day, ts_tie_order_key
 from barlake.operators import cleanse
 from barlake.schema import CYCLE_ENVELOPE_SCHEMA
 from barlake.streaming.commits import CommitLog, Files, run_of
@@ -186,18 +185,19 @@ def commit_batch(log: CommitLog, run: str, batch_id: int, base: DataFrame,
         rows = not_landed(base, log.read(others, POSITIONS_SCHEMA)) if others else base
         tables = {**outputs(rows, batch_id), POSITIONS: positions(rows, F.col("reason").isNull())}
         with ThreadPoolExecutor(len(tables)) as pool:  # small jobs over the same persisted rows
-            parts = list(pool.map(lambda name: log.write(tables[name], name), tables))
+            parts = list(pool.map(lambda name: log.write(tables[name], name, tier=0), tables))
         if log.add({"run": run, "batch": batch_id, "add": parts}):
             return
 
 
 def committed_writer(log: CommitLog, checkpoint: str, prepare: Callable[[DataFrame, int], DataFrame],
-                     outputs: Callable[[DataFrame, int], dict[str, DataFrame]]):
+                     outputs: Callable[[DataFrame, int], dict[str, DataFrame]],
+                     upkeep: Callable[[CommitLog], None] = lambda log: None):
     """foreachBatch function of :func:`commit_batch`.
 
     ``prepare`` turns the raw micro-batch into the classified frame that all
     outputs derive from; it is persisted while they are written, so the batch
-    is read and parsed once.
+    is read and parsed once.  ``upkeep`` of the sink follows each batch.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         run = run_of(log.spark, checkpoint)
@@ -208,6 +208,7 @@ def committed_writer(log: CommitLog, checkpoint: str, prepare: Callable[[DataFra
             commit_batch(log, run, batch_id, base, outputs)
         finally:
             base.unpersist()
+        upkeep(log)
     return write
 
 
@@ -306,53 +307,3 @@ def run_to_end(query: StreamingQuery, timeout_s: int = 600) -> None:
         raise TimeoutError(f"stream {query.id} did not finish in {timeout_s}s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
-
-
-def classify_realtime(batch: DataFrame, batch_id: int) -> DataFrame:
-    """Real-time path: a missing Date is allowed (it defaults to the message time)."""
-    return cleanse.classify(cleanse.parse_payload(cleanse.decode_envelope(batch)),
-                            date_required=False)
-
-
-def snapshot_delta_outputs(classified: DataFrame, batch_id: int) -> dict[str, DataFrame]:
-    """ST4 rows of one micro-batch, by the producer cycle of each message.
-
-    The first cycle (0, or no cycle) is written in full; of a later one the
-    last bar of each symbol that the batch holds.  A cycle may be spread over
-    any number of batches: :func:`snapshot_delta_view` merges the parts.
-    """
-    bars = cleanse.to_bars(classified, default_time=True, keep=("partition", "cycle"))
-    bars = bars.withColumn("cycle", F.coalesce("cycle", F.lit(0)))
-    return {"cycles": bars.where(F.col("cycle") == 0).unionByName(last_of_cycle(
-        bars.where(F.col("cycle") > 0)))}
-
-
-def last_of_cycle(bars: DataFrame) -> DataFrame:
-    """Each symbol's latest bar per cycle (ties: the later arrival)."""
-    order = ts_tie_order_key("ts", "seq", nulls_first=True)
-    rest = [c for c in bars.columns if c not in ("symbol", "cycle")]
-    return bars.groupBy("symbol", "cycle").agg(*[F.max_by(c, order).alias(c) for c in rest])
-
-
-def snapshot_delta_view(cycles: DataFrame, day: Column | None = None) -> DataFrame:
-    """ST4: the session day's bars of the first cycle, then each symbol's last bar per cycle.
-
-    ``day`` is the session day of the snapshot; by default the trading day of
-    the first cycle's latest bar (one row, joined, no driver action).
-    """
-    first = cycles.where(F.col("cycle") == 0)
-    if day is not None:
-        snapshot = first.where(F.to_date("ts") == day)
-    else:
-        clock = first.agg(trading_day(F.max("ts")).alias("_day"))
-        snapshot = first.join(F.broadcast(clock), F.to_date("ts") == F.col("_day")).drop("_day")
-    return snapshot.unionByName(last_of_cycle(cycles.where(F.col("cycle") > 0)))
-
-
-def start_snapshot_delta(source: DataFrame, sink: str, checkpoint: str,
-                         processing_time: str | None = None) -> StreamingQuery:
-    """ST4 stream: sink table ``cycles``, read through :func:`snapshot_delta_view`."""
-    writer = committed_writer(CommitLog(source.sparkSession, sink), checkpoint, classify_realtime,
-                              snapshot_delta_outputs)
-    return triggered(source.writeStream.foreachBatch(writer)
-                     .option("checkpointLocation", checkpoint), processing_time).start()

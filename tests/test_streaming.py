@@ -190,17 +190,169 @@ def test_replay_in_any_cut_adds_nothing(spark):
 def test_snapshot_and_delta_do_not_depend_on_batches(spark):
     from barlake.session import scratch_path
     from barlake.sources import fixtures as fx
-    from barlake.streaming import ingest
+    from barlake.streaming import cycles, ingest
     out = []
     for files, limit in ((4, 1), (1, 50), (3, 2)):
         src, sink, ckpt = (scratch_path(spark, n) for n in ("s_src", "s_sink", "s_ckpt"))
         ingest.replay_in_cycles(
             fx.envelopes(spark, SF_SMALL), src, "offset", 2,
-            lambda: ingest.start_snapshot_delta(ingest.file_stream(spark, src, limit), sink, ckpt), files=files)
-        out.append(_rows(ingest.snapshot_delta_view(ingest.read_sink(spark, sink, "cycles")).drop("partition")))
+            lambda: cycles.start_snapshot_delta(ingest.file_stream(spark, src, limit), sink, ckpt), files=files)
+        out.append(_rows(cycles.history_view(spark, sink).drop("partition")))
     assert out[0] and out[0] == out[1] == out[2]
 
 
+CYCLE_ROWS = "symbol string, ts timestamp_ntz, seq bigint, close double, partition int, cycle int"
+
+
+def _cycle_batches(rows, size):
+    return [rows[k:k + size] for k in range(0, len(rows), size)]
+
+
+def _add_cycle_batch(spark, sink, run, batch_id, rows, partitions=None):
+    """One micro-batch of classified messages, committed and followed by its upkeep as the stream does it."""
+    from pyspark.sql import functions as F
+
+    from barlake.streaming import cycles, ingest
+    df = spark.createDataFrame(rows, CYCLE_ROWS).select(
+        F.lit(None).cast("string").alias("reason"), "symbol", "ts", "seq",
+        *[F.col("close").alias(c) for c in ("open", "high", "low", "close", "volume")], "partition", "cycle")
+
+    def outputs(bars, _):
+        bars = bars.drop("reason").withColumn("cycle", cycles.cycle_number())
+        return {"snapshot": bars.where("cycle = 0"), "open": cycles.last_of_cycle(bars.where("cycle > 0")),
+                "marks": cycles.highest(bars.select("partition", "cycle"))}
+    log = ingest.CommitLog(spark, sink)
+    ingest.commit_batch(log, run, batch_id, df, outputs)
+    cycles.close_cycles(log, partitions)
+    return log
+
+
+def _cycle_rows(last, partitions=2, symbols=3):
+    """Cycles 0 to ``last``, each with two bars of every symbol, in the order of each partition."""
+    import datetime as dt
+    start, rows, seq = dt.datetime(2024, 1, 2, 10), [], [0] * partitions
+    for c in range(last + 1):
+        for s in range(symbols):
+            for k in range(2):
+                p = s % partitions
+                rows.append((f"S{s}", start + dt.timedelta(minutes=c, seconds=k), seq[p], float(10 * c + k), p, c))
+                seq[p] += 1
+    return rows
+
+
+def _history_twin(rows):
+    """The snapshot and each symbol's last bar per cycle, by a plain loop."""
+    last, first = {}, set()
+    for r in rows:
+        symbol, ts, seq, close, partition, cycle = r
+        cycle = max(cycle or 0, 0)
+        if cycle == 0:
+            first.add((symbol, ts, seq, close, cycle))
+        else:
+            last[symbol, cycle] = max(last.get((symbol, cycle), (ts, -1, 0.0)), (ts, seq, close))
+    return sorted(first | {(s, ts, seq, close, c) for (s, c), (ts, seq, close) in last.items()})
+
+
+def _current_twin(rows):
+    history = _history_twin(rows)
+    newest = {}
+    for r in history:
+        if r[4] > 0 and r[4] >= newest.get(r[0], (0,) * 5)[4]:
+            newest[r[0]] = r
+    return sorted([r for r in history if r[4] == 0] + list(newest.values()))
+
+
+def _shown(view):
+    return sorted(tuple(r) for r in view.select("symbol", "ts", "seq", "close", "cycle").collect())
+
+
+def test_closed_cycles_are_merged_and_what_is_read_does_not_grow(spark):
+    """20 cycles in batches of other lengths: results as a plain loop's, and few parts and rows to read at any time."""
+    from barlake.session import scratch_path
+    from barlake.streaming import cycles
+    sink, rows = scratch_path(spark, "y_sink"), _cycle_rows(20)
+    sizes = []
+    for k, batch in enumerate(_cycle_batches(rows, 14)):
+        log = _add_cycle_batch(spark, sink, "a", k, batch, partitions=2)
+        current = log.read(log.of_table("latest") + log.of_table("open"), cycles.BAR_SCHEMA)
+        sizes.append((current.count(), sum(len(log.of_table(t)) for t in ("latest", "open", "marks"))))
+    assert cycles.closed_through(log) == 19
+    assert max(n for n, _ in sizes) <= 3 * 4 and max(n for _, n in sizes) <= 1 + 2 * cycles.FANOUT
+    assert _shown(cycles.history_view(spark, sink)) == _history_twin(rows)
+    assert _shown(cycles.current_view(spark, sink)) == _current_twin(rows)
+    deltas = log.read(log.of_table("deltas"), cycles.BAR_SCHEMA)
+    assert deltas.count() == deltas.select("symbol", "cycle").distinct().count() == 19 * 3
+    assert not cycles.overlapping(log.of_table("deltas"))[1]
+
+
+def test_a_cycle_waits_for_all_partitions_and_late_rows_are_merged(spark):
+    """A lagging or unknown partition holds cycles open; rows for closed cycles, without a cycle or below 0 all count."""
+    import datetime as dt
+
+    from barlake.session import scratch_path
+    from barlake.streaming import cycles
+    sink, rows = scratch_path(spark, "y_sink"), _cycle_rows(6)
+    ahead, behind = ([r for r in rows if r[4] == p] for p in (0, 1))
+    log = _add_cycle_batch(spark, sink, "a", 0, ahead, partitions=2)
+    assert cycles.closed_through(log) == 0 and _shown(cycles.history_view(spark, sink)) == _history_twin(ahead)
+    log = _add_cycle_batch(spark, sink, "a", 1, [r for r in behind if r[5] <= 3], partitions=2)
+    assert cycles.closed_through(log) == 2
+    log = _add_cycle_batch(spark, sink, "a", 2, [r for r in behind if r[5] > 3], partitions=2)
+    assert cycles.closed_through(log) == 5
+    day = dt.datetime(2024, 1, 2, 11)
+    late = [("S0", day, 900, 1.0, 0, 2), ("S9", day, 901, 2.0, 0, 4), ("S1", day - dt.timedelta(hours=3), 902, 3.0, 0, 1),
+            ("S0", day, 903, 4.0, 0, None), ("S0", day, 904, 5.0, 0, -3), ("S7", day, 905, 6.0, None, 5)]
+    log = _add_cycle_batch(spark, sink, "a", 3, late, partitions=2)
+    want = rows + late
+    assert cycles.closed_through(log) == 5
+    assert _shown(cycles.history_view(spark, sink)) == _history_twin(want)
+    assert _shown(cycles.current_view(spark, sink)) == _current_twin(want)
+    more = [(s, day, 1000 + k, 7.0, p, 8) for k, (s, p) in enumerate([("S0", 0), ("S1", 1)])]
+    log = _add_cycle_batch(spark, sink, "a", 4, more, partitions=2)
+    assert cycles.closed_through(log) == 7 and cycles.overlapping(log.of_table("deltas"))[1]
+    assert _shown(cycles.history_view(spark, sink)) == _history_twin(want + more)
+    assert _shown(cycles.current_view(spark, sink)) == _current_twin(want + more)
+
+
+def test_cycles_replayed_by_another_run_and_a_closing_that_fails(spark, monkeypatch):
+    """A second run sends everything again in other batches, and a failed closing is done by the next batch."""
+    import pytest
+
+    from barlake.session import scratch_path
+    from barlake.streaming import cycles
+    sink, rows = scratch_path(spark, "y_sink"), _cycle_rows(8)
+    first, second = rows[:25], rows[25:]
+    replace = cycles.CommitLog.replace
+
+    def failing(self, old, new):
+        raise OSError("store not reached")
+    monkeypatch.setattr(cycles.CommitLog, "replace", failing)
+    with pytest.raises(OSError):
+        _add_cycle_batch(spark, sink, "a", 0, first)
+    assert _shown(cycles.history_view(spark, sink)) == _history_twin(first)
+    monkeypatch.setattr(cycles.CommitLog, "replace", replace)
+    for k, batch in enumerate(_cycle_batches(rows, 20)):
+        log = _add_cycle_batch(spark, sink, "b", k, batch)
+    assert cycles.closed_through(log) == 7 and second
+    assert _shown(cycles.history_view(spark, sink)) == _history_twin(rows)
+    assert _shown(cycles.current_view(spark, sink)) == _current_twin(rows)
+
+
+def test_closed_cycles_are_read_without_a_shuffle(spark):
+    from barlake.session import scratch_path
+    from barlake.streaming import cycles
+    sink = scratch_path(spark, "y_sink")
+    log = _add_cycle_batch(spark, sink, "a", 0, _cycle_rows(5))
+    alone, shared = cycles.overlapping(log.of_table("deltas"))
+    assert len(alone) == 1 and not shared
+    plan = cycles.last_of_symbol(log.read(log.of_table("latest"), cycles.BAR_SCHEMA))._jdf.queryExecution().executedPlan()
+    assert plan.toString().count("Exchange hashpartitioning") == 1
+    ranges = [{"lo": a, "hi": b} for a, b in ((1, 4), (5, 5), (6, 9), (8, 8), (9, 12), (13, 13))]
+    alone, shared = cycles.overlapping(ranges[::-1])
+    assert alone == [ranges[0], ranges[1], ranges[5]] and shared == ranges[2:5]
+    assert cycles.overlapping([]) == ([], [])
+
+
 STATE_ROWS = "symbol string, date date, seq bigint, open double, high double, low double, close double, volume double"
 
 
