@@ -133,3 +133,94 @@ def test_frequent_words_are_the_first_of_all_texts(spark):
     for size in (1, 50, 700, 100_000):
         want = sorted(counts, key=lambda w: (-counts[w], w))[:size]
         assert S.frequent_words(docs, size=size) == set(want)
+
+
+def brute_features(text, start, end, path, dictionary):
+    """The features of one candidate, spelled out by definition."""
+    import math
+    import re
+    import string
+    import zlib
+    word, before = text[start:end], text[max(0, start - 48):start]
+    kind = ["l" if c in string.ascii_lowercase else "u" if c in string.ascii_uppercase else
+            "d" if c in string.digits else "s" for c in word]
+    steps = [(kind[k], kind[k + 1]) for k in range(len(word) - 1)]
+    changed = [a != b for a, b in steps]
+    digit_edge = [a != b and "d" in (a, b) for a, b in steps]
+    entropy = 0.0
+    for c in sorted(set(word), key=word.index):
+        entropy -= word.count(c) / len(word) * math.log2(word.count(c) / len(word))
+    known, k = 0, 0
+    while k < len(word):
+        fits = [n for n in range(3, 17) if k + n <= len(word) and word[k:k + n].lower() in dictionary]
+        known += max(fits, default=0)
+        k += max(fits, default=1)
+    names = re.findall(r"[A-Za-z_]+", before)[-3:]
+    name_slot, path_slot = [0.0] * 16, [0.0] * 16
+    if names:
+        name_slot[zlib.crc32(names[-1].lower().encode()) % 16] = 1.0
+    path_slot[zlib.crc32((path or "").encode()) % 16] = 1.0
+    telling = ("key", "token", "secret", "passw", "pwd", "auth", "bearer", "credential", "api")
+    sign = before.rstrip("\"'`") if len(before) - len(before.rstrip("\"'`")) <= 1 else ""
+    return [float(min(len(word), 200)), sum(changed) / len(steps), sum(digit_edge) / len(steps), entropy,
+            kind.count("d") / len(word), kind.count("u") / len(word), kind.count("s") / len(word),
+            float(all(c in string.hexdigits for c in word)), known / len(word), float(word.count("/")),
+            float(any(t in n.lower() for t in telling for n in names)), float(sign.rstrip()[-1:] in (":", "=") and sign != ""),
+            float(before[-1:] in tuple("\"'`") and text[end:end + 1] in tuple("\"'`")), *name_slot, *path_slot]
+
+
+def tree_of(node):
+    if node.getClass().getSimpleName() == "LeafNode":
+        counts = list(node.impurityStats().stats())
+        return counts[1] / sum(counts)
+    split = node.split()
+    return split.featureIndex(), split.threshold(), tree_of(node.leftChild()), tree_of(node.rightChild())
+
+
+def brute_score(trees, x):
+    votes = 0.0
+    for node in trees:
+        while isinstance(node, tuple):
+            feature, threshold, low, high = node
+            node = low if x[feature] <= threshold else high
+        votes += node
+    return votes / len(trees)
+
+
+def test_features_labels_and_decisions_equal_brute_force(spark, monkeypatch):
+    """What the forest learns from and what it decides, against features by definition and a walk through its trees."""
+    import re
+
+    from pyspark.ml.classification import RandomForestClassifier
+    seen = []
+
+    class Watched(RandomForestClassifier):
+        def fit(self, dataset, params=None):
+            model = super().fit(dataset, params)
+            seen.append((dataset.collect(), model))
+            return model
+    monkeypatch.setattr(S, "RandomForestClassifier", Watched)
+    rnd = random.Random(8)
+    rows, planted = documents()
+    rows = [(i, text, [None, "", "src/a.py", "notes/é.txt"][i % 4]) for i, text in rows]
+    for i in range(500, 560):  # the rules can't tell these
+        run = "".join(rnd.choice("abcDEF0123456789+/") for _ in range(rnd.randint(16, 60)))
+        rows.append((i, ["the on %s the", "a/path \"%s\" on", "id %s, on"][i % 3] % run, "src/b.py"))
+    texts = {i: (text, path) for i, text, path in rows}
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    dictionary = S.frequent_words(docs)
+    got = {r["doc_id"]: r for r in S.scan(docs).collect()}
+    spans = {i: [m.span() for m in re.finditer("[A-Za-z0-9+/_-]{16,}", text)] for i, (text, _) in texts.items()}
+    x = {(i, *s): brute_features(texts[i][0], *s, texts[i][1], dictionary) for i in spans for s in spans[i]}
+    labelled = sorted(([round(v, 9) for v in x[i, *s]], float(planted.get(i) == s))
+                      for i in spans if i < 500 for s in spans[i])
+    (learned, model), = seen
+    learned = sorted(([round(v, 9) for v in r["features"].tolist()], r["label"]) for r in learned)
+    assert learned == labelled and len(learned) > 300 and {y for _, y in learned} == {0.0, 1.0}
+    trees = [tree_of(t._call_java("rootNode")) for t in model.trees]
+    scores = {k: brute_score(trees, v) for k, v in x.items()}
+    for i in texts:
+        want = [(s, scores[i, *s]) for s in spans[i] if scores[i, *s] >= 0.5]
+        assert got[i]["n_candidates"] == len(spans[i])
+        assert [(s["start"], s["end"]) for s in got[i]["secrets"]] == [s for s, _ in want]
+        assert all(abs(s["score"] - p) < 1e-9 for s, (_, p) in zip(got[i]["secrets"], want))
