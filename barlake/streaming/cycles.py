@@ -95,9 +95,11 @@ def close_cycles(log: CommitLog, partitions: int | None = None) -> None:
     """Close the cycles that have ended since, in one commit, and merge small parts.
 
     ``partitions`` is the number of source partitions: none is closed before
-    all of them have left it.  Without it those seen so far count, and what a
-    new one sends for a closed cycle is late.  A closing that fails before
-    its commit changes nothing and is done by a later batch.
+    all of them have left it, so one that never sends a message keeps every
+    cycle open (views stay right, but read them all).  Without it those seen
+    so far count, and what a new one sends for a closed cycle is late.  A
+    closing that fails before its commit changes nothing and is done by a
+    later batch.
     """
     log.refresh()
     done, ended = closed_through(log), ended_through(log, partitions)
