@@ -1,8 +1,9 @@
 """Trend fits and forecasts for every symbol in one job (M1-M6).
 
 Feature ``x`` is the day index (whole days since the symbol's first bar),
-target ``y`` is the close.  All three models are expressed with Spark
-aggregates and column expressions; nothing leaves the JVM.
+target ``y`` is the close.  The linear and quadratic models are Spark
+aggregates and column expressions; the forest's neighbours are sorted by numpy
+in the tasks.
 
 * Linear (M1): least squares on x.  Var(x) = 0 gives slope 0 and the mean.
 * Quadratic (M2): least squares on (x, x^2) from centred moments of
@@ -34,8 +35,14 @@ series exactly) and NULL for fewer than two bars.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 # Fixed values of the forecast page: 30 calendar days ahead, three models.
@@ -43,6 +50,8 @@ HORIZON_DAYS = 30
 MODELS = ["linear", "polynomial", "random_forest"]
 FOREST_NEIGHBOURS = 50
 PLACES = 256  # places of a frame of at most 2 K + 1 rows
+NO_NEIGHBOUR = np.iinfo("i8").max
+ROWS_AT_ONCE = 8192  # rows whose neighbours are sorted at a time
 
 
 def _xy(bars: DataFrame) -> DataFrame:
@@ -169,33 +178,106 @@ def _forest_weight(n: Column, k0: Column) -> Column:
     return F.pow((nd - k0) / nd, nd) - F.pow((nd - k0 - F.lit(1)) / nd, nd)
 
 
-def _forest_sum(ys: Column, n: Column) -> Column:
-    """sum_k w_k * ys[k] over an array already in nearest-first order."""
-    weighted = F.transform(ys, lambda y, i: y * _forest_weight(n, i))
-    return F.aggregate(weighted, F.lit(0.0), lambda acc, v: acc + v)
-
+def forest_sums(d: np.ndarray, y: np.ndarray, n: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """sum_k w_k * y_(k) of each row over the rows nearest in ``d``.
 
-def in_sample(bars: DataFrame) -> DataFrame:
-    """Fitted values of all three models for every bar.
+    Rows are in order of symbol and date; those ``start`` to ``end`` are of the
+    row's symbol.  A neighbour is one number, its distance and its place in the
+    frame, and sorting these puts the nearest first (ties: the earlier day).
+    The weights depend on ``n`` alone.
+    """
+    k = FOREST_NEIGHBOURS
+    half = int(min(k, (end - start).max() - 1))
+    place = np.arange(-half, half + 1)
+    at = np.arange(len(d))[:, None] + place
+    inside = (at >= start[:, None]) & (at < end[:, None])
+    at = np.where(inside, at, 0)
+    keys = np.where(inside, np.abs(d[at] - d[:, None]) * PLACES + (place + half), NO_NEIGHBOUR)
+    keys.sort(axis=1)
+    sizes, which = np.unique(n, return_inverse=True)
+    rank = np.arange(k)
+    with np.errstate(divide="ignore", invalid="ignore"):  # without closes there is no sum
+        nd = sizes[:, None].astype("f8")
+        weight = np.power((nd - rank) / nd, nd) - np.power((nd - rank - 1) / nd, nd)
+        total = np.zeros(len(d))
+        for r in range(min(k, keys.shape[1])):
+            key = keys[:, r]
+            near = np.arange(len(d)) + (key % PLACES) - half
+            used = key != NO_NEIGHBOUR
+            total += np.where(used, y[np.where(used, near, 0)] * weight[which, r], 0.0)
+    return total
+
+
+def forest_fit(table: pa.Table) -> pa.Array:
+    """M3 of the rows of whole symbols: null where the frame holds a missing day, or a missing close is near enough."""
+    def numbers(name: str, kind: str) -> np.ndarray:
+        return pc.fill_null(table[name], 0).to_numpy().astype(kind)
+
+    def missing(name: str) -> np.ndarray:
+        return table[name].is_null().to_numpy().astype("f8")
+
+    d, n = numbers("d", "i8"), numbers("n", "i8")
+    start = np.arange(len(d)) - numbers("_row", "i8") + 1
+    end = start + numbers("_rows", "i8")
+    sums, lost = [], []
+    no_day, no_close = missing("d"), missing("y")
+    y = numbers("y", "f8")
+    some_lost = bool(no_day.any() or no_close.any())
+    for a in range(0, len(d), ROWS_AT_ONCE):
+        z = min(a + ROWS_AT_ONCE, len(d))
+        low, high = max(int(start[a]), a - FOREST_NEIGHBOURS), min(int(end[z - 1]), z + FOREST_NEIGHBOURS)
+        part = slice(low, high)
+        args = n[part], np.maximum(start[part] - low, 0), np.minimum(end[part], high) - low
+        sums.append(forest_sums(d[part], y[part], *args)[a - low:z - low])
+        if some_lost:
+            index = np.arange(a, z)
+            days = np.concatenate([[0.0], np.cumsum(no_day)])
+            frame = (np.maximum(start[a:z], index - FOREST_NEIGHBOURS), np.minimum(end[a:z], index + FOREST_NEIGHBOURS + 1))
+            near = forest_sums(d[part], no_close[part], np.full(high - low, 2 * FOREST_NEIGHBOURS), *args[1:])[a - low:z - low]
+            lost.append((days[frame[1]] > days[frame[0]]) | (near > 0))
+    total = np.concatenate(sums) if sums else np.zeros(0)
+    return pa.array(total, pa.float64(), mask=np.concatenate(lost) if lost else None)
+
+
+def _with_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by symbol and day, with the forest's fit; a symbol is held until its last row is there."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        held.append(batch)
+        last = np.flatnonzero(batch["_row"].to_numpy() == batch["_rows"].to_numpy())
+        if not len(last):
+            continue
+        cut = int(last[-1]) + 1
+        whole = pa.Table.from_batches([*held[:-1], batch.slice(0, cut)])
+        held = [batch.slice(cut)] if cut < batch.num_rows else []
+        fitted = whole.append_column("rf_fit", forest_fit(whole)).drop_columns(["_row", "_rows"])
+        yield from fitted.to_batches()
+
+
+FITS = ["linear_fit", "poly_fit", "rf_fit"]
+
+
+def in_sample(bars: DataFrame, fits: Sequence[str] = FITS) -> DataFrame:
+    """Fitted values of all three models for every bar, or of those asked for.
 
     The forest needs the K nearest rows of each bar, all within +-K
-    positions of its symbol's series.  Both sides are in date order, so a
-    neighbour is one number, its distance and its place in the frame, and
-    sorting those longs puts the nearest first (ties: the earlier day).
+    positions of its symbol's series: whole symbols go to numpy, many at a
+    time, over the partitions that the coefficients are computed in.
     """
-    k = FOREST_NEIGHBOURS
-    frame = Window.partitionBy("symbol").orderBy("d").rowsBetween(-k, k)
+    lines = {"linear_fit": _linear_at(F.col("d")), "poly_fit": _quadratic_at(F.col("d"))}
+    facts = ["symbol", "date", "y", "n", "var_y", "flat"] if len(fits) > 1 else ["symbol", "date", "y", "n"]
     rows = with_coefficients(bars).select(
-        "*", F.collect_list(F.struct("d", "y")).over(frame).alias("_rows"))
-    keys = F.transform("_rows", lambda x, i: F.abs(x["d"] - F.col("d")).cast("bigint") * PLACES + i)
-    ranked = rows.withColumn("_near", F.slice(F.sort_array(keys), 1, k))
-    ys = F.transform("_near", lambda key: F.get("_rows", (key % PLACES).cast("int"))["y"])
-    return ranked.select(
-        "symbol", "date", "y", "n", "var_y", "flat",
-        (F.col("d") - F.col("d0")).alias("day_index"),
-        _linear_at(F.col("d")).alias("linear_fit"),
-        _quadratic_at(F.col("d")).alias("poly_fit"),
-        _forest_sum(ys, F.col("n")).alias("rf_fit"))
+        "*", (F.col("d") - F.col("d0")).alias("day_index"), *[c.alias(name) for name, c in lines.items() if name in fits])
+    if "rf_fit" not in fits:
+        return rows.select(*facts, "day_index", *fits)
+    w = Window.partitionBy("symbol")
+    numbered = rows.select(
+        *facts, "day_index", *[f for f in lines if f in fits], "d",
+        F.row_number().over(w.orderBy("d")).alias("_row"), F.count(F.lit(1)).over(w).alias("_rows"))
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in numbered.schema.fields if f.name not in ("_row", "_rows")])
+    return (numbered.sortWithinPartitions("symbol", "_row")
+            .mapInArrow(_with_forest, schema.add("rf_fit", T.DoubleType()))
+            .select(*facts, "day_index", *fits))
 
 
 def model_metrics(bars: DataFrame) -> DataFrame:

@@ -28,7 +28,7 @@ def stock_page(bars: DataFrame, symbol: str) -> dict[str, DataFrame]:
 def predictions_page(bars: DataFrame, symbol: str) -> dict[str, DataFrame]:
     """Forecast page: history plus three forecast lines (D4) and the metric table (M6)."""
     return {"lines": _only(datasets.prediction_series(bars), symbol).orderBy("series", "date"),
-            "metrics": _only(models.model_metrics(bars), symbol)}
+            "metrics": models.model_metrics(_only(bars, symbol))}
 
 
 def historical_page(bars: DataFrame, symbol: str) -> DataFrame:

@@ -126,7 +126,7 @@ def q_linear_trend(spark, sf_dir):
 def q_quadratic_trend(spark, sf_dir):
     """M2: in-sample quadratic fit of every bar (long history, x up to ~2,500)."""
     bars = fx.bars_long(spark, sf_dir)
-    return models.in_sample(bars).select(
+    return models.in_sample(bars, ["linear_fit", "poly_fit"]).select(
         "symbol", "date", F.col("day_index").cast("long").alias("day_index"),
         F.col("y").alias("close"), "linear_fit", "poly_fit")
 
@@ -135,7 +135,7 @@ def q_quadratic_trend(spark, sf_dir):
 def q_bagged_tree_trend(spark, sf_dir):
     """M3: expected bagged-tree fitted value of every bar."""
     bars = fx.bars_daily(spark, sf_dir)
-    return models.in_sample(bars).select(
+    return models.in_sample(bars, ["rf_fit"]).select(
         "symbol", "date", F.col("y").alias("close"), "rf_fit")
 
 
@@ -143,7 +143,7 @@ def q_bagged_tree_trend(spark, sf_dir):
 def q_bagged_tree_trend_long(spark, sf_dir):
     """M3 on multi-year series: the +-50 row window crosses year blocks."""
     bars = fx.bars_long(spark, sf_dir)
-    return models.in_sample(bars).select(
+    return models.in_sample(bars, ["rf_fit"]).select(
         "symbol", "date", F.col("y").alias("close"), "rf_fit")
 
 

@@ -121,3 +121,37 @@ def test_mse_of_a_close_fit_does_not_cancel(spark):
     coef = np.polyfit(x - x.mean(), y, 1)
     want = np.mean((y - np.polyval(coef, x - x.mean())) ** 2)
     assert abs(fit["mse"] - want) <= 1e-6 * want + 1e-12
+
+
+def test_forest_over_many_small_batches_equals_brute_force(spark):
+    """Long and short series with gaps, a missing close and a missing day, cut anywhere; no array of neighbours per row."""
+    import datetime as dt
+    import random
+    rnd = random.Random(5)
+    series = {s: sorted(rnd.sample(range(400), n)) for s, n in (("A", 130), ("B", 3), ("C", 1), ("D", 51), ("E", 60))}
+    closes = {(s, x): rnd.uniform(1, 9) for s, days in series.items() for x in days}
+    closes["E", series["E"][0]] = None
+    rows = [(s, dt.date(2024, 1, 1) + dt.timedelta(x), y) for (s, x), y in closes.items()] + [("B", None, 4.0)]
+    rnd.shuffle(rows)
+    bars = spark.createDataFrame(rows, "symbol string, date date, close double").repartition(4)
+    fitted = models.in_sample(bars, ["rf_fit"])
+    assert "collect_list" not in fitted._jdf.queryExecution().executedPlan().toString()
+    own = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {(r.symbol, r.date): r.rf_fit for r in fitted.collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", own)
+    assert len(got) == len(rows)
+    for s, days in series.items():
+        n = sum(closes[s, x] is not None for x in days)
+        for x in days:
+            near = sorted(days, key=lambda o: (abs(o - x), o))[:50]
+            ys = [closes[s, o] for o in near]
+            have = got[s, dt.date(2024, 1, 1) + dt.timedelta(x)]
+            if s == "B" or None in ys:
+                assert have is None
+            else:
+                want = sum((((n - k) / n) ** n - ((n - k - 1) / n) ** n) * y for k, y in enumerate(ys))
+                assert abs(have - want) < 1e-9, (s, x)
+    assert got["B", None] is None
