@@ -50,20 +50,33 @@ def symbols_page(bars: DataFrame, offset: int = 0, limit: int = DEFAULT_PAGE,
 
 
 SYMBOLS_PER_RANGE = 100_000
+SYMBOLS_PER_TASK = 400_000
+ROW_BITS = 33  # monotonically_increasing_id counts a partition's rows in its low bits
 
 
 def write_directory(bars: DataFrame, path: str, key: str = "symbol", per_range: int = SYMBOLS_PER_RANGE) -> None:
-    """Store the distinct symbols in sorted ranges of about ``per_range``, and a directory with each range's size.
+    """Store the distinct symbols in sorted ranges of at most ``per_range``, and a directory with each range's size.
 
-    One distinct aggregation and one range partitioning; the directory has one
-    row per range: ``range``, ``n``, ``low``, ``high``.
+    One distinct aggregation and one range partitioning.  A task sorts about
+    ``SYMBOLS_PER_TASK`` symbols and cuts them into ranges, which then share
+    the usual number of tasks for their files, so the number of tasks does not
+    depend on how small the ranges are.  The directory has one row per range:
+    ``range``, ``n``, ``low``, ``high``.
     """
     spark = bars.sparkSession
     symbols = distinct_symbols(bars, key).select(F.col(key).alias("symbol"))
-    ranges = max(1, -(-symbols.count() // per_range))
-    (symbols.repartitionByRange(ranges, "symbol").withColumn("range", F.spark_partition_id())
-     .sortWithinPartitions("symbol").write.partitionBy("range").parquet(f"{path}/symbols"))
-    stored = spark.read.schema("symbol string, range int").parquet(f"{path}/symbols")
+    count = symbols.count()
+    tasks = max(1, -(-count // max(per_range, SYMBOLS_PER_TASK)))
+    number = F.monotonically_increasing_id()
+    row = number.bitwiseAND((1 << ROW_BITS) - 1)
+    # ranges are numbered in symbol order: by task, then by place in it
+    ranges = F.shiftright(number, ROW_BITS) * (1 << ROW_BITS) + F.floor(row / per_range)
+    # stored once: another run of the range partitioning may cut elsewhere
+    (symbols.repartitionByRange(tasks, "symbol").sortWithinPartitions("symbol").withColumn("range", ranges)
+     .write.parquet(f"{path}/sorted"))
+    stored = spark.read.schema("symbol string, range bigint").parquet(f"{path}/sorted")
+    writers = min(int(spark.conf.get("spark.sql.shuffle.partitions")), tasks + count // per_range)
+    stored.repartition(writers, "range").write.partitionBy("range").parquet(f"{path}/symbols")
     (stored.groupBy("range").agg(F.count(F.lit(1)).alias("n"), F.min("symbol").alias("low"), F.max("symbol").alias("high"))
      .coalesce(1).write.parquet(f"{path}/directory"))
 
@@ -71,9 +84,9 @@ def write_directory(bars: DataFrame, path: str, key: str = "symbol", per_range:
 def directory_page(spark: SparkSession, path: str, offset: int = 0, limit: int = DEFAULT_PAGE) -> DataFrame:
     """U5 + U6 from the directory: as :func:`symbols_page`, reading the page's ranges only.
 
-    The driver holds the directory, one row per range.
+    The driver holds two numbers per range.
     """
-    entries = spark.read.schema("range int, n bigint, low string, high string").parquet(f"{path}/directory")
+    entries = spark.read.schema("range bigint, n bigint").parquet(f"{path}/directory")
     total, needed, first = 0, [], None
     for r in sorted(entries.collect(), key=lambda r: r["range"]):  # ranges are numbered in symbol order
         if total < offset + limit and total + r["n"] > offset:

@@ -114,3 +114,15 @@ def test_pages_of_a_directory(spark):
     assert len({f.split("range=")[1].split("/")[0] for f in last.inputFiles()}) == 1
     catalog.write_directory(bars.limit(0), path + "-none")
     assert catalog.directory_page(spark, path + "-none").collect() == []
+
+
+def test_small_ranges_need_no_more_tasks(spark):
+    """A directory of many small ranges is written by a task per many symbols, and pages over ranges are right."""
+    path = scratch_path(spark, "small")
+    catalog.write_directory(spark.range(3000).selectExpr("lpad(id, 6, '0') AS symbol"), path, per_range=7)
+    assert len(spark.read.parquet(f"{path}/sorted").inputFiles()) == 1
+    sizes = sorted((r["low"], r["n"]) for r in spark.read.parquet(f"{path}/directory").collect())
+    assert [n for _, n in sizes] == [7] * 428 + [4] and sizes[1][0] == "000007"
+    page = catalog.directory_page(spark, path, 1396, 20).collect()
+    assert sorted(r["symbol"] for r in page) == [f"{k:06d}" for k in range(1396, 1416)]
+    assert {r["total_count"] for r in page} == {3000}
