@@ -5,8 +5,8 @@ compressed files by their suffix and reach any store; the driver opens no
 file.  One list of files serves every step: all data files below the folder,
 sub-folders included, whatever their compression and column order.
 
-1. :func:`first_lines`: a text scan of the files, every split in a partition of its
-   own, in which the first line of a file's first split is its header.  The
+1. :func:`first_lines`: a text scan of the files, in which the first line of a
+   file's first split is its header; a task reads many small files.  The
    scan goes to the end of each file, so it also proves that the file can be
    read at all.
 2. :func:`inspect`: headers that bind, and rejects with a reason.  If files
@@ -20,7 +20,8 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 from urllib.parse import unquote
@@ -29,10 +30,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Larger than any split: each gets a partition of its own, whose first line has number 0.
-ALONE = 1 << 36
-LINE_BITS = 33  # monotonically_increasing_id counts a partition's rows in its low bits
-
 
 @dataclass
 class CsvFiles:
@@ -41,10 +38,25 @@ class CsvFiles:
     rejects: list[tuple[str, str]] = field(default_factory=list)
 
 
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
+
+@contextmanager
+def listing(spark: SparkSession) -> Iterator[None]:
+    """Spark's listing of many paths as a few tasks per core, instead of a task per path."""
+    before = spark.conf.get(LISTING_TASKS)
+    spark.conf.set(LISTING_TASKS, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(LISTING_TASKS, before)
+
+
 def listed(spark: SparkSession, path: str) -> list[str]:
     """All data files below ``path`` that are not empty; hidden files and folders are left out."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-             .where("length > 0").select("path"))  # the content is not read
+    with listing(spark):
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+                 .where("length > 0").select("path"))  # the content is not read
     return sorted(r[0] for r in files.collect())
 
 
@@ -56,14 +68,15 @@ def as_glob(file: str) -> str:
 def first_lines(spark: SparkSession, files: list[str]) -> list[tuple[str, str]]:
     """(file, header line) of all files, read to their ends; files of blank lines only have none."""
     own = spark.newSession()  # for settings that hold for this scan only
-    own.conf.set("spark.sql.files.openCostInBytes", ALONE)
     own.conf.set("spark.sql.files.ignoreCorruptFiles", False)
     own.conf.set("spark.sql.files.ignoreMissingFiles", False)
-    lines = (own.read.text([as_glob(f) for f in files])
-             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
+    with listing(own):
+        text = own.read.text([as_glob(f) for f in files])
+    lines = (text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), "value")
              .where((F.col("at") == 0) & (F.trim(F.regexp_replace("value", "﻿", "")) != "")))
-    number = F.monotonically_increasing_id().bitwiseAND((1 << LINE_BITS) - 1)
-    heads = lines.withColumn("number", number).where("number = 0").select("file", "value")
+    # a split is read in order by one task, so its lines are numbered in order
+    heads = (lines.withColumn("number", F.monotonically_increasing_id())
+             .groupBy("file").agg(F.min_by("value", "number").alias("value")))
     return [(unquote(r["file"]), r["value"]) for r in heads.collect()]  # one row per file, as the listing
 
 
@@ -148,9 +161,10 @@ def rows_by_name(spark: SparkSession, files: CsvFiles, wanted: Sequence[str],
         # unwanted columns get names of their own: theirs may be equal
         fields = [n if n in wanted else f"_unwanted_{i}" for i, n in enumerate(names)]
         schema = T.StructType([T.StructField(n, T.StringType(), True) for n in fields])
-        rows = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-                .option("ignoreCorruptFiles", False).option("ignoreMissingFiles", False)
-                .csv([as_glob(f) for f in group]))
+        with listing(spark):
+            rows = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+                    .option("ignoreCorruptFiles", False).option("ignoreMissingFiles", False)
+                    .csv([as_glob(f) for f in group]))
         parts.append(rows.select(*wanted, *[folder_value(c).alias(c) for c in from_folder]))
     if not parts:
         return spark.createDataFrame([], T.StructType(

@@ -161,3 +161,23 @@ def test_a_failure_that_is_no_files_fault_is_raised(spark, tmp_path, monkeypatch
     monkeypatch.setattr(csv_files, "first_lines", lambda *_: (_ for _ in ()).throw(RuntimeError("lost the cluster")))
     with pytest.raises(RuntimeError, match="lost the cluster"):
         csv_files.inspect(spark, str(tmp_path), ["Date"], skip_unreadable=True)
+
+
+def test_one_file_per_symbol(spark, tmp_path):
+    """However the rows are spread, a symbol's land in one file, and all are read again by few tasks."""
+    from barlake.sources import csv_files
+    rows = spark.range(600).selectExpr(
+        "'2024-01-02' AS Date", "concat('S', id % 20) AS Symbol", "'1' AS Open", "'4' AS High", "'0.5' AS Low",
+        "'2' AS Close", "cast(id AS string) AS Volume").repartition(30, "Volume")
+    readers.write_symbol_files(rows, str(tmp_path / "x"))
+    files = csv_files.listed(spark, str(tmp_path / "x"))
+    assert len(files) == 20
+    assert [line for _, line in csv_files.first_lines(spark, files)] == ["Date,Open,High,Low,Close,Volume"] * 20
+    spark.sparkContext.setJobGroup("heads", "header scan")
+    csv_files.first_lines(spark, files)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("heads") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert max(s.numTasks for s in stages) < 20
+    back = readers.read_symbol_dirs(spark, str(tmp_path / "x"))
+    assert sorted((r.Symbol, int(r.Volume)) for r in back.collect()) == sorted((f"S{k % 20}", k) for k in range(600))
