@@ -493,11 +493,16 @@ INGEST_ROWS_PER_FILE = 10000  # unordered ingest input files
 INGEST_FILES_PER_TRIGGER = 256
 
 
-def _ingest_run(spark, sf_dir, files_per_trigger: int = INGEST_FILES_PER_TRIGGER, files: int | None = None):
+# Micro-batches of the first run and of the replay of what it was sent.
+REPLAYED_BATCHES, REPLAY_BATCHES = 12, 4
+
+
+def _ingest_run(spark, sf_dir, batches: int | None = None, files: int | None = None):
     src, sink, ckpt = (scratch_path(spark, n) for n in ("stream_src", "stream_sink", "stream_ckpt"))
     env = fx.envelopes(spark, sf_dir)
     ingest.land_envelopes(env.repartition(files) if files else env, src, INGEST_ROWS_PER_FILE)
-    q = ingest.start_ingest(ingest.file_stream(spark, src, files_per_trigger), sink, ckpt)
+    per_trigger = ingest.share_of_files(spark, src, batches) if batches else INGEST_FILES_PER_TRIGGER
+    q = ingest.start_ingest(ingest.file_stream(spark, src, per_trigger), sink, ckpt)
     ingest.run_to_end(q)
     return src, sink
 
@@ -519,8 +524,9 @@ def q_stream_rejects(spark, sf_dir):
 @register("stream_idempotent")
 def q_stream_idempotent(spark, sf_dir):
     """ST2: the stream replayed from scratch into the same sink, in other batches -- no duplicates."""
-    src, sink = _ingest_run(spark, sf_dir, files_per_trigger=1, files=4)
-    replay = ingest.start_ingest(ingest.file_stream(spark, src, 3), sink,
+    src, sink = _ingest_run(spark, sf_dir, batches=REPLAYED_BATCHES, files=4)
+    per_trigger = ingest.share_of_files(spark, src, REPLAY_BATCHES, at_least=3)
+    replay = ingest.start_ingest(ingest.file_stream(spark, src, per_trigger), sink,
                                  scratch_path(spark, "stream_ckpt_replay"))
     ingest.run_to_end(replay)
     return ingest.read_sink(spark, sink, "bars").drop("partition")

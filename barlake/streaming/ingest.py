@@ -24,6 +24,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -35,6 +36,7 @@ from barlake.operators import cleanse
 from barlake.schema import CYCLE_ENVELOPE_SCHEMA
 from barlake.streaming.commits import CommitLog, Files, run_of
 
+POLL_S = 5  # how often a running query is looked at
 KAFKA_COLUMNS = ["key", "value", "partition", "offset", "timestamp"]
 
 
@@ -300,10 +302,24 @@ def read_sink(spark: SparkSession, sink: str, name: str) -> DataFrame:
 
 
 def run_to_end(query: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query; raise if it failed or timed out."""
-    finished = query.awaitTermination(timeout_s)
-    if not finished:
-        query.stop()
-        raise TimeoutError(f"stream {query.id} did not finish in {timeout_s}s")
+    """Wait for an ``availableNow`` query; raise if it failed, or if ``timeout_s`` pass without a finished batch."""
+    batch, since = None, time.monotonic()
+    while not query.awaitTermination(min(timeout_s, POLL_S)):
+        last = query.lastProgress
+        if last is not None and last["batchId"] != batch:
+            batch, since = last["batchId"], time.monotonic()
+        elif time.monotonic() - since >= timeout_s:
+            query.stop()
+            raise TimeoutError(f"stream {query.id} did not finish a batch in {timeout_s}s")
     if query.exception() is not None:
         raise RuntimeError(str(query.exception()))
+
+
+def share_of_files(spark: SparkSession, path: str, batches: int, at_least: int = 1) -> int:
+    """Files per trigger that take what is landed in ``path`` in at most ``batches`` micro-batches.
+
+    The cost of a micro-batch itself (offsets, commit, small jobs) is then paid
+    a fixed number of times, however much is landed; a larger batch has more tasks.
+    """
+    files = sum(n.endswith(".parquet") for n in Files(spark, path).names())
+    return max(at_least, -(-files // batches))

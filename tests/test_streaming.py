@@ -494,3 +494,44 @@ def test_restarts_are_bounded(spark, monkeypatch):
     report = run_supervised(spark, lambda skip: ingest.start_ingest(ingest.file_stream(spark, src2, 10), sink2, ckpt2),
                             ckpt2, aside, retries=2, pause_s=0)
     assert report.restarts == 2 and ingest.read_sink(spark, sink2, "bars").count() > 0
+
+
+def test_number_of_batches_does_not_grow_with_the_files(spark):
+    from barlake.session import scratch_path
+    from barlake.streaming import ingest
+    src, sink = _envelopes_landed(spark, files=40), scratch_path(spark, "t_sink")
+    share = ingest.share_of_files(spark, src, 6)
+    _ingested(spark, src, sink, files_per_trigger=share)
+    assert (share, ingest.CommitLog(spark, sink).number) == (7, 6)
+    assert ingest.share_of_files(spark, src, 100) == 1 and ingest.share_of_files(spark, src, 100, at_least=3) == 3
+
+
+def test_a_long_stream_that_goes_on_is_not_stopped():
+    """The time limit is for a batch, not for the whole stream."""
+    import pytest
+    from barlake.streaming import ingest
+
+    class Query:
+        id, lastProgress, stopped = "q", None, False
+
+        def __init__(self, batches):
+            self.batches, self.looks = batches, 0
+
+        def awaitTermination(self, timeout):
+            import time
+            time.sleep(0.4)
+            self.looks += 1
+            self.lastProgress = {"batchId": min(self.looks, self.batches)}
+            return self.looks > 5 and self.batches > 5
+
+        def exception(self):
+            return None
+
+        def stop(self):
+            self.stopped = True
+
+    ingest.run_to_end(Query(9), timeout_s=1)
+    stuck = Query(1)
+    with pytest.raises(TimeoutError, match="did not finish"):
+        ingest.run_to_end(stuck, timeout_s=1)
+    assert stuck.stopped
