@@ -280,9 +280,31 @@ def in_sample(bars: DataFrame, fits: Sequence[str] = FITS) -> DataFrame:
             .select(*facts, "day_index", *fits))
 
 
+def _forest_sum(ys: Column, n: Column) -> Column:
+    """sum_k w_k * ys[k] over an array already in nearest-first order."""
+    weighted = F.transform(ys, lambda y, i: y * _forest_weight(n, i))
+    return F.aggregate(weighted, F.lit(0.0), lambda acc, v: acc + v)
+
+
+def _in_sample_columns(bars: DataFrame) -> DataFrame:
+    """:func:`in_sample` by column expressions: slower, but an aggregation by symbol needs no shuffle after it."""
+    k = FOREST_NEIGHBOURS
+    frame = Window.partitionBy("symbol").orderBy("d").rowsBetween(-k, k)
+    rows = with_coefficients(bars).select(
+        "*", F.collect_list(F.struct("d", "y")).over(frame).alias("_rows"))
+    keys = F.transform("_rows", lambda x, i: F.abs(x["d"] - F.col("d")).cast("bigint") * PLACES + i)
+    ranked = rows.withColumn("_near", F.slice(F.sort_array(keys), 1, k))
+    ys = F.transform("_near", lambda key: F.get("_rows", (key % PLACES).cast("int"))["y"])
+    return ranked.select(
+        "symbol", "date", "y", "n", "var_y", "flat",
+        _linear_at(F.col("d")).alias("linear_fit"),
+        _quadratic_at(F.col("d")).alias("poly_fit"),
+        _forest_sum(ys, F.col("n")).alias("rf_fit"))
+
+
 def model_metrics(bars: DataFrame) -> DataFrame:
     """M6: in-sample MSE and R^2 of all three models, one row per symbol."""
-    fitted = in_sample(bars)
+    fitted = _in_sample_columns(bars)
 
     def sq(c: str) -> Column:
         r = F.col("y") - F.col(c)
