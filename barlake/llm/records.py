@@ -29,13 +29,14 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from barlake.llm.segments import SegmentCache, encode_batch, encode_runs
+from barlake.llm.segments import SegmentCache, WordCache, encode_batch, encode_runs
 from barlake.llm.shared import col, shared_path, stored, text_of
 
 # Fixed value: what the record checksums are masked with.
@@ -43,6 +44,7 @@ MASK_DELTA = 0xA282EAD8
 LENGTH, CHECKSUM, HEAD, ENTRY = struct.Struct("<Q"), struct.Struct("<I"), struct.Struct("<BBq"), struct.Struct("<QQ")
 # The characters with the Unicode property White_Space.
 WHITE_SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+SPACES = frozenset(re.findall(f"[{WHITE_SPACE}]", "".join(map(chr, range(0x3001)))))
 END_ID = 0
 ROWS_AT_ONCE = 2000
 
@@ -59,6 +61,8 @@ class Encoder:
     texts are encoded by segment; other tokenizers get whole texts.  Strings
     of added tokens in a text are cut out first and get the token's id, or,
     with ``special_as_text``, those of special tokens are ordinary text.
+    ``encode`` takes a column of texts, of which those without such strings
+    are cut and looked up as columns.
     """
 
     def __init__(self, spec: str, special_as_text: bool = True):
@@ -79,11 +83,23 @@ class Encoder:
         self.piece_bytes = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.ids)])
         self.added = frozenset(t["content"] for t in added)
         self.by_segment = by_segment
-        self.spaced = re.compile(f"[{WHITE_SPACE}]+[^{WHITE_SPACE}]").match
+        self.words = WordCache(self._segments)
+
+    def encode(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text of a column without nulls, in order."""
+        apart = np.full(len(texts), not self.by_segment)
+        if self.by_segment:
+            for a in self.added:
+                apart |= pc.match_substring(texts, a).to_numpy(zero_copy_only=False)
+        if not apart.any():
+            return self.words.encode(texts)
+        ways = (self.words.encode(texts.filter(pa.array(~apart))),
+                self.cache.encode(texts.filter(pa.array(apart)).to_pylist()))
+        return (next(ways[a]) for a in apart.astype(int))
 
     def _segments(self, segments: list[str]) -> list[bytes]:
         """Words led by white space are encoded in runs; first words, trailing spaces and added tokens alone."""
-        run = [s for s in segments if self.spaced(s) and s not in self.added] if self.by_segment else []
+        run = [s for s in segments if self.by_segment and s[0] in SPACES and s[-1] not in SPACES and s not in self.added]
         known = dict(zip(run, encode_runs(self.tokenizer, run, self.piece_bytes, threads=False)))
         alone = [s for s in segments if s not in known]
         known.update((s, x.tobytes()) for s, x in zip(alone, encode_batch(self.tokenizer, alone, threads=False)))
@@ -160,11 +176,9 @@ def write_records(docs: DataFrame, tokenizer_path: str, folder: str | None = Non
         shard = TaskContext.get().partitionId()
         writer = ShardWriter(target, f"shard-{shard:06d}-{uuid.uuid4().hex[:12]}.rec")
         end = np.array([end_id], dtype="<u4")
-        for whole in batches:
-            for k in range(0, whole.num_rows, ROWS_AT_ONCE):
-                b = whole.slice(k, ROWS_AT_ONCE)
-                for doc, ids in zip(b.column("id").to_pylist(), own.cache.encode(b.column("text").to_pylist())):
-                    writer.add(doc, np.append(np.frombuffer(ids, dtype="<u4"), end), own.width)
+        for b in batches:
+            for doc, ids in zip(b.column("id").to_pylist(), own.encode(b.column("text"))):
+                writer.add(doc, np.append(np.frombuffer(ids, dtype="<u4"), end), own.width)
         if writer.close():
             yield pa.RecordBatch.from_pydict({
                 "shard": pa.array([shard], pa.int32()), "path": [f"{target.rstrip('/')}/{writer.name}"],

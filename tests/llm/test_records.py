@@ -3,10 +3,12 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from barlake.llm import records as R
+from barlake.llm import segments as S
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -51,6 +53,38 @@ def test_small_cache_changes_nothing(plain):
     assert list(own.cache.encode(texts)) == want and list(own.cache.encode(texts)) == want
 
 
+def test_columns_give_the_ids_of_whole_texts(monkeypatch):
+    """White space of every kind next to each other, added tokens, slices, small groups and a small cache."""
+    unchanged = Tokenizer.from_file(PATH)
+    rnd = random.Random(12)
+    bits = [*R.SPACES, " ", " ", "  ", "\n", "\x1c", "\u200b", "word", "it's", "'ll", "é", "è", "р", "12", "😀", "中文", "、",
+            "“x”", "©", ".", ",", "<|endoftext|>", "<|endo"]
+    texts = ["".join(rnd.choice(bits) for _ in range(rnd.randint(0, 30))) for _ in range(6000)]
+    texts += ["", "a" * 5000, " " * 300, "\u3000 x", "", " after an end", "x\u3000  y", ""]
+    want = [e.ids for e in unchanged.encode_batch(texts, add_special_tokens=False)]
+    own = R.Encoder(open(PATH, encoding="utf-8").read(), special_as_text=False)
+    for size, limit, column in ((1 << 24, 10**6, pa.array(texts)), (700, 50, pa.array(texts, pa.large_string()))):
+        monkeypatch.setattr(S, "COLUMN_AT_ONCE", size)
+        own.words.limit = own.cache.limit = limit
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(column)] == want
+        assert [np.frombuffer(x, "<u4").tolist() for x in own.encode(column.slice(11, 40))] == want[11:51]
+        assert list(own.encode(column.slice(0, 0))) == []
+        assert max(map(len, own.words.words.to_pylist())) <= S.CACHE_CHARS
+        assert len(own.words.words) == len(own.words.ids) == len(own.words.uses) <= limit
+
+
+def test_only_distinct_unknown_words_reach_python(plain, monkeypatch):
+    """Work per occurrence of a word is what kept the operator over its CPU budget."""
+    own = R.Encoder(open(PATH, encoding="utf-8").read(), special_as_text=False)
+    asked, encode_many = [], own.words.encode_many
+    monkeypatch.setattr(own.words, "encode_many", lambda words: asked.extend(words) or encode_many(words))
+    monkeypatch.setattr(own.cache, "split", lambda text: pytest.fail("a text was split in Python"))
+    texts = [f"alpha beta{i % 7} gamma\n" * 50 for i in range(300)]
+    want = [np.asarray(e.ids, "<u4").tobytes() for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert list(own.encode(pa.array(texts))) == want and list(own.encode(pa.array(texts))) == want
+    assert sorted(asked) == sorted({"alpha", "\nalpha", " gamma", "\n", *(f" beta{i}" for i in range(7))})
+
+
 def test_written_and_read_back(spark, edge_docs, edge_rows, plain):
     manifest = R.write_records(edge_docs, PATH)
     got = sorted(R.read_records(spark, manifest, with_ids=True).collect(), key=lambda r: r["start"])
