@@ -459,8 +459,8 @@ def q_union_symbol_files(spark, sf_dir):
     odd = F.crc32(F.col("Date").cast("binary")) % 2 == 1
     sources.write_symbol_files(rows.where(~odd), path)
     # packed, deeper, and in another column order
-    (sources.by_symbol(rows.where(odd)).select("Volume", "Close", "Symbol", "Low", "High", "Open", "Date")
-     .write.partitionBy("Symbol").option("header", True).option("compression", "gzip").csv(f"{path}/more/packed"))
+    sources.write_symbol_files(rows.where(odd), f"{path}/more/packed",
+                               ["Volume", "Close", "Symbol", "Low", "High", "Open", "Date"], packed=True)
     return cleanse.clean_csv_bars(sources.read_symbol_dirs(spark, path))
 
 

@@ -8,13 +8,14 @@ the job.  Writers are plain DataFrame writes executed by the executors.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barlake.schema import CSV_COLUMNS, SCREENER_SCHEMA, SYMBOL_LIST_SCHEMA
-from barlake.sources import csv_files
+from barlake.sources import csv_files, folder_files
 
 
 # --- S1 / S9: bar CSV ---------------------------------------------------------
@@ -92,14 +93,13 @@ def by_symbol(rows: DataFrame) -> DataFrame:
     return rows.repartition(tasks, "Symbol")
 
 
-def write_symbol_files(rows: DataFrame, path: str) -> None:
-    """Land bar CSV rows as one directory per symbol (``Symbol=<s>/part-*.csv``).
+def write_symbol_files(rows: DataFrame, path: str, columns: Sequence[str] = CSV_COLUMNS, packed: bool = False) -> None:
+    """Land bar CSV rows as one directory per symbol (``Symbol=<s>/part-*.csv``, or ``.csv.gz`` if ``packed``).
 
     Rows are brought together by symbol first: the number of files grows with
     the symbols, not with the symbols times the tasks.
     """
-    (by_symbol(rows).select(*CSV_COLUMNS).write.mode("overwrite")
-     .partitionBy("Symbol").option("header", True).csv(path))
+    folder_files.write_folders(by_symbol(rows).select(*columns), path, "Symbol", packed)
 
 
 FILE_COLUMNS = [c for c in CSV_COLUMNS if c != "Symbol"]

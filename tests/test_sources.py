@@ -181,3 +181,140 @@ def test_one_file_per_symbol(spark, tmp_path):
     assert max(s.numTasks for s in stages) < 20
     back = readers.read_symbol_dirs(spark, str(tmp_path / "x"))
     assert sorted((r.Symbol, int(r.Volume)) for r in back.collect()) == sorted((f"S{k % 20}", k) for k in range(600))
+
+
+def bar_rows(spark, rows):
+    """Text bar rows of (symbol, date, open)."""
+    return spark.createDataFrame(rows, "Symbol string, Date string, Open string").selectExpr(
+        "Date", "Symbol", "Open", "'4' AS High", "'0.5' AS Low", "'2' AS Close", "'10' AS Volume")
+
+
+def files_below(folder):
+    """Lines of all visible files by folder, the header first, the rest sorted."""
+    found = {}
+    for file in folder.rglob("[!._]*"):
+        if file.is_file():
+            data = gzip.decompress(file.read_bytes()) if file.suffix == ".gz" else file.read_bytes()
+            assert data.endswith(b"\n")
+            found.setdefault(str(file.parent.relative_to(folder)), []).append(data.split(b"\n")[:-1])
+    return {k: sorted((f[0], *sorted(f[1:])) for f in v) for k, v in found.items()}
+
+
+@pytest.mark.parametrize("packed", [False, True])
+def test_symbol_folders_are_those_of_sparks_writer(spark, tmp_path, packed):
+    odd = [f"a{chr(c)}b" for c in range(1, 128)] + [None, "", "..", " x ", "%41", "ü", "日本", "A", "B"]
+    text = ["1", None, "", " 2 ", 'q"q', "a,b", "back\\slash", "#x", "ü"]
+    rows = bar_rows(spark, [(s, f"2024-01-{d:02d}", text[(i + d) % len(text)]) for i, s in enumerate(odd) for d in range(1, 4)])
+    (tmp_path / "ours" / "Symbol=OLD").mkdir(parents=True)
+    put(tmp_path / "ours" / "Symbol=OLD", "old.csv", "gone\n")
+    readers.write_symbol_files(rows, str(tmp_path / "ours"), packed=packed)
+    (readers.by_symbol(rows).write.partitionBy("Symbol").option("header", True)
+     .option("compression", "gzip" if packed else "none").csv(str(tmp_path / "spark")))
+    assert files_below(tmp_path / "ours") == files_below(tmp_path / "spark")
+    hidden = {p.name for p in (tmp_path / "ours").iterdir() if p.name[0] in "._"}
+    assert hidden == {p.name for p in (tmp_path / "spark").iterdir() if p.name[0] in "._"}
+
+
+def test_symbol_folders_need_no_process_per_file(spark, tmp_path, monkeypatch):
+    """Neither Spark's writer nor its text reader, which pay milliseconds per file, gets many small files."""
+    from pyspark.sql import DataFrameWriter
+
+    from barlake.sources import csv_files
+    rows = bar_rows(spark, [(f"S{k % 300}", "2024-01-02", str(k)) for k in range(900)])
+    monkeypatch.setattr(DataFrameWriter, "csv", lambda *_, **__: pytest.fail("Spark's writer"))
+    readers.write_symbol_files(rows, str(tmp_path))
+    readers.write_symbol_files(rows, str(tmp_path / "more"), ["Volume", "Close", "Symbol", "Low", "High", "Open", "Date"],
+                               packed=True)
+    monkeypatch.setattr(csv_files, "first_lines", lambda *_: pytest.fail("Spark's text reader"))
+    bars, rejects = readers.scan_symbol_dirs(spark, str(tmp_path))
+    assert rejects == [] and bars.rdd.getNumPartitions() < 150
+    assert sorted((r.Symbol, int(r.Open), r.High, r.Low, r.Close) for r in bars.collect()) == sorted(
+        [(f"S{k % 300}", k, "4", "0.5", "2") for k in range(900)] * 2)
+
+
+def test_a_write_that_fails_changes_nothing(spark, tmp_path):
+    put(tmp_path / "Symbol=OLD", "old.csv", "kept\n")
+    bad = bar_rows(spark, [(f"S{k}", "2024-01-02", str(k)) for k in range(50)]).selectExpr(
+        "Date", "Symbol", "Open", "High", "Low", "Close", "if(Open = '7', raise_error('no'), Volume) AS Volume")
+    with pytest.raises(Exception, match="no"):
+        readers.write_symbol_files(bad, str(tmp_path))
+    assert [str(p.relative_to(tmp_path)) for p in tmp_path.rglob("*")] == ["Symbol=OLD", "Symbol=OLD/old.csv"]
+
+
+def test_damage_to_a_written_file_is_found(spark, tmp_path, monkeypatch):
+    """Its checksums are kept beside a file; one that does not fit them is quarantined, or an error."""
+    from barlake.sources import csv_files
+    readers.write_symbol_files(bar_rows(spark, [(s, f"2024-01-{d:02d}", str(d)) for s in "ABC" for d in range(1, 29)]),
+                               str(tmp_path))
+    (file,) = (tmp_path / "Symbol=B").glob("*.csv")
+    data = bytearray(file.read_bytes())
+    assert len(data) > 512
+    data[600] ^= 1
+    file.write_bytes(data)
+    for few in (256, 0):
+        monkeypatch.setattr(csv_files, "FEW", few)
+        bars, rejects = readers.scan_symbol_dirs(spark, str(tmp_path))
+        assert {r.Symbol: r["count"] for r in bars.groupBy("Symbol").count().collect()} == {"A": 28, "C": 28}
+        assert [(s, why) for s, _, why in rejects] == [("B", "cannot be read to its end")]
+        with pytest.raises(Exception, match="Symbol=B"):
+            csv_files.rows_by_name(spark, csv_files.inspect(spark, str(tmp_path), ["Date"]), ["Date"]).collect()
+
+
+def test_files_read_whole_give_the_same(spark, tmp_path, monkeypatch):
+    """Many small files are read by other code than few; rows, rejects and errors are the same."""
+    import bz2
+
+    from barlake.sources import csv_files
+    header, row = b"Date,Open,High,Low,Close,Volume\n", b"2024-01-02,1,4,0.5,2,10\n"
+    turned = b"Volume,Note,Close,Low,Note,High,Open,Date\n10,n,2,0.5,m,4,1,2024-01-03\n10,n,2\n"
+    packed = gzip.compress(header + b"".join(b"2024-01-02,1,4,0.5,%d,%d\n" % (i % 97, i * 7919 % 10007) for i in range(60000)))
+    long = header + row * 100000
+    data = {
+        "A/a.csv": header + row * 3, "A/old/b.csv.gz": gzip.compress(header + row), "B%2FC/a.csv": turned,
+        "D/two.csv.gz": gzip.compress(header + row) + gzip.compress(row), "E/turned.csv.gz": gzip.compress(turned),
+        "F/mark.csv": b"\xef\xbb\xbf" + header + row, "G/blanks.csv": b"\n  \n" + header + b"\n" + row + b" \t \n\n" + row,
+        "H/cr.csv": (header + row + row).replace(b"\n", b"\r"), "I/crlf.csv": (header + row + row).replace(b"\n", b"\r\n"),
+        "J/quoted.csv": header + b'"2024-01-02","1,5","a""b","a\\"b", 2 ,""\n"open,1,2\n,,,,,\n2024-01-02,1\n1,2,3,4,5,6,7,8\n',
+        "K/bytes.csv": header + b"\xff\xfe,\xc3\xa9,\xe6\x97,4,5,6\n", "L/no_end.csv": header + row[:-1],
+        "M/header.csv": header, "N/blank.csv": b"\n\n", "N/nothing.csv": b"", "O/mark.csv": header + b"\xef\xbb\xbf" + row,
+        "P/x.csv.bz2": bz2.compress(header + row), "Q/x.txt": header + row, "R/x": header + row, "S/x.CSV": header + row,
+        "T/quoted_header.csv": b'"Date", Open ,High,"Low",Close,Volume\n' + row, "U/nul.csv": header + b"a\0b,1,2,3,4,5\n",
+        "V/lacks.csv": b"Date,Open\n" + row, "V/twice.csv.gz": gzip.compress(b"Date," + header + row), "W/large.csv": long,
+        "X/large.csv.gz": packed, "Y/half.csv.gz": packed[:len(packed) // 2], "Y/crc.csv.gz": packed[:-6] + b"\0" * 6,
+        "Z/not.csv.gz": b"not packed at all", "Z/tail.csv.gz": gzip.compress(header + row) + b"tail",
+        "__HIVE_DEFAULT_PARTITION__/a.csv": header + row, "a+b %20/a.csv": header + row,
+    }
+    for name, content in data.items():
+        file = tmp_path / f"Symbol={name}"
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(content)
+    (tmp_path / "none.csv").write_bytes(header + row)
+    assert len(long) > csv_files.SMALL_BYTES > len(packed)
+    seen = {}
+    for few in (1 << 30, 0):
+        monkeypatch.setattr(csv_files, "FEW", few)
+        bars, rejects = readers.scan_symbol_dirs(spark, str(tmp_path))
+        counts = bars.groupBy(*bars.columns).count().collect()
+        seen[few] = (sorted(map(repr, counts)), [(s, f.rsplit("/", 1)[-1], why) for s, f, why in rejects])
+        with pytest.raises(Exception, match="half.csv.gz|crc.csv.gz|not.csv.gz|tail.csv.gz"):
+            csv_files.inspect(spark, str(tmp_path), readers.FILE_COLUMNS)
+    assert seen[0] == seen[1 << 30]
+    assert sum(int(r.rsplit("count=")[1][:-1]) for r in seen[0][0]) > 160000 and len(seen[0][1]) == 6
+
+
+def test_small_file_gone_or_damaged_after_inspection_is_an_error(spark, tmp_path, monkeypatch):
+    from barlake.sources import csv_files
+    monkeypatch.setattr(csv_files, "FEW", 0)
+    for symbol in "AB":
+        (tmp_path / f"Symbol={symbol}").mkdir()
+        (tmp_path / f"Symbol={symbol}" / "x.csv.gz").write_bytes(gzip.compress(
+            b"Date,Open,High,Low,Close,Volume\n2024-01-02,1,4,0.5,2,10\n"))
+    bars = readers.read_symbol_dirs(spark, str(tmp_path))
+    assert bars.count() == 2
+    whole = (tmp_path / "Symbol=A" / "x.csv.gz").read_bytes()
+    (tmp_path / "Symbol=A" / "x.csv.gz").write_bytes(whole[:-9])
+    with pytest.raises(Exception, match="x.csv.gz"):
+        bars.collect()
+    (tmp_path / "Symbol=A" / "x.csv.gz").unlink()
+    with pytest.raises(Exception):
+        bars.collect()
