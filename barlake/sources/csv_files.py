@@ -21,19 +21,23 @@ Spark's text and CSV readers copy the whole configuration and build a parser
 for each file, some milliseconds a file.  Of more than ``FEW`` files, the
 small plain and gzip ones are therefore read whole, thousands by a task, and
 unpacked and cut into lines there; ``from_csv`` is the same parser, built once
-a task.  Their paths stay in Spark's listing: the driver gets the column
-orders, the rejects and the paths of the other files.
+a task.  The driver gets the column orders, the rejects and the paths of the
+other files.  More than ``MANY`` files of the local file system are also listed
+and opened by the tasks: a listing in the driver's memory takes more than a
+kilobyte per file.
 """
 
 from __future__ import annotations
 
 import csv
+import os
 import re
 import zlib
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
+from itertools import islice
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -41,6 +45,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barlake.session import scratch_path
+from barlake.sources.folder_files import local_path, read_checked
+
 
 @dataclass
 class CsvFiles:
@@ -51,9 +58,11 @@ class CsvFiles:
     orders: list[tuple[str, ...]] = field(default_factory=list)  # their columns' orders
 
 
-FEW = 256
+FEW, MANY = 256, 1 << 14
 SMALL_BYTES = 1 << 20
 SMALL_NAMES = r"\.csv(\.gz)?$"
+TASK_FILES, TASK_BYTES = 1 << 12, 1 << 25
+MANY_FOLDERS = 1 << 10  # so many in one are listed by other tasks
 SPLITS = 32  # of Spark's scan, each of some 30 small files with its default settings, read by one task
 CHUNK_BYTES, CHUNK_LINES = 1 << 20, 1 << 14
 MARK = b"\xef\xbb\xbf"  # UTF-8 byte order mark
@@ -153,6 +162,88 @@ def lacking(names: Sequence[str], wanted: Sequence[str]) -> str | None:
 
 
 # --- small files, read whole ---------------------------------------------------------
+LISTED = pa.schema([("path", pa.string()), ("length", pa.int64())])
+FOLDER = -1  # instead of a length
+
+
+def hidden(name: str) -> bool:
+    """Files and folders that Spark's readers leave out."""
+    return name.startswith("_") and "=" not in name or name.startswith(".") or name.endswith("._COPYING_")
+
+
+def walk(folder: str, most: float = MANY_FOLDERS) -> Iterator[tuple[str, int]]:
+    """(path, length) of the files below that are not empty; folders of one with ``most`` are left to the caller."""
+    todo = [folder]
+    while todo:
+        with os.scandir(todo.pop()) as entries:
+            folders = []
+            for entry in entries:
+                try:
+                    if entry.is_dir():
+                        if not hidden(entry.name) or entry.name.startswith(("_metadata", "_common_metadata")):
+                            folders.append(entry.path)
+                    elif not hidden(entry.name) and (length := entry.stat().st_size):
+                        yield entry.path, length
+                except FileNotFoundError:  # a link to nothing, or gone by now
+                    pass
+        if len(folders) < most:
+            todo += folders
+        else:
+            yield from ((f, FOLDER) for f in folders)
+
+
+def list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Task that lists what is below folders."""
+    for batch in batches:
+        found = ((path, length) for folder in batch.column(0).to_pylist() for path, length in walk(folder))
+        while part := list(islice(found, CHUNK_LINES)):
+            paths = [os.fsencode(path).decode(errors="replace") for path, _ in part]
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array([n for _, n in part], pa.int64())],
+                                             schema=LISTED)
+
+
+def many_local(spark: SparkSession, path: str) -> DataFrame | None:
+    """The listing of :func:`below`, kept as a table, if these are more than ``MANY`` files of the local file system.
+
+    It is made in rounds: folders of a folder with very many are shared out
+    among the tasks of the next.
+    """
+    root = None if re.search(r"[\\*?\[\]{}]", path) else local_path(spark, path)
+    if root is None or not os.path.isdir(root):
+        return None
+    if len(list(islice(walk(root, float("inf")), MANY + 1))) <= MANY:
+        return None
+    try:
+        table = scratch_path(spark, "csv_listing")
+    except RuntimeError:  # no folder that all executors share
+        return None
+    folders, tasks, done = spark.createDataFrame([(root,)], "path string"), 1, 0
+    while True:
+        folders.repartition(tasks).mapInArrow(list_folders, "path string, length long").write.parquet(f"{table}/{done}")
+        folders = spark.read.parquet(f"{table}/{done}").where(F.col("length") == FOLDER).select("path")
+        left = folders.count()
+        if not left:
+            break
+        done, tasks = done + 1, max(4 * spark.sparkContext.defaultParallelism, left // TASK_FILES)
+    files = (spark.read.parquet(*[f"{table}/{i}" for i in range(done + 1)]).where(F.col("length") != FOLDER)
+             .select(F.concat(F.lit("file:"), "path").alias("path"), "length"))
+    return files.withColumn("content", F.lit(None).cast("binary"))  # the tasks that need it open the file
+
+
+def shared_out(spark: SparkSession, files: DataFrame, local: bool) -> tuple[DataFrame, int]:
+    """The files, and in how many tasks they are read."""
+    least = 4 * spark.sparkContext.defaultParallelism
+    if not local:
+        return files, max(least, files.select("path").rdd.getNumPartitions() // SPLITS)
+    count, size = files.agg(F.count("path"), F.sum("length")).first()
+    tasks = max(least, count // TASK_FILES, size // TASK_BYTES)
+    return files.repartition(tasks), tasks
+
+
+def content_of(path: str, content: pa.BinaryScalar) -> bytes:
+    return content.as_py() if content.is_valid else read_checked(path.removeprefix("file:"))
+
+
 def unpacked(path: str, content: bytes) -> Iterator[bytes]:
     """The file's bytes; raises ``EOFError`` or ``zlib.error`` if its packed data are not whole."""
     if not path.endswith(".gz"):
@@ -209,9 +300,9 @@ def check_small(wanted: Sequence[str]) -> Callable:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 names, reason = None, None
                 try:
-                    for names, _ in header_and_rows(path, content.as_py()):
+                    for names, _ in header_and_rows(path, content_of(path, content)):
                         pass
-                except (EOFError, zlib.error):
+                except (OSError, EOFError, zlib.error):
                     reason = UNREADABLE
                 if reason or names is not None and (reason := lacking(names, wanted)):
                     found.append({"file": path, "reason": reason, "names": None})
@@ -244,7 +335,7 @@ def rows_of_small(orders: list[tuple[str, ...]], left_out: frozenset[str], folde
                 if path in left_out:
                     continue
                 try:
-                    for names, lines in header_and_rows(path, content.as_py()):
+                    for names, lines in header_and_rows(path, content_of(path, content)):
                         if names not in number:
                             raise OSError(f"{path}: its header has changed")
                         for part, value in zip(out, (None, number[names], *of_file)):
@@ -262,10 +353,12 @@ def small_rows(files: CsvFiles, wanted: Sequence[str], from_folder: Sequence[str
     """The rows of the files that are read whole."""
     columns = [f"_{i}" for i in range(max(map(len, files.orders)))]
     folders = [f"folder_{i}" for i in range(len(from_folder))]
-    lines = (files.small.select("path", "content", *[folder_value(c).alias(f) for f, c in zip(folders, from_folder)])
+    lines = (files.small.select("path", "content", *[folder_value(c, "path").alias(f) for f, c in zip(folders, from_folder)])
              .mapInArrow(rows_of_small(files.orders, frozenset(f for f, _ in files.rejects), len(folders)),
                          ", ".join(["line binary", "columns int", *[f"{f} string" for f in folders]])))
-    fields = F.from_csv(F.col("line").cast("string"), ", ".join(f"{c} string" for c in columns), {"mode": "PERMISSIVE"})
+    # the parser drops a byte order mark at the start of the first line it gets, which here may be any line
+    fields = F.from_csv(F.concat(F.lit(","), F.col("line").cast("string")),
+                        ", ".join(f"{c} string" for c in ["_start", *columns]), {"mode": "PERMISSIVE"})
     # what a generator puts out is not computed again in each expression that uses it
     rows = lines.select("columns", *folders, F.inline(F.array(fields)))
 
@@ -284,11 +377,12 @@ def inspect(spark: SparkSession, path: str, wanted: Sequence[str], skip_unreadab
     A file that can't be read to its end is an error or, with
     ``skip_unreadable``, one of the rejects.
     """
-    found, files = CsvFiles(), below(spark, path)
+    found, local = CsvFiles(), many_local(spark, path)
+    files = below(spark, path) if local is None else local
     others = paths_of(files.limit(FEW + 1))
     if len(others) > FEW:
         is_small = (F.col("length") <= SMALL_BYTES) & F.col("path").rlike(SMALL_NAMES)
-        tasks = max(4 * spark.sparkContext.defaultParallelism, files.select("path").rdd.getNumPartitions() // SPLITS)
+        files, tasks = shared_out(spark, files, local is not None)
         small = files.where(is_small).coalesce(tasks)
         try:
             checked = small.select("path", "content").mapInArrow(
@@ -319,15 +413,17 @@ def inspect(spark: SparkSession, path: str, wanted: Sequence[str], skip_unreadab
     return found
 
 
-def folder_value(name: str) -> Column:
+def folder_value(name: str, path: str | None = None) -> Column:
     """Value of the ``name=value`` folder that the row's file lies in; null if there is none or it is the null folder.
 
-    Folder names and the file's URI both escape characters with ``%``.
+    Folder names and the file's URI both escape characters with ``%``; a
+    column ``path`` has the folders' names as they are.
     """
     def unescaped(c: Column) -> Column:
         return F.coalesce(F.try_url_decode(F.replace(c, F.lit("+"), F.lit("%2B"))), c)
 
-    value = unescaped(unescaped(F.regexp_extract("_metadata.file_path", f".*/{re.escape(name)}=([^/]*)/", 1)))
+    value = F.regexp_extract(path or "_metadata.file_path", f"(?s).*/{re.escape(name)}=([^/]*)/", 1)
+    value = unescaped(value if path else unescaped(value))
     return F.when(~value.isin("", "__HIVE_DEFAULT_PARTITION__"), value)
 
 

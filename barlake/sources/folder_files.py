@@ -26,16 +26,43 @@ from itertools import groupby
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LOCAL = ("org.apache.hadoop.fs.LocalFileSystem", "org.apache.hadoop.hive.ql.io.ProxyLocalFileSystem")
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 ESCAPED = re.compile(r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]")
+SUMS = b"crc\0"  # how a file of checksums begins
 SUM_BYTES = 512  # bytes per checksum
 WRITTEN = pa.schema([("folder", pa.string()), ("left", pa.bool_())])
 
 
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """The path on this machine, if Spark's local file system is its store."""
+    context = spark.sparkContext
+    at = context._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(context._jsc.hadoopConfiguration())
+    return fs.makeQualified(at).toUri().getPath() if fs.getClass().getName() in LOCAL else None
+
+
+def read_checked(path: str) -> bytes:
+    """A file's bytes; raises ``EOFError`` if they don't fit the checksums beside it, where there are any."""
+    with open(path, "rb") as file:
+        data = file.read()
+    folder, name = os.path.split(path)
+    try:
+        with open(f"{folder}/.{name}.crc", "rb") as file:
+            sums = file.read()
+    except OSError:
+        return data
+    if sums[:4] != SUMS or len(sums) < 8:
+        return data
+    size = max(1, struct.unpack(">i", sums[4:8])[0])
+    if sums[8:] != b"".join(zlib.crc32(data[at:at + size]).to_bytes(4, "big") for at in range(0, len(data), size)):
+        raise EOFError("checksum error")
+    return data
+
+
 def folder_name(column: str, value: str | None) -> str:
     """Name of the folder of a value, escaped as Spark does."""
     def escaped(text: str) -> str:
@@ -49,7 +76,7 @@ class Checked:
 
     def __init__(self, folder: str, name: str):
         self.file, self.sums_at = open(f"{folder}/{name}", "wb"), f"{folder}/.{name}.crc"
-        self.sums, self.rest = bytearray(b"crc\0" + struct.pack(">i", SUM_BYTES)), b""
+        self.sums, self.rest = bytearray(SUMS + struct.pack(">i", SUM_BYTES)), b""
 
     def write(self, data: bytes) -> None:
         self.file.write(data)
@@ -115,18 +142,14 @@ def write_folders(rows: DataFrame, path: str, column: str, packed: bool = False)
 
     ``rows`` must have each value in one partition if it is to get one file.
     """
-    context = rows.sparkSession.sparkContext
-    at = context._jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(context._jsc.hadoopConfiguration())
-
     def by_spark(some: DataFrame, mode: str) -> None:
         (some.write.mode(mode).partitionBy(column).option("header", True)
          .option("compression", "gzip" if packed else "none").csv(path))
 
-    if fs.getClass().getName() not in LOCAL:
+    root, job = local_path(rows.sparkSession, path), str(uuid.uuid4())
+    if root is None:
         by_spark(rows, "overwrite")
         return
-    root, job = fs.makeQualified(at).toUri().getPath(), str(uuid.uuid4())
     staged = f"{root}/_temporary-{job}"
     names = [c for c in rows.columns if c != column]
     header = rows.sparkSession.range(1).select(F.to_csv(F.struct(*[F.lit(c) for c in names]))).first()[0]
@@ -146,4 +169,4 @@ def write_folders(rows: DataFrame, path: str, column: str, packed: bool = False)
         shutil.rmtree(staged, ignore_errors=True)
     if any(task["left"] for task in tasks):
         by_spark(rows.where(F.col(column).cast("string").rlike(r"[^\x00-\x7F]")), "append")
-    fs.create(context._jvm.org.apache.hadoop.fs.Path(at, "_SUCCESS"), True).close()
+    Checked(root, "_SUCCESS").close()

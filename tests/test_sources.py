@@ -251,8 +251,9 @@ def test_damage_to_a_written_file_is_found(spark, tmp_path, monkeypatch):
     assert len(data) > 512
     data[600] ^= 1
     file.write_bytes(data)
-    for few in (256, 0):
+    for few, many in ((256, 1 << 14), (0, 0), (0, 1 << 14)):
         monkeypatch.setattr(csv_files, "FEW", few)
+        monkeypatch.setattr(csv_files, "MANY", many)
         bars, rejects = readers.scan_symbol_dirs(spark, str(tmp_path))
         assert {r.Symbol: r["count"] for r in bars.groupBy("Symbol").count().collect()} == {"A": 28, "C": 28}
         assert [(s, why) for s, _, why in rejects] == [("B", "cannot be read to its end")]
@@ -291,20 +292,23 @@ def test_files_read_whole_give_the_same(spark, tmp_path, monkeypatch):
     (tmp_path / "none.csv").write_bytes(header + row)
     assert len(long) > csv_files.SMALL_BYTES > len(packed)
     seen = {}
-    for few in (1 << 30, 0):
-        monkeypatch.setattr(csv_files, "FEW", few)
+    for way in ("few", "local", "any store"):
+        monkeypatch.setattr(csv_files, "FEW", 1 << 30 if way == "few" else 0)
+        monkeypatch.setattr(csv_files, "MANY", 0 if way == "local" else 1 << 30)
         bars, rejects = readers.scan_symbol_dirs(spark, str(tmp_path))
         counts = bars.groupBy(*bars.columns).count().collect()
-        seen[few] = (sorted(map(repr, counts)), [(s, f.rsplit("/", 1)[-1], why) for s, f, why in rejects])
+        seen[way] = (sorted(map(repr, counts)), [(s, f.rsplit("/", 1)[-1], why) for s, f, why in rejects])
         with pytest.raises(Exception, match="half.csv.gz|crc.csv.gz|not.csv.gz|tail.csv.gz"):
             csv_files.inspect(spark, str(tmp_path), readers.FILE_COLUMNS)
-    assert seen[0] == seen[1 << 30]
-    assert sum(int(r.rsplit("count=")[1][:-1]) for r in seen[0][0]) > 160000 and len(seen[0][1]) == 6
+    assert seen["local"] == seen["few"] and seen["any store"] == seen["few"]
+    assert sum(int(r.rsplit("count=")[1][:-1]) for r in seen["few"][0]) > 160000 and len(seen["few"][1]) == 6
 
 
-def test_small_file_gone_or_damaged_after_inspection_is_an_error(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("local", [True, False])
+def test_small_file_gone_or_damaged_after_inspection_is_an_error(spark, tmp_path, monkeypatch, local):
     from barlake.sources import csv_files
     monkeypatch.setattr(csv_files, "FEW", 0)
+    monkeypatch.setattr(csv_files, "MANY", 0 if local else 1 << 14)
     for symbol in "AB":
         (tmp_path / f"Symbol={symbol}").mkdir()
         (tmp_path / f"Symbol={symbol}" / "x.csv.gz").write_bytes(gzip.compress(
@@ -318,3 +322,21 @@ def test_small_file_gone_or_damaged_after_inspection_is_an_error(spark, tmp_path
     (tmp_path / "Symbol=A" / "x.csv.gz").unlink()
     with pytest.raises(Exception):
         bars.collect()
+
+
+def test_many_folders_are_listed_in_rounds(spark, tmp_path, monkeypatch):
+    """The tasks' listing has the files of Spark's, hidden ones left out, wherever very many folders lie."""
+    from barlake.sources import csv_files
+    monkeypatch.setattr(csv_files, "MANY", 3)
+    for i in range(1100):
+        (tmp_path / "a" / f"Symbol={i}").mkdir(parents=True)
+        put(tmp_path / "a" / f"Symbol={i}", "x.csv", "Date\n" if i % 7 else "")
+    for name in ("_x.csv", ".x.csv", "x._COPYING_", "_a=b.csv", "_metadata", "y z%20.csv", "ü.csv", ".hidden/x.csv",
+                 "_temporary/x.csv", "_metadata.d/x.csv", "_a=1/x.csv", "b/c/x.csv.gz"):
+        put((tmp_path / "a" / "Symbol=5" / name).parent, name.rsplit("/", 1)[-1], "Date\n")
+    (tmp_path / "link").symlink_to(tmp_path / "a" / "Symbol=5")
+    (tmp_path / "a" / "nothing").symlink_to(tmp_path / "gone")
+    assert csv_files.paths_of(csv_files.many_local(spark, str(tmp_path))) == csv_files.listed(spark, str(tmp_path))
+    assert csv_files.many_local(spark, str(tmp_path) + "/*") is None
+    monkeypatch.setattr(csv_files, "MANY", 2000)
+    assert csv_files.many_local(spark, str(tmp_path)) is None
