@@ -340,3 +340,14 @@ def test_many_folders_are_listed_in_rounds(spark, tmp_path, monkeypatch):
     assert csv_files.many_local(spark, str(tmp_path) + "/*") is None
     monkeypatch.setattr(csv_files, "MANY", 2000)
     assert csv_files.many_local(spark, str(tmp_path)) is None
+
+
+def test_symbol_folders_on_another_store(spark, tmp_path, monkeypatch):
+    """Where the store is not the local file system, Spark's writer gives the same folders."""
+    from barlake.sources import folder_files
+    rows = bar_rows(spark, [(s, f"2024-01-{d:02d}", str(d)) for s in ("A", "B/C", None) for d in range(1, 4)])
+    for name in ("local", "other"):
+        if name == "other":
+            monkeypatch.setattr(folder_files, "local_path", lambda *_: None)
+        readers.write_symbol_files(rows, str(tmp_path / name), packed=True)
+    assert files_below(tmp_path / "local") == files_below(tmp_path / "other")
